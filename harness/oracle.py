@@ -209,6 +209,106 @@ SELECT h AS hour_key, h AS hour_of_day,
 FROM (SELECT unnest(range(24)) AS h)"""
 
 
+_ZONES = """
+zones AS (
+  SELECT location_id, min(p_name) AS zone,
+    CASE WHEN location_id % 10 <> 0 THEN min(p_brand) END AS borough
+  FROM (SELECT p_partkey % 263 + 1 AS location_id, p_name, p_brand FROM part)
+  WHERE location_id <= 200 GROUP BY location_id
+)"""
+
+_LAST = f"""
+last AS (
+  SELECT max(pickup_date) AS last_valid_date FROM daily
+  WHERE total_trips > {MIN_TRIPS} AND total_revenue > 0 AND avg_trip_revenue BETWEEN 5 AND 200
+)"""
+
+_UNTIL_MONTH = """total_revenue > 0 AND coalesce(
+  year_month <= (SELECT strftime(last_valid_date, '%Y-%m') FROM last), true)"""
+
+_DAILY_READ = f"""
+daily_read AS (
+  SELECT pickup_date, year, month, day_of_week, total_trips, total_revenue, avg_distance_miles,
+    avg_duration_minutes, avg_trip_revenue, avg_tip, credit_card_trips, cash_trips
+  FROM daily
+  WHERE total_trips > {MIN_TRIPS} AND total_revenue > 0 AND avg_trip_revenue BETWEEN 5 AND 200
+    AND coalesce(pickup_date <= (SELECT last_valid_date FROM last), true)
+  ORDER BY pickup_date DESC LIMIT 365
+)"""
+
+_PAYMENT_READ = f"""
+payment_read AS (
+  SELECT * EXCLUDE (payment_type_id) FROM payment WHERE {_UNTIL_MONTH}
+)"""
+
+_VENDOR_READ = f"""
+vendor_read AS (
+  SELECT * EXCLUDE (vendor_id, total_passengers, total_distance) FROM vendor WHERE {_UNTIL_MONTH}
+)"""
+
+_YOY_READ = """
+yoy_read AS (
+  SELECT * EXCLUDE (prev_year_trips, prev_year_revenue) FROM yoy
+  WHERE total_revenue > 0 AND coalesce(year <= (SELECT year(last_valid_date) FROM last), true)
+)"""
+
+_MONTHLY_READ = f"""
+monthly_read AS (
+  SELECT year_month, year, month, total_trips, total_revenue, fare_revenue, tip_revenue,
+    avg_daily_trips, revenue_per_trip, revenue_per_trip AS avg_fare, avg_distance, avg_duration
+  FROM monthly WHERE {_UNTIL_MONTH} ORDER BY year_month DESC LIMIT 120
+)"""
+
+_TRAIN = """
+train AS (
+  SELECT pickup_date AS ds, total_trips::DOUBLE AS y, year, month, day_of_week, total_trips,
+    total_revenue, avg_trip_revenue, avg_distance_miles, avg_duration_minutes
+  FROM daily WHERE pickup_date >= DATE '{0}'
+)"""
+_TRAIN_2 = _TRAIN.format("1999-06-30")
+_TRAIN_10 = _TRAIN.format("1991-06-30")
+
+_VALIDATED = """
+week AS (
+  SELECT ds, y, lag(y, 7) OVER (ORDER BY ds) AS forecast, row_number() OVER (ORDER BY ds DESC) AS back
+  FROM train
+), validated AS (
+  SELECT ds, y AS y_true, forecast AS y_pred FROM week WHERE back <= 365 AND forecast IS NOT NULL
+)"""
+
+_RUNS = """
+runs AS (
+  SELECT 'run-' || lpad(o_orderkey::VARCHAR, 12, '0') AS run_id,
+    CASE WHEN o_orderkey % 5 <> 0 THEN model || '_' || metric
+      ELSE left('run-' || lpad(o_orderkey::VARCHAR, 12, '0'), 8) END AS run_name,
+    CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING' ELSE 'FAILED' END AS status,
+    o_orderdate AS start_time,
+    if(o_orderkey % 11 <> 0, model, 'unknown') AS model_type,
+    if(o_orderkey % 11 <> 0, metric, 'unknown') AS target_metric,
+    if(o_orderkey % 11 <> 0, (o_orderkey % 30 + 7)::VARCHAR, 'N/A') AS forecast_horizon,
+    if(o_orderkey % 7 <> 0, mape * 4, NULL) AS mae, if(o_orderkey % 7 <> 0, mape * 8, NULL) AS rmse,
+    if(o_orderkey % 7 <> 0, mape, NULL) AS mape
+  FROM (SELECT *, (['additive','sarma','gbt','holtwinters'])[o_orderkey % 4 + 1] AS model,
+    (['total_trips','total_revenue','avg_trip_revenue'])[o_orderkey % 3 + 1] AS metric,
+    (o_orderkey * 37 % 1000)::DOUBLE / 16::DOUBLE AS mape FROM orders)
+)"""
+_GRADE = ("CASE WHEN mape < 10 THEN 'good' WHEN mape < 20 THEN 'fair' WHEN mape IS NOT NULL THEN 'poor' END")
+
+
+def _with(final: str, *parts: str) -> str:
+    return "WITH " + ",\n".join(part.strip() for part in parts) + "\n" + final.strip()
+
+
+def _compact(value: str, decimals: int) -> str:
+    shape = f"'{{:.{decimals}f}}'"
+    return (
+        f"CASE WHEN {value} >= 1e9 THEN format({shape}, {value} / 1e9) || 'B' "
+        f"WHEN {value} >= 1e6 THEN format({shape}, {value} / 1e6) || 'M' "
+        f"WHEN {value} >= 1e3 THEN format({shape}, {value} / 1e3) || 'K' "
+        f"ELSE format({shape}, {value}::DOUBLE) END"
+    )
+
+
 def _code_dim(key: str, name: str, labels: dict[int, str], default: str) -> str:
     whens = " ".join(f"WHEN {key} = {code} THEN '{label}'" for code, label in labels.items())
     return _over(f"SELECT {key}, CASE {whens} ELSE '{default}' END AS {name} "
@@ -280,4 +380,211 @@ def statements() -> dict[str, str]:
         "trip_distance_distribution": _over("SELECT * FROM bands", _BANDS),
         "vendor_comparison": _over("SELECT * FROM vendor", _VENDOR),
         "year_over_year": _over("SELECT * FROM yoy", _YOY),
+        # star join and zones
+        "star_trips": _over(
+            "SELECT CASE WHEN vendor_id = 1 THEN 'Creative Mobile Technologies, LLC' WHEN vendor_id = 2 "
+            "THEN 'VeriFone Inc.' WHEN vendor_id IS NOT NULL THEN 'Unknown' END AS vendor_name, "
+            "coalesce((['Credit card','Cash','No charge','Dispute','Unknown','Voided trip'])"
+            "[if(payment_type_id BETWEEN 1 AND 6, payment_type_id, NULL)], 'Not specified') "
+            "AS payment_type_name, if(rate_code_id IS NULL, NULL, coalesce((['Standard rate','JFK',"
+            "'Newark','Nassau or Westchester','Negotiated fare','Group ride'])"
+            "[if(rate_code_id BETWEEN 1 AND 6, rate_code_id, NULL)], 'Unknown')) AS rate_code_name, "
+            "strftime(pickup_date, '%A') AS pickup_day_name, "
+            "year(pickup_date + INTERVAL 6 MONTH) AS pickup_fiscal_year, "
+            "strftime(pickup_date, '%w') IN ('0', '6') AS pickup_is_weekend, "
+            "(['Night','Morning','Afternoon','Evening'])[pickup_hour // 6 + 1] AS time_period, "
+            "pickup_hour IN (7, 8, 9, 17, 18, 19) AS is_rush_hour, "
+            "CASE WHEN pickup_hour BETWEEN 6 AND 10 THEN 'Morning Peak' WHEN pickup_hour BETWEEN 11 AND 15 "
+            "THEN 'Midday' WHEN pickup_hour BETWEEN 16 AND 20 THEN 'Evening Peak' ELSE 'Off-Peak' END "
+            "AS peak_category, count(*) AS trips, sum(total_amount) AS total_amount "
+            "FROM fct GROUP BY ALL"
+        ),
+        "zone_lookup": _over(
+            "SELECT f.location_id, trips, coalesce(zone, 'Zone ' || f.location_id) AS zone_name, "
+            "coalesce(borough, 'Unknown') AS borough FROM (SELECT pickup_location_id AS location_id, "
+            "count(*) AS trips FROM fct GROUP BY 1) f LEFT JOIN zones z ON f.location_id = z.location_id",
+            _ZONES,
+        ),
+        # data quality
+        "dq_not_null": _over(
+            "SELECT name AS column_name, (SELECT count(*) FROM stg) - known AS failures FROM "
+            "(UNPIVOT (SELECT count(COLUMNS(*)) FROM stg) ON COLUMNS(*) INTO NAME name VALUE known)"
+        ),
+        "dq_unique": _over(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, count(*) AS failures FROM (SELECT {c} FROM stg "
+                f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+                for c in ("pickup_datetime", "pickup_location_id", "vendor_id")
+            )
+        ),
+        "dq_report": (
+            "SELECT t AS table_name, c AS column_name, k AS test_name, 0::BIGINT AS failures, "
+            "if(k = 'unique' AND c = 'trip_id', 'warn', 'error') AS severity, false AS should_warn, "
+            "false AS should_error, true AS passed FROM (VALUES "
+            + ", ".join(
+                f"('{t}', '{c}', '{k}')"
+                for t, c, tests in (
+                    ("dim_vendor", "vendor_id", 2), ("dim_payment_type", "payment_type_id", 2),
+                    ("dim_rate_code", "rate_code_id", 2), ("dim_date", "date_key", 2),
+                    ("dim_time", "hour_key", 2), ("fct_trips", "trip_id", 2),
+                    ("fct_trips", "pickup_datetime", 1), ("fct_trips", "dropoff_datetime", 1),
+                )
+                for k in ("not_null", "unique")[:tests]
+            )
+            + ") AS declared(t, c, k)"
+        ),
+        # read layer
+        "last_valid_date": _over("SELECT * FROM last", _DAILY, _LAST),
+        "last_valid_month": _over(
+            "SELECT strftime(last_valid_date, '%Y-%m') AS last_valid_month FROM last", _DAILY, _LAST
+        ),
+        "kpi_summary": _over(
+            "SELECT coalesce(sum(total_trips), 0)::BIGINT AS total_trips, "
+            "coalesce(sum(total_revenue), 0) AS total_revenue, "
+            "coalesce(sum(total_distance_miles), 0) AS total_distance, "
+            "round(coalesce(avg(avg_trip_revenue), 0), 6) AS avg_fare, "
+            "round(coalesce(avg(avg_tip), 0), 6) AS avg_tip, min(pickup_date) AS data_start_date, "
+            "max(pickup_date) AS data_end_date, count(DISTINCT pickup_date) AS total_days FROM daily, last "
+            "WHERE total_trips > 0 AND total_revenue > 0 AND coalesce(pickup_date <= last_valid_date, true)",
+            _DAILY, _LAST,
+        ),
+        "monthly_trends_view": _over("SELECT * FROM monthly_read", _DAILY, _LAST, _MONTHLY, _MONTHLY_READ),
+        "daily_view": _over("SELECT * FROM daily_read", _DAILY, _LAST, _DAILY_READ),
+        "hourly_view": _over("SELECT * FROM hourly", _HOURLY),
+        "payment_view": _over("SELECT * FROM payment_read", _DAILY, _LAST, _PAYMENT, _PAYMENT_READ),
+        "distance_view": _over("SELECT * FROM bands", _BANDS),
+        "location_view": _over(
+            "SELECT * FROM locations ORDER BY popularity_rank, location_id LIMIT 300", _ZONES_GOLD
+        ),
+        "vendor_view": _over("SELECT * FROM vendor_read", _DAILY, _LAST, _VENDOR, _VENDOR_READ),
+        "yoy_view": _over("SELECT * FROM yoy_read", _DAILY, _LAST, _YOY, _YOY_READ),
+        # chart frames
+        "heatmap_matrix": _over(
+            "SELECT day_name, list_position(['Monday','Tuesday','Wednesday','Thursday','Friday',"
+            "'Saturday','Sunday'], day_name)::BIGINT AS day_order, "
+            + ", ".join(
+                f"sum(total_trips) FILTER (pickup_hour = {h})::BIGINT AS h{h:02d}" for h in range(24)
+            )
+            + " FROM hourly GROUP BY day_name",
+            _HOURLY,
+        ),
+        "payment_latest": _over(
+            "SELECT * FROM payment_read WHERE year_month = (SELECT max(year_month) FROM payment_read)",
+            _DAILY, _LAST, _PAYMENT, _PAYMENT_READ,
+        ),
+        "vendor_series": _over(
+            "SELECT vendor_name, year_month, year, month, market_share_pct FROM vendor_read",
+            _DAILY, _LAST, _VENDOR, _VENDOR_READ,
+        ),
+        "tip_last_12": _over(
+            "SELECT payment_type_name, round(avg(avg_tip), 6) AS avg_tip, "
+            "round(avg(tip_pct), 6) AS avg_tip_pct, sum(trip_count)::BIGINT AS trip_count "
+            "FROM (SELECT *, dense_rank() OVER (ORDER BY year_month DESC) AS back FROM tip_read) "
+            "WHERE back <= 12 GROUP BY 1",
+            _DAILY, _LAST, _PAYMENT.replace("round(avg(tip_percentage), 6) AS avg_tip_pct",
+                                             "avg(tip_percentage) AS tip_pct"),
+            f"tip_read AS (SELECT * FROM payment WHERE {_UNTIL_MONTH})",
+        ),
+        "top_zones": _over(
+            "SELECT location_id, pickup_trips, dropoff_trips, popularity_rank FROM locations "
+            "ORDER BY popularity_rank, location_id LIMIT 20",
+            _ZONES_GOLD,
+        ),
+        "zone_activity": _over(
+            "SELECT l.*, coalesce(zone, 'Zone ' || l.location_id) AS zone_name, "
+            "coalesce(borough, 'Unknown') AS borough FROM locations l LEFT JOIN zones USING (location_id)",
+            _ZONES_GOLD, _ZONES,
+        ),
+        "monthly_series": _over(
+            "SELECT year_month, total_trips, avg_fare FROM monthly_read",
+            _DAILY, _LAST, _MONTHLY, _MONTHLY_READ,
+        ),
+        "daily_series": _over(
+            "SELECT pickup_date, total_trips, total_revenue FROM daily_read", _DAILY, _LAST, _DAILY_READ
+        ),
+        "yoy_series": _over(
+            "SELECT year, total_trips, total_revenue FROM yoy_read", _DAILY, _LAST, _YOY, _YOY_READ
+        ),
+        "compact_number": _over(
+            f"SELECT year, {_compact('total_trips', 1)} AS trips, {_compact('total_revenue', 0)} AS revenue, "
+            f"{_compact('avg_fare', 2)} AS avg_fare FROM yoy",
+            _YOY,
+        ),
+        # daily series
+        "training_frame": _over("SELECT * FROM train", _DAILY, _TRAIN_2),
+        "time_features": _over(
+            "SELECT ds, y, year, month, day(ds) AS day, isodow - 1 AS dayofweek, dayofyear(ds) AS dayofyear, "
+            "weekofyear(ds) AS weekofyear, quarter(ds) AS quarter, (isodow > 5)::BIGINT AS is_weekend, "
+            "(day(ds) = 1)::BIGINT AS is_month_start, (day(ds + INTERVAL 1 DAY) = 1)::BIGINT AS is_month_end,"
+            " round(sin(2 * pi() * month / 12), 6) + 0 AS month_sin, "
+            "round(cos(2 * pi() * month / 12), 6) + 0 AS month_cos, "
+            "round(sin(2 * pi() * (isodow - 1) / 7), 6) + 0 AS day_sin, "
+            "round(cos(2 * pi() * (isodow - 1) / 7), 6) + 0 AS day_cos "
+            "FROM (SELECT ds, y, year, month, isodow(ds) AS isodow FROM train)",
+            _DAILY, _TRAIN_10,
+        ),
+        "holdout_split": _over(
+            "SELECT ds, y, ds IN (SELECT ds FROM train ORDER BY ds DESC LIMIT 30) AS is_validation FROM train",
+            _DAILY, _TRAIN_2,
+        ),
+        "future_dates": _over(
+            "SELECT (m + n::INT) AS ds FROM (SELECT max(ds) AS m FROM train), range(1, 31) AS r(n)",
+            _DAILY, _TRAIN_2,
+        ),
+        "validation_frame": _over("SELECT * FROM validated", _DAILY, _TRAIN_10, _VALIDATED),
+        "forecast_metrics": _over(
+            "SELECT round(avg(abs(y_true - y_pred)), 6) AS mae, "
+            "round(sqrt(avg((y_true - y_pred) ** 2)), 6) AS rmse, round(avg(abs(y_true - y_pred) / "
+            "greatest(abs(y_true), 2.220446049250313e-16)) * 100, 6) AS mape FROM validated",
+            _DAILY, _TRAIN_10, _VALIDATED,
+        ),
+        "accuracy_points": _over(
+            "SELECT y_true, y_pred, (SELECT min(least(y_true, y_pred)) FROM validated) AS diagonal_min, "
+            "(SELECT max(greatest(y_true, y_pred)) FROM validated) AS diagonal_max FROM validated",
+            _DAILY, _TRAIN_10, _VALIDATED,
+        ),
+        "future_frame": _over(
+            "SELECT ds AS date, forecast FROM week WHERE forecast IS NOT NULL", _DAILY, _TRAIN_10, _VALIDATED
+        ),
+        "future_summary": _over(
+            "SELECT min(ds) AS forecast_start, max(ds) AS forecast_end, min(forecast) AS min_forecast, "
+            "max(forecast) AS max_forecast, round(avg(forecast), 6) AS mean_forecast "
+            "FROM week WHERE forecast IS NOT NULL",
+            _DAILY, _TRAIN_10, _VALIDATED,
+        ),
+        "forecast_band": _over(
+            "SELECT ds AS date, forecast, round(forecast * 0.85::DOUBLE, 6) AS lower, "
+            "round(forecast * 1.15::DOUBLE, 6) AS upper FROM week WHERE forecast IS NOT NULL",
+            _DAILY, _TRAIN_10, _VALIDATED,
+        ),
+        # run table
+        "recent_runs": _with("SELECT * FROM runs ORDER BY start_time DESC, run_id LIMIT 20", _RUNS),
+        "best_run": _with(
+            "SELECT run_id, run_name, model_type, target_metric, mae, rmse, mape FROM runs "
+            "WHERE target_metric = 'total_revenue' ORDER BY mape NULLS LAST, run_id LIMIT 1",
+            _RUNS,
+        ),
+        "model_comparison": _with(
+            "SELECT model_type, target_metric, mae, rmse, mape, run_id, start_time FROM runs "
+            "WHERE status = 'FINISHED' ORDER BY start_time DESC, run_id LIMIT 100",
+            _RUNS,
+        ),
+        "mape_grade": _with(f"SELECT {_GRADE} AS grade, count(*) AS runs FROM runs GROUP BY 1", _RUNS),
+        "best_per_model": _with(
+            "SELECT model_type, target_metric, mae, rmse, mape, run_id, start_time FROM runs "
+            "QUALIFY row_number() OVER (PARTITION BY model_type, target_metric "
+            "ORDER BY mape NULLS LAST, start_time, run_id) = 1",
+            _RUNS,
+        ),
+        "runs_history": _with("SELECT model_type, start_time, mape, run_id FROM runs", _RUNS),
+        "forecast_with_history": _over(
+            "SELECT 'history' AS kind, pickup_date AS date, total_trips::DOUBLE AS value, "
+            "NULL::DOUBLE AS predicted FROM (FROM daily_read ORDER BY pickup_date DESC LIMIT 90) "
+            "UNION ALL SELECT 'validation', l_shipdate::DATE, l_quantity, l_quantity + 2 FROM best_lines "
+            "UNION ALL SELECT 'forecast', l_shipdate::DATE + 30, NULL, l_quantity + 2 FROM best_lines",
+            _DAILY, _LAST, _DAILY_READ, _RUNS,
+            "best_lines AS (SELECT * FROM lineitem WHERE 'run-' || lpad(l_orderkey::VARCHAR, 12, '0') = "
+            "(SELECT run_id FROM runs WHERE target_metric = 'total_trips' "
+            "ORDER BY mape NULLS LAST, run_id LIMIT 1))",
+        ),
     }

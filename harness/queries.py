@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from farelake.functions import labels, trips
-from farelake.operators import dims, fact, gold, staging
+from farelake.functions import fixed, labels, trips
+from farelake.functions.sizing import broadcast_if_small
+from farelake.operators import dims, dq, fact, gold, readlayer, reshape, runs, series, staging
 from farelake.session import configure
-from harness.fixture import raw_trips
+from harness.fixture import raw_trips, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,3 +213,390 @@ def vendor_comparison(spark, sf_dir):
 @query
 def year_over_year(spark, sf_dir):
     return gold.year_over_year(facts(spark, sf_dir))
+
+
+# --- star join, zones ---------------------------------------------------------------------------------
+
+
+@query
+def star_trips(spark, sf_dir):
+    stg = staged(spark, sf_dir)
+    fct = fact.fct_trips(stg)
+    joined = dims.star_trips(
+        fct,
+        broadcast_if_small(dims.dim_vendor(stg)),
+        broadcast_if_small(dims.dim_payment_type(stg)),
+        broadcast_if_small(dims.dim_rate_code(stg)),
+        F.broadcast(dims.dim_date(spark, "1990-01-01", "2030-12-31")),  # one row per day of 41 years
+        F.broadcast(dims.dim_time(spark)),  # 24 rows
+    )
+    return joined.groupBy(
+        "vendor_name", "payment_type_name", "rate_code_name", "pickup_day_name", "pickup_fiscal_year",
+        "pickup_is_weekend", "time_period", "is_rush_hour", "peak_category",
+    ).agg(F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("total_amount"))
+
+
+def zones(spark, sf_dir):
+    """Names for zones 1..200 of 263, taken from the part table; some have no borough."""
+    zone_id = (F.col("p_partkey") % 263 + 1).alias("location_id")
+    named = table(spark, sf_dir, "part").groupBy(zone_id).agg(
+        F.min("p_name").alias("zone"), F.min("p_brand").alias("borough")
+    )
+    borough = F.when(F.col("location_id") % 10 != 0, F.col("borough"))
+    return named.filter(F.col("location_id") <= 200).withColumn("borough", borough)
+
+
+@query
+def zone_lookup(spark, sf_dir):
+    per_zone = facts(spark, sf_dir).groupBy(F.col("pickup_location_id").alias("location_id")).agg(
+        F.count(F.lit(1)).alias("trips")
+    )
+    return reshape.zone_lookup(per_zone, zones(spark, sf_dir))
+
+
+# --- data quality -------------------------------------------------------------------------------------
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    stg = staged(spark, sf_dir).drop("_loaded_at")
+    return dq.dq_not_null(stg, stg.columns)
+
+
+@query
+def dq_unique(spark, sf_dir):
+    stg = staged(spark, sf_dir)
+    found = [dq.dq_unique(stg, c) for c in ("pickup_datetime", "pickup_location_id", "vendor_id")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def dq_report(spark, sf_dir):
+    stg = staged(spark, sf_dir)
+    fct = fact.fct_trips(stg)
+    return dq.dq_report(
+        {
+            "dim_vendor": dims.dim_vendor(stg),
+            "dim_payment_type": dims.dim_payment_type(stg),
+            "dim_rate_code": dims.dim_rate_code(stg),
+            "dim_date": dims.dim_date_of(fct),
+            "dim_time": dims.dim_time(spark),
+            "fct_trips": fct,
+        }
+    )
+
+
+# --- read layer ---------------------------------------------------------------------------------------
+
+#: The fixture has 7 to 38 trips a day at the checked scale, far below the default threshold of 100.
+MIN_TRIPS = 10
+
+
+def gold_daily(spark, sf_dir):
+    return gold.daily_summary(facts(spark, sf_dir))
+
+
+def last_valid(spark, sf_dir):
+    return readlayer.last_valid_date(gold_daily(spark, sf_dir), min_trips=MIN_TRIPS)
+
+
+@query
+def last_valid_date(spark, sf_dir):
+    return last_valid(spark, sf_dir)
+
+
+@query
+def last_valid_month(spark, sf_dir):
+    return readlayer.last_valid_month(last_valid(spark, sf_dir))
+
+
+@query
+def kpi_summary(spark, sf_dir):
+    kpis = readlayer.kpi_summary(gold_daily(spark, sf_dir), last_valid(spark, sf_dir))
+    return rounded(kpis, "avg_fare", "avg_tip")
+
+
+def monthly_read(spark, sf_dir):
+    return readlayer.monthly_trends_view(gold.monthly_trends(facts(spark, sf_dir)), last_valid(spark, sf_dir))
+
+
+def daily_read(spark, sf_dir, days=365):
+    return readlayer.daily_view(
+        gold_daily(spark, sf_dir), last_valid(spark, sf_dir), days=days, min_trips=MIN_TRIPS
+    )
+
+
+def hourly_read(spark, sf_dir):
+    return readlayer.hourly_view(gold.hourly_patterns(facts(spark, sf_dir)))
+
+
+def payment_read(spark, sf_dir):
+    return readlayer.payment_view(gold.payment_analysis(facts(spark, sf_dir)), last_valid(spark, sf_dir))
+
+
+def vendor_read(spark, sf_dir):
+    return readlayer.vendor_view(gold.vendor_comparison(facts(spark, sf_dir)), last_valid(spark, sf_dir))
+
+
+def location_read(spark, sf_dir):
+    return readlayer.location_view(gold.location_stats(facts(spark, sf_dir)))
+
+
+def yoy_read(spark, sf_dir):
+    return readlayer.yoy_view(gold.year_over_year(facts(spark, sf_dir)), last_valid(spark, sf_dir))
+
+
+@query
+def monthly_trends_view(spark, sf_dir):
+    return monthly_read(spark, sf_dir)
+
+
+@query
+def daily_view(spark, sf_dir):
+    return daily_read(spark, sf_dir)
+
+
+@query
+def hourly_view(spark, sf_dir):
+    return rounded(hourly_read(spark, sf_dir), "avg_speed")
+
+
+@query
+def payment_view(spark, sf_dir):
+    return rounded(payment_read(spark, sf_dir), "avg_tip_pct")
+
+
+@query
+def distance_view(spark, sf_dir):
+    return readlayer.distance_view(gold.trip_distance_distribution(facts(spark, sf_dir)))
+
+
+@query
+def location_view(spark, sf_dir):
+    return location_read(spark, sf_dir)
+
+
+@query
+def vendor_view(spark, sf_dir):
+    return vendor_read(spark, sf_dir)
+
+
+@query
+def yoy_view(spark, sf_dir):
+    return yoy_read(spark, sf_dir)
+
+
+# --- chart frames -------------------------------------------------------------------------------------
+
+
+@query
+def heatmap_matrix(spark, sf_dir):
+    return reshape.heatmap_matrix(hourly_read(spark, sf_dir))
+
+
+@query
+def payment_latest(spark, sf_dir):
+    return rounded(reshape.payment_latest(payment_read(spark, sf_dir)), "avg_tip_pct")
+
+
+@query
+def vendor_series(spark, sf_dir):
+    return reshape.vendor_series(vendor_read(spark, sf_dir))
+
+
+@query
+def tip_last_12(spark, sf_dir):
+    return rounded(reshape.tip_last_12(payment_read(spark, sf_dir)), "avg_tip", "avg_tip_pct")
+
+
+@query
+def top_zones(spark, sf_dir):
+    return reshape.top_zones(location_read(spark, sf_dir))
+
+
+@query
+def zone_activity(spark, sf_dir):
+    return reshape.zone_activity(location_read(spark, sf_dir), zones(spark, sf_dir))
+
+
+@query
+def monthly_series(spark, sf_dir):
+    return reshape.monthly_series(monthly_read(spark, sf_dir)).select("year_month", "total_trips", "avg_fare")
+
+
+@query
+def daily_series(spark, sf_dir):
+    return reshape.daily_series(daily_read(spark, sf_dir)).select("pickup_date", "total_trips", "total_revenue")
+
+
+@query
+def yoy_series(spark, sf_dir):
+    return reshape.yoy_series(yoy_read(spark, sf_dir))
+
+
+@query
+def compact_number(spark, sf_dir):
+    yearly = gold.year_over_year(facts(spark, sf_dir))
+    return yearly.select(
+        "year",
+        labels.compact_number(F.col("total_trips"), 1).alias("trips"),
+        labels.compact_number(F.col("total_revenue")).alias("revenue"),
+        labels.compact_number(F.col("avg_fare"), 2).alias("avg_fare"),
+    )
+
+
+# --- daily series -------------------------------------------------------------------------------------
+
+AS_OF = dt.date(2001, 6, 30)
+
+
+def training(spark, sf_dir, years=2):
+    return series.training_frame(gold_daily(spark, sf_dir), "total_trips", years, AS_OF)
+
+
+@query
+def training_frame(spark, sf_dir):
+    return training(spark, sf_dir)
+
+
+@query
+def time_features(spark, sf_dir):
+    days = training(spark, sf_dir, years=10).select("ds", "y")
+    waves = rounded(series.time_features(days), "month_sin", "month_cos", "day_sin", "day_cos")
+    return waves.select(
+        "ds", "y", *[F.col(c).cast("bigint").alias(c) for c in series.TIME_FEATURES[:10]],
+        *[(F.col(c) + F.lit(0.0)).alias(c) for c in series.TIME_FEATURES[10:]],
+    )
+
+
+@query
+def holdout_split(spark, sf_dir):
+    return series.holdout_split(training(spark, sf_dir).select("ds", "y"), 30)
+
+
+@query
+def future_dates(spark, sf_dir):
+    return series.future_dates(training(spark, sf_dir), 30)
+
+
+def last_week_as_forecast(spark, sf_dir):
+    """A forecast the SQL side can state: each day repeats the value of seven rows before."""
+    a_week_before = F.lag("y", 7).over(Window.orderBy("ds"))
+    days = training(spark, sf_dir, years=10).select("ds", "y")
+    return days.select("ds", a_week_before.alias("forecast")).filter(F.col("forecast").isNotNull())
+
+
+def validated(spark, sf_dir):
+    held_out = series.holdout_split(training(spark, sf_dir, years=10).select("ds", "y"), 365)
+    return series.validation_frame(held_out.filter("is_validation"), last_week_as_forecast(spark, sf_dir))
+
+
+@query
+def validation_frame(spark, sf_dir):
+    return validated(spark, sf_dir)
+
+
+@query
+def forecast_metrics(spark, sf_dir):
+    return rounded(series.forecast_metrics(validated(spark, sf_dir)), "mae", "rmse", "mape")
+
+
+@query
+def accuracy_points(spark, sf_dir):
+    return reshape.accuracy_points(validated(spark, sf_dir))
+
+
+@query
+def future_frame(spark, sf_dir):
+    return series.future_frame(last_week_as_forecast(spark, sf_dir))
+
+
+@query
+def future_summary(spark, sf_dir):
+    ahead = series.future_frame(last_week_as_forecast(spark, sf_dir))
+    return rounded(series.future_summary(ahead), "mean_forecast")
+
+
+@query
+def forecast_band(spark, sf_dir):
+    return rounded(reshape.forecast_band(series.future_frame(last_week_as_forecast(spark, sf_dir))), "lower", "upper")
+
+
+# --- run table ----------------------------------------------------------------------------------------
+
+
+def run_table(spark, sf_dir):
+    """One run per order: every status, nameless runs, missing parameters and missing errors occur."""
+    key = F.col("o_orderkey")
+    model = F.element_at(
+        F.array(*[F.lit(m) for m in ("additive", "sarma", "gbt", "holtwinters")]), (key % 4 + 1).cast("int")
+    )
+    metric = F.element_at(F.array(*[F.lit(m) for m in fixed.TARGET_METRICS]), (key % 3 + 1).cast("int"))
+    mape = (key * 37 % 1000).cast("double") / 16
+    params = F.map_from_arrays(
+        F.array(F.lit("model_type"), F.lit("target_metric"), F.lit("forecast_horizon_days")),
+        F.array(model, metric, (key % 30 + 7).cast("string")),
+    )
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("run-"), F.lpad(key.cast("string"), 12, "0")).alias("run_id"),
+        F.when(key % 5 != 0, F.concat_ws("_", model, metric)).alias("run_name"),
+        F.when(F.col("o_orderstatus") == "F", "FINISHED")
+        .when(F.col("o_orderstatus") == "O", "RUNNING")
+        .otherwise("FAILED")
+        .alias("status"),
+        F.col("o_orderdate").cast("timestamp").alias("start_time"),
+        F.when(key % 11 != 0, params).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))).alias("params"),
+        F.when(
+            key % 7 != 0,
+            F.map_from_arrays(
+                F.array(F.lit("mae"), F.lit("rmse"), F.lit("mape")), F.array(mape * 4, mape * 8, mape)
+            ),
+        ).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))).alias("metrics"),
+    )
+
+
+@query
+def recent_runs(spark, sf_dir):
+    return runs.recent_runs(run_table(spark, sf_dir), 20)
+
+
+@query
+def best_run(spark, sf_dir):
+    return runs.best_run(run_table(spark, sf_dir), "total_revenue")
+
+
+@query
+def model_comparison(spark, sf_dir):
+    return runs.model_comparison(run_table(spark, sf_dir))
+
+
+@query
+def mape_grade(spark, sf_dir):
+    flat = runs.flatten_runs(run_table(spark, sf_dir))
+    return flat.groupBy(labels.mape_grade(F.col("mape")).alias("grade")).agg(F.count(F.lit(1)).alias("runs"))
+
+
+@query
+def best_per_model(spark, sf_dir):
+    return reshape.best_per_model(
+        runs.flatten_runs(run_table(spark, sf_dir)).drop("run_name", "status", "forecast_horizon"), by_metric=True
+    )
+
+
+@query
+def runs_history(spark, sf_dir):
+    return reshape.runs_history(runs.flatten_runs(run_table(spark, sf_dir)))
+
+
+@query
+def forecast_with_history(spark, sf_dir):
+    all_runs = run_table(spark, sf_dir)
+    # Artifacts of every run: as many validation and forecast rows as the run's order has lines.
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("run-"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("run_id"),
+        F.to_date("l_shipdate").alias("ds"),
+        F.col("l_quantity").alias("y_true"),
+        (F.col("l_quantity") + 2).alias("y_pred"),
+    )
+    ahead = lines.select("run_id", F.date_add("ds", 30).alias("date"), F.col("y_pred").alias("forecast"))
+    return runs.forecast_with_history(all_runs, lines, ahead, daily_read(spark, sf_dir, days=90), "total_trips")
