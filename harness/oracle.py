@@ -292,6 +292,12 @@ runs AS (
     (['total_trips','total_revenue','avg_trip_revenue'])[o_orderkey % 3 + 1] AS metric,
     (o_orderkey * 37 % 1000)::DOUBLE / 16::DOUBLE AS mape FROM orders)
 )"""
+_FX = """
+rates AS (
+  SELECT o_orderdate::DATE AS feed_date, 'C' || lpad((o_custkey % 25)::VARCHAR, 2, '0') AS quote,
+    (sum(o_orderkey % 1000) + 1)::DOUBLE / 8::DOUBLE AS rate
+  FROM orders GROUP BY 1, 2
+)"""
 _GRADE = ("CASE WHEN mape < 10 THEN 'good' WHEN mape < 20 THEN 'fair' WHEN mape IS NOT NULL THEN 'poor' END")
 
 
@@ -380,6 +386,67 @@ def statements() -> dict[str, str]:
         "trip_distance_distribution": _over("SELECT * FROM bands", _BANDS),
         "vendor_comparison": _over("SELECT * FROM vendor", _VENDOR),
         "year_over_year": _over("SELECT * FROM yoy", _YOY),
+        # bronze lake
+        "bronze_land": _with(
+            "SELECT year(tpep_pickup_datetime) AS year, month(tpep_pickup_datetime) AS month, "
+            "count(*) AS trips, sum(fare_amount) AS fares FROM raw GROUP BY 1, 2",
+            _RAW,
+        ),
+        "bronze_scan": _with(
+            "SELECT year(tpep_pickup_datetime) AS year, count(*) AS trips, "
+            "sum(passenger_count)::BIGINT AS passengers, sum(Airport_fee) AS airport_fees "
+            "FROM raw GROUP BY 1",
+            _RAW,
+        ),
+        "bronze_validate": _with(
+            "SELECT year(tpep_pickup_datetime) AS year, month(tpep_pickup_datetime) AS month, "
+            "count(*) AS num_rows, 19::BIGINT AS num_columns FROM raw GROUP BY 1, 2",
+            _RAW,
+        ),
+        "bronze_metrics": _with(
+            "SELECT year(tpep_pickup_datetime) AS year, month(tpep_pickup_datetime) AS month, "
+            "count(*) AS num_rows, 19::BIGINT AS num_columns, true AS has_size FROM raw GROUP BY 1, 2",
+            _RAW,
+        ),
+        # stored tables
+        "replace_table": _over("SELECT * FROM vendor WHERE vendor_name <> 'Unknown'", _VENDOR),
+        "partition_cluster": _over(
+            "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, pickup_location_id, "
+            "count(*) AS trips, sum(total_amount) AS total_amount FROM fct "
+            "WHERE year(pickup_date) >= 2000 AND pickup_location_id <= 50 GROUP BY 1, 2"
+        ),
+        "incremental_filter": _over(
+            "SELECT * FROM stg WHERE pickup_datetime >= "
+            "(SELECT max(pickup_datetime) FROM fct WHERE year(pickup_date) < 2000)"
+        ),
+        "merge_trips": _over(
+            "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, count(*) AS trips, "
+            "count(*) AS distinct_ids, sum(tip_amount + (pickup_date >= DATE '1999-07-01')::INT) AS tips "
+            "FROM fct GROUP BY 1"
+        ),
+        "stream_trips": _over(
+            "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, count(*) AS trips, "
+            "count(*) FILTER (has_data_quality_issue) AS flagged, sum(total_amount) AS total_amount "
+            "FROM fct GROUP BY 1"
+        ),
+        "csv_roundtrip": _over("SELECT * FROM train", _DAILY, _TRAIN_10),
+        "json_records": _over(
+            "SELECT '{\"pickup_location_id\":' || pickup_location_id || ',\"vendor_id\":' "
+            "|| coalesce(vendor_id::VARCHAR, 'null') || ',\"trips\":' || count(*) || '}' AS record "
+            "FROM fct GROUP BY pickup_location_id, vendor_id"
+        ),
+        "zone_source": _with(
+            "SELECT location_id, zone, coalesce(borough, 'Unknown') AS borough FROM zones", _ZONES
+        ),
+        # exchange rates
+        "fx_extract": _with("SELECT feed_date, 'EUR' AS base, quote, rate FROM rates", _FX),
+        "fx_records": _with("SELECT 'EUR' AS base, quote, rate FROM rates", _FX),
+        "fx_upsert": _with(
+            "SELECT if(late, 'USD', 'EUR') AS base_currency, quote AS quote_currency, "
+            "if(late, rate * 2, rate) AS rate, feed_date AS run_date "
+            "FROM (SELECT *, feed_date >= DATE '1998-01-01' AS late FROM rates)",
+            _FX,
+        ),
         # star join and zones
         "star_trips": _over(
             "SELECT CASE WHEN vendor_id = 1 THEN 'Creative Mobile Technologies, LLC' WHEN vendor_id = 2 "

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from farelake import schemas
 from farelake.functions import fixed, labels, trips
 from farelake.functions.sizing import broadcast_if_small
-from farelake.operators import dims, dq, fact, gold, readlayer, reshape, runs, series, staging
-from farelake.session import configure
+from farelake.operators import dims, dq, fact, gold, merge, readlayer, reshape, runs, series, staging
+from farelake.session import configure, scratch_path
+from farelake.sources import bronze, fx, tables
+from farelake.sources import zones as zone_files
+from farelake.streaming import trips as streaming
 from harness.fixture import raw_trips, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -600,3 +604,196 @@ def forecast_with_history(spark, sf_dir):
     )
     ahead = lines.select("run_id", F.date_add("ds", 30).alias("date"), F.col("y_pred").alias("forecast"))
     return runs.forecast_with_history(all_runs, lines, ahead, daily_read(spark, sf_dir, days=90), "total_trips")
+
+
+# --- bronze lake ----------------------------------------------------------------------------------------
+
+
+def monthly_raw(spark, sf_dir):
+    """Raw trips with the month of the file they would arrive in."""
+    pickup = F.col("tpep_pickup_datetime")
+    return raw_trips(spark, sf_dir).withColumns(
+        {"year": F.year(pickup), "month": F.date_format(pickup, "MM")}
+    )
+
+
+def landed(spark, sf_dir):
+    root = scratch_path(spark, "bronze")
+    bronze.bronze_land_months(monthly_raw(spark, sf_dir), root)
+    return root
+
+
+def month_totals(trips_by_file):
+    return trips_by_file.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")).agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").alias("fares")
+    )
+
+
+@query
+def bronze_land(spark, sf_dir):
+    return month_totals(spark.read.parquet(landed(spark, sf_dir)))
+
+
+@query
+def bronze_scan(spark, sf_dir):
+    """A lake whose files changed types over the years: counts as doubles, a column in lower case."""
+    root = scratch_path(spark, "bronze")
+    raw = monthly_raw(spark, sf_dir)
+    eras = (
+        raw.filter(F.col("year") < 1998),
+        raw.filter(F.col("year").between(1998, 1999)).withColumn("passenger_count", F.col("passenger_count").cast("double")),
+        raw.filter(F.col("year") >= 2000).withColumnRenamed("Airport_fee", "airport_fee"),
+    )
+    for era in eras:
+        bronze.bronze_land_months(era, root)
+    trips_read = bronze.bronze_scan(spark, root)
+    years = staging.stg_trips(trips_read).groupBy(F.year("pickup_datetime").cast("bigint").alias("year"))
+    return years.agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("passenger_count").alias("passengers"),
+        F.sum("airport_fee").alias("airport_fees"),
+    )
+
+
+@query
+def bronze_validate(spark, sf_dir):
+    checked = bronze.bronze_validate(spark, landed(spark, sf_dir), expected=[(1996, 1), (2001, 1)])
+    return checked.groupBy("year", "month").agg(
+        F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns")
+    )
+
+
+@query
+def bronze_metrics(spark, sf_dir):
+    log = scratch_path(spark, "load-log")
+    bronze.log_load(bronze.bronze_validate(spark, landed(spark, sf_dir)), log)
+    return spark.read.parquet(log).select(
+        "year", "month", "num_rows", "num_columns", (F.col("file_size_mb") > 0).alias("has_size")
+    )
+
+
+# --- stored tables --------------------------------------------------------------------------------------
+
+
+@query
+def replace_table(spark, sf_dir):
+    """Stored once, then replaced by a table computed from its own rows."""
+    path = scratch_path(spark, "vendor")
+    stored = tables.replace_table(gold.vendor_comparison(facts(spark, sf_dir)), path, schemas.VENDOR_COMPARISON)
+    return tables.replace_table(stored.filter(F.col("vendor_name") != "Unknown"), path, schemas.VENDOR_COMPARISON)
+
+
+@query
+def partition_cluster(spark, sf_dir):
+    path = scratch_path(spark, "fact")
+    tables.write_clustered(fact.with_month(facts(spark, sf_dir)), path)
+    stored = spark.read.parquet(path).filter(
+        (F.col("pickup_month") >= "2000-01-01") & F.col("pickup_location_id").between(1, 50)
+    )
+    return stored.groupBy("pickup_month", "pickup_location_id").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("total_amount")
+    )
+
+
+@query
+def incremental_filter(spark, sf_dir):
+    stg = staged(spark, sf_dir)
+    loaded = fact.fct_trips(stg).filter(F.col("pickup_date") < "2000-01-01")
+    return fact.incremental_filter(stg, loaded).drop("_loaded_at")
+
+
+@query
+def merge_trips(spark, sf_dir):
+    """Trips until 1999 are stored; then the trips since July 1999 arrive, half of them corrections."""
+    path = scratch_path(spark, "fact")
+    fct = fact.with_month(facts(spark, sf_dir))
+    arriving = fct.filter(F.col("pickup_date") >= "1999-07-01").withColumn("tip_amount", F.col("tip_amount") + 1)
+    for batch in (fct.filter(F.col("pickup_date") < "2000-01-01"), arriving):
+        merge.merge_partitioned(spark, path, batch, ["trip_id"], fact.MONTH_COLUMN)
+    return spark.read.parquet(path).groupBy("pickup_month").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.countDistinct("trip_id").alias("distinct_ids"),
+        F.sum("tip_amount").alias("tips"),
+    )
+
+
+@query
+def stream_trips(spark, sf_dir):
+    path, checkpoint = scratch_path(spark, "fact"), scratch_path(spark, "stream")
+    streaming.stream_trips(spark, landed(spark, sf_dir), path, checkpoint).awaitTermination()
+    return spark.read.parquet(path).groupBy("pickup_month").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.count_if("has_data_quality_issue").alias("flagged"),
+        F.sum("total_amount").alias("total_amount"),
+    )
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "training-csv")
+    tables.csv_sink(training(spark, sf_dir, years=10), path)
+    return tables.csv_source(spark, path, schemas.TRAINING)
+
+
+@query
+def json_records(spark, sf_dir):
+    per_zone = facts(spark, sf_dir).groupBy("pickup_location_id", "vendor_id").agg(F.count(F.lit(1)).alias("trips"))
+    return tables.json_records(per_zone)
+
+
+@query
+def zone_source(spark, sf_dir):
+    """Zones written out as one GeoJSON document and read back; at most 263 features by construction."""
+    path = scratch_path(spark, "zones-geojson")
+    properties = F.struct(F.col("location_id").alias("LocationID"), "zone", "borough")
+    feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))
+    nameless = F.array(F.struct(F.lit("Feature").alias("type"), F.struct(
+        F.lit(None).cast("bigint").alias("LocationID"), F.lit("nowhere").alias("zone"), F.lit(None).cast("string").alias("borough")
+    ).alias("properties")))
+    document = zones(spark, sf_dir).agg(F.concat(F.collect_list(feature), nameless).alias("features"))
+    collection = F.struct(F.lit("FeatureCollection").alias("type"), "features")
+    document.select(F.to_json(collection, {"pretty": "true"}).alias("value")).write.text(path)
+    return zone_files.zone_source(spark, path)
+
+
+# --- exchange rates -------------------------------------------------------------------------------------
+
+
+def order_rates(spark, sf_dir):
+    """One rate per order date and 25 quote currencies, in eighths."""
+    quote = F.concat(F.lit("C"), F.lpad((F.col("o_custkey") % 25).cast("string"), 2, "0"))
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.to_date("o_orderdate").alias("feed_date"), quote.alias("quote"))
+        .agg(((F.sum(F.col("o_orderkey") % 1000) + 1) / F.lit(8.0)).cast("decimal(18,6)").alias("rate"))
+    )
+
+
+@query
+def fx_extract(spark, sf_dir):
+    path = scratch_path(spark, "fx-xml")
+    cube = F.struct(F.col("quote").alias("_currency"), F.col("rate").alias("_rate"))
+    days = order_rates(spark, sf_dir).groupBy("feed_date").agg(F.collect_list(cube).alias("Cube"))  # <= 25 each
+    day = F.struct(F.col("feed_date").cast("string").alias("_time"), "Cube")
+    feed = days.select(F.struct(day.alias("Cube")).alias("Cube"))
+    feed.write.format("xml").option("rowTag", "Envelope").option("rootTag", "feeds").save(path)
+    rates = fx.fx_extract(spark, path, row_tag="Envelope")
+    return rates.withColumn("rate", F.col("rate").cast("double"))
+
+
+@query
+def fx_records(spark, sf_dir):
+    record = F.struct(F.lit("EUR").alias("base"), "quote", F.col("rate").cast("string").alias("rate"))
+    days = order_rates(spark, sf_dir).groupBy("feed_date").agg(F.to_json(F.collect_list(record)).alias("records"))
+    return fx.fx_records(days, "records").withColumn("rate", F.col("rate").cast("double"))
+
+
+@query
+def fx_upsert(spark, sf_dir):
+    """Rates before 2000 are stored; a later run brings those since 1998 again, doubled, plus new dates."""
+    rates = order_rates(spark, sf_dir).withColumn("base", F.lit("EUR"))
+    run_date = F.col("feed_date")
+    stored = fx.as_rows(rates.filter(run_date < "2000-01-01"), run_date)
+    arriving = rates.filter(run_date >= "1998-01-01").withColumns({"rate": F.col("rate") * 2, "base": F.lit("USD")})
+    merged = fx.fx_upsert(stored, arriving, run_date)
+    return merged.withColumn("rate", F.col("rate").cast("double"))
