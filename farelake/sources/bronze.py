@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,7 +91,8 @@ def folder_schemas(spark: SparkSession, root: str) -> dict[str, T.StructType]:
     folders = sorted(row.folder for row in bronze_files(spark, root).select("folder").distinct().collect())
     if not folders:
         raise ValueError(f"no Parquet files under {root}")
-    return {folder: spark.read.parquet(folder).schema for folder in folders}
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip(folders, pool.map(lambda folder: spark.read.parquet(folder).schema, folders)))
 
 
 def _common_type(kinds: set[T.DataType]) -> T.DataType:

@@ -321,6 +321,32 @@ def _code_dim(key: str, name: str, labels: dict[int, str], default: str) -> str:
                  f"FROM stg WHERE {key} IS NOT NULL GROUP BY {key}")
 
 
+def _declared_checks():
+    """(table, column, test, severity, SQL counting the failures)."""
+    trip_key = "pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, fare_amount"
+    days = ("SELECT unnest(range(min(pickup_date)::TIMESTAMP, max(pickup_date)::TIMESTAMP + INTERVAL 1 DAY, "
+            "INTERVAL 1 DAY)) AS v FROM fct")
+    keys = (
+        ("dim_vendor", "vendor_id", "SELECT DISTINCT vendor_id AS v FROM stg WHERE vendor_id IS NOT NULL"),
+        ("dim_payment_type", "payment_type_id",
+         "SELECT DISTINCT payment_type_id AS v FROM stg WHERE payment_type_id IS NOT NULL"),
+        ("dim_rate_code", "rate_code_id",
+         "SELECT DISTINCT rate_code_id AS v FROM stg WHERE rate_code_id IS NOT NULL"),
+        ("dim_date", "date_key", days),
+        ("dim_time", "hour_key", "SELECT unnest(range(24)) AS v"),
+    )
+    for table, column, rows in keys:
+        yield table, column, "not_null", "error", f"SELECT count(*) FROM ({rows}) WHERE v IS NULL"
+        yield (table, column, "unique", "error",
+               f"SELECT count(*) FROM (SELECT v FROM ({rows}) GROUP BY v HAVING count(*) > 1)")
+    unknown = " OR ".join(f"{c} IS NULL" for c in trip_key.split(", "))
+    yield "fct_trips", "trip_id", "not_null", "error", f"SELECT count(*) FROM fct WHERE {unknown}"
+    yield ("fct_trips", "trip_id", "unique", "warn",
+           f"SELECT count(*) FROM (SELECT 1 FROM fct GROUP BY {trip_key} HAVING count(*) > 1)")
+    for column in ("pickup_datetime", "dropoff_datetime"):
+        yield "fct_trips", column, "not_null", "error", f"SELECT count(*) FROM fct WHERE {column} IS NULL"
+
+
 def statements() -> dict[str, str]:
     from farelake.functions import fixed
 
@@ -484,21 +510,14 @@ def statements() -> dict[str, str]:
                 for c in ("pickup_datetime", "pickup_location_id", "vendor_id")
             )
         ),
-        "dq_report": (
-            "SELECT t AS table_name, c AS column_name, k AS test_name, 0::BIGINT AS failures, "
-            "if(k = 'unique' AND c = 'trip_id', 'warn', 'error') AS severity, false AS should_warn, "
-            "false AS should_error, true AS passed FROM (VALUES "
-            + ", ".join(
-                f"('{t}', '{c}', '{k}')"
-                for t, c, tests in (
-                    ("dim_vendor", "vendor_id", 2), ("dim_payment_type", "payment_type_id", 2),
-                    ("dim_rate_code", "rate_code_id", 2), ("dim_date", "date_key", 2),
-                    ("dim_time", "hour_key", 2), ("fct_trips", "trip_id", 2),
-                    ("fct_trips", "pickup_datetime", 1), ("fct_trips", "dropoff_datetime", 1),
-                )
-                for k in ("not_null", "unique")[:tests]
+        "dq_report": _over(
+            "SELECT t AS table_name, c AS column_name, k AS test_name, n AS failures, s AS severity, "
+            "n <> 0 AND s = 'warn' AS should_warn, n <> 0 AND s = 'error' AS should_error, n = 0 AS passed FROM ("
+            + " UNION ALL ".join(
+                f"SELECT '{t}' AS t, '{c}' AS c, '{k}' AS k, '{severity}' AS s, ({failures}) AS n"
+                for t, c, k, severity, failures in _declared_checks()
             )
-            + ") AS declared(t, c, k)"
+            + ")"
         ),
         # read layer
         "last_valid_date": _over("SELECT * FROM last", _DAILY, _LAST),
@@ -624,6 +643,22 @@ def statements() -> dict[str, str]:
             "round(forecast * 1.15::DOUBLE, 6) AS upper FROM week WHERE forecast IS NOT NULL",
             _DAILY, _TRAIN_10, _VALIDATED,
         ),
+        "fill_days": _over(
+            "SELECT zone, (last_day - first_day + 1)::BIGINT AS days, trips::DOUBLE AS trips, "
+            "last_day - first_day + 1 - busy AS empty_days FROM (SELECT pickup_location_id AS zone, "
+            "min(pickup_date) AS first_day, max(pickup_date) AS last_day, count(*) AS trips, "
+            "count(DISTINCT pickup_date) AS busy FROM fct GROUP BY 1)"
+        ),
+        "forecast_job": _over(
+            "SELECT kind, count(*) AS days, min(d) AS first, max(d) AS last FROM ("
+            "(SELECT 'history' AS kind, pickup_date AS d FROM daily_read_all ORDER BY d DESC LIMIT 90) UNION ALL "
+            "(SELECT 'validation', ds FROM train ORDER BY ds DESC LIMIT 30) UNION ALL "
+            "(SELECT 'forecast', m + n::INT FROM (SELECT max(ds) AS m FROM train), range(1, 31) AS r(n))) "
+            "GROUP BY kind",
+            _DAILY, _TRAIN_2,
+            f"daily_read_all AS (SELECT * FROM daily WHERE total_trips > {MIN_TRIPS} AND total_revenue > 0 "
+            "AND avg_trip_revenue BETWEEN 5 AND 200)",
+        ),
         # run table
         "recent_runs": _with("SELECT * FROM runs ORDER BY start_time DESC, run_id LIMIT 20", _RUNS),
         "best_run": _with(

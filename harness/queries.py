@@ -12,7 +12,8 @@ from pyspark.sql.window import Window
 from farelake import schemas
 from farelake.functions import fixed, labels, trips
 from farelake.functions.sizing import broadcast_if_small
-from farelake.operators import dims, dq, fact, gold, merge, readlayer, reshape, runs, series, staging
+from farelake.operators import dims, dq, fact, gold, merge, models, readlayer, reshape, runs, series, staging
+from farelake.plans import forecast as forecasting
 from farelake.session import configure, scratch_path
 from farelake.sources import bronze, fx, tables
 from farelake.sources import zones as zone_files
@@ -797,3 +798,58 @@ def fx_upsert(spark, sf_dir):
     arriving = rates.filter(run_date >= "1998-01-01").withColumns({"rate": F.col("rate") * 2, "base": F.lit("USD")})
     merged = fx.fx_upsert(stored, arriving, run_date)
     return merged.withColumn("rate", F.col("rate").cast("double"))
+
+
+# --- forecast models --------------------------------------------------------------------------------------
+
+
+def stored_training(spark, sf_dir):
+    """The two-year training frame, written once: fitting reads it many times."""
+    path = scratch_path(spark, "training")
+    training(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path).select("ds", "y")
+
+
+@query
+def forecast_additive(spark, sf_dir):
+    return models.forecast_additive(stored_training(spark, sf_dir), 30)
+
+
+def zone_series(spark, sf_dir):
+    per_day = facts(spark, sf_dir).groupBy(F.col("pickup_location_id").alias("zone"), F.col("pickup_date").alias("ds"))
+    return series.fill_days(per_day.agg(F.count(F.lit(1)).cast("double").alias("y")), "zone")
+
+
+@query
+def forecast_sarma(spark, sf_dir):
+    return models.forecast_sarma(zone_series(spark, sf_dir), 30, key="zone")
+
+
+@query
+def forecast_holtwinters(spark, sf_dir):
+    return models.forecast_holtwinters(zone_series(spark, sf_dir), 30, key="zone")
+
+
+@query
+def fill_days(spark, sf_dir):
+    return zone_series(spark, sf_dir).groupBy("zone").agg(
+        F.count(F.lit(1)).alias("days"), F.sum("y").alias("trips"), F.count_if(F.col("y") == 0).alias("empty_days")
+    )
+
+
+@query
+def forecast_job(spark, sf_dir):
+    """The whole job for the additive model, read back the way the forecast page does."""
+    root = scratch_path(spark, "forecast")
+    path = scratch_path(spark, "daily")
+    gold_daily(spark, sf_dir).write.parquet(path)
+    stored = spark.read.parquet(path)
+    forecasting.run_forecast(spark, stored, root, "additive", "total_trips", 30, 2, AS_OF)
+    view = readlayer.daily_view(stored, None, days=90, min_trips=MIN_TRIPS)
+    page = forecasting.forecast_page(spark, root, view)
+    return page.groupBy("kind").agg(F.count(F.lit(1)).alias("days"), F.min("date").alias("first"), F.max("date").alias("last"))
+
+
+@query
+def forecast_gbt(spark, sf_dir):
+    return models.forecast_gbt(stored_training(spark, sf_dir), 30)
