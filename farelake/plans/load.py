@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from farelake import schemas
 from farelake.operators import dims, dq
@@ -24,13 +23,6 @@ def read_fact(spark: SparkSession, lake: str) -> DataFrame:
     return spark.read.parquet(fact_path(lake))
 
 
-def _arriving(staged: DataFrame, months: Iterable[tuple[int, int]] | None) -> DataFrame:
-    if months is None:
-        return staged
-    wanted = [f"{year}-{month:02d}" for year, month in months]
-    return staged.filter(F.concat_ws("-", "year", F.lpad(F.col("month").cast("string"), 2, "0")).isin(wanted))
-
-
 def load_fact(
     spark: SparkSession,
     bronze_root: str,
@@ -46,7 +38,7 @@ def load_fact(
     where they were read, sorted by zone, without a shuffle; later ones merge by trip identity.
     """
     path = fact_path(lake)
-    bronze = _arriving(bronze_scan(spark, bronze_root), months if mode == "by_month" else None)
+    bronze = bronze_scan(spark, bronze_root, months if mode == "by_month" else None)
     stored = spark.read.parquet(path) if path_exists(spark, path) else None
     fct = with_month(fct_trips(incremental_filter(stg_trips(bronze), stored, mode)))
     if stored is None and on_duplicate == "error":

@@ -86,11 +86,17 @@ def bronze_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def folder_schemas(spark: SparkSession, root: str) -> dict[str, T.StructType]:
-    """Schema of each folder, from one footer per folder; there is one folder per calendar month."""
-    folders = sorted(row.folder for row in bronze_files(spark, root).select("folder").distinct().collect())
+def folder_schemas(
+    spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
+) -> dict[str, T.StructType]:
+    """Schema of each folder (of `months`), from one footer per folder, one folder per calendar month."""
+    listed = bronze_files(spark, root).select("folder").distinct()
+    if months is not None:
+        endings = [month_folder("", year, month) for year, month in months]
+        listed = listed.filter(F.concat(F.lit("/"), F.regexp_extract("folder", r"year=[^/]+/month=[^/]+$", 0)).isin(endings))
+    folders = sorted(row.folder for row in listed.collect())
     if not folders:
-        raise ValueError(f"no Parquet files under {root}")
+        raise ValueError(f"no Parquet files under {root}" + (" for the given months" if months else ""))
     with ThreadPoolExecutor(8) as pool:
         return dict(zip(folders, pool.map(lambda folder: spark.read.parquet(folder).schema, folders)))
 
@@ -106,14 +112,16 @@ def _common_type(kinds: set[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def bronze_scan(spark: SparkSession, root: str) -> DataFrame:
-    """All raw files as one table, whatever types each month's file used.
+def bronze_scan(
+    spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
+) -> DataFrame:
+    """All raw files (or those of `months`) as one table, whatever types each month's file used.
 
     Folders are read in groups of equal schema (a handful, however many months there are), each group
     cast to the common types, and unioned. Names are matched without regard to case. `year` and
     `month` come from the folder names and prune the scan.
     """
-    schemas = folder_schemas(spark, root)
+    schemas = folder_schemas(spark, root, months)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for folder, schema in schemas.items():
         groups.setdefault(schema.simpleString(), (schema, []))[1].append(folder)
