@@ -54,7 +54,7 @@ def main() -> None:
     pickup = F.col("tpep_pickup_datetime")
     raw = raw_trips(spark, sf_dir).withColumns({"year": F.year(pickup), "month": F.date_format(pickup, "MM")})
     timed("bronze_land", lambda: bronze.bronze_land_months(raw, bronze_root))
-    timed("load_dimensions", lambda: load.load_dimensions(spark, bronze_root, lake))
+    timed("load_dimensions", lambda: load.load_dimensions(spark, bronze.bronze_scan(spark, bronze_root), lake))
     timed("load_fact", lambda: load.load_fact(spark, bronze_root, lake))
     read("dq_report", lambda: load.check_quality(spark, lake).collect())
 

@@ -5,7 +5,9 @@ models run per series in Python workers, all series in parallel; a series is one
 ten years, so a group is bounded however large the fact is. No numeric parity with any
 particular statistics library is claimed.
 
-Every model takes `train` (ds, y) and returns (ds, forecast) for the `horizon` days after it.
+Every model takes `train` (ds, y) and returns (ds, forecast) for the `horizon` days after it, or for `days`
+(ds), the held-out rows of a series. A series may lack days: the date models predict the dates asked for,
+the recursive ones give the k-th step to the k-th row.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from farelake.operators.series import TIME_FEATURES, check_horizon, future_dates, time_features
 
@@ -35,7 +38,13 @@ GBT_COLUMN_SHARE = "0.8"
 GBT_SEED = 42
 
 
-def forecast_gbt(train: DataFrame, horizon: int, trees: int = GBT_TREES) -> DataFrame:
+def _dates(train: DataFrame, horizon: int, days: DataFrame | None) -> DataFrame:
+    return future_dates(train, horizon) if days is None else days.select("ds")
+
+
+def forecast_gbt(
+    train: DataFrame, horizon: int, days: DataFrame | None = None, trees: int = GBT_TREES
+) -> DataFrame:
     """Boosted trees on the date features only: anything measured on the day itself is unknown ahead."""
     assembler = VectorAssembler(inputCols=list(TIME_FEATURES), outputCol="features")
     regressor = GBTRegressor(
@@ -51,7 +60,7 @@ def forecast_gbt(train: DataFrame, horizon: int, trees: int = GBT_TREES) -> Data
     # One row per day: a single partition keeps each of the many short passes to one task.
     known = time_features(train.select("ds", "y")).orderBy("ds").coalesce(1)
     model = Pipeline(stages=[assembler, regressor]).fit(known)
-    return model.transform(time_features(future_dates(train, horizon))).select("ds", "forecast")
+    return model.transform(time_features(_dates(train, horizon, days))).select("ds", "forecast")
 
 
 CHANGEPOINTS = 25
@@ -82,11 +91,13 @@ def additive_features(df: DataFrame, first_day, last_day) -> tuple[DataFrame, li
     return df.withColumns(columns), list(columns)
 
 
-def forecast_additive(train: DataFrame, horizon: int, ridge: float = 0.01) -> DataFrame:
+def forecast_additive(
+    train: DataFrame, horizon: int, days: DataFrame | None = None, ridge: float = 0.01
+) -> DataFrame:
     """Bending trend plus yearly and weekly seasons, fitted by ridge regression in one pass."""
     span = train.agg(F.min("ds").alias("first"), F.max("ds").alias("last")).first()
     known, names = additive_features(train.select("ds", "y"), span["first"], span["last"])
-    ahead, _ = additive_features(future_dates(train, horizon), span["first"], span["last"])
+    ahead, _ = additive_features(_dates(train, horizon, days), span["first"], span["last"])
     assembler = VectorAssembler(inputCols=names, outputCol="features")
     regression = LinearRegression(
         labelCol="y", predictionCol="forecast", regParam=ridge, elasticNetParam=0.0, solver="normal"
@@ -99,11 +110,19 @@ def forecast_additive(train: DataFrame, horizon: int, ridge: float = 0.01) -> Da
 
 
 def _per_series(
-    train: DataFrame, horizon: int, key: str | None, ahead: Callable[[np.ndarray, int], np.ndarray]
+    train: DataFrame,
+    horizon: int,
+    days: DataFrame | None,
+    key: str | None,
+    ahead: Callable[[np.ndarray, int], np.ndarray],
 ) -> DataFrame:
     check_horizon(horizon)
     name = key or "series"
-    rows = train.select((F.col(key) if key else F.lit("all")).alias(name), "ds", F.col("y").cast("double").alias("y"))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn(name, F.col(key) if key else F.lit("all"))
+
+    rows = keyed(train).select(name, "ds", F.col("y").cast("double").alias("y"))
     kind = rows.schema[name].dataType.simpleString()
     # Fitting costs far more than its few bytes of input suggest; a fixed partition count keeps AQE from
     # coalescing all series into one task. The grouping below reuses this partitioning. (A count equal
@@ -114,12 +133,21 @@ def _per_series(
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ds")
-        days = pd.date_range(pd.Timestamp(group["ds"].iloc[-1]) + pd.Timedelta(days=1), periods=horizon)
-        values = ahead(group["y"].to_numpy(dtype=float), horizon)
-        return pd.DataFrame({name: group[name].iloc[0], "ds": days.date, "forecast": values})
-
-    predicted = rows.groupBy(name).applyInPandas(run, f"`{name}` {kind}, ds date, forecast double")
-    return predicted if key else predicted.drop(name)
+        dates = pd.date_range(pd.Timestamp(group["ds"].iloc[-1]) + pd.Timedelta(days=1), periods=horizon)
+        return pd.DataFrame(
+            {
+                name: group[name].iloc[0],
+                "step": np.arange(1, horizon + 1),
+                "ds": dates.date,
+                "forecast": ahead(group["y"].to_numpy(dtype=float), horizon),
+            }
+        )
+
+    predicted = rows.groupBy(name).applyInPandas(run, f"`{name}` {kind}, step int, ds date, forecast double")
+    if days is not None:
+        step = F.row_number().over(Window.partitionBy(name).orderBy("ds"))
+        predicted = keyed(days).select(name, "ds", step.alias("step")).join(predicted.drop("ds"), [name, "step"])
+    return predicted.select(*([key] if key else []), "ds", "forecast")
 
 
 def _week_average(y: np.ndarray, horizon: int) -> np.ndarray:
@@ -165,8 +193,10 @@ def holtwinters_ahead(y: np.ndarray, horizon: int) -> np.ndarray:
     return level[best] + damping * trend[best] + season[weekdays, best]
 
 
-def forecast_holtwinters(train: DataFrame, horizon: int, key: str | None = None) -> DataFrame:
-    return _per_series(train, horizon, key, holtwinters_ahead)
+def forecast_holtwinters(
+    train: DataFrame, horizon: int, days: DataFrame | None = None, key: str | None = None
+) -> DataFrame:
+    return _per_series(train, horizon, days, key, holtwinters_ahead)
 
 
 SARMA_LAGS = (1, 7, 8)
@@ -204,8 +234,10 @@ def sarma_ahead(y: np.ndarray, horizon: int) -> np.ndarray:
     return np.array(series[len(y) :])
 
 
-def forecast_sarma(train: DataFrame, horizon: int, key: str | None = None) -> DataFrame:
-    return _per_series(train, horizon, key, sarma_ahead)
+def forecast_sarma(
+    train: DataFrame, horizon: int, days: DataFrame | None = None, key: str | None = None
+) -> DataFrame:
+    return _per_series(train, horizon, days, key, sarma_ahead)
 
 
 MODELS: dict[str, Callable[..., DataFrame]] = {

@@ -50,7 +50,7 @@ def run_forecast(
         raise ValueError("no training days before the validation days")
 
     fit = MODELS[model_type]
-    validation = series.validation_frame(held_out.drop("is_validation"), fit(train, horizon))
+    validation = series.validation_frame(held_out.drop("is_validation"), fit(train, horizon, held_out))
     validation_path = f"{root}/validation/run_id={run_id}"
     csv_sink(conform(validation, FORECAST_VALIDATION).coalesce(1), validation_path)
     stored = csv_source(spark, validation_path, FORECAST_VALIDATION)

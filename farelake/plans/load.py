@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,16 +50,20 @@ def load_fact(
         )
 
 
-def load_dimensions(spark: SparkSession, bronze_root: str, lake: str) -> None:
-    staged = stg_trips(bronze_scan(spark, bronze_root))
-    for name, table, schema in (
+def load_dimensions(spark: SparkSession, bronze: DataFrame, lake: str) -> None:
+    """Rebuild the five dimensions side by side; each code dimension reads one raw column."""
+    staged = stg_trips(bronze)
+    tables = (
         ("dim_vendor", dims.dim_vendor(staged), schemas.DIM_VENDOR),
         ("dim_payment_type", dims.dim_payment_type(staged), schemas.DIM_PAYMENT_TYPE),
         ("dim_rate_code", dims.dim_rate_code(staged), schemas.DIM_RATE_CODE),
         ("dim_date", dims.dim_date(spark), schemas.DIM_DATE),
         ("dim_time", dims.dim_time(spark), schemas.DIM_TIME),
-    ):
-        replace_table(table, f"{lake}/{name}", schema)
+    )
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = [pool.submit(replace_table, table, f"{lake}/{name}", schema) for name, table, schema in tables]
+        for job in jobs:
+            job.result()
 
 
 def check_quality(spark: SparkSession, lake: str) -> DataFrame:
@@ -68,6 +73,6 @@ def check_quality(spark: SparkSession, lake: str) -> DataFrame:
 
 def load_trips(spark: SparkSession, bronze_root: str, lake: str, **fact_options) -> DataFrame:
     """Dimensions, fact, checks; raises if a check of severity `error` fails."""
-    load_dimensions(spark, bronze_root, lake)
+    load_dimensions(spark, bronze_scan(spark, bronze_root), lake)
     load_fact(spark, bronze_root, lake, **fact_options)
     return dq.require_passing(check_quality(spark, lake))

@@ -86,21 +86,38 @@ def bronze_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def folder_schemas(
-    spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
-) -> dict[str, T.StructType]:
-    """Schema of each folder (of `months`), from one footer per folder, one folder per calendar month."""
+def _folders(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None) -> list[str]:
+    """Folders holding files, one per calendar month; an error if there is none."""
     listed = bronze_files(spark, root).select("folder").distinct()
     if months is not None:
         endings = [month_folder("", year, month) for year, month in months]
-        listed = listed.filter(F.concat(F.lit("/"), F.regexp_extract("folder", r"year=[^/]+/month=[^/]+$", 0)).isin(endings))
+        name = F.concat(F.lit("/"), F.regexp_extract("folder", r"year=[^/]+/month=[^/]+$", 0))
+        listed = listed.filter(name.isin(endings))
     folders = sorted(row.folder for row in listed.collect())
     if not folders:
         raise ValueError(f"no Parquet files under {root}" + (" for the given months" if months else ""))
+    return folders
+
+
+def folder_schemas(
+    spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
+) -> dict[str, T.StructType]:
+    """Schema of each month's folder, from one footer per folder."""
+    folders = _folders(spark, root, months)
     with ThreadPoolExecutor(8) as pool:
         return dict(zip(folders, pool.map(lambda folder: spark.read.parquet(folder).schema, folders)))
 
 
+def _agreeing(spark: SparkSession, root: str, folders: list[str]) -> DataFrame | None:
+    """The files as one relation, or None if their column types disagree. Footers are read by one job."""
+    try:
+        return spark.read.option("mergeSchema", True).option("basePath", root).parquet(*folders)
+    except Exception as error:  # surfaces as a bare JVM error, not as a Spark error class
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        return None
+
+
 def _common_type(kinds: set[T.DataType]) -> T.DataType:
     if len(kinds) == 1:
         return next(iter(kinds))
@@ -117,10 +134,13 @@ def bronze_scan(
 ) -> DataFrame:
     """All raw files (or those of `months`) as one table, whatever types each month's file used.
 
-    Folders are read in groups of equal schema (a handful, however many months there are), each group
-    cast to the common types, and unioned. Names are matched without regard to case. `year` and
-    `month` come from the folder names and prune the scan.
+    Files that agree are one plain scan. Otherwise folders are read in groups of equal schema (a
+    handful, however many months there are), each group cast to the common types, and unioned. Names are
+    matched without regard to case. `year` and `month` come from the folder names and prune the scan.
     """
+    agreed = _agreeing(spark, root, _folders(spark, root, months))
+    if agreed is not None:
+        return agreed
     schemas = folder_schemas(spark, root, months)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for folder, schema in schemas.items():

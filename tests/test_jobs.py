@@ -125,6 +125,15 @@ def test_recursive_models_follow_each_series(spark, name):
     assert short.count() == 7
 
 
+@pytest.mark.parametrize("name", ["additive", "sarma", "holtwinters"])
+def test_held_out_days_with_gaps_are_all_predicted(spark, name):
+    gappy = synthetic(spark).filter("day(ds) != 13").select("ds", "y")
+    tagged = series.holdout_split(gappy, 60)
+    train, held_out = tagged.filter("NOT is_validation"), tagged.filter("is_validation")
+    predicted = models.MODELS[name](train, 60, held_out)
+    assert series.validation_frame(held_out, predicted).count() == 60
+
+
 def test_forecast_job(spark, lake, tmp_path):
     root = str(tmp_path / "forecasts")
     daily = gold_plan.read_gold(spark, lake[1])["daily_summary"]
