@@ -198,7 +198,7 @@ def bronze_validate(
     return (
         bronze_files(spark, root)
         .join(counts, "uri", "left")
-        .join(F.broadcast(widths), "folder")  # one row per calendar month
+        .join(widths, "folder")
         .select(
             part("folder", r"year=(\d+)", 1).cast("bigint").alias("year"),
             part("folder", r"month=(\d+)", 1).cast("bigint").alias("month"),

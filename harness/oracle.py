@@ -436,6 +436,9 @@ def statements() -> dict[str, str]:
         ),
         # stored tables
         "replace_table": _over("SELECT * FROM vendor WHERE vendor_name <> 'Unknown'", _VENDOR),
+        "staging_view": _over(
+            "SELECT payment_type_id, count(*) AS trips, sum(tip_amount) AS tips FROM stg GROUP BY 1"
+        ),
         "partition_cluster": _over(
             "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, pickup_location_id, "
             "count(*) AS trips, sum(total_amount) AS total_amount FROM fct "
@@ -455,7 +458,7 @@ def statements() -> dict[str, str]:
             "count(*) FILTER (has_data_quality_issue) AS flagged, sum(total_amount) AS total_amount "
             "FROM fct GROUP BY 1"
         ),
-        "csv_roundtrip": _over("SELECT * FROM train", _DAILY, _TRAIN_10),
+        "csv_source": _over("SELECT * FROM train", _DAILY, _TRAIN_10),
         "json_records": _over(
             "SELECT '{\"pickup_location_id\":' || pickup_location_id || ',\"vendor_id\":' "
             "|| coalesce(vendor_id::VARCHAR, 'null') || ',\"trips\":' || count(*) || '}' AS record "
@@ -624,6 +627,15 @@ def statements() -> dict[str, str]:
             "greatest(abs(y_true), 2.220446049250313e-16)) * 100, 6) AS mape FROM validated",
             _DAILY, _TRAIN_10, _VALIDATED,
         ),
+        "log_run": _over(
+            "SELECT '0123456789abcdef' AS run_id, 'last_week_total_trips_trained_until_' || "
+            "strftime(max(ds), '%Y%m%d') AS run_name, 'FINISHED' AS status, 'last_week' AS model_type, "
+            "'total_trips' AS target_metric, count(*)::VARCHAR AS forecast_horizon, "
+            "round(avg(abs(y_true - y_pred)), 6) AS mae, round(sqrt(avg((y_true - y_pred) ** 2)), 6) AS rmse, "
+            "round(avg(abs(y_true - y_pred) / greatest(abs(y_true), 2.220446049250313e-16)) * 100, 6) AS mape "
+            "FROM validated",
+            _DAILY, _TRAIN_10, _VALIDATED,
+        ),
         "accuracy_points": _over(
             "SELECT y_true, y_pred, (SELECT min(least(y_true, y_pred)) FROM validated) AS diagonal_min, "
             "(SELECT max(greatest(y_true, y_pred)) FROM validated) AS diagonal_max FROM validated",

@@ -506,6 +506,23 @@ def forecast_metrics(spark, sf_dir):
     return rounded(series.forecast_metrics(validated(spark, sf_dir)), "mae", "rmse", "mape")
 
 
+@query
+def log_run(spark, sf_dir):
+    """The last-week forecast logged as a run and read back from the run table."""
+    path = scratch_path(spark, "ml-runs")
+    stored = scratch_path(spark, "validation")
+    validated(spark, sf_dir).write.parquet(stored)
+    validation = spark.read.parquet(stored)
+    scores = series.forecast_metrics(validation).first()
+    span = validation.agg(F.min("ds").alias("first"), F.max("ds").alias("last"), F.count("ds").alias("days")).first()
+    runs.log_run(
+        spark, path, "0123456789abcdef", runs.run_name("last_week", "total_trips", span["last"]), "FINISHED",
+        dt.datetime(2001, 7, 1), {"model_type": "last_week", "target_metric": "total_trips",
+        "forecast_horizon_days": span["days"]}, scores.asDict(),
+    )
+    return rounded(runs.recent_runs(spark.read.parquet(path)).drop("start_time"), "mae", "rmse", "mape")
+
+
 @query
 def accuracy_points(spark, sf_dir):
     return reshape.accuracy_points(validated(spark, sf_dir))
@@ -684,6 +701,14 @@ def replace_table(spark, sf_dir):
     return tables.replace_table(stored.filter(F.col("vendor_name") != "Unknown"), path, schemas.VENDOR_COMPARISON)
 
 
+@query
+def staging_view(spark, sf_dir):
+    tables.replace_view(staged(spark, sf_dir), "stg_trips")
+    return spark.sql(
+        "SELECT payment_type_id, count(*) AS trips, sum(tip_amount) AS tips FROM stg_trips GROUP BY payment_type_id"
+    )
+
+
 @query
 def partition_cluster(spark, sf_dir):
     path = scratch_path(spark, "fact")
@@ -730,7 +755,7 @@ def stream_trips(spark, sf_dir):
 
 
 @query
-def csv_roundtrip(spark, sf_dir):
+def csv_source(spark, sf_dir):
     path = scratch_path(spark, "training-csv")
     tables.csv_sink(training(spark, sf_dir, years=10), path)
     return tables.csv_source(spark, path, schemas.TRAINING)

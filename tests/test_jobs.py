@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake.operators import gold, models, series
-from farelake.operators.fact import fct_trips
+from farelake.operators.fact import fct_trips, incremental_filter
 from farelake.operators.staging import stg_trips
 from farelake.plans import dashboard, forecast, load
 from farelake.plans import gold as gold_plan
@@ -193,6 +193,12 @@ def test_fact_needs_no_shuffle_and_pushes_its_filter(spark, lake):
     assert "GreaterThanOrEqual(trip_distance,0.0)" in plan and "GreaterThanOrEqual(fare_amount,0.0)" in plan
 
 
+def test_watermark_reaches_the_raw_scan(spark, lake):
+    staged = stg_trips(bronze.bronze_scan(spark, lake[0]))
+    plan = explained(incremental_filter(staged, load.read_fact(spark, lake[1])))
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(tpep_pickup_datetime,", plan)
+
+
 def test_month_filter_prunes_partitions(spark, lake):
     plan = explained(load.read_fact(spark, lake[1]).filter("pickup_month = date'1996-01-01'"))
     assert re.search(r"PartitionFilters: \[.*pickup_month", plan)
