@@ -8,6 +8,7 @@ running session; loads and writes are run once.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import sys
@@ -71,6 +72,7 @@ def main() -> None:
         readlayer.last_valid_date(spark.read.parquet(f"{lake}/gold/daily_summary")))))
     read("dashboard", lambda: [frame.collect() for frame in dashboard(spark, lake).values()])
     timed("merge_one_month", lambda: load.load_fact(spark, bronze_root, lake, mode="by_month", months=[(1998, 5)]))
+    timed("refresh_gold_one_month", lambda: gold_plan.build_gold(spark, lake, months=[dt.date(1998, 5, 1)]))
     timed("incremental_load", lambda: load.load_fact(spark, bronze_root, lake))
 
     print(json.dumps({

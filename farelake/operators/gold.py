@@ -31,6 +31,41 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.round(part * F.lit(100.0) / whole, 2)
 
 
+# --- rollups -------------------------------------------------------------------------------------
+
+#: rollup column -> trip column; each is kept as sum and count of known values, so any coarser mean
+#: is exact.
+_ROLLUP_MEASURES = {
+    "distance": "trip_distance_miles",
+    "duration": "trip_duration_minutes",
+    "amount": "total_amount",
+    "fare": "fare_amount",
+    "tip": "tip_amount",
+    "speed": "avg_speed_mph",
+    "passengers": "passenger_count",
+}
+
+
+def clean_rollup(fct: DataFrame, *keys: str) -> DataFrame:
+    """Sums and counts of clean trips per pickup date and `keys`.
+
+    All tables but the daily one are finished from a rollup: on the fly, where unused measures are
+    pruned away, or from stored rollups, of which a reload has to renew only the months it touched.
+    """
+    aggregates = [F.count(F.lit(1)).alias("trips")]
+    for name, column in _ROLLUP_MEASURES.items():
+        aggregates += [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
+    aggregates += [F.sum(_tip_share()).alias("tip_pct_sum"), F.count(_tip_share()).alias("tip_pct_n")]
+    return clean_trips(fct).groupBy("pickup_date", *keys).agg(*aggregates)
+
+
+ROLLUP_KEYS = ("vendor_id", "payment_type_id")
+
+
+def _mean(name: str) -> Column:
+    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+
+
 # --- per day --------------------------------------------------------------------------------------
 
 
@@ -99,20 +134,22 @@ def daily_summary(fct: DataFrame) -> DataFrame:
 # --- per hour and weekday, zone, distance band ------------------------------------------------------
 
 
-def hourly_patterns(fct: DataFrame) -> DataFrame:
+def hour_rollup(fct: DataFrame) -> DataFrame:
+    return clean_rollup(fct, "pickup_hour")
+
+
+def hourly_patterns_from(rollup: DataFrame) -> DataFrame:
     """At most 168 rows: pickup hour by weekday."""
     dow = F.col("pickup_day_of_week")
-    grouped = (
-        clean_trips(fct)
-        .groupBy("pickup_hour", "pickup_day_of_week")
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            F.avg("trip_distance_miles").alias("avg_distance"),
-            F.avg("trip_duration_minutes").alias("avg_duration"),
-            F.avg("total_amount").alias("avg_fare"),
-            F.avg("tip_amount").alias("avg_tip"),
-            F.avg("avg_speed_mph").alias("avg_speed"),
-        )
+    grouped = rollup.groupBy(
+        "pickup_hour", calendar.day_of_week(F.col("pickup_date")).alias("pickup_day_of_week")
+    ).agg(
+        F.sum("trips").alias("total_trips"),
+        _mean("distance").alias("avg_distance"),
+        _mean("duration").alias("avg_duration"),
+        _mean("amount").alias("avg_fare"),
+        _mean("tip").alias("avg_tip"),
+        _mean("speed").alias("avg_speed"),
     )
     return grouped.select(
         "pickup_hour",
@@ -128,14 +165,18 @@ def hourly_patterns(fct: DataFrame) -> DataFrame:
     )
 
 
-def location_stats(fct: DataFrame) -> DataFrame:
-    """Per zone: trips by end, totals over both ends and a popularity rank.
+def hourly_patterns(fct: DataFrame) -> DataFrame:
+    return hourly_patterns_from(hour_rollup(fct))
 
-    One pass over the fact: each clean trip yields a pickup and a dropoff row inside the
-    map task and both are combined there, so the shuffle carries two rows per zone and task. A trip
-    counts once per end in the totals, and `avg_fare` is the plain mean of the two ends' means.
+
+def zone_rollup(fct: DataFrame, *keys: str) -> DataFrame:
+    """Trips and revenue per end and zone (and `keys`), from one pass over the fact.
+
+    Each clean trip yields a pickup and a dropoff row inside the map task and both are combined there, so
+    the shuffle carries two rows per zone and task.
     """
     ends = clean_trips(fct).select(
+        *keys,
         "total_amount",
         F.explode(
             F.array(
@@ -144,10 +185,20 @@ def location_stats(fct: DataFrame) -> DataFrame:
             )
         ).alias("trip_end"),
     )
-    per_end = ends.groupBy("trip_end.is_pickup", "trip_end.location_id").agg(
+    return ends.groupBy(*keys, "trip_end.is_pickup", "trip_end.location_id").agg(
         F.count(F.lit(1)).alias("trips"),
-        F.sum("total_amount").alias("revenue"),
-        F.avg("total_amount").alias("mean_fare"),
+        F.sum("total_amount").alias("amount_sum"),
+        F.count("total_amount").alias("amount_n"),
+    )
+
+
+def location_stats_from(rollup: DataFrame) -> DataFrame:
+    """Per zone: trips by end, totals over both ends and a popularity rank.
+
+    A trip counts once per end in the totals; `avg_fare` is the plain mean of the two ends' means.
+    """
+    per_end = rollup.groupBy("is_pickup", "location_id").agg(
+        F.sum("trips").alias("trips"), F.sum("amount_sum").alias("revenue"), _mean("amount").alias("mean_fare")
     )
     per_zone = per_end.groupBy("location_id").agg(
         F.sum(F.when(F.col("is_pickup"), F.col("trips")).otherwise(0)).alias("pickup_trips"),
@@ -160,20 +211,25 @@ def location_stats(fct: DataFrame) -> DataFrame:
     return per_zone.withColumn("popularity_rank", F.rank().over(busiest_first).cast("bigint"))
 
 
-def trip_distance_distribution(fct: DataFrame) -> DataFrame:
-    """Six distance bands with their share of all clean trips."""
+def location_stats(fct: DataFrame) -> DataFrame:
+    return location_stats_from(zone_rollup(fct))
+
+
+def band_rollup(fct: DataFrame) -> DataFrame:
     distance = F.col("trip_distance_miles")
-    grouped = (
-        clean_trips(fct)
-        .filter(distance >= 0)
-        .groupBy(labels.bucket_order(distance).alias("bucket_order"))
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
-            F.avg("total_amount").alias("avg_fare"),
-            F.avg("tip_amount").alias("avg_tip"),
-            F.sum("total_amount").alias("total_revenue"),
-        )
+    return clean_rollup(
+        fct.filter(distance >= 0).withColumn("bucket_order", labels.bucket_order(distance)), "bucket_order"
+    )
+
+
+def trip_distance_distribution_from(rollup: DataFrame) -> DataFrame:
+    """Six distance bands with their share of all clean trips."""
+    grouped = rollup.groupBy("bucket_order").agg(
+        F.sum("trips").alias("trip_count"),
+        _mean("duration").alias("avg_duration_minutes"),
+        _mean("amount").alias("avg_fare"),
+        _mean("tip").alias("avg_tip"),
+        F.sum("amount_sum").alias("total_revenue"),
     )
     all_bands = Window.partitionBy()
     names = [label for label, _ in fixed.DISTANCE_BANDS] + [fixed.DISTANCE_BAND_LAST]
@@ -189,41 +245,11 @@ def trip_distance_distribution(fct: DataFrame) -> DataFrame:
     )
 
 
-# --- monthly and yearly tables, all from one daily rollup --------------------------------------------
-
-#: rollup column -> trip column; each is kept as sum and count of known values, so any coarser mean
-#: is exact.
-_ROLLUP_MEASURES = {
-    "distance": "trip_distance_miles",
-    "duration": "trip_duration_minutes",
-    "amount": "total_amount",
-    "fare": "fare_amount",
-    "tip": "tip_amount",
-    "speed": "avg_speed_mph",
-    "passengers": "passenger_count",
-}
-
-
-def clean_rollup(fct: DataFrame, *keys: str) -> DataFrame:
-    """Sums and counts of clean trips per pickup date and `keys`.
-
-    The monthly and yearly tables are finished from this, either one at a time (unused measures are
-    pruned away) or all four from one stored rollup by date, vendor and payment type, which turns
-    four scans of the fact into one.
-    """
-    aggregates = [F.count(F.lit(1)).alias("trips")]
-    for name, column in _ROLLUP_MEASURES.items():
-        aggregates += [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
-    aggregates += [F.sum(_tip_share()).alias("tip_pct_sum"), F.count(_tip_share()).alias("tip_pct_n")]
-    return clean_trips(fct).groupBy("pickup_date", *keys).agg(*aggregates)
-
-
-ROLLUP_KEYS = ("vendor_id", "payment_type_id")
-
+def trip_distance_distribution(fct: DataFrame) -> DataFrame:
+    return trip_distance_distribution_from(band_rollup(fct))
 
-def _mean(name: str) -> Column:
-    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
 
+# --- monthly and yearly tables, all from one rollup by date, vendor and payment type -------------------
 
 def _month_columns() -> list[Column]:
     first = F.col("month_start")

@@ -92,20 +92,23 @@ def merge_partitioned(
     cluster_by: Sequence[str] = CLUSTER_COLUMNS,
     on_duplicate: str = "error",
     newest: Sequence[str] = (),
-) -> None:
+) -> list | None:
     """Upsert `source` into the table at `path`, rewriting only the partitions it touches.
 
+    Returns the touched partition values, or None if the table was created.
+
     Exact whenever equal keys always lie in one partition, as they do here: the trip key contains the
     pickup time and the rate key the date. Untouched partitions are neither read nor written.
     """
     if not path_exists(spark, path):
         first = resolve_duplicates(None, source, keys, on_duplicate, newest)
         write_clustered(first, path, partition, cluster_by)
-        return
+        return None
     touched = [row[0] for row in source.select(partition).distinct().collect()]  # months or days
     if not touched:
-        return
+        return touched
     stored = spark.read.schema(source.schema).parquet(path)
     target = stored.filter(F.col(partition).isin(touched))
     rows = resolve_duplicates(target, source, keys, on_duplicate, newest)
     write_clustered(upsert(target, rows, keys), path, partition, cluster_by)
+    return touched

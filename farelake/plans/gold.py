@@ -1,60 +1,81 @@
-"""Rebuilding the gold tables from the stored fact."""
+"""Building the gold tables from the stored fact."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelake import schemas
 from farelake.operators import gold
+from farelake.operators.fact import MONTH_COLUMN
 from farelake.plans.load import read_fact
-from farelake.sources.tables import replace_table
+from farelake.sources.tables import replace_table, write_clustered
 
-ROLLUP = "clean_rollup"
+Maker = Callable[[DataFrame], DataFrame]
 
-#: Tables that need their own pass over the fact.
-FROM_FACT: dict[str, tuple[Callable[[DataFrame], DataFrame], object]] = {
-    "daily_summary": (gold.daily_summary, schemas.DAILY_SUMMARY),
-    "hourly_patterns": (gold.hourly_patterns, schemas.HOURLY_PATTERNS),
-    "location_stats": (gold.location_stats, schemas.LOCATION_STATS),
-    "trip_distance_distribution": (gold.trip_distance_distribution, schemas.TRIP_DISTANCE_DISTRIBUTION),
+#: Rollups of the fact, stored by month: each one pass over a few columns.
+ROLLUPS: dict[str, Maker] = {
+    "by_day": gold.daily_summary,
+    "by_vendor_payment": lambda fct: gold.clean_rollup(fct, *gold.ROLLUP_KEYS),
+    "by_hour": gold.hour_rollup,
+    "by_zone": lambda fct: gold.zone_rollup(fct, MONTH_COLUMN),
+    "by_band": gold.band_rollup,
 }
 
-#: Tables finished from the stored daily rollup.
-FROM_ROLLUP: dict[str, tuple[Callable[[DataFrame], DataFrame], object]] = {
-    "monthly_trends": (gold.monthly_trends_from, schemas.MONTHLY_TRENDS),
-    "payment_analysis": (gold.payment_analysis_from, schemas.PAYMENT_ANALYSIS),
-    "vendor_comparison": (gold.vendor_comparison_from, schemas.VENDOR_COMPARISON),
-    "year_over_year": (gold.year_over_year_from, schemas.YEAR_OVER_YEAR),
+#: Gold table -> the rollup it is finished from, how, and its contract.
+FINISHED: dict[str, tuple[str, Maker, T.StructType]] = {
+    "daily_summary": ("by_day", lambda days: days.drop(MONTH_COLUMN), schemas.DAILY_SUMMARY),
+    "hourly_patterns": ("by_hour", gold.hourly_patterns_from, schemas.HOURLY_PATTERNS),
+    "monthly_trends": ("by_vendor_payment", gold.monthly_trends_from, schemas.MONTHLY_TRENDS),
+    "location_stats": ("by_zone", gold.location_stats_from, schemas.LOCATION_STATS),
+    "payment_analysis": ("by_vendor_payment", gold.payment_analysis_from, schemas.PAYMENT_ANALYSIS),
+    "trip_distance_distribution": (
+        "by_band", gold.trip_distance_distribution_from, schemas.TRIP_DISTANCE_DISTRIBUTION,
+    ),
+    "vendor_comparison": ("by_vendor_payment", gold.vendor_comparison_from, schemas.VENDOR_COMPARISON),
+    "year_over_year": ("by_vendor_payment", gold.year_over_year_from, schemas.YEAR_OVER_YEAR),
 }
 
-TABLES = (*FROM_FACT, *FROM_ROLLUP)
+TABLES = tuple(FINISHED)
 
 
-def build_gold(spark: SparkSession, lake: str, parallel: int = 4) -> None:
+def _rollup_path(lake: str, name: str) -> str:
+    return f"{lake}/rollups/{name}"
+
+
+def build_gold(
+    spark: SparkSession, lake: str, months: Iterable[dt.date] | None = None, parallel: int = 4
+) -> None:
     """Replace the eight tables under `lake`/gold.
 
-    Five passes over pruned columns of the fact instead of nine: four tables share one rollup by date,
-    vendor and payment type, a few thousand rows a year. Independent writes are submitted side by side,
-    so the tail of one job leaves no executor idle.
+    Five passes over pruned columns of the fact fill monthly rollups; the tables are finished from those
+    and never touch the fact. Given the `months` a load changed, only their partitions of the fact are
+    read: a daily refresh costs a month, not the history. Independent jobs are submitted side by
+    side, so the tail of one leaves no executor idle.
     """
     fct = read_fact(spark, lake)
+    if months is not None:
+        fct = fct.filter(F.col(MONTH_COLUMN).isin(list(months)))
 
-    def build(name: str, maker: Callable[[DataFrame], DataFrame], schema, source: DataFrame) -> None:
-        replace_table(maker(source), f"{lake}/gold/{name}", schema)
+    def roll_up(name: str) -> None:
+        rollup = ROLLUPS[name](fct)
+        if MONTH_COLUMN not in rollup.columns:
+            rollup = rollup.withColumn(MONTH_COLUMN, F.trunc("pickup_date", "MM"))
+        write_clustered(rollup, _rollup_path(lake, name), cluster_by=())
 
-    def rollup_and_tables() -> None:
-        rollup = replace_table(gold.clean_rollup(fct, *gold.ROLLUP_KEYS), f"{lake}/{ROLLUP}")
-        for name, (maker, schema) in FROM_ROLLUP.items():
-            build(name, maker, schema, rollup)
+    def finish(name: str) -> None:
+        source, maker, schema = FINISHED[name]
+        replace_table(maker(spark.read.parquet(_rollup_path(lake, source))), f"{lake}/gold/{name}", schema)
 
     with ThreadPoolExecutor(parallel) as pool:
-        jobs = [pool.submit(rollup_and_tables)]
-        jobs += [pool.submit(build, name, maker, schema, fct) for name, (maker, schema) in FROM_FACT.items()]
-        for job in jobs:
-            job.result()
+        for step, names in ((roll_up, ROLLUPS), (finish, FINISHED)):
+            for job in [pool.submit(step, name) for name in names]:
+                job.result()
 
 
 def read_gold(spark: SparkSession, lake: str) -> dict[str, DataFrame]:

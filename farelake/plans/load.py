@@ -31,8 +31,8 @@ def load_fact(
     mode: str = "watermark",
     months: Iterable[tuple[int, int]] | None = None,
     on_duplicate: str = "error",
-) -> None:
-    """Bring the fact up to date.
+) -> list | None:
+    """Bring the fact up to date; returns the months that changed, or None for a first load.
 
     `watermark` looks at trips from the latest stored pickup on. `by_month` takes the files of `months`
     (all, if None) whatever is stored, so late months load. The first load writes each file's rows
@@ -44,10 +44,10 @@ def load_fact(
     fct = with_month(fct_trips(incremental_filter(stg_trips(bronze), stored, mode)))
     if stored is None and on_duplicate == "error":
         write_clustered(fct, path, rebalance=False)
-    else:
-        merge_partitioned(
-            spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"]
-        )
+        return None
+    return merge_partitioned(
+        spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"]
+    )
 
 
 def load_dimensions(spark: SparkSession, bronze: DataFrame, lake: str) -> None:

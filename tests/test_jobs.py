@@ -57,6 +57,21 @@ def test_stored_gold_equals_direct(spark, lake, direct, name):
     assert same(getattr(gold, name)(direct), gold_plan.read_gold(spark, lake[1])[name])
 
 
+def test_refresh_of_changed_months_equals_a_full_build(spark, tmp_path):
+    bronze_root, path = str(tmp_path / "bronze"), str(tmp_path / "lake")
+    months = raw_by_month(spark)
+    bronze.bronze_land_months(months.filter("year < 2000"), bronze_root)
+    assert load.load_fact(spark, bronze_root, path) is None
+    gold_plan.build_gold(spark, path)
+    bronze.bronze_land_months(months.filter("year = 2000 AND month <= '02'"), bronze_root)
+    changed = load.load_fact(spark, bronze_root, path, mode="by_month", months=[(1999, 12), (2000, 1), (2000, 2)])
+    assert sorted(changed) == [dt.date(1999, 12, 1), dt.date(2000, 1, 1), dt.date(2000, 2, 1)]
+    gold_plan.build_gold(spark, path, months=changed)
+    fct = load.read_fact(spark, path)
+    for name, stored in gold_plan.read_gold(spark, path).items():
+        assert same(getattr(gold, name)(fct), stored), name
+
+
 def test_gold_properties(spark, lake):
     fct, g = load.read_fact(spark, lake[1]), gold_plan.read_gold(spark, lake[1])
     clean = gold.clean_trips(fct).count()
@@ -176,7 +191,7 @@ def test_gold_scans_read_only_their_columns(spark, lake):
     plan = explained(gold.hourly_patterns(load.read_fact(spark, lake[1])))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert set(c.split(":")[0] for c in schema.split(",")) == {
-        "pickup_hour", "pickup_day_of_week", "trip_distance_miles", "trip_duration_minutes",
+        "pickup_hour", "pickup_date", "trip_distance_miles", "trip_duration_minutes",
         "avg_speed_mph", "tip_amount", "total_amount", "has_data_quality_issue",
     }
     assert "EqualTo(has_data_quality_issue,false)" in plan or "Not(EqualTo(has_data_quality_issue,true))" in plan
