@@ -49,7 +49,7 @@ def _rollup_path(lake: str, name: str) -> str:
 
 
 def build_gold(
-    spark: SparkSession, lake: str, months: Iterable[dt.date] | None = None, parallel: int = 4
+    spark: SparkSession, lake: str, months: Iterable[dt.date] | None = None, parallel: int = 8
 ) -> None:
     """Replace the eight tables under `lake`/gold.
 
@@ -62,20 +62,20 @@ def build_gold(
     if months is not None:
         fct = fct.filter(F.col(MONTH_COLUMN).isin(list(months)))
 
-    def roll_up(name: str) -> None:
+    def roll_up(name: str) -> DataFrame:
         rollup = ROLLUPS[name](fct)
         if MONTH_COLUMN not in rollup.columns:
             rollup = rollup.withColumn(MONTH_COLUMN, F.trunc("pickup_date", "MM"))
         write_clustered(rollup, _rollup_path(lake, name), cluster_by=())
+        return spark.read.schema(rollup.schema).parquet(_rollup_path(lake, name))
 
     def finish(name: str) -> None:
         source, maker, schema = FINISHED[name]
-        replace_table(maker(spark.read.parquet(_rollup_path(lake, source))), f"{lake}/gold/{name}", schema)
+        replace_table(maker(stored[source]), f"{lake}/gold/{name}", schema)
 
     with ThreadPoolExecutor(parallel) as pool:
-        for step, names in ((roll_up, ROLLUPS), (finish, FINISHED)):
-            for job in [pool.submit(step, name) for name in names]:
-                job.result()
+        stored = dict(zip(ROLLUPS, pool.map(roll_up, ROLLUPS)))
+        list(pool.map(finish, FINISHED))
 
 
 def read_gold(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
