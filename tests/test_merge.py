@@ -101,3 +101,39 @@ def test_hot_duplicate_key_is_combined_before_the_shuffle(spark):
     source = fact_rows(spark, {})
     plan = merge.keep_one(source, KEYS, ["_loaded_at"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+def test_a_heavy_month_is_written_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        month = F.when(F.col("id") % 10 < 9, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("date")
+        rows = spark.range(0, 200_000, 1, 8).select(
+            month.alias(MONTH_COLUMN),
+            (F.xxhash64("id") % 263).alias("pickup_location_id"),
+            F.xxhash64("id", F.lit(1)).alias("dropoff_location_id"),
+        )
+        write_clustered(rows, str(tmp_path / "fact"))
+    finally:
+        spark.conf.set(size, before)
+    heavy = glob.glob(f"{tmp_path}/fact/{MONTH_COLUMN}=2024-01-01/*.parquet")
+    assert len(heavy) >= 4
+    counts = [spark.read.parquet(name).count() for name in heavy]
+    assert sum(counts) == 180_000 and max(counts) < 90_000
+
+
+def test_hot_zone_counts_like_brute_force(spark):
+    from collections import Counter
+
+    from farelake.operators import gold
+
+    pairs = [(7, 7)] * 40 + [(7, z) for z in range(20)] + [(z, 9) for z in range(20)]
+    rows = fact_rows(spark, *[{"pickup_location_id": a, "dropoff_location_id": b} for a, b in pairs])
+    picked, dropped = Counter(a for a, _ in pairs), Counter(b for _, b in pairs)
+    found = {r.location_id: (r.pickup_trips, r.dropoff_trips, r.popularity_rank) for r in gold.location_stats(rows).collect()}
+    totals = {z: picked[z] + dropped[z] for z in picked | dropped}
+    want = {z: (picked[z], dropped[z], 1 + sum(t > totals[z] for t in totals.values())) for z in totals}
+    assert found == want
