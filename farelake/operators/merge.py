@@ -47,10 +47,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     """`target` with the rows of `source` put in: an anti join and a union.
 
     Rows with a NULL key match nothing; they go around the join instead of meeting in one of its
-    partitions.
+    partitions. Source keys are made distinct first, which combines the copies of a repeated key on the
+    map side; AQE can split a hot key on the target's side of the join, but not on this one.
     """
     columns = target.columns
-    stay = target.filter(_known(keys)).join(source.filter(_known(keys)).select(*keys), list(keys), "left_anti")
+    arriving = source.filter(_known(keys)).select(*keys).distinct()
+    stay = target.filter(_known(keys)).join(arriving, list(keys), "left_anti")
     unmatched = target.filter(~_known(keys))
     return stay.select(*columns).unionByName(unmatched).unionByName(source.select(*columns))
 
@@ -76,7 +78,7 @@ def resolve_duplicates(
     if on_duplicate == "error":
         if target is None:
             return source
-        repeated = repeated.join(target.select(*keys), list(keys), "left_semi")
+        repeated = repeated.join(target.filter(_known(keys)).select(*keys).distinct(), list(keys), "left_semi")
     examples = repeated.limit(5).collect()
     if examples:
         raise ValueError(f"several source rows for one key, for example {[tuple(e) for e in examples]}")
