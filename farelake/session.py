@@ -6,8 +6,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import farelake
+
 #: Runtime settings every job relies on. All are plain SQL confs, so they can be set on a running session.
 RUNTIME_CONF = {
     # Trip times carry no zone; a UTC session keeps zone-less and zoned arithmetic identical.
@@ -28,8 +31,14 @@ RUNTIME_CONF = {
 }
 
 
+def ship() -> None:
+    """Send this package's functions to Python workers by value, so that executors needn't have it installed."""
+    cloudpickle.register_pickle_by_value(farelake)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (a cluster's own session, for example)."""
+    ship()
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -62,10 +71,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder path for an intermediate table.
 
     It lies under the shared folder the cluster names in ``spark.checkpoint.dir``, so that every
-    executor can read it and it outlives any of them. Only where that is unset (local tests) is a
-    machine-local folder made.
+    executor can read it and it outlives any of them. Only in a local session without that setting (tests) is a
+    machine-local folder made; on a cluster a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "farelake-scratch")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
