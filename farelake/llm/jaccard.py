@@ -8,18 +8,19 @@ If two sets of sizes n and m link, then under *any* total order of tokens the fi
 n - ceil(threshold n) + 1 tokens of the one and the corresponding prefix of the other share a token. A pair
 is a candidate only if it passes under every order used here:
 
-1. Rarest first. A token that lies in one set only can't be shared. With rare tokens first, a prefix is free
-   of shared tokens exactly if the set has fewer than threshold n tokens that lie in other sets too, so this
-   order reduces to a count per document. It discards documents that merely quote common passages.
-2. Tokens by fingerprint. Equal prefix tokens make buckets.
-3. Tokens by a second, unrelated fingerprint. Pairs from buckets must overlap in this prefix as well.
+1. Rarest first, over all sets. A token that lies in one set only can't be shared. With rare tokens first, a
+   prefix is free of shared tokens exactly if the set has fewer than threshold n tokens that lie in other sets
+   too, so this order reduces to a count per document. It discards documents that merely quote common passages.
+2. Rarest first, over the sets that are left. Equal prefix tokens make buckets, which common passages don't join.
+3. and 4. Two unrelated orders by fingerprint. Pairs from buckets must overlap in both of these prefixes as well.
 
 Verification counts the common tokens of whole sets.
 
 Large groups: within a bucket each document is first compared with one leader. Documents that link with it are
-one component, whatever the other pairs are. Only pairs of different components remain, and of those
-the ones that the triangle inequality of the Jaccard distance, through the leader, doesn't rule out. All
-remaining pairs are verified, so no link between components is lost.
+one component, whatever the other pairs are. Only pairs of different components with a common leader remain, and
+of those the ones that the triangle inequality of the Jaccard distance, through the leader, doesn't rule out.
+They are verified block by block, each set being sent once per block and not once per pair, so that no link between
+components is lost and no task gets a whole large group.
 
 Tokens and sets are 64-bit fingerprints. A false match needs two of the shingles compared to collide.
 
@@ -52,6 +53,11 @@ BUCKET_TOKENS = 1 << 22
 #: Bits of the map that keeps sets without partners out of the shuffle: 16 MB, whatever the input. With more
 #: documents it lets more of them pass; the join behind it is exact.
 MAP_BITS = 1 << 27
+#: Tokens of a block of sets that are compared with each other in one task, and columns of a matrix there.
+BLOCK_TOKENS = 1 << 18
+COLUMNS = 1 << 13
+#: Blocks of a large group are cut by distance from its leader into so many rings.
+RINGS = 10
 #: Words whose fingerprints a Python worker remembers.
 REMEMBERED = 1 << 20
 
@@ -150,11 +156,11 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"node": nodes, "shared": counts.astype(np.int64)})
 
 
-def _kept_sets(batches: Iterator[pa.RecordBatch], bits, threshold: int) -> Iterator[pa.RecordBatch]:
-    """The sets whose bit is set, with their prefix under the second order."""
+def _kept_sets(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
+    """The sets whose bit is set. Copies within a task come once."""
     words, seen = _Words(), set()
     for batch in batches:
-        keys, sets, second = [], [], []
+        keys, sets = [], []
         for text in batch["text"].to_pylist():
             tokens = shingle_set(text, words)
             if not len(tokens) or (key := set_key(tokens)) in seen:
@@ -163,15 +169,48 @@ def _kept_sets(batches: Iterator[pa.RecordBatch], bits, threshold: int) -> Itera
             if bits.value[place >> 3] >> (place & 7) & 1:
                 seen.add(key)
                 keys.append(key)
-                sets.append(tokens.view(np.int64))
-                again = np.argsort(_scrambled(tokens ^ np.uint64(_MIX[0])), kind="stable")
-                second.append(tokens.view(np.int64)[again[: prefix_length(len(tokens), threshold)]])
+                sets.append(tokens.tobytes())
         if keys:
-            yield pa.record_batch({
-                "node": pa.array(keys, pa.int64()),
-                "tokens": pa.array(sets, pa.list_(pa.int64())),
-                "second": pa.array(second, pa.list_(pa.int64())),
-            })
+            yield pa.record_batch({"node": pa.array(keys, pa.int64()), "tokens": pa.array(sets, pa.binary())})
+
+
+def _dealt_kept(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for node, raw in zip(batch["node"].to_pylist(), batch["tokens"].to_pylist()):
+            tokens = np.frombuffer(raw, dtype=np.uint64)
+            bucket = (tokens >> np.uint64(32)) % np.uint64(buckets)
+            out += [(int(b), node, tokens[bucket == b].tobytes()) for b in np.unique(bucket)]
+        if out:
+            yield pa.record_batch(
+                [pa.array(x, kind) for x, kind in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary()))],
+                names=["bucket", "node", "tokens"])
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """Beside the tokens of each set, in how many sets they are."""
+    token = np.frombuffer(b"".join(table["tokens"].to_pylist()), dtype=np.uint64)
+    _, place, counts = np.unique(token, return_inverse=True, return_counts=True)
+    held = counts[place].astype(np.uint32)
+    ends = np.cumsum(pc.binary_length(table["tokens"]).to_numpy() // 8)
+    return pa.table({
+        "node": table["node"], "tokens": table["tokens"],
+        "held": pa.array([h.tobytes() for h in np.split(held, ends[:-1])], pa.binary())})
+
+
+def _ordered(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Sets with their prefix under the order of rarest first."""
+    for batch in batches:
+        columns = {"tokens": [], "rare": []}
+        for parts in batch["parts"].to_pylist():
+            tokens = np.frombuffer(b"".join(p["tokens"] for p in parts), dtype=np.uint64)
+            held = np.frombuffer(b"".join(p["held"] for p in parts), dtype=np.uint32)
+            signed = tokens.view(np.int64)
+            columns["tokens"].append(signed)
+            columns["rare"].append(signed[np.lexsort((tokens, held))[: prefix_length(len(tokens), threshold)]])
+        yield pa.record_batch(
+            [batch["node"], batch["n"], *(pa.array(c, pa.list_(pa.int64())) for c in columns.values())],
+            names=["node", "n", *columns])
 
 
 def _bit_map(nodes: DataFrame) -> np.ndarray:
@@ -186,18 +225,12 @@ def _bit_map(nodes: DataFrame) -> np.ndarray:
     return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, filtered: bool) -> DataFrame:
-    """Pairs (a, b) with their sizes and the number of common tokens.
-
-    filtered: pairs whose prefixes under the second order don't meet are dropped before their sets are fetched.
-    """
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their sizes and the number of common tokens."""
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("tokens").alias(f"tokens_{name}"))
 
-    if filtered:
-        pairs = pairs.join(side("a", "second"), "a").join(side("b", "second"), "b").where(
-            F.arrays_overlap("second_a", "second_b")).select("a", "b")
-    return pairs.join(side("a", "n", "tokens"), "a").join(side("b", "n", "tokens"), "b").select(
+    return pairs.join(side("b"), "b").join(side("a"), "a").select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("common"))
 
 
@@ -205,14 +238,101 @@ def _links(verified: DataFrame, threshold: int) -> DataFrame:
     return verified.where(F.lit(100) * F.col("common") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("common")))
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the numbers of common tokens, for sets with distinct tokens each."""
+    sides = [np.concatenate(left), np.concatenate(right)]
+    shared = np.intersect1d(*map(np.unique, sides), assume_unique=True)
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    rows = [np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (left, right)]
+    for begin in range(0, len(shared), COLUMNS):
+        some = shared[begin:begin + COLUMNS]
+        flags = []
+        for tokens, row, x in zip(sides, rows, (left, right)):
+            place = np.minimum(np.searchsorted(some, tokens), len(some) - 1)
+            met = some[place] == tokens
+            flag = np.zeros((len(x), len(some)), dtype=np.float32)
+            flag[row[met], place[met]] = 1
+            flags.append(flag)
+        out += (flags[0] @ flags[1].T).astype(np.int64)
+    return out
+
+
+def _prefixes(sets: list[np.ndarray], salt: int, threshold: int) -> list[np.ndarray]:
+    return [
+        s[np.argsort(_scrambled(s.view(np.uint64) ^ np.uint64(salt)), kind="stable")[: prefix_length(len(s), threshold)]]
+        for s in sets]
+
+
+def _block_links(table: pa.Table, threshold: int) -> pa.Table:
+    """Links between documents of different components, of one block or across two."""
+    second = table["second"].to_numpy(zero_copy_only=False)
+    halves = [np.flatnonzero(~second), np.flatnonzero(second)]
+    if not len(halves[1]):
+        halves[1] = halves[0]
+    sets = [np.array(x, dtype=np.int64) for x in table["tokens"].to_pylist()]
+    node, component, far = (table[c].to_numpy() for c in ("node", "component", "far"))
+    n = np.array([len(s) for s in sets])
+    i, j = halves
+    mask = component[i][:, None] != component[j]
+    mask &= np.abs(far[i][:, None] - far[j]) <= 1 - threshold / 100 + 1e-9
+    mask &= 100 * np.minimum(n[i][:, None], n[j]) >= threshold * np.maximum(n[i][:, None], n[j])
+    if halves[0] is halves[1]:
+        mask &= node[i][:, None] < node[j]
+    for salt in _MIX[:2]:
+        r, c = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
+        if len(r):
+            i, j, mask = i[r], j[c], mask[np.ix_(r, c)]
+            mask &= common_counts(*(_prefixes([sets[k] for k in h], salt, threshold) for h in (i, j))) > 0
+    r, c = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
+    if not len(r):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    i, j, mask = i[r], j[c], mask[np.ix_(r, c)]
+    common = common_counts([sets[k] for k in i], [sets[k] for k in j])
+    x, y = np.nonzero(mask & (100 * common >= threshold * (n[i][:, None] + n[j] - common)))
+    return pa.table({"a": node[i[x]], "b": node[j[y]]})
+
+
+def _links_apart(placed: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between different components, among documents that share a leader.
+
+    placed: (leader, node, n, component, leader_component, far). The documents of a leader are one block as
+    long as their sets are small together. Otherwise they are cut into blocks by distance from the leader and by
+    hash, each with about BLOCK_TOKENS tokens, and the pairs of blocks that can hold a link are tasks of
+    their own.
+    """
+    apart = F.col("component") != F.col("leader_component")
+    groups = placed.groupBy("leader").agg(F.sum("n").alias("total"), F.count_if(apart).alias("apart")).where("apart > 0")
+    ring = F.floor(F.col("far") * RINGS)
+    rows = placed.join(groups, "leader").withColumn("ring", F.when(F.col("total") <= BLOCK_TOKENS, -1).otherwise(
+        ring + F.when(apart, 0).otherwise(2 * RINGS)).cast("int"))
+    cuts = rows.groupBy("leader", "ring").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("cuts"))
+    rows = rows.join(cuts, ["leader", "ring"]).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts"))).select(
+        "leader", "ring", "cut", "node", "component", "far")
+    blocks = cuts.select("leader", "ring", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"))
+    p, q = blocks.alias("p"), blocks.alias("q")
+    near = F.abs(F.col("p.ring") % (2 * RINGS) - F.col("q.ring") % (2 * RINGS)) <= RINGS * (100 - threshold) // 100 + 1
+    order = F.struct("p.ring", "p.cut") <= F.struct("q.ring", "q.cut")
+    pairs = p.join(q, (F.col("p.leader") == F.col("q.leader")) & order & near & (F.col("p.ring") < 2 * RINGS)).select(
+        F.col("p.leader").alias("leader"), *(F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "pq" for c in ("ring", "cut")))
+    pair = [f"{c}_{x}" for x in "pq" for c in ("ring", "cut")]
+    both = (F.col("ring_p") == F.col("ring_q")) & (F.col("cut_p") == F.col("cut_q"))
+    sides = [
+        rows.withColumnsRenamed({"ring": f"ring_{x}", "cut": f"cut_{x}"}).join(
+            pairs.where(~both) if x == "q" else pairs, ["leader", f"ring_{x}", f"cut_{x}"])
+        .select("leader", *pair, "node", "component", "far", F.lit(x == "q").alias("second")) for x in "pq"]
+    return (
+        sides[0].unionByName(sides[1]).join(sets.select("node", "tokens"), "node")
+        .groupBy("leader", *pair).applyInArrow(lambda t: _block_links(t, threshold), "a long, b long").distinct()
+    )
+
+
 def _candidate_sets(docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The sets that pass the rarest-first order: (node, n, tokens, second)."""
+    """The sets that pass the rarest-first order: (node, n, tokens, rare)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("binary").alias("text"))
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     shared = (
-        texts.mapInArrow(partial(_dealt, buckets=buckets), "bucket int, node long, tokens binary")
+        texts.mapInArrow(partial(_dealt, buckets=max(1, math.ceil(total / BUCKET_TOKENS))), "bucket int, node long, tokens binary")
         .groupBy("bucket").applyInArrow(_shared, "node long, shared long")
         .groupBy("node").agg(F.sum("shared").alias("shared"))
     )
@@ -220,9 +340,17 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, threshold: int) -> Data
         classes.join(shared, "node").where(F.lit(100) * F.col("shared") >= threshold * F.col("n_shingles"))
         .select("node", F.col("n_shingles").alias("n")), "shared")
     bits = spark.sparkContext.broadcast(_bit_map(passed))
-    sets = texts.mapInArrow(
-        partial(_kept_sets, bits=bits, threshold=threshold), "node long, tokens array<long>, second array<long>")
-    return stored(sets.dropDuplicates(["node"]).join(passed, "node"), "sets")
+    kept = texts.mapInArrow(partial(_kept_sets, bits=bits), "node long, tokens binary").dropDuplicates(["node"])
+    total = passed.agg(F.sum("n")).first()[0] or 0
+    counted = (
+        kept.join(passed, "node").select("node", "tokens")
+        .mapInArrow(partial(_dealt_kept, buckets=max(1, math.ceil(4 * total / BUCKET_TOKENS))), "bucket int, node long, tokens binary")
+        .groupBy("bucket").applyInArrow(_counted, "node long, tokens binary, held binary")
+        .groupBy("node").agg(F.collect_list(F.struct("tokens", "held")).alias("parts"))
+    )
+    return stored(counted.join(passed, "node").select("node", "n", "parts").mapInArrow(
+        partial(_ordered, threshold=threshold),
+        "node long, n long, tokens array<long>, rare array<long>"), "sets")
 
 
 def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -239,8 +367,7 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"))
     sets = _candidate_sets(docs, classes, threshold)
 
-    length = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
-    posted = sets.select(F.explode(F.slice("tokens", 1, length.cast("int"))).alias("token"), "node", "n")
+    posted = sets.select(F.explode("rare").alias("token"), "node")
     # Buckets of the same sets are one bucket: copies share most of their tokens.
     buckets = (
         posted.groupBy("token").agg(
@@ -250,32 +377,21 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         .groupBy("held", "x", "y", "leader").agg(F.min("token").alias("token"))
         .select("token", "leader")
     )
-    members = stored(posted.join(buckets, "token"), "members")
-
-    stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(_verified(stars, sets, filtered=False), "stars")
+    stars = posted.join(buckets, "token").where("node <> leader").select(
+        F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    stars = stored(_verified(stars, sets), "stars")
     linked = _links(stars, threshold).select("a", "b")
     found = stored(components(linked, "a", "b"), "found")
 
     distance = F.lit(1.0) - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
     of_leader = found.select(F.col("node").alias("leader"), F.col("component").alias("leader_component"))
-    placed = stored(
-        members.join(found, "node", "left").join(of_leader, "leader", "left")
-        .join(stars.select(F.col("a").alias("leader"), F.col("b").alias("node"), distance.alias("far")),
-              ["leader", "node"], "left")
-        .select("token", "node", "n", F.coalesce("component", "node").alias("component"),
-                F.coalesce("leader_component", "leader").alias("leader_component"),
-                F.coalesce("far", F.lit(0.0)).alias("far")), "placed")
-    apart = placed.where("component <> leader_component")
-    p, q = apart.alias("p"), placed.where("far > 0").alias("q")
-    reach = 1 - threshold / 100 + 1e-9
-    pairs = p.join(q, (
-        (F.col("p.token") == F.col("q.token")) & (F.col("p.component") != F.col("q.component"))
-        & ((F.col("q.component") == F.col("q.leader_component")) | (F.col("p.node") < F.col("q.node")))
-        & (F.abs(F.col("p.far") - F.col("q.far")) <= reach)
-        & (F.lit(100) * F.least("p.n", "q.n") >= threshold * F.greatest("p.n", "q.n"))
-    )).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
-    more = stored(_links(_verified(pairs, sets, filtered=True), threshold).select("a", "b"), "more")
+    placed = (
+        stars.select(F.col("a").alias("leader"), F.col("b").alias("node"), F.col("n_b").alias("n"), distance.alias("far"))
+        .join(found, "node", "left").join(of_leader, "leader", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .withColumn("leader_component", F.coalesce("leader_component", "leader"))
+    )
+    more = stored(_links_apart(stored(placed, "placed"), sets, threshold), "more")
     if not more.isEmpty():
         found = components(linked.unionByName(more), "a", "b")
 
@@ -286,3 +402,33 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return sized.join(ids, "node", "left").select(
         "doc_id", "n_shingles", "node", "group",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _with_node(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    words = _Words()
+    for batch in batches:
+        sets = [shingle_set(text, words) for text in batch[f"{name}text"].to_pylist()]
+        nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch[c] for c in batch.schema.names if c != f"{name}text"] + [nodes],
+            names=[c for c in batch.schema.names if c != f"{name}text"] + [f"{name}node"])
+
+
+def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of `docs` without near copies: of each group the one with the least doc_id, with all its columns.
+
+    Rows that are copies even in their doc_id are one row. Documents with an empty set all stay. A group without
+    any doc_id keeps one row.
+    """
+    placed = stored(near_components(docs, threshold), "placed")
+    stays = placed.where("node is not null").groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "node")).alias("s"))
+    own = "_" * (1 + max((len(c) for c in docs.columns), default=0))  # longer than any column's name
+    stays = stays.select(F.col("s.doc_id").alias(f"{own}id"), F.col("s.node").alias(f"{own}key"))
+    noded = docs.withColumn(f"{own}text", F.col("text").cast("binary"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {own}node long"
+    noded = noded.mapInArrow(partial(_with_node, name=own), schema).where(f"{own}node is not null")
+    full = noded.join(
+        stays, (noded[f"{own}node"] == stays[f"{own}key"]) & noded["doc_id"].eqNullSafe(stays[f"{own}id"]), "left_semi")
+    return full.dropDuplicates([f"{own}node", "doc_id"]).select(*docs.columns).unionByName(
+        docs.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
