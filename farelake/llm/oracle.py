@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from farelake.llm import mixing, quality
+
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,3 +39,86 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
   least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id
 FROM sets
 """
+
+_RULES = ", ".join(
+    f"('{rule}', {step}, CAST({cutoff} AS DOUBLE))"
+    for rule, (_, grid) in quality.RULES.items() for step, cutoff in enumerate(grid))
+_VALUES = " ".join(f"WHEN '{rule}' THEN {value}" for rule, (value, _) in quality.RULES.items())
+_RISK = f"(CAST({quality.TOTAL_RISK} AS DOUBLE) / {len(quality.RULES)})"
+
+_STATEMENTS["op5_quality_rules"] = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t, {words('text')} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM (
+    SELECT r, i, concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS s
+    FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM split))),
+covered AS (
+  SELECT r, sum(least(5, coalesce(next - i, 5))) AS n FROM (
+    SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM windows WHERE n > 1) GROUP BY r),
+counted AS (
+  SELECT split.r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS BIGINT) AS n_capitals,
+    CAST(length(t) - length(regexp_replace(t, '!', '', 'g')) AS BIGINT) AS n_exclamations,
+    CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM split LEFT JOIN covered ON covered.r = split.r),
+based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+rules(rule, step, cutoff) AS (VALUES {_RULES}),
+known AS (SELECT doc_id, min(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT based.*, q FROM based JOIN known ON known.doc_id = based.doc_id WHERE NOT base_failed),
+candidates AS (
+  SELECT lang, rule, step, cutoff, count(*) FILTER (q = 1) AS n,
+    count(*) FILTER (q = 1 AND CASE rule {_VALUES} END > cutoff) AS good,
+    count(*) FILTER (q = 0 AND CASE rule {_VALUES} END > cutoff) AS bad
+  FROM held, rules GROUP BY lang, rule, step, cutoff),
+tested AS (
+  SELECT *, CASE WHEN good >= n * {_RISK} THEN 1.0 ELSE
+    list_sum(list_transform(range(0, good + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+      + i * ln({_RISK}) + (n - i) * ln(1 - {_RISK})))) END AS p,
+    {quality.LEVEL} / ({len(quality.RULES)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))) AS most
+  FROM candidates),
+proven AS (
+  SELECT *, bool_and(p <= most) OVER (PARTITION BY lang, rule ORDER BY step) AS usable FROM tested),
+best AS (
+  SELECT lang, rule, first(cutoff ORDER BY bad - good DESC, step) AS cutoff FROM proven WHERE usable GROUP BY lang, rule),
+rejected AS (
+  SELECT DISTINCT r FROM based JOIN best ON based.lang IS NOT DISTINCT FROM best.lang
+  WHERE CASE rule {_VALUES} END > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM rejected) AS kept
+FROM based
+"""
+
+_STATEMENTS["op3_source_mixing"] = f"""
+WITH sized AS (SELECT doc_id, source, CAST(len({words('text')}) AS BIGINT) AS size FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    (row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  -- the words that all sources take if every source gets x a weight, at each x where a source reaches its cap
+  SELECT a.x, (SELECT sum(least({mixing.MOST} * source_size, a.x * weight)) FROM sources) AS taken
+  FROM (SELECT DISTINCT {mixing.MOST} * source_size / weight AS x FROM sources) a),
+full_up AS (
+  SELECT coalesce(max(x), 0) AS x FROM levels WHERE taken <= (SELECT sum(source_size) FROM sources)),
+mix AS (
+  SELECT source, source_size, CASE WHEN {mixing.MOST} * source_size / weight <= x THEN CAST({mixing.MOST} * source_size AS DOUBLE)
+    ELSE weight * (((SELECT sum(source_size) FROM sources)
+      - coalesce((SELECT sum({mixing.MOST} * source_size) FROM sources s, full_up f WHERE {mixing.MOST} * s.source_size / s.weight <= f.x), 0))
+      / (SELECT sum(weight) FROM sources s, full_up f WHERE {mixing.MOST} * s.source_size / s.weight > f.x)) END AS target
+  FROM sources, full_up),
+laid AS (
+  SELECT doc_id, size, source_size, target, round(target) AS filled, coalesce(sum(size) OVER (
+    PARTITION BY s.source ORDER BY md5('{mixing.SEED}' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized s JOIN mix ON s.source IS NOT DISTINCT FROM mix.source)
+SELECT doc_id, size, source_size, target,
+  CAST(list_sum(list_transform(range(0, {mixing.MOST}), lambda k:
+    greatest(0, least(filled, k * source_size + start + size) - least(filled, k * source_size + start)))) AS BIGINT) AS taken
+FROM laid
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelake.llm import jaccard
+from farelake.llm import jaccard, mixing, packing, quality
 from farelake.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,18 @@ def registry() -> dict[str, Query]:
 @query
 def op10_ngram_jaccard_join(spark, sf_dir):
     return jaccard.near_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_source_mixing(spark, sf_dir):
+    return mixing.mixed_words(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
