@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import mixing, quality
+from farelake.llm import chat, mixing, quality, warc
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -122,3 +122,40 @@ SELECT doc_id, size, source_size, target,
     greatest(0, least(filled, k * source_size + start + size) - least(filled, k * source_size + start)))) AS BIGINT) AS taken
 FROM laid
 """
+
+_STATEMENTS["op4_warc"] = f"""
+WITH held AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest FROM pages),
+heads AS (
+  SELECT payload, max(page_id) AS head FROM held WHERE size >= {warc.REVISIT_BYTES} GROUP BY payload HAVING count(*) > 1)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+  CASE WHEN head > page_id OR (page_id IS NULL AND head IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN head > page_id OR page_id IS NULL THEN head END AS refers_to
+FROM held LEFT JOIN heads ON heads.payload = held.payload
+"""
+
+
+def _escaped(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for c in chat.CONTROL:
+        text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+    return text
+
+
+_STATEMENTS["op6_chat_formatting"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, {len(chat.ROLE + chat.TEXT + chat.END)} + length({_escaped('role')}) + length({_escaped('text')}) AS size,
+    row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role COLLATE "C", text COLLATE "C")),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY place) AS so_far FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(so_far) FILTER (role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id
+"""

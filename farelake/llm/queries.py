@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelake.llm import jaccard, mixing, packing, quality
+from farelake.llm import chat, extraction, jaccard, mixing, packing, quality, urls, warc
 from farelake.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,30 @@ def op3_source_mixing(spark, sf_dir):
 @query
 def op2_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_chat_formatting(spark, sf_dir):
+    marks = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.chat_digests(chat.chat_examples(turns))
+
+
+@query
+def op8_url_filters(spark, sf_dir):
+    return urls.url_verdicts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_warc(spark, sf_dir):
+    return warc.archived_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op1_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    scores = extraction.fit_scores(extraction.labelled_pages(pages, table(spark, sf_dir, "documents")))
+    return extraction.extracted_pages(pages, scores)
