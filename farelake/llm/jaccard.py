@@ -50,6 +50,8 @@ SHINGLE = 5
 THRESHOLD = 75
 #: Tokens of a bucket whose sets are counted in one task: 16 MB of tokens and as much for their owners.
 BUCKET_TOKENS = 1 << 22
+#: Sets whose counts are added up in one task.
+SLICE_SETS = 1 << 15
 #: Bits of the map that keeps sets without partners out of the shuffle: 16 MB, whatever the input. With more
 #: documents it lets more of them pass; the join behind it is exact.
 MAP_BITS = 1 << 27
@@ -113,7 +115,10 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (bucket of tokens, set, its tokens in that bucket). Copies within a task are dealt once."""
+    """Rows of (bucket of tokens, sets, how many tokens each has in it, these tokens), one per bucket and batch.
+
+    Copies within a task are dealt once.
+    """
     words, seen = _Words(), set()
     for batch in batches:
         sets, keys = [], []
@@ -127,25 +132,31 @@ def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             continue
         tokens = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        place = owner * buckets + ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        place = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64) * len(sets) + owner
         order = np.argsort(place, kind="stable")
         place = place[order]
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        offsets = (np.r_[starts, len(low)] * 4).astype(np.int32)
+        runs = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])  # of one set in one bucket
+        sizes = np.diff(np.r_[runs, len(low)]).astype(np.int32)
+        nodes = np.array(keys, dtype=np.int64)[place[runs] % len(sets)]
+        bucket = place[runs] // len(sets)
+        firsts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        ends = np.r_[firsts[1:], len(runs)]
+        stops = np.r_[runs, len(low)]
         yield pa.record_batch({
-            "bucket": pa.array((place[starts] % buckets).astype(np.int32)),
-            "node": pa.array(np.array(keys, dtype=np.int64)[place[starts] // buckets]),
-            "tokens": pa.Array.from_buffers(
-                pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(low.tobytes())]),
+            "bucket": pa.array(bucket[firsts].astype(np.int32)),
+            "nodes": pa.array([nodes[i:j].tobytes() for i, j in zip(firsts, ends)], pa.binary()),
+            "sizes": pa.array([sizes[i:j].tobytes() for i, j in zip(firsts, ends)], pa.binary()),
+            "tokens": pa.array([low[stops[i]:stops[j]].tobytes() for i, j in zip(firsts, ends)], pa.binary()),
         })
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """How many tokens of this bucket each set shares with other sets."""
-    sizes = pc.binary_length(table["tokens"]).to_numpy() // 4
-    node = np.repeat(table["node"].to_numpy(), sizes)
-    token = np.frombuffer(b"".join(table["tokens"].to_pylist()), dtype=np.uint32)
+def _shared(table: pa.Table, slices: int) -> pa.Table:
+    """How many tokens of this bucket each set shares with other sets, packed by slices of the sets."""
+    nodes, sizes, token = (
+        np.frombuffer(b"".join(table[c].to_pylist()), dtype=kind)
+        for c, kind in (("nodes", np.int64), ("sizes", np.int32), ("tokens", np.uint32)))
+    node = np.repeat(nodes, sizes)
     order = np.lexsort((node, token))
     token, node = token[order], node[order]
     first = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])][: len(token)]
@@ -153,7 +164,22 @@ def _shared(table: pa.Table) -> pa.Table:
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
     many = np.repeat(np.diff(np.r_[starts, len(token)]), np.diff(np.r_[starts, len(token)])) > 1
     nodes, counts = np.unique(node[many], return_counts=True)
-    return pa.table({"node": nodes, "shared": counts.astype(np.int64)})
+    place = np.mod(nodes, slices)
+    order = np.argsort(place, kind="stable")
+    found, begins = np.unique(place[order], return_index=True)
+    parts = np.split(order, begins[1:])
+    return pa.table({
+        "slice": pa.array(found, pa.int64()),
+        "nodes": pa.array([nodes[p].tobytes() for p in parts[: len(found)]], pa.binary()),
+        "counts": pa.array([counts[p].astype(np.int32).tobytes() for p in parts[: len(found)]], pa.binary())})
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The counts of one slice over all buckets."""
+    nodes = np.frombuffer(b"".join(table["nodes"].to_pylist()), dtype=np.int64)
+    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), dtype=np.int32)
+    node, place = np.unique(nodes, return_inverse=True)
+    return pa.table({"node": node, "shared": np.bincount(place, weights=counts, minlength=len(node)).astype(np.int64)})
 
 
 def _kept_sets(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
@@ -330,11 +356,12 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, threshold: int) -> Data
     """The sets that pass the rarest-first order: (node, n, tokens, rare)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("binary").alias("text"))
-    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    total, held = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
+    slices = max(1, math.ceil(held / SLICE_SETS))
     shared = (
-        texts.mapInArrow(partial(_dealt, buckets=max(1, math.ceil(total / BUCKET_TOKENS))), "bucket int, node long, tokens binary")
-        .groupBy("bucket").applyInArrow(_shared, "node long, shared long")
-        .groupBy("node").agg(F.sum("shared").alias("shared"))
+        texts.mapInArrow(partial(_dealt, buckets=max(1, math.ceil(total / BUCKET_TOKENS))), "bucket int, nodes binary, sizes binary, tokens binary")
+        .groupBy("bucket").applyInArrow(lambda t: _shared(t, slices), "slice long, nodes binary, counts binary")
+        .groupBy("slice").applyInArrow(_summed, "node long, shared long")
     )
     passed = stored(
         classes.join(shared, "node").where(F.lit(100) * F.col("shared") >= threshold * F.col("n_shingles"))
