@@ -159,3 +159,15 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(so_far) FILTER (role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars
 FROM summed GROUP BY conv_id
 """
+
+_STATEMENTS["op9_exact_top_k"] = """
+WITH held AS (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, q.r, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM held q, held d WHERE q.vec_id % 20 = 0 AND q.r <> d.r),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""

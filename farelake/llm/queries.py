@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farelake.llm import chat, extraction, jaccard, mixing, packing, quality, urls, warc
+from farelake.llm import chat, extraction, jaccard, mixing, packing, ppm, quality, topk, urls, warc
 from farelake.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +72,14 @@ def op1_html_extraction(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     scores = extraction.fit_scores(extraction.labelled_pages(pages, table(spark, sf_dir, "documents")))
     return extraction.extracted_pages(pages, scores)
+
+
+@query
+def op7_lm_scoring(spark, sf_dir):
+    return ppm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
