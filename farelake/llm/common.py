@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.session import scratch_path, ship
@@ -44,3 +46,31 @@ def words(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Cells per doubling of `cell`; numbers up to it have cells of their own.
+FINE = 64
+
+
+def cell(number: Column) -> Column:
+    """A number that `number` shares with those of nearly its size; at most FINE * 60 different ones. Never decreases."""
+    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(number, F.lit(FINE)) / F.lit(FINE))))
+    return (F.ceil(number / step) * step).cast("long")
+
+
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the largest values of `count`, at most `most` of them; rows of one cell stay together."""
+    cells = df.groupBy(cell(F.col(count)).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+    least, held = None, 0
+    for row in cells:
+        held += row["n"]
+        if held > most:
+            break
+        least = row["c"]
+    return df.where(F.lit(False) if least is None else cell(F.col(count)) >= least)
+
+
+def few(df: DataFrame, most: int, *keys: str) -> list[Row]:
+    """About `most` rows, and at most twice as many, picked by a hash of `keys`; all rows if there are fewer."""
+    share = math.ceil((1 << 32) * min(1.0, most / max(df.count(), 1)))
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 32)) < share).limit(2 * most).collect()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import prepare
+from farelake.llm.common import few, prepare
 
 #: At most so many labelled pages are used for the scores.
 LABELLED = 400
@@ -218,8 +218,8 @@ def _extracted(batches: Iterator[pa.RecordBatch], scores: dict[str, float]) -> I
 def labelled_pages(pages: DataFrame, documents: DataFrame, most: int = LABELLED) -> list[tuple[str, str]]:
     """Up to `most` pairs (html, text) of pages whose URL ends in the number of a document, which is their text."""
     number = F.regexp_extract(F.coalesce("url", F.lit("")), r"://[^/]*/[a-z]+/(\d{1,18})", 1)
-    some = pages.where("html is not null").select("html", number.alias("number")).where("number <> ''").orderBy(
-        F.xxhash64("number"), "number", "html").limit(most).collect()
+    some = few(pages.where("html is not null").select("html", number.alias("number")).where("number <> ''"), most, "number")
+    some = sorted(some, key=lambda r: (r["number"], r["html"]))[:most]
     texts = documents.where(F.col("doc_id").isin([int(r["number"]) for r in some]) & F.col("text").isNotNull()).select("doc_id", "text").collect()
     known = {r["doc_id"]: r["text"] for r in texts}
     return [(r["html"], known[int(r["number"])]) for r in some if int(r["number"]) in known]

@@ -4,8 +4,8 @@ All documents of a bucket are padded to its upper bound. Dynamic programming ove
 chooses the bounds of `buckets` buckets so that the padding over the whole table is least. Inside a
 bucket, documents in shuffled order form batches of as many rows as fit the budget of padded tokens.
 
-The histogram is exact for lengths up to `FINE` and has `FINE` cells per doubling above, at most about
-`FINE` * 60 rows whatever the input; each cell counts with its largest length. The bounds are optimal among the
+The histogram is exact for lengths up to 64 and has 64 cells per doubling above, at most about
+64 * 60 rows whatever the input; each cell counts with its largest length. The bounds are optimal among the
 cells' largest lengths. Ranks inside a bucket go by slices, so that a bucket with most of the rows is many
 tasks; only slice counts meet in one.
 
@@ -18,23 +18,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from farelake.llm.common import prepare, stored, words
+from farelake.llm.common import cell, prepare, stored, words
 from farelake.llm.mixing import SLICE_ROWS, shuffle_key, slice_of
 
 BUCKETS = 8
 #: Padded tokens of a batch.
 BUDGET = 16_384
-FINE = 64
-
-
-def cell(length: Column) -> Column:
-    """Number that a length shares with those in its cell of the histogram; grows with the length."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(FINE)) / F.lit(FINE))))
-    return (F.ceil(length / step) * step).cast("long")
 
 
 def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import LOWER, UPPER, prepare, stored
+from farelake.llm.common import LOWER, UPPER, most_frequent, prepare, stored
 
 ORDER = 5
 CONTEXTS = 1 << 15
@@ -113,7 +113,7 @@ def _counts(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Record
 def trie_entries(contexts: DataFrame, order: int, most: int) -> list[np.ndarray]:
     """Arrays (k, context, symbol, n) of the at most `most` most frequent contexts, of all lengths k.
 
-    contexts: (key, n). Contexts whose count equals that of the first one left out are left out, too.
+    contexts: (key, n).
     """
     def shorter(keep: Column) -> DataFrame:
         return contexts.select("key", "n", F.explode(F.array(*map(F.lit, range(order + 1)))).alias("k")).select(
@@ -121,9 +121,7 @@ def trie_entries(contexts: DataFrame, order: int, most: int) -> list[np.ndarray]
             F.col("key").bitwiseAND((1 << _BITS) - 1).alias("symbol"), "n").where(keep)
 
     totals = stored(shorter(F.col("k") > 0).groupBy("k", "context").agg(F.sum("n").alias("n")), "totals")
-    first_out = totals.select("n").orderBy(F.desc("n")).limit(most + 1).agg(F.count(F.lit(1)), F.min("n")).first()
-    least = first_out[1] if first_out[0] > most else 0
-    kept = stored(totals.where(F.col("n") > least).select("k", "context"), "contexts")
+    kept = stored(most_frequent(totals, "n", most).select("k", "context"), "contexts")
     rows = shorter(F.lit(True)).join(F.broadcast(kept.unionByName(  # at most `most` rows
         kept.sparkSession.sql("SELECT 0 AS k, 0L AS context"))), ["k", "context"])
     table = rows.groupBy("k", "context", "symbol").agg(F.sum("n").alias("n")).orderBy("k", "context", "symbol").toArrow()
@@ -245,10 +243,11 @@ def scored(docs: DataFrame, order: int = ORDER, most: int = CONTEXTS, frequent:
     of_words = counts.where("word").select("key", "n")
     total, different = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     below = total + 0.5 * (different + 1)
-    common = of_words.orderBy(F.desc("n"), "key").limit(frequent).orderBy("key").toArrow()
-    chances = np.log10((common["n"].to_numpy() + 0.5) / below)
+    common = most_frequent(of_words, "n", frequent).toArrow()
+    by_key = np.argsort(common["key"].to_numpy())
+    keys, chances = common["key"].to_numpy()[by_key], np.log10((common["n"].to_numpy()[by_key] + 0.5) / below)
     follow, score = automaton(*trie_entries(counts.where("not word").select("key", "n"), order, most))
-    model = spark.sparkContext.broadcast((follow, score, common["key"].to_numpy(), chances))
+    model = spark.sparkContext.broadcast((follow, score, keys, chances))
     rows = stored(texts.mapInArrow(
         partial(_scores, model=model, order=order),
         "doc_id long, held_out boolean, n_tokens long, score double, base double, known long, rare array<long>, times array<long>",

@@ -34,13 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from farelake.llm.common import prepare, stored
+from farelake.llm.common import few, prepare, stored
 
 BASE = 1.3
 LEAF = 32
 BLOCK = 4096
 QUERY_BLOCK = 512
 MOST_BLOCKS = 8192
+#: Pivots are this many on average, at most twice as many.
 MOST_PIVOTS = 256
 #: Vectors compared at a time in a leaf of the queries.
 BATCH = 512
@@ -264,7 +265,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         .withColumn("row", F.monotonically_increasing_id()), "vectors")
     count, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     size = max(BLOCK, math.ceil(2 * count / MOST_BLOCKS))
-    some = rows.orderBy(F.xxhash64("v"), "row").limit(min(MOST_PIVOTS, max(1, count // size))).select("v").collect()
+    some = few(rows.select("row", "v"), min(MOST_PIVOTS, max(1, count // size)), "row")
     pivots = _matrix([r["v"] for r in some], dims) if some else np.zeros((1, dims))
     cells = stored(rows.select("row", "v").mapInArrow(partial(_placed, pivots=pivots), "row long, cell long"), "cells")
     data = stored(_blocks(rows.select("row", "vec_id", "v"), cells, size, dims), "data")

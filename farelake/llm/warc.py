@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import prepare, stored
+from farelake.llm.common import few, prepare, stored
 from farelake.session import scratch_path
 
 REVISIT_BYTES = 1000
@@ -224,12 +224,13 @@ def archive_pages(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:0
     rows = rows.join(heads, ["digest", "size", "check"], "left").select(
         "page_id", "url", "payload", "digest",
         F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("head")), F.col("head")).alias("refers_to"))
-    sample = (
-        pages.select("page_id", "url", payload.alias("payload"))
-        .where((F.octet_length("payload") > 0) & (F.octet_length("payload") <= SAMPLE_BYTES))
-        .orderBy(F.xxhash64("payload"), "page_id").limit(SAMPLE_RECORDS).collect())
+    sample = pages.select("page_id", "url", payload.alias("payload")).where(
+        (F.octet_length("payload") > 0) & (F.octet_length("payload") <= SAMPLE_BYTES))
+    # Copies teach nothing new.
+    sample = {bytes(r["payload"]): r for r in few(sample, SAMPLE_RECORDS, "page_id", "url")}
     dictionary = build_dictionary([
-        record(r["page_id"], r["url"], bytes(r["payload"]), hashlib.sha1(r["payload"]).hexdigest(), None, date) for r in sample])
+        record(r["page_id"], r["url"], payload, hashlib.sha1(payload).hexdigest(), None, date)
+        for payload, r in sorted(sample.items())[:SAMPLE_RECORDS]])
     return stored(rows.mapInArrow(
         partial(_write, folder=folder, dictionary=dictionary, date=date),
         "file string, records long, raw_bytes long, file_bytes long"), "manifest")
@@ -241,7 +242,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
     (page_id, url, record_type, payload_bytes, payload_digest, refers_to, file, payload); payload is null for revisits
     and missing without `payloads`.
     """
-    files = manifest.select("file").repartition(F.col("file"))
+    files = manifest.select("file").repartition(max(1, manifest.count()), "file")
     return files.mapInArrow(partial(_read, folder=folder, payloads=payloads), _READ + ", payload binary" * payloads)
 
 

@@ -40,6 +40,11 @@ def plain_probability(counts, context, symbol, held):
         context = context[1:]
 
 
+def plain_cell(n):
+    step = 2 ** max(0, math.floor(math.log2(n / 64)))
+    return math.ceil(n / step) * step
+
+
 def plain_score(counts, text, order, held):
     symbols = [ppm.END] * order + list(text) + [ppm.END]
     return sum(math.log10(plain_probability(counts, tuple(symbols[i - order:i]), symbols[i], held))
@@ -87,8 +92,11 @@ def test_documents(spark):
     words = Counter(w for t in train for w in [*t.split(), None])
     total, different = sum(words.values()), len(words)
     counts = plain_model(train, 3)
-    sizes = sorted((sum(c.values()) for k, c in counts.items() if k), reverse=True)
-    held = {k for k, c in counts.items() if k and sum(c.values()) > sizes[50]}
+    held = set()
+    cells = Counter(plain_cell(sum(c.values())) for k, c in counts.items() if k)
+    for cell in sorted(cells, reverse=True):
+        if sum(n for c, n in cells.items() if c >= cell) <= 50:
+            held = {k for k, c in counts.items() if k and plain_cell(sum(c.values())) >= cell}
     want = []
     for (i, t, _), o in zip(rows, out):
         tokens = [*fold(t).split(), None]
