@@ -9,7 +9,7 @@ probabilities of the symbols after any context sum to 1.
 
 Counts are taken over all training documents: those whose crc32(doc_id as text) mod 5 is not 1. The trie holds the
 contexts with the largest counts, at most `CONTEXTS` of them, the parameter that bounds the model's memory
-(tables of CONTEXTS x 257 transitions and scores, 68 MB). A context's suffixes and prefixes are at least as frequent, so
+(tables of transitions and scores, CONTEXTS times the symbols seen, 68 MB at most). A context's suffixes and prefixes are at least as frequent, so
 what is held is a trie, whatever the bound.
 
 The trie becomes an automaton, in which the state is the longest held context. Documents are cut into chunks that are
@@ -39,11 +39,11 @@ from farelake.llm.common import LOWER, UPPER, most_frequent, prepare, stored
 
 ORDER = 5
 CONTEXTS = 1 << 15
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 CHUNK = 512
 #: Symbols or words that a task gathers before it counts them.
-GATHERED = 1 << 22
-REMEMBERED = 1 << 20
+GATHERED = 1 << 21
+REMEMBERED = 1 << 18
 END = 256
 SYMBOLS = 257
 _BITS = 9
@@ -128,51 +128,58 @@ def trie_entries(contexts: DataFrame, order: int, most: int) -> list[np.ndarray]
     return [table[c].to_numpy() for c in ("k", "context", "symbol", "n")]
 
 
-def automaton(k: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(next state, log10 probability) by state and symbol. Entries must be sorted by k and context; state 0 is the start.
+def automaton(k: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(column of each symbol, next state by state and column, log10 probability by state and column).
 
-    Symbol SYMBOLS is a blank that scores nothing.
+    Entries must be sorted by k and context; state 0 is the empty context. Symbols that were never seen share one
+    column, since they are equally likely everywhere. The last column is a blank that scores nothing.
     """
     firsts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (context[1:] != context[:-1])][: len(k)])
     levels = k[firsts] if len(k) else np.array([0])
     contexts = context[firsts] if len(k) else np.array([0])
-    states = len(levels)
-    follow = np.zeros((states, SYMBOLS + 1), dtype=np.int32)
-    score = np.zeros((states, SYMBOLS + 1), dtype=np.float32)
-    owner = np.repeat(np.arange(states), np.diff(np.r_[firsts, len(k)])) if len(k) else np.array([], dtype=int)
+    owner = np.repeat(np.arange(len(levels)), np.diff(np.r_[firsts, len(k)])) if len(k) else np.array([], dtype=np.int64)
+    known = np.unique(symbol)
+    columns = np.full(SYMBOLS + 1, len(known), dtype=np.int64)
+    columns[known] = np.arange(len(known))
+    columns[SYMBOLS] = len(known) + 1
+    follow = np.zeros((len(levels), len(known) + 2), dtype=np.int32)
+    score = np.zeros((len(levels), len(known) + 2), dtype=np.float32)
     above = None
     with np.errstate(divide="ignore", invalid="ignore"):
         for level in range(int(levels.max()) + 1):
             here = np.flatnonzero(levels == level)
             lo, m = here[0], len(here)
             own = (owner >= lo) & (owner < lo + m)
-            count = np.zeros((m, SYMBOLS))
-            count[owner[own] - lo, symbol[own]] = n[own]
+            # The last column is that of the symbols never seen: never counted, one probability each.
+            count = np.zeros((m, len(known) + 1))
+            count[owner[own] - lo, columns[symbol[own]]] = n[own]
             seen = count > 0
             total, kinds = count.sum(1, keepdims=True), seen.sum(1, keepdims=True)
             if level == 0:
-                below = np.broadcast_to(1.0 / np.maximum(SYMBOLS - kinds, 1), count.shape)
+                below = np.full(count.shape, 1.0 / max(SYMBOLS - len(known), 1))
             else:
                 parent = np.searchsorted(contexts[above[0]:above[0] + above[1]], contexts[here] & ((1 << _BITS * (level - 1)) - 1))
                 up_count, up_below = above[2][parent], above[3][parent]
                 left = np.where(seen, 0, up_count)  # what the parent knows beside this context's symbols
                 more = (left > 0).sum(1, keepdims=True)
-                escape = np.where((up_count > 0).all(1, keepdims=True), 0, more)  # nothing to escape to
-                whole = left.sum(1, keepdims=True) + escape
-                below = np.where(left > 0, left / whole, np.where(more > 0, escape / whole, 1.0) * up_below)
+                full = (up_count > 0).sum(1, keepdims=True) == SYMBOLS  # nothing to escape to
+                whole = left.sum(1, keepdims=True) + np.where(full, 0, more)
+                below = np.where(left > 0, left / whole, np.where(more > 0, more / whole, 1.0) * up_below)
                 follow[here] = follow[above[0] + parent]  # the longest held suffix, unless a longer context is held
             escape = np.where(kinds == SYMBOLS, 0, kinds)
             chance = np.where(seen, count / (total + escape), np.where(total > 0, escape / (total + escape), 1.0) * below)
-            score[here, :SYMBOLS] = np.log10(chance)
+            score[here, :-1] = np.log10(chance)
             longer = np.flatnonzero(levels == level + 1)
             prefix = lo + np.searchsorted(contexts[here], contexts[longer] >> _BITS)
-            follow[prefix, contexts[longer] & ((1 << _BITS) - 1)] = longer
+            follow[prefix, columns[contexts[longer] & ((1 << _BITS) - 1)]] = longer
             above = (lo, m, count, below)
-    follow[:, SYMBOLS] = 0
-    return follow, score
+    follow[:, -1] = 0
+    return columns, follow, score
 
 
-def automaton_scores(texts: list[bytes], follow: np.ndarray, score: np.ndarray, order: int, chunk: int = CHUNK) -> np.ndarray:
+def automaton_scores(
+    texts: list[bytes], columns: np.ndarray, follow: np.ndarray, score: np.ndarray, order: int, chunk: int = CHUNK
+) -> np.ndarray:
     """log10 probability of each text with its end."""
     pieces, owners = [], []
     for i, text in enumerate(texts):
@@ -189,12 +196,14 @@ def automaton_scores(texts: list[bytes], follow: np.ndarray, score: np.ndarray,
     state = np.zeros(len(pieces), dtype=np.int64)
     total = np.zeros(len(pieces))
     sorted_lengths = lengths[by_length]
+    board = columns[board].astype(np.int16)
+    width = score.shape[1]
     follow, score = follow.ravel(), score.ravel()
     for step in range(order + chunk):
         active = np.searchsorted(-sorted_lengths, -step, side="left")
         if not active:
             break
-        place = state[:active] * (SYMBOLS + 1) + board[step, :active]
+        place = state[:active] * width + board[step, :active]
         if step >= order:
             total[:active] += score[place]
         state[:active] = follow[place]
@@ -205,7 +214,7 @@ def _scores(batches: Iterator[pa.RecordBatch], model, order: int) -> Iterator[pa
     """The model's score, and of the words those with known counts summed up and the others listed."""
     words = _Words()
     for batch in batches:
-        follow, score, keys, chances = model.value
+        columns, follow, score, keys, chances = model.value
         texts = [(t or b"").translate(_FOLD) for t in batch["text"].to_pylist()]
         if not texts:
             continue
@@ -223,7 +232,7 @@ def _scores(batches: Iterator[pa.RecordBatch], model, order: int) -> Iterator[pa
             times.append(n)
         yield pa.record_batch({
             "doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": pa.array(sizes, pa.int64()),
-            "score": automaton_scores(texts, follow, score, order), "base": base,
+            "score": automaton_scores(texts, columns, follow, score, order), "base": base,
             "known": pa.array(np.bincount(owner[known], minlength=len(texts)), pa.int64()),
             "rare": pa.array(rare, pa.list_(pa.int64())), "times": pa.array(times, pa.list_(pa.int64()))})
 
@@ -246,8 +255,8 @@ def scored(docs: DataFrame, order: int = ORDER, most: int = CONTEXTS, frequent:
     common = most_frequent(of_words, "n", frequent).toArrow()
     by_key = np.argsort(common["key"].to_numpy())
     keys, chances = common["key"].to_numpy()[by_key], np.log10((common["n"].to_numpy()[by_key] + 0.5) / below)
-    follow, score = automaton(*trie_entries(counts.where("not word").select("key", "n"), order, most))
-    model = spark.sparkContext.broadcast((follow, score, keys, chances))
+    columns, follow, score = automaton(*trie_entries(counts.where("not word").select("key", "n"), order, most))
+    model = spark.sparkContext.broadcast((columns, follow, score, keys, chances))
     rows = stored(texts.mapInArrow(
         partial(_scores, model=model, order=order),
         "doc_id long, held_out boolean, n_tokens long, score double, base double, known long, rare array<long>, times array<long>",
