@@ -37,7 +37,8 @@ from pyspark.sql.window import Window
 from farelake.llm.common import few, prepare, stored
 
 BASE = 1.3
-LEAF = 32
+#: Nodes of up to so many rows aren't split: below, comparing is cheaper than bounding.
+LEAF = 128
 BLOCK = 4096
 QUERY_BLOCK = 512
 MOST_BLOCKS = 8192
@@ -139,6 +140,13 @@ class Best:
 
     def add(self, q: slice, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
         n = q.stop - q.start
+        least = np.maximum(self.score[q, -1], self.start[q])
+        if score.shape[1] > self.k:
+            least = np.maximum(least, np.partition(score, -self.k, axis=1)[:, -self.k])
+        some = np.flatnonzero((score >= least[:, None]).any(axis=0))
+        if not len(some):
+            return
+        score, ids, rows = score[:, some], ids[some], rows[some]
         score = np.concatenate([self.score[q], score], axis=1)
         ids = np.concatenate([self.id[q], np.broadcast_to(ids, (n, len(ids)))], axis=1)
         rows = np.concatenate([self.row[q], np.broadcast_to(rows, (n, len(rows)))], axis=1)
