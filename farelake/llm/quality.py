@@ -165,8 +165,16 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept, with their columns."""
+    """The rows of `docs` that are kept, with their columns.
+
+    The counted table is stored before it is judged: a filter over expressions of this size, pushed down through
+    them, would make a plan that takes minutes to build.
+    """
     prepare(docs.sparkSession)
-    narrow = features(docs.select("doc_id", "text", "lang")).drop("text")
-    found = stored(cutoffs(narrow, labels), "cutoffs")
-    return judged(features(docs), found).where("kept").select(*(docs[c] for c in docs.columns))
+    own = ("doc_id", "text", "lang")
+    rest = [c for c in docs.columns if c not in own]
+    packed = docs.select(*own, *([F.struct(*rest).alias("_rest")] if rest else []))
+    counted = stored(features(packed), "counted")
+    found = stored(cutoffs(counted, labels), "cutoffs")
+    kept = judged(counted, found).where("kept")
+    return kept.select(*(c if c in own else F.col(f"_rest.{c}").alias(c) for c in docs.columns))
