@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lookup tables here hold tens to thousands of short rows; this bound keeps a broadcast under ~50 MB.
-BROADCAST_MAX_ROWS = 200_000
+#: A broadcast side stays below this many bytes.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """`df` marked for broadcast if it has at most `max_rows` rows, otherwise unchanged.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """`df` marked for broadcast if the planner knows it to be at most `max_bytes` large, otherwise unchanged.
 
-    The planner's own estimate for a derived frame (a DISTINCT over the fact, say) is the size of its
-    input, which would send the fact through a shuffle to meet a three-row table. Counting settles it;
-    the count stops at the bound. Beyond the bound the join stays a shuffled one, with AQE splitting
-    its hot keys.
+    Nothing is run. For a stored table the planner knows the size of its files; for a derived frame it assumes the
+    size of its input, so a small frame derived from a large one should be stored first. Beyond the bound the
+    join stays a shuffled one, with AQE splitting its hot keys.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    known = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(known)) <= max_bytes else df

@@ -33,11 +33,10 @@ def trip_id() -> Column:
 def duration_minutes() -> Column:
     """Complete minutes between the ends, truncated toward zero (59 seconds are 0 minutes).
 
-    Integer division of microseconds: same result as `timestampdiff(MINUTE, ...)`, which builds zoned
-    date-time objects for every row, at about a third of its cost.
+    The difference of two zone-less times is an interval, so the session's zone plays no part; dividing it
+    is integer arithmetic, where `timestampdiff` builds date-time objects for every row.
     """
-    start, end = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("pickup_datetime", "dropoff_datetime"))
-    return F.call_function("div", end - start, F.lit(60_000_000))
+    return F.expr("(dropoff_datetime - pickup_datetime) div INTERVAL '1' MINUTE")
 
 
 def speed_mph(minutes: Column | None = None) -> Column:

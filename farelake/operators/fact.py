@@ -60,6 +60,11 @@ def high_watermark(target: DataFrame):
     return target.agg(F.max("pickup_datetime")).first()[0]
 
 
+def from_mark(stg: DataFrame, mark) -> DataFrame:
+    """The staged rows at or after a pickup time; all, if it is None."""
+    return stg if mark is None else stg.filter(F.col("pickup_datetime") >= F.lit(mark).cast("timestamp_ntz"))
+
+
 def incremental_filter(stg: DataFrame, target: DataFrame | None, mode: str = "watermark") -> DataFrame:
     """The staged rows an incremental run has to look at.
 
@@ -67,13 +72,12 @@ def incremental_filter(stg: DataFrame, target: DataFrame | None, mode: str = "wa
     keyed merge makes that harmless); rows of late files are never seen.
     `by_month`: every row handed in, for callers that pass only arriving months.
 
-    The watermark is a literal in the plan rather than a joined value, so it is pushed to Parquet.
+    The watermark is a literal in the plan rather than a joined value, so it is pushed to Parquet. It is the maximum in
+    `target`, so `target` must be a table whose last load was committed whole; `load_fact` takes it from the load
+    state instead.
     """
     if mode == "by_month" or target is None:
         return stg
     if mode != "watermark":
         raise ValueError(f"unknown mode {mode!r}: expected 'watermark' or 'by_month'")
-    mark = high_watermark(target)
-    if mark is None:
-        return stg
-    return stg.filter(F.col("pickup_datetime") >= F.lit(mark).cast("timestamp_ntz"))
+    return from_mark(stg, high_watermark(target))

@@ -2,7 +2,8 @@
 
 There is no transactional table format here, so a merge rewrites the partitions its source touches. Spark
 commits a dynamic overwrite partition by partition: a driver lost in the middle of the commit can
-leave some months new and some old; running the same merge again completes it.
+leave some months new and some old. Running the same merge again, with the same source, completes it; which source that
+is must not be derived from the half-written table (see `sources.state`).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.session import scratch_path
 from farelake.sources.tables import CLUSTER_COLUMNS, path_exists, write_clustered
 
 POLICIES = ("error", "error_any", "keep_one")
@@ -106,6 +108,10 @@ def merge_partitioned(
         first = resolve_duplicates(None, source, keys, on_duplicate, newest)
         write_clustered(first, path, partition, cluster_by)
         return None
+    # The source is computed once: it is asked for its partitions, its duplicates and its rows.
+    staged = scratch_path(spark, "merge-source")
+    source.write.parquet(staged)
+    source = spark.read.schema(source.schema).parquet(staged)
     touched = [row[0] for row in source.select(partition).distinct().collect()]  # months or days
     if not touched:
         return touched

@@ -79,12 +79,17 @@ def kpi_summary(daily: DataFrame, last_valid: LastValid = None) -> DataFrame:
     )
 
 
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    """The first `limit` rows; all, if it is None."""
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def monthly_trends_view(
-    monthly: DataFrame, last_valid: LastValid = None, limit: int = fixed.MONTHS_SHOWN
+    monthly: DataFrame, last_valid: LastValid = None, limit: int | None = fixed.MONTHS_SHOWN
 ) -> DataFrame:
     rows = monthly.filter((F.col("total_trips") > 0) & (F.col("total_revenue") > 0))
     rows = _until(rows, F.col("year_month"), last_valid, _month)
-    return (
+    return _first(
         rows.select(
             "year_month",
             "year",
@@ -98,23 +103,22 @@ def monthly_trends_view(
             F.col("revenue_per_trip").alias("avg_fare"),
             "avg_distance",
             "avg_duration",
-        )
-        .orderBy(F.col("year").desc(), F.col("month").desc())
-        .limit(limit)
+        ).orderBy(F.col("year").desc(), F.col("month").desc()),
+        limit,
     )
 
 
 def daily_view(
     daily: DataFrame,
     last_valid: LastValid = None,
-    days: int = fixed.DAYS_SHOWN,
+    days: int | None = fixed.DAYS_SHOWN,
     min_trips: int = fixed.MIN_VALID_TRIPS,
     low: float = fixed.MIN_AVG_REVENUE,
     high: float = fixed.MAX_AVG_REVENUE,
 ) -> DataFrame:
     rows = daily.filter(_plausible(min_trips, low, high))
     rows = _until(rows, F.col("pickup_date"), last_valid, _day)
-    return (
+    return _first(
         rows.select(
             "pickup_date",
             "year",
@@ -128,9 +132,8 @@ def daily_view(
             "avg_tip",
             "credit_card_trips",
             "cash_trips",
-        )
-        .orderBy(F.col("pickup_date").desc())
-        .limit(days)
+        ).orderBy(F.col("pickup_date").desc()),
+        days,
     )
 
 
@@ -186,9 +189,10 @@ def distance_view(bands: DataFrame) -> DataFrame:
     ).orderBy("bucket_order")
 
 
-def location_view(locations: DataFrame, limit: int = fixed.ZONES_SHOWN) -> DataFrame:
-    """The busiest zones; zones sharing a rank are taken in id order, so the cut is repeatable."""
-    return (
+def location_view(locations: DataFrame, limit: int | None = fixed.ZONES_SHOWN) -> DataFrame:
+    """The busiest zones; zones sharing a rank are taken in id order, so the cut is repeatable. What is computed from
+    it should pass `limit=None`."""
+    return _first(
         locations.select(
             "location_id",
             "pickup_trips",
@@ -197,9 +201,8 @@ def location_view(locations: DataFrame, limit: int = fixed.ZONES_SHOWN) -> DataF
             "total_revenue",
             "avg_fare",
             "popularity_rank",
-        )
-        .orderBy(F.col("popularity_rank"), F.col("location_id").asc_nulls_last())
-        .limit(limit)
+        ).orderBy(F.col("popularity_rank"), F.col("location_id").asc_nulls_last()),
+        limit,
     )
 
 

@@ -44,10 +44,12 @@ def vendor_series(vendors: DataFrame) -> DataFrame:
     )
 
 
-def tip_last_12(payments: DataFrame, months: int = fixed.TIP_MONTHS) -> DataFrame:
-    """Per payment type over the latest months: plain means of the monthly tip figures, and trips."""
-    latest = payments.select("year_month").distinct().orderBy(F.col("year_month").desc()).limit(months)
-    recent = payments.join(F.broadcast(latest), "year_month", "left_semi")  # at most `months` rows
+def tip_last_12(payments: DataFrame, months: int | None = fixed.TIP_MONTHS) -> DataFrame:
+    """Per payment type over the latest months (all, if None): plain means of the monthly tip figures, and trips."""
+    recent = payments
+    if months is not None:
+        latest = payments.select("year_month").distinct().orderBy(F.col("year_month").desc()).limit(months)
+        recent = payments.join(F.broadcast(latest), "year_month", "left_semi")  # at most `months` rows
     return recent.groupBy("payment_type_name").agg(
         F.avg("avg_tip").alias("avg_tip"),
         F.avg("avg_tip_pct").alias("avg_tip_pct"),
@@ -55,11 +57,11 @@ def tip_last_12(payments: DataFrame, months: int = fixed.TIP_MONTHS) -> DataFram
     )
 
 
-def top_zones(locations: DataFrame, n: int = fixed.TOP_ZONES) -> DataFrame:
-    return (
-        locations.orderBy(F.col("popularity_rank"), F.col("location_id").asc_nulls_last())
-        .limit(n)
-        .select("location_id", "pickup_trips", "dropoff_trips", "popularity_rank")
+def top_zones(locations: DataFrame, n: int | None = fixed.TOP_ZONES) -> DataFrame:
+    """The `n` busiest zones, or all in order."""
+    ordered = locations.orderBy(F.col("popularity_rank"), F.col("location_id").asc_nulls_last())
+    return (ordered if n is None else ordered.limit(n)).select(
+        "location_id", "pickup_trips", "dropoff_trips", "popularity_rank"
     )
 
 
@@ -89,13 +91,14 @@ def accuracy_points(validation: DataFrame) -> DataFrame:
 def best_per_model(comparison: DataFrame, by_metric: bool = False) -> DataFrame:
     """The run with the lowest MAPE per model type (and target metric, if asked for).
 
-    The smallest struct wins, with unknown errors last and ties settled by start time and id. A
+    The smallest struct wins, with unknown errors last; of equal runs the newest, then the lowest id. A
     minimum combines on the map side, which a per-model window sort would not. All values come from
     that one run; a field it lacks stays NULL rather than being filled from another run.
     """
     keys = ["model_type", "target_metric"] if by_metric else ["model_type"]
     values = [c for c in comparison.columns if c not in keys]
-    order = [F.col("mape").isNull().alias("_unknown"), "mape", "start_time", "run_id"]
+    newest = (-F.unix_micros("start_time")).alias("_newest")
+    order = [F.col("mape").isNull().alias("_unknown"), "mape", newest, "run_id", "start_time"]
     rest = [c for c in values if c not in ("mape", "start_time", "run_id")]
     best = comparison.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("best"))
     return best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in values])

@@ -62,32 +62,38 @@ def flatten_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def recent_runs(runs: DataFrame, limit: int = 10) -> DataFrame:
+def _newest(runs: DataFrame, limit: int | None) -> DataFrame:
+    """The `limit` newest runs in order; all runs, if it is None."""
+    ordered = runs.orderBy(F.col("start_time").desc(), "run_id")
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def recent_runs(runs: DataFrame, limit: int | None = 10) -> DataFrame:
     """The newest runs, any status."""
-    return flatten_runs(runs.orderBy(F.col("start_time").desc(), "run_id").limit(limit))
+    return flatten_runs(_newest(runs, limit))
 
 
 def best_run(runs: DataFrame, target_metric: str = "total_trips") -> DataFrame:
-    """The run with the lowest MAPE for a metric; runs without one come last. At most one row."""
+    """The run with the lowest MAPE for a metric, the newest of equals; runs without one come last. At most one row."""
     metric = F.try_element_at("params", F.lit("target_metric"))
     return (
         flatten_runs(runs.filter(metric == target_metric))
-        .orderBy(F.col("mape").asc_nulls_last(), "run_id")
+        .orderBy(F.col("mape").asc_nulls_last(), F.col("start_time").desc(), "run_id")
         .limit(1)
         .select("run_id", "run_name", "model_type", "target_metric", "mae", "rmse", "mape")
     )
 
 
-def model_comparison(runs: DataFrame, limit: int = 100) -> DataFrame:
-    """Finished runs, newest first."""
+def model_comparison(runs: DataFrame, limit: int | None = 100) -> DataFrame:
+    """Finished runs, newest first. What is computed from it should pass `limit=None`."""
     finished = runs.filter(F.col("status") == "FINISHED")
     return (
-        flatten_runs(finished.orderBy(F.col("start_time").desc(), "run_id").limit(limit))
+        flatten_runs(_newest(finished, limit))
         .select("model_type", "target_metric", "mae", "rmse", "mape", "run_id", "start_time")
     )
 
 
-def graded_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
+def graded_runs(runs: DataFrame, limit: int | None = 20) -> DataFrame:
     """The run table with a grade on each error."""
     return recent_runs(runs, limit).withColumn("grade", labels.mape_grade(F.col("mape")))
 
@@ -98,7 +104,7 @@ def forecast_with_history(
     future: DataFrame,
     daily_view: DataFrame,
     target_metric: str = "total_trips",
-    history_days: int = fixed.HISTORY_DAYS,
+    history_days: int | None = fixed.HISTORY_DAYS,
 ) -> DataFrame:
     """Best run's validation and forecast beside recent history, as one tagged frame.
 
@@ -106,15 +112,12 @@ def forecast_with_history(
     rows survive the semi join. `daily_view` is the plausible-days read query.
     """
     best = F.broadcast(best_run(runs, target_metric).select("run_id"))  # one row
-    history = (
-        daily_view.orderBy(F.col("pickup_date").desc())
-        .limit(history_days)
-        .select(
-            F.lit("history").alias("kind"),
-            F.col("pickup_date").alias("date"),
-            F.col(target_metric).cast("double").alias("value"),
-            F.lit(None).cast("double").alias("predicted"),
-        )
+    days = daily_view.orderBy(F.col("pickup_date").desc())
+    history = (days if history_days is None else days.limit(history_days)).select(
+        F.lit("history").alias("kind"),
+        F.col("pickup_date").alias("date"),
+        F.col(target_metric).cast("double").alias("value"),
+        F.lit(None).cast("double").alias("predicted"),
     )
     validated = validation.join(best, "run_id", "left_semi").select(
         F.lit("validation").alias("kind"),

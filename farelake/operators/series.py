@@ -46,7 +46,8 @@ def training_frame(
     if not low <= years <= high:
         raise ValueError(f"years must be between {low} and {high}")
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    return daily.filter(F.col("pickup_date") >= F.add_months(today, -12 * years)).select(
+    recent = F.col("pickup_date").between(F.add_months(today, -12 * years), today)
+    return daily.filter(recent).select(
         F.col("pickup_date").alias("ds"),
         F.col(metric).cast("double").alias("y"),
         "year",
@@ -112,9 +113,13 @@ def future_dates(df: DataFrame, horizon: int, key: str | None = None) -> DataFra
 
 
 def fill_days(df: DataFrame, key: str, value: str = "y") -> DataFrame:
-    """Add the days a counted series lacks, as zeros: no trips on a day leave no row in the fact."""
-    spans = df.groupBy(key).agg(F.min("ds").alias("first"), F.max("ds").alias("last"))
-    every_day = spans.select(key, F.explode(F.sequence("first", "last")).alias("ds"))
+    """Add the days a counted series lacks, as zeros: no trips on a day leave no row in the fact.
+
+    All series end on the last day of any, so that forecasts of a quiet one start with those of the others.
+    """
+    last = df.agg(F.max("ds").alias("last")).scalar()
+    spans = df.groupBy(key).agg(F.min("ds").alias("first"))
+    every_day = spans.select(key, F.explode(F.sequence(F.col("first"), last)).alias("ds"))
     return every_day.join(df.select(key, "ds", value), [key, "ds"], "left").withColumn(
         value, F.coalesce(value, F.lit(0.0))
     )

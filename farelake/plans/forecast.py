@@ -28,12 +28,33 @@ def run_forecast(
     """Train and score one model, write its artifacts under `root` and return the run id.
 
     The forecast comes from a refit on the whole history: a model fitted without the validation days
-    would be dated `horizon` days too late.
+    would be dated `horizon` days too late. A run that fails leaves a record with the status FAILED.
     """
     if model_type not in MODELS:
         raise ValueError(f"unknown model {model_type!r}: expected one of {sorted(MODELS)}")
     run_id = uuid.uuid4().hex
     started = started or dt.datetime.now()
+    try:
+        return _run(spark, daily, root, model_type, target_metric, horizon, training_years, as_of, started, run_id)
+    except Exception:
+        params = {"model_type": model_type, "target_metric": target_metric, "forecast_horizon_days": horizon}
+        name = runs.run_name(model_type, target_metric, as_of or started.date())
+        runs.log_run(spark, f"{root}/ml_runs", run_id, name, "FAILED", started, params, {})
+        raise
+
+
+def _run(
+    spark: SparkSession,
+    daily: DataFrame,
+    root: str,
+    model_type: str,
+    target_metric: str,
+    horizon: int,
+    training_years: int,
+    as_of: dt.date | None,
+    started: dt.datetime,
+    run_id: str,
+) -> str:
     training_path = f"{root}/training/run_id={run_id}"
     csv_sink(conform(series.training_frame(daily, target_metric, training_years, as_of), TRAINING), training_path)
     training = csv_source(spark, training_path, TRAINING)
@@ -56,7 +77,10 @@ def run_forecast(
     stored = csv_source(spark, validation_path, FORECAST_VALIDATION)
     scores = series.forecast_metrics(stored).first()
 
-    future = series.future_frame(fit(training.select("ds", "y"), horizon))
+    ahead = fit(training.select("ds", "y"), horizon)
+    if "note" in ahead.columns and (note := ahead.agg(F.max("note")).first()[0]):
+        raise ValueError(f"{model_type}: {note}")
+    future = series.future_frame(ahead)
     csv_sink(conform(future, FUTURE_FORECAST).coalesce(1), f"{root}/future/run_id={run_id}")
 
     runs.log_run(

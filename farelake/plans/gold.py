@@ -14,7 +14,8 @@ from farelake import schemas
 from farelake.operators import gold
 from farelake.operators.fact import MONTH_COLUMN
 from farelake.plans.load import read_fact
-from farelake.sources.tables import replace_table, write_clustered
+from farelake.sources.state import read_state, write_state
+from farelake.sources.tables import hadoop_path, replace_table, write_clustered
 
 Maker = Callable[[DataFrame], DataFrame]
 
@@ -44,29 +45,49 @@ FINISHED: dict[str, tuple[str, Maker, T.StructType]] = {
 TABLES = tuple(FINISHED)
 
 
+def _forget(spark: SparkSession, path: str, months: list[dt.date]) -> None:
+    """Drop the stored partitions of months that have no rows any more."""
+    for month in months:
+        fs, folder = hadoop_path(spark, f"{path}/{MONTH_COLUMN}={month.isoformat()}")
+        fs.delete(folder, True)
+
+
 def _rollup_path(lake: str, name: str) -> str:
     return f"{lake}/rollups/{name}"
 
 
 def build_gold(
-    spark: SparkSession, lake: str, months: Iterable[dt.date] | None = None, parallel: int = 8
+    spark: SparkSession, lake: str, months: Iterable[dt.date] | str | None = None, parallel: int = 8
 ) -> None:
     """Replace the eight tables under `lake`/gold.
 
-    Five passes over pruned columns of the fact fill monthly rollups; the tables are finished from those
-    and never touch the fact. Given the `months` a load changed, only their partitions of the fact are
-    read: a daily refresh costs a month, not the history. Independent jobs are submitted side by
-    side, so the tail of one leaves no executor idle.
+    Passes over pruned columns of the fact fill five monthly rollups (two passes for the daily one); the tables are
+    finished from those and never touch the fact. Given the `months` a load changed, only their partitions of the fact
+    are read: a daily refresh costs a month, not the history. "pending" stands for the months that loads have
+    changed since the last build, as the load state knows them. A month that no longer has rows loses its rollup, and a
+    full build replaces all of them. Independent jobs are submitted side by side, so the tail of one leaves no
+    executor idle.
     """
+    state = read_state(spark, lake)
+    if isinstance(months, str):
+        if months != "pending":
+            raise ValueError(f"unknown months {months!r}")
+        if not state.pending:
+            return
+        months = None if None in state.pending else [dt.date.fromisoformat(m) for m in state.pending]
     fct = read_fact(spark, lake)
     if months is not None:
-        fct = fct.filter(F.col(MONTH_COLUMN).isin(list(months)))
+        months = list(months)
+        fct = fct.filter(F.col(MONTH_COLUMN).isin(months))
 
     def roll_up(name: str) -> DataFrame:
         rollup = ROLLUPS[name](fct)
         if MONTH_COLUMN not in rollup.columns:
             rollup = rollup.withColumn(MONTH_COLUMN, F.trunc("pickup_date", "MM"))
-        write_clustered(rollup, _rollup_path(lake, name), cluster_by=())
+        write_clustered(rollup, _rollup_path(lake, name), cluster_by=(), whole=months is None)
+        if months is not None:
+            filled = {row[0] for row in rollup.select(MONTH_COLUMN).distinct().collect()}
+            _forget(spark, _rollup_path(lake, name), [m for m in months if m not in filled])
         return spark.read.schema(rollup.schema).parquet(_rollup_path(lake, name))
 
     def finish(name: str) -> None:
@@ -76,6 +97,10 @@ def build_gold(
     with ThreadPoolExecutor(parallel) as pool:
         stored = dict(zip(ROLLUPS, pool.map(roll_up, ROLLUPS)))
         list(pool.map(finish, FINISHED))
+    done = state.pending if months is None else [m for m in state.pending if m in {x.isoformat() for x in months}]
+    if done:
+        state.pending = [m for m in state.pending if m not in done]
+        write_state(spark, lake, state)
 
 
 def read_gold(spark: SparkSession, lake: str) -> dict[str, DataFrame]:

@@ -6,13 +6,15 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from farelake import schemas
 from farelake.operators import dims, dq
-from farelake.operators.fact import MONTH_COLUMN, fct_trips, incremental_filter, with_month
-from farelake.operators.merge import merge_partitioned
+from farelake.operators.fact import MONTH_COLUMN, fct_trips, from_mark, high_watermark, with_month
+from farelake.operators.merge import merge_partitioned, resolve_duplicates
 from farelake.operators.staging import stg_trips
-from farelake.sources.bronze import bronze_scan
+from farelake.sources.bronze import bronze_scan, month_files
+from farelake.sources.state import new_files, read_state, record_files, write_state
 from farelake.sources.tables import path_exists, replace_table, write_clustered
 
 
@@ -20,8 +22,20 @@ def fact_path(lake: str) -> str:
     return f"{lake}/fct_trips"
 
 
+FACT_SCHEMA = T.StructType([*schemas.FCT_TRIPS.fields, T.StructField(MONTH_COLUMN, T.DateType())])
+
+
 def read_fact(spark: SparkSession, lake: str) -> DataFrame:
-    return spark.read.parquet(fact_path(lake))
+    return spark.read.schema(FACT_SCHEMA).parquet(fact_path(lake))
+
+
+def arriving_files(
+    spark: SparkSession, bronze_root: str, lake: str, months: Iterable[tuple[int, int]] | None = None
+) -> DataFrame:
+    """The raw files that no committed load has taken in, or all files of `months`."""
+    if months is not None:
+        return month_files(spark, bronze_root, months)
+    return new_files(spark, lake, month_files(spark, bronze_root), read_state(spark, lake))
 
 
 def load_fact(
@@ -31,32 +45,71 @@ def load_fact(
     mode: str = "watermark",
     months: Iterable[tuple[int, int]] | None = None,
     on_duplicate: str = "error",
+    files: DataFrame | None = None,
 ) -> list | None:
     """Bring the fact up to date; returns the months that changed, or None for a first load.
 
-    `watermark` looks at trips from the latest stored pickup on. `by_month` takes the files of `months`
-    (all, if None) whatever is stored, so late months load. The first load writes each file's rows
+    Only `files` (`arriving_files`, if None) are read. `watermark` takes their trips from the latest pickup that a
+    committed load stored; rows from there on in older files were loaded with those files. `by_month` takes the files of
+    `months` (all, if None) whatever is stored, so late months load. The first load writes each file's rows
     where they were read, sorted by zone, without a shuffle; later ones merge by trip identity.
+
+    The load counts once its state is written. One that dies earlier is repeated by the next call: a first load starts
+    over, a later one merges the same files again from the same watermark.
     """
-    path = fact_path(lake)
-    bronze = bronze_scan(spark, bronze_root, months if mode == "by_month" else None)
-    stored = spark.read.parquet(path) if path_exists(spark, path) else None
-    fct = with_month(fct_trips(incremental_filter(stg_trips(bronze), stored, mode)))
-    if stored is None and on_duplicate == "error":
-        write_clustered(fct, path, rebalance=False)
-        return None
-    return merge_partitioned(
-        spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"]
-    )
+    if mode not in ("watermark", "by_month"):
+        raise ValueError(f"unknown mode {mode!r}: expected 'watermark' or 'by_month'")
+    path, state = fact_path(lake), read_state(spark, lake)
+    if files is None:
+        months = list(months) if months is not None else None
+        by_month = month_files(spark, bronze_root, months) if mode == "by_month" else None
+        files = by_month if by_month is not None else arriving_files(spark, bronze_root, lake)
+    arriving = files.select("uri", "file_size", "modified").collect()  # names, not contents
+    if not arriving:
+        if not state.loads or mode == "by_month":
+            raise ValueError(f"no Parquet files under {bronze_root}" + (" for the given months" if months else ""))
+        return []
+    files = spark.createDataFrame(arriving, files.select("uri", "file_size", "modified").schema)
+    bronze = bronze_scan(spark, bronze_root, files=[row.uri for row in arriving])
+    first = not state.loads and (state.started or not path_exists(spark, path))
+    mark = state.mark() if mode == "watermark" else None
+    fct = with_month(fct_trips(from_mark(stg_trips(bronze), mark)))
+    if first:
+        state.started = True
+        state = write_state(spark, lake, state)
+        rows = resolve_duplicates(None, fct, ["trip_id"], on_duplicate, ["_loaded_at"])
+        write_clustered(rows, path, rebalance=on_duplicate == "keep_one", whole=True)
+        changed = None
+    else:
+        changed = merge_partitioned(
+            spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"]
+        )
+    load = record_files(lake, files)
+    newest = high_watermark(read_fact(spark, lake))
+    state.watermark = newest.isoformat() if newest else None
+    state.loads = [*state.loads, load]
+    fresh = [None] if changed is None else [month.isoformat() for month in changed]
+    state.pending = [None] if None in (*state.pending, *fresh) else sorted({*state.pending, *fresh})
+    write_state(spark, lake, state)
+    return changed
+
+
+def load_dimensions(spark: SparkSession, bronze: DataFrame, lake: str, grow: bool = False) -> None:
+    """Rebuild the five dimensions side by side; each code dimension reads one raw column.
+
+    With `grow`, `bronze` holds new files only, and the codes that are stored stay.
+    """
+    staged = stg_trips(bronze)
 
+    def codes(name: str, table: DataFrame, schema: T.StructType) -> tuple[str, DataFrame, T.StructType]:
+        if grow and path_exists(spark, f"{lake}/{name}"):
+            table = table.unionByName(spark.read.schema(schema).parquet(f"{lake}/{name}")).distinct()
+        return name, table, schema
 
-def load_dimensions(spark: SparkSession, bronze: DataFrame, lake: str) -> None:
-    """Rebuild the five dimensions side by side; each code dimension reads one raw column."""
-    staged = stg_trips(bronze)
     tables = (
-        ("dim_vendor", dims.dim_vendor(staged), schemas.DIM_VENDOR),
-        ("dim_payment_type", dims.dim_payment_type(staged), schemas.DIM_PAYMENT_TYPE),
-        ("dim_rate_code", dims.dim_rate_code(staged), schemas.DIM_RATE_CODE),
+        codes("dim_vendor", dims.dim_vendor(staged), schemas.DIM_VENDOR),
+        codes("dim_payment_type", dims.dim_payment_type(staged), schemas.DIM_PAYMENT_TYPE),
+        codes("dim_rate_code", dims.dim_rate_code(staged), schemas.DIM_RATE_CODE),
         ("dim_date", dims.dim_date(spark), schemas.DIM_DATE),
         ("dim_time", dims.dim_time(spark), schemas.DIM_TIME),
     )
@@ -67,12 +120,18 @@ def load_dimensions(spark: SparkSession, bronze: DataFrame, lake: str) -> None:
 
 
 def check_quality(spark: SparkSession, lake: str) -> DataFrame:
-    """Report of all declared checks over the stored tables."""
-    return dq.dq_report({name: spark.read.parquet(f"{lake}/{name}") for name in dq.DECLARED_CHECKS})
+    """Report of all declared checks over the stored tables, computed once and stored under `lake`/dq_report."""
+    tables = {name: read_fact(spark, lake) if name == "fct_trips" else spark.read.parquet(f"{lake}/{name}") for name in dq.DECLARED_CHECKS}
+    return replace_table(dq.dq_report(tables), f"{lake}/dq_report")
 
 
 def load_trips(spark: SparkSession, bronze_root: str, lake: str, **fact_options) -> DataFrame:
-    """Dimensions, fact, checks; raises if a check of severity `error` fails."""
-    load_dimensions(spark, bronze_scan(spark, bronze_root), lake)
+    """Dimensions, fact, checks; raises if a check of severity `error` fails. Reads the files that arrived only."""
+    months = fact_options.get("months")
+    by_month = fact_options.get("mode") == "by_month"
+    files = month_files(spark, bronze_root, months) if by_month else arriving_files(spark, bronze_root, lake)
+    names = [row.uri for row in files.select("uri").collect()]
+    if names:
+        load_dimensions(spark, bronze_scan(spark, bronze_root, files=names), lake, grow=bool(read_state(spark, lake).loads))
     load_fact(spark, bronze_root, lake, **fact_options)
     return dq.require_passing(check_quality(spark, lake))

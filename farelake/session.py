@@ -20,10 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # percentile_approx runs in an object hash aggregate, which by default sorts its whole input
-    # once a task has seen 128 groups. A task over one month sees 31 days, but a task over an
-    # unpartitioned history sees thousands; keep hashing in both cases.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # percentile_approx runs in an object hash aggregate, which doesn't spill while it hashes and sorts its input
+    # once a task has seen so many groups (by default 128). A task over a year of days still hashes.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "512",
     # HotSpot never compiles methods over 8000 bytes of bytecode. A stage whose generated method is
     # larger runs faster operator by operator than as one interpreted method.
     "spark.sql.codegen.hugeMethodLimit": "8000",

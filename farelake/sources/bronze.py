@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake.schemas import LOAD_LOG
-from farelake.sources.tables import append_table, path_exists
+from farelake.sources.tables import append_table, hadoop_path, path_exists, repair_table
 
 #: The raw columns as published, for readers that cannot look at the files first (streams).
 RAW_TRIPS = T.StructType(
@@ -46,10 +47,30 @@ def month_folder(root: str, year: int, month: int) -> str:
 def bronze_land(spark: SparkSession, inbox: str, root: str, year: int, month: int) -> str:
     """Put one month's raw files in its folder, column for column as they came.
 
-    Replaces what the month held, so a repeated load is harmless; other months are not touched.
+    Files of one schema are written together and those of another beside them, each with its own columns and
+    types. Replaces what the month held, so a repeated load is harmless; other months are not touched.
     """
     folder = month_folder(root, year, month)
-    spark.read.parquet(inbox).write.mode("overwrite").parquet(folder)
+    files = [row.uri for row in bronze_files(spark, inbox).select("uri").collect()]
+    if not files:
+        raise ValueError(f"no Parquet files under {inbox}")
+    repair_table(spark, folder)
+    fs, target = hadoop_path(spark, folder)
+    incoming, outgoing = f"{folder}__next-{uuid.uuid4().hex[:12]}", f"{folder}__old-{uuid.uuid4().hex[:12]}"
+    for schema, same in _by_schema(spark, files):
+        spark.read.schema(schema).parquet(*same).write.mode("append").parquet(incoming)
+    fs.mkdirs(target.getParent())
+    had_old = fs.exists(target)
+    _, old = hadoop_path(spark, outgoing)
+    _, new = hadoop_path(spark, incoming)
+    if had_old and not fs.rename(target, old):
+        raise OSError(f"could not move {folder} aside")
+    if not fs.rename(new, target):
+        if had_old:
+            fs.rename(old, target)
+        raise OSError(f"could not move the new files to {folder}")
+    if had_old:
+        fs.delete(old, True)
     return folder
 
 
@@ -69,7 +90,7 @@ def bronze_land_months(raw: DataFrame, root: str) -> None:
 
 
 def bronze_files(spark: SparkSession, root: str) -> DataFrame:
-    """(uri, folder, file_size) of every Parquet file under the root. Contents are not read."""
+    """(uri, folder, file_size, modified) of every Parquet file under the root. Contents are not read."""
     if not path_exists(spark, root):
         raise ValueError(f"no such folder: {root}")
     listing = (
@@ -83,16 +104,23 @@ def bronze_files(spark: SparkSession, root: str) -> DataFrame:
         uri.alias("uri"),
         F.regexp_replace(uri, "/[^/]+$", "").alias("folder"),
         F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
+def month_files(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+    """`bronze_files` of the given months; of all, if None."""
+    listed = bronze_files(spark, root)
+    if months is None:
+        return listed
+    endings = [month_folder("", year, month) for year, month in months]
+    name = F.concat(F.lit("/"), F.regexp_extract("folder", r"year=[^/]+/month=[^/]+$", 0))
+    return listed.filter(name.isin(endings))
+
+
 def _folders(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None) -> list[str]:
     """Folders holding files, one per calendar month; an error if there is none."""
-    listed = bronze_files(spark, root).select("folder").distinct()
-    if months is not None:
-        endings = [month_folder("", year, month) for year, month in months]
-        name = F.concat(F.lit("/"), F.regexp_extract("folder", r"year=[^/]+/month=[^/]+$", 0))
-        listed = listed.filter(name.isin(endings))
+    listed = month_files(spark, root, months).select("folder").distinct()
     folders = sorted(row.folder for row in listed.collect())
     if not folders:
         raise ValueError(f"no Parquet files under {root}" + (" for the given months" if months else ""))
@@ -102,10 +130,32 @@ def _folders(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] |
 def folder_schemas(
     spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
 ) -> dict[str, T.StructType]:
-    """Schema of each month's folder, from one footer per folder."""
+    """Schema of each month's folder: all columns its files have, by whatever type the first has them."""
     folders = _folders(spark, root, months)
+
+    def merged(folder: str) -> T.StructType:
+        agreed = _agreeing(spark, folder, [folder])
+        if agreed is not None:
+            return agreed.schema
+        fields: dict[str, T.StructField] = {}
+        files = [row.uri for row in bronze_files(spark, folder).select("uri").collect()]
+        for schema, _ in _by_schema(spark, files):
+            for f in schema:
+                fields.setdefault(f.name.lower(), f)
+        return T.StructType(list(fields.values()))
+
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip(folders, pool.map(merged, folders)))
+
+
+def _by_schema(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files in groups of equal schema, a handful however many files there are."""
     with ThreadPoolExecutor(8) as pool:
-        return dict(zip(folders, pool.map(lambda folder: spark.read.parquet(folder).schema, folders)))
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path, schema in zip(paths, schemas):
+        groups.setdefault(schema.simpleString(), (schema, []))[1].append(path)
+    return list(groups.values())
 
 
 def _agreeing(spark: SparkSession, root: str, folders: list[str]) -> DataFrame | None:
@@ -130,21 +180,24 @@ def _common_type(kinds: set[T.DataType]) -> T.DataType:
 
 
 def bronze_scan(
-    spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
+    spark: SparkSession,
+    root: str,
+    months: Iterable[tuple[int, int]] | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
-    """All raw files (or those of `months`) as one table, whatever types each month's file used.
+    """All raw files (or those of `months`, or `files`) as one table, whatever types each file used.
 
-    Files that agree are one plain scan. Otherwise folders are read in groups of equal schema (a
-    handful, however many months there are), each group cast to the common types, and unioned. Names are
+    Files that agree are one plain scan. Otherwise they are read in groups of equal schema (a
+    handful, however many files there are), each group cast to the common types, and unioned. Names are
     matched without regard to case. `year` and `month` come from the folder names and prune the scan.
     """
-    agreed = _agreeing(spark, root, _folders(spark, root, months))
+    paths = _folders(spark, root, months) if files is None else files
+    agreed = _agreeing(spark, root, paths)
     if agreed is not None:
         return agreed
-    schemas = folder_schemas(spark, root, months)
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for folder, schema in schemas.items():
-        groups.setdefault(schema.simpleString(), (schema, []))[1].append(folder)
+    if files is None:
+        files = [row.uri for row in month_files(spark, root, months).select("uri").collect()]
+    groups = {str(i): group for i, group in enumerate(_by_schema(spark, sorted(files)))}
 
     spelling: dict[str, str] = {}
     kinds: dict[str, set[T.DataType]] = {}
@@ -182,9 +235,8 @@ def bronze_validate(
     ]
     if missing:
         raise ValueError(f"no file for {', '.join(f'{y}-{m:02d}' for y, m in missing)} under {root}")
-    any_schema = next(iter(schemas.values()))
     counts = (
-        spark.read.schema(any_schema)
+        spark.read.schema("_none string")  # rows are counted, no column is read
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .parquet(root)

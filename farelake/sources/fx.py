@@ -16,47 +16,19 @@ from farelake.sources.tables import path_exists
 KEYS = ("quote_currency", "run_date")
 
 _RATE = T.DecimalType(18, 6)
-_ENVELOPE = T.StructType(
-    [
-        T.StructField(
-            "Cube",
-            T.StructType(
-                [
-                    T.StructField(
-                        "Cube",
-                        T.StructType(
-                            [
-                                T.StructField("_time", T.StringType()),
-                                T.StructField(
-                                    "Cube",
-                                    T.ArrayType(
-                                        T.StructType(
-                                            [
-                                                T.StructField("_currency", T.StringType()),
-                                                T.StructField("_rate", _RATE),
-                                            ]
-                                        )
-                                    ),
-                                ),
-                            ]
-                        ),
-                    )
-                ]
-            ),
-        )
-    ]
-)
+_QUOTES = T.ArrayType(T.StructType([T.StructField("_currency", T.StringType()), T.StructField("_rate", _RATE)]))
+_DAYS = T.ArrayType(T.StructType([T.StructField("_time", T.StringType()), T.StructField("Cube", _QUOTES)]))
+_ENVELOPE = T.StructType([T.StructField("Cube", T.StructType([T.StructField("Cube", _DAYS)]))])
 _RECORDS = "array<struct<base:string,quote:string,rate:decimal(18,6)>>"
 
 
 def fx_extract(
     spark: SparkSession, path: str, base: str = fixed.FX_BASE, row_tag: str = "gesmes:Envelope"
 ) -> DataFrame:
-    """(feed_date, base, quote, rate) of every envelope under `path`."""
+    """(feed_date, base, quote, rate) of every day of every envelope under `path`."""
     envelopes = spark.read.format("xml").option("rowTag", row_tag).schema(_ENVELOPE).load(path)
-    quotes = envelopes.select(
-        F.to_date("Cube.Cube._time").alias("feed_date"), F.explode("Cube.Cube.Cube").alias("cube")
-    )
+    days = envelopes.select(F.explode("Cube.Cube").alias("day"))
+    quotes = days.select(F.to_date("day._time").alias("feed_date"), F.explode("day.Cube").alias("cube"))
     return quotes.select(
         "feed_date",
         F.lit(base).alias("base"),

@@ -16,35 +16,54 @@ from farelake.schemas import conform
 CLUSTER_COLUMNS = ("pickup_location_id", "dropoff_location_id")
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, location = _hadoop_path(spark, path)
+    fs, location = hadoop_path(spark, path)
     return fs.exists(location)
 
 
+def repair_table(spark: SparkSession, path: str) -> None:
+    """Puts back a table that a dead job had moved aside, and removes what such jobs left beside it."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target.getParent()):
+        return
+    beside = [s.getPath() for s in fs.listStatus(target.getParent()) if s.getPath().getName().startswith(target.getName() + "__")]
+    old = sorted((p for p in beside if p.getName().startswith(target.getName() + "__old-")), key=lambda p: p.getName())
+    if old and not fs.exists(target):
+        fs.rename(old[-1], target)
+    for leftover in beside:
+        if fs.exists(leftover):
+            fs.delete(leftover, True)
+
+
 def replace_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Create or replace the table at `path`, and return it.
 
-    The new table is written in full beside the old one and swapped in by renaming, so a job that dies
-    half-way leaves the old table in place, and a table may be computed from its own old rows.
+    The new table is written in full beside the old one and swapped in by renaming, so a table may be computed from
+    its own old rows, and a job that dies while writing leaves the old table in place. Between the two renames
+    there is no table; if the second fails, the old one is put back, and if the job dies there, the next call
+    puts it back first. What earlier calls left beside the table is removed.
     """
     spark = df.sparkSession
+    repair_table(spark, path)
     table = conform(df, schema) if schema is not None else df
     tag = uuid.uuid4().hex[:12]
     incoming, outgoing = f"{path}__next-{tag}", f"{path}__old-{tag}"
     table.write.mode("errorifexists").parquet(incoming)
-    fs, target = _hadoop_path(spark, path)
-    _, new = _hadoop_path(spark, incoming)
-    _, old = _hadoop_path(spark, outgoing)
+    fs, target = hadoop_path(spark, path)
+    _, new = hadoop_path(spark, incoming)
+    _, old = hadoop_path(spark, outgoing)
     had_old = fs.exists(target)
     if had_old and not fs.rename(target, old):
         raise OSError(f"could not move {path} aside")
     if not fs.rename(new, target):
-        raise OSError(f"could not move the new table to {path}; the old one is at {outgoing}")
+        if had_old:
+            fs.rename(old, target)
+        raise OSError(f"could not move the new table to {path}")
     if had_old:
         fs.delete(old, True)
     return spark.read.parquet(path)
@@ -64,9 +83,12 @@ def write_clustered(
     partition: str = MONTH_COLUMN,
     cluster_by: Sequence[str] = CLUSTER_COLUMNS,
     rebalance: bool = True,
+    whole: bool = False,
 ) -> None:
     """Overwrite the partitions present in `df`, each file sorted by the clustering columns.
 
+    With `whole`, everything that was stored is replaced; otherwise partitions without rows in `df` stay.
+
     `rebalance` gathers a partition's rows into evenly sized files: AQE splits a month that holds a
     large share of all rows over many tasks and merges small ones. Input that already lies by month
     (a first load from monthly files) is written where it was read, without a shuffle.
@@ -75,7 +97,7 @@ def write_clustered(
     (
         rows.sortWithinPartitions(partition, *cluster_by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )

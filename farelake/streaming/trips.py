@@ -8,7 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from farelake.operators.fact import MONTH_COLUMN, fct_trips, with_month
 from farelake.operators.merge import merge_partitioned
 from farelake.operators.staging import stg_trips
-from farelake.sources.bronze import RAW_TRIPS
+from farelake.sources.bronze import bronze_scan
 
 
 def stream_trips(
@@ -17,21 +17,26 @@ def stream_trips(
     fact_path: str,
     checkpoint: str,
     max_files_per_batch: int = 1000,
-    on_duplicate: str = "error",
+    on_duplicate: str = "keep_one",
 ) -> StreamingQuery:
     """Load every file that arrived since the last run, then stop.
 
     The checkpoint remembers files rather than a time, so a month that arrives late is loaded too.
-    A batch may run twice after a failure; the keyed merge makes the second run change nothing,
-    except that trips without an identity are inserted again. `max_files_per_batch` bounds a batch, and so
-    how much one merge has to shuffle.
+    What is streamed are the files' names; each batch's files are then read like any others, so months whose types
+    drifted load as well. A batch may run twice after a failure; the keyed merge makes the second run change nothing,
+    except that trips without an identity are inserted again. With `on_duplicate="keep_one"`, copies of a trip are
+    one row, in the first run as in a second one. `max_files_per_batch` bounds a batch, and so how much one
+    merge has to shuffle.
     """
 
     def load(batch: DataFrame, _: int) -> None:
+        files = [row.path for row in batch.select("path").collect()]  # at most max_files_per_batch
+        if not files:
+            return
         merge_partitioned(
             batch.sparkSession,
             fact_path,
-            with_month(fct_trips(stg_trips(batch))),
+            with_month(fct_trips(stg_trips(bronze_scan(batch.sparkSession, bronze_root, files=files)))),
             ["trip_id"],
             MONTH_COLUMN,
             on_duplicate=on_duplicate,
@@ -39,11 +44,13 @@ def stream_trips(
         )
 
     return (
-        spark.readStream.schema(RAW_TRIPS)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")  # only paths are read
         .option("maxFilesPerTrigger", max_files_per_batch)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .parquet(bronze_root)
+        .load(bronze_root)
+        .select("path")
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from farelake.functions import fixed
 from harness.fixture import RAW_TRIPS_SQL
 
 MIN_TRIPS = 10
@@ -32,7 +33,7 @@ timed AS (
 _FLAGGED = """
 flagged AS (
   SELECT *, coalesce(trip_distance_miles <= 0, false) OR coalesce(trip_duration_minutes <= 0, false)
-    OR coalesce(least(fare_amount, total_amount) < 0, false)
+    OR coalesce(fare_amount < 0, false) OR coalesce(total_amount < 0, false)
     OR coalesce(passenger_count NOT BETWEEN 1 AND 9, false)
     OR coalesce(avg_speed_mph > 100, false) OR coalesce(pickup_datetime > dropoff_datetime, false)
     AS has_data_quality_issue
@@ -52,8 +53,9 @@ _DAY_NAME = (
     "(['Sunday','Monday','Tuesday','Wednesday','Thursday','Friday','Saturday'])[{0}]"
 )
 _PAYMENT_NAME = (
-    "coalesce((['Credit Card','Cash','No Charge','Dispute','Unknown','Voided'])"
-    "[CASE WHEN {0} BETWEEN 1 AND 6 THEN {0} END], 'Other')"
+    "CASE {0} "
+    + " ".join(f"WHEN {code} THEN '{name}'" for code, name in fixed.PAYMENT_GOLD_LABELS.items())
+    + f" ELSE '{fixed.PAYMENT_GOLD_DEFAULT}' END"
 )
 
 _DAILY = """
@@ -82,7 +84,7 @@ daily AS (
 _HOURLY = f"""
 hourly AS (
   SELECT pickup_hour, pickup_day_of_week, {_DAY_NAME.format('pickup_day_of_week')} AS day_name,
-    if(pickup_day_of_week % 7 <= 1 AND pickup_day_of_week % 6 = 1, 'Weekend', 'Weekday') AS day_type,
+    if(pickup_day_of_week IN (1, 7), 'Weekend', 'Weekday') AS day_type,
     count(*) AS total_trips, avg(trip_distance_miles) AS avg_distance,
     avg(trip_duration_minutes) AS avg_duration, avg(total_amount) AS avg_fare,
     avg(tip_amount) AS avg_tip, round(avg(avg_speed_mph), 6) AS avg_speed
@@ -137,9 +139,9 @@ bands AS (
     round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 2) AS pct_of_total,
     avg(trip_duration_minutes) AS avg_duration_minutes, avg(total_amount) AS avg_fare,
     avg(tip_amount) AS avg_tip, sum(total_amount) AS total_revenue
-  FROM (SELECT *, (1 + (trip_distance_miles >= 1)::INT + (trip_distance_miles >= 2)::INT
-      + (trip_distance_miles >= 5)::INT + (trip_distance_miles >= 10)::INT
-      + (trip_distance_miles >= 20)::INT)::BIGINT AS band FROM clean)
+  FROM (SELECT *, (CASE WHEN trip_distance_miles < 1 THEN 1 WHEN trip_distance_miles < 2 THEN 2
+      WHEN trip_distance_miles < 5 THEN 3 WHEN trip_distance_miles < 10 THEN 4
+      WHEN trip_distance_miles < 20 THEN 5 ELSE 6 END)::BIGINT AS band FROM clean)
   GROUP BY band
 )"""
 
@@ -201,8 +203,8 @@ _HOUR_OUT = """
 SELECT h AS hour_key, h AS hour_of_day,
   (['Night','Morning','Afternoon','Evening'])[h // 6 + 1] AS time_period,
   h IN (7, 8, 9, 17, 18, 19) AS is_rush_hour,
-  CASE WHEN h IN (6, 7, 8, 9, 10) THEN 'Morning Peak' WHEN h IN (16, 17, 18, 19, 20) THEN 'Evening Peak'
-    WHEN h IN (11, 12, 13, 14, 15) THEN 'Midday' ELSE 'Off-Peak' END AS peak_category,
+  CASE WHEN h BETWEEN 6 AND 10 THEN 'Morning Peak' WHEN h BETWEEN 16 AND 20 THEN 'Evening Peak'
+    WHEN h BETWEEN 11 AND 15 THEN 'Midday' ELSE 'Off-Peak' END AS peak_category,
   lpad(h::VARCHAR, 2, '0') || ':00' AS hour_display,
   lpad(h::VARCHAR, 2, '0') || ':00 - ' || lpad(h::VARCHAR, 2, '0') || ':59' AS hour_range,
   (SELECT count(*) FROM fct WHERE pickup_hour = h) AS trips
@@ -211,10 +213,9 @@ FROM (SELECT unnest(range(24)) AS h)"""
 
 _ZONES = """
 zones AS (
-  SELECT location_id, min(p_name) AS zone,
-    CASE WHEN location_id % 10 <> 0 THEN min(p_brand) END AS borough
-  FROM (SELECT p_partkey % 263 + 1 AS location_id, p_name, p_brand FROM part)
-  WHERE location_id <= 200 GROUP BY location_id
+  SELECT location_id, min(s_name) AS zone,
+    CASE WHEN location_id % 10 <> 0 THEN 'nation ' || min(s_nationkey) END AS borough
+  FROM (SELECT s_suppkey * 7 % 263 + 1 AS location_id, s_name, s_nationkey FROM supplier) GROUP BY location_id
 )"""
 
 _LAST = f"""
@@ -263,7 +264,7 @@ _TRAIN = """
 train AS (
   SELECT pickup_date AS ds, total_trips::DOUBLE AS y, year, month, day_of_week, total_trips,
     total_revenue, avg_trip_revenue, avg_distance_miles, avg_duration_minutes
-  FROM daily WHERE pickup_date >= DATE '{0}'
+  FROM daily WHERE pickup_date BETWEEN DATE '{0}' AND DATE '2001-06-30'
 )"""
 _TRAIN_2 = _TRAIN.format("1999-06-30")
 _TRAIN_10 = _TRAIN.format("1991-06-30")
@@ -347,9 +348,17 @@ def _declared_checks():
         yield "fct_trips", column, "not_null", "error", f"SELECT count(*) FROM fct WHERE {column} IS NULL"
 
 
-def statements() -> dict[str, str]:
-    from farelake.functions import fixed
+def _known_ahead(slope: float, least_days: int = 0) -> str:
+    """The continuation of the series that the model queries are fed with, for zones with enough days."""
+    return (
+        f"SELECT zone, ds, 70 + zone + {slope}::DOUBLE * (ds - DATE '1995-01-01') + isodow(ds) * 10 AS forecast "
+        "FROM (SELECT zone, (last_day + n::INT) AS ds FROM (SELECT pickup_location_id AS zone, "
+        "min(pickup_date) AS first_day FROM fct GROUP BY 1), (SELECT max(pickup_date) AS last_day FROM fct), "
+        f"range(1, 31) AS r(n) WHERE last_day - first_day + 1 >= {least_days})"
+    )
 
+
+def statements() -> dict[str, str]:
     return {
         # staging, derived columns, fact
         "stg_trips": _over("SELECT * FROM stg"),
@@ -413,7 +422,8 @@ def statements() -> dict[str, str]:
         "vendor_comparison": _over("SELECT * FROM vendor", _VENDOR),
         "year_over_year": _over("SELECT * FROM yoy", _YOY),
         # bronze lake
-        "bronze_land": _with(
+        "bronze_land": _with("SELECT * FROM raw", _RAW),
+        "bronze_land_months": _with(
             "SELECT year(tpep_pickup_datetime) AS year, month(tpep_pickup_datetime) AS month, "
             "count(*) AS trips, sum(fare_amount) AS fares FROM raw GROUP BY 1, 2",
             _RAW,
@@ -440,24 +450,19 @@ def statements() -> dict[str, str]:
             "SELECT payment_type_id, count(*) AS trips, sum(tip_amount) AS tips FROM stg GROUP BY 1"
         ),
         "partition_cluster": _over(
-            "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, pickup_location_id, "
-            "count(*) AS trips, sum(total_amount) AS total_amount FROM fct "
-            "WHERE year(pickup_date) >= 2000 AND pickup_location_id <= 50 GROUP BY 1, 2"
+            f"SELECT *, date_trunc('month', pickup_date)::DATE AS pickup_month FROM ({_FCT_OUT} fct)"
         ),
         "incremental_filter": _over(
             "SELECT * FROM stg WHERE pickup_datetime >= "
             "(SELECT max(pickup_datetime) FROM fct WHERE year(pickup_date) < 2000)"
         ),
         "merge_trips": _over(
-            "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, count(*) AS trips, "
-            "count(*) AS distinct_ids, sum(tip_amount + (pickup_date >= DATE '1999-07-01')::INT) AS tips "
-            "FROM fct GROUP BY 1"
-        ),
-        "stream_trips": _over(
-            "SELECT date_trunc('month', pickup_date)::DATE AS pickup_month, count(*) AS trips, "
-            "count(*) FILTER (has_data_quality_issue) AS flagged, sum(total_amount) AS total_amount "
-            "FROM fct GROUP BY 1"
+            "SELECT * REPLACE (tip_amount + if(pickup_date >= DATE '1999-07-01', 1, 0) AS tip_amount) "
+            f"FROM ({_FCT_OUT} fct)"
         ),
+        "stream_trips": _over(_FCT_OUT + "fct"),
+        "load_after_crash": _over(_FCT_OUT + "fct"),
+        "gold_rebuild": _over("SELECT * FROM daily WHERE year <> 1998", _DAILY),
         "csv_source": _over("SELECT * FROM train", _DAILY, _TRAIN_10),
         "json_records": _over(
             "SELECT '{\"pickup_location_id\":' || pickup_location_id || ',\"vendor_id\":' "
@@ -470,6 +475,11 @@ def statements() -> dict[str, str]:
         # exchange rates
         "fx_extract": _with("SELECT feed_date, 'EUR' AS base, quote, rate FROM rates", _FX),
         "fx_records": _with("SELECT 'EUR' AS base, quote, rate FROM rates", _FX),
+        "fx_table": _with(
+            "SELECT 'EUR' AS base_currency, quote AS quote_currency, max(if(quote < 'C12', rate * 2, rate)) AS rate, "
+            "date_trunc('month', feed_date)::DATE AS run_date FROM rates GROUP BY ALL",
+            _FX,
+        ),
         "fx_upsert": _with(
             "SELECT if(late, 'USD', 'EUR') AS base_currency, quote AS quote_currency, "
             "if(late, rate * 2, rate) AS rate, feed_date AS run_date "
@@ -658,15 +668,22 @@ def statements() -> dict[str, str]:
         "fill_days": _over(
             "SELECT zone, (last_day - first_day + 1)::BIGINT AS days, trips::DOUBLE AS trips, "
             "last_day - first_day + 1 - busy AS empty_days FROM (SELECT pickup_location_id AS zone, "
-            "min(pickup_date) AS first_day, max(pickup_date) AS last_day, count(*) AS trips, "
-            "count(DISTINCT pickup_date) AS busy FROM fct GROUP BY 1)"
+            "min(pickup_date) AS first_day, count(*) AS trips, count(DISTINCT pickup_date) AS busy "
+            "FROM fct GROUP BY 1), (SELECT max(pickup_date) AS last_day FROM fct)"
+        ),
+        "forecast_additive": _over(_known_ahead(0.25)),
+        "forecast_sarma": _over(_known_ahead(0.25, 77)),
+        "forecast_holtwinters": _over(_known_ahead(0.0, 21)),
+        "forecast_gbt": _over(
+            "SELECT ds, 70 + isodow(ds) * 10.0::DOUBLE AS forecast FROM (SELECT (m + n::INT) AS ds "
+            "FROM (SELECT max(ds) AS m FROM train), range(1, 31) AS r(n))",
+            _DAILY, _TRAIN_2,
         ),
         "forecast_job": _over(
-            "SELECT kind, count(*) AS days, min(d) AS first, max(d) AS last FROM ("
-            "(SELECT 'history' AS kind, pickup_date AS d FROM daily_read_all ORDER BY d DESC LIMIT 90) UNION ALL "
-            "(SELECT 'validation', ds FROM train ORDER BY ds DESC LIMIT 30) UNION ALL "
-            "(SELECT 'forecast', m + n::INT FROM (SELECT max(ds) AS m FROM train), range(1, 31) AS r(n))) "
-            "GROUP BY kind",
+            "(SELECT 'history' AS kind, pickup_date AS date, total_trips::DOUBLE AS value, NULL::BOOLEAN AS has_forecast "
+            "FROM daily_read_all ORDER BY pickup_date DESC LIMIT 90) UNION ALL "
+            "(SELECT 'validation', ds, y, true FROM train ORDER BY ds DESC LIMIT 30) UNION ALL "
+            "(SELECT 'forecast', m + n::INT, NULL, true FROM (SELECT max(ds) AS m FROM train), range(1, 31) AS r(n))",
             _DAILY, _TRAIN_2,
             f"daily_read_all AS (SELECT * FROM daily WHERE total_trips > {MIN_TRIPS} AND total_revenue > 0 "
             "AND avg_trip_revenue BETWEEN 5 AND 200)",
@@ -675,7 +692,7 @@ def statements() -> dict[str, str]:
         "recent_runs": _with("SELECT * FROM runs ORDER BY start_time DESC, run_id LIMIT 20", _RUNS),
         "best_run": _with(
             "SELECT run_id, run_name, model_type, target_metric, mae, rmse, mape FROM runs "
-            "WHERE target_metric = 'total_revenue' ORDER BY mape NULLS LAST, run_id LIMIT 1",
+            "WHERE target_metric = 'total_revenue' ORDER BY mape NULLS LAST, start_time DESC, run_id LIMIT 1",
             _RUNS,
         ),
         "model_comparison": _with(
@@ -687,9 +704,16 @@ def statements() -> dict[str, str]:
         "best_per_model": _with(
             "SELECT model_type, target_metric, mae, rmse, mape, run_id, start_time FROM runs "
             "QUALIFY row_number() OVER (PARTITION BY model_type, target_metric "
-            "ORDER BY mape NULLS LAST, start_time, run_id) = 1",
+            "ORDER BY mape NULLS LAST, start_time DESC, run_id) = 1",
+            _RUNS,
+        ),
+        "best_per_model_overall": _with(
+            "SELECT model_type, target_metric, mae, rmse, mape, run_id, start_time FROM runs "
+            "WHERE status = 'FINISHED' QUALIFY row_number() OVER (PARTITION BY model_type "
+            "ORDER BY mape NULLS LAST, start_time DESC, run_id) = 1",
             _RUNS,
         ),
+        "graded_runs": _with(f"SELECT *, {_GRADE} AS grade FROM runs", _RUNS),
         "runs_history": _with("SELECT model_type, start_time, mape, run_id FROM runs", _RUNS),
         "forecast_with_history": _over(
             "SELECT 'history' AS kind, pickup_date AS date, total_trips::DOUBLE AS value, "
@@ -699,6 +723,6 @@ def statements() -> dict[str, str]:
             _DAILY, _LAST, _DAILY_READ, _RUNS,
             "best_lines AS (SELECT * FROM lineitem WHERE 'run-' || lpad(l_orderkey::VARCHAR, 12, '0') = "
             "(SELECT run_id FROM runs WHERE target_metric = 'total_trips' "
-            "ORDER BY mape NULLS LAST, run_id LIMIT 1))",
+            "ORDER BY mape NULLS LAST, start_time DESC, run_id LIMIT 1))",
         ),
     }

@@ -14,6 +14,8 @@ from farelake.functions import fixed, labels, trips
 from farelake.functions.sizing import broadcast_if_small
 from farelake.operators import dims, dq, fact, gold, merge, models, readlayer, reshape, runs, series, staging
 from farelake.plans import forecast as forecasting
+from farelake.plans import gold as gold_plan
+from farelake.plans import load
 from farelake.session import configure, scratch_path
 from farelake.sources import bronze, fx, tables
 from farelake.sources import zones as zone_files
@@ -223,15 +225,23 @@ def year_over_year(spark, sf_dir):
 # --- star join, zones ---------------------------------------------------------------------------------
 
 
+def stored_code_dimensions(spark, sf_dir):
+    """The code dimensions as tables, whose size the planner knows."""
+    stg, path = staged(spark, sf_dir), scratch_path(spark, "dims")
+    made = (
+        (dims.dim_vendor(stg), schemas.DIM_VENDOR),
+        (dims.dim_payment_type(stg), schemas.DIM_PAYMENT_TYPE),
+        (dims.dim_rate_code(stg), schemas.DIM_RATE_CODE),
+    )
+    return [tables.replace_table(df, f"{path}/{i}", schema) for i, (df, schema) in enumerate(made)]
+
+
 @query
 def star_trips(spark, sf_dir):
-    stg = staged(spark, sf_dir)
-    fct = fact.fct_trips(stg)
+    fct = facts(spark, sf_dir)
     joined = dims.star_trips(
         fct,
-        broadcast_if_small(dims.dim_vendor(stg)),
-        broadcast_if_small(dims.dim_payment_type(stg)),
-        broadcast_if_small(dims.dim_rate_code(stg)),
+        *map(broadcast_if_small, stored_code_dimensions(spark, sf_dir)),
         F.broadcast(dims.dim_date(spark, "1990-01-01", "2030-12-31")),  # one row per day of 41 years
         F.broadcast(dims.dim_time(spark)),  # 24 rows
     )
@@ -242,13 +252,12 @@ def star_trips(spark, sf_dir):
 
 
 def zones(spark, sf_dir):
-    """Names for zones 1..200 of 263, taken from the part table; some have no borough."""
-    zone_id = (F.col("p_partkey") % 263 + 1).alias("location_id")
-    named = table(spark, sf_dir, "part").groupBy(zone_id).agg(
-        F.min("p_name").alias("zone"), F.min("p_brand").alias("borough")
+    """Names for the zones that the supplier table knows, by nature not all of 263; some have no borough."""
+    zone_id = (F.col("s_suppkey") * 7 % 263 + 1).alias("location_id")
+    named = table(spark, sf_dir, "supplier").groupBy(zone_id).agg(
+        F.min("s_name").alias("zone"), F.concat(F.lit("nation "), F.min("s_nationkey").cast("string")).alias("borough")
     )
-    borough = F.when(F.col("location_id") % 10 != 0, F.col("borough"))
-    return named.filter(F.col("location_id") <= 200).withColumn("borough", borough)
+    return named.withColumn("borough", F.when(F.col("location_id") % 10 != 0, F.col("borough")))
 
 
 @query
@@ -343,8 +352,8 @@ def vendor_read(spark, sf_dir):
     return readlayer.vendor_view(gold.vendor_comparison(facts(spark, sf_dir)), last_valid(spark, sf_dir))
 
 
-def location_read(spark, sf_dir):
-    return readlayer.location_view(gold.location_stats(facts(spark, sf_dir)))
+def location_read(spark, sf_dir, limit=None):
+    return readlayer.location_view(gold.location_stats(facts(spark, sf_dir)), limit)
 
 
 def yoy_read(spark, sf_dir):
@@ -378,7 +387,7 @@ def distance_view(spark, sf_dir):
 
 @query
 def location_view(spark, sf_dir):
-    return location_read(spark, sf_dir)
+    return location_read(spark, sf_dir, fixed.ZONES_SHOWN)
 
 
 @query
@@ -605,6 +614,16 @@ def best_per_model(spark, sf_dir):
     )
 
 
+@query
+def best_per_model_overall(spark, sf_dir):
+    return reshape.best_per_model(runs.model_comparison(run_table(spark, sf_dir), limit=None))
+
+
+@query
+def graded_runs(spark, sf_dir):
+    return runs.graded_runs(run_table(spark, sf_dir), limit=None)
+
+
 @query
 def runs_history(spark, sf_dir):
     return reshape.runs_history(runs.flatten_runs(run_table(spark, sf_dir)))
@@ -648,12 +667,25 @@ def month_totals(trips_by_file):
 
 
 @query
-def bronze_land(spark, sf_dir):
+def bronze_land_months(spark, sf_dir):
     return month_totals(spark.read.parquet(landed(spark, sf_dir)))
 
 
 @query
-def bronze_scan(spark, sf_dir):
+def bronze_land(spark, sf_dir):
+    """An inbox of files that differ in columns and types, landed as one month and read back."""
+    inbox, root = scratch_path(spark, "inbox"), scratch_path(spark, "bronze")
+    raw = raw_trips(spark, sf_dir)
+    older = F.year("tpep_pickup_datetime") < 1999
+    raw.filter(older).withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(f"{inbox}/a")
+    raw.filter(older & F.col("Airport_fee").isNull()).drop("Airport_fee").limit(0).write.parquet(f"{inbox}/b")
+    raw.filter(~older).write.parquet(f"{inbox}/c")
+    bronze.bronze_land(spark, inbox, root, 1999, 1)
+    read = bronze.bronze_scan(spark, root).drop("year", "month")
+    return read.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+
+
+def drifted(spark, sf_dir):
     """A lake whose files changed types over the years: counts as doubles, a column in lower case."""
     root = scratch_path(spark, "bronze")
     raw = monthly_raw(spark, sf_dir)
@@ -664,7 +696,12 @@ def bronze_scan(spark, sf_dir):
     )
     for era in eras:
         bronze.bronze_land_months(era, root)
-    trips_read = bronze.bronze_scan(spark, root)
+    return root
+
+
+@query
+def bronze_scan(spark, sf_dir):
+    trips_read = bronze.bronze_scan(spark, drifted(spark, sf_dir))
     years = staging.stg_trips(trips_read).groupBy(F.year("pickup_datetime").cast("bigint").alias("year"))
     return years.agg(
         F.count(F.lit(1)).alias("trips"),
@@ -713,12 +750,7 @@ def staging_view(spark, sf_dir):
 def partition_cluster(spark, sf_dir):
     path = scratch_path(spark, "fact")
     tables.write_clustered(fact.with_month(facts(spark, sf_dir)), path)
-    stored = spark.read.parquet(path).filter(
-        (F.col("pickup_month") >= "2000-01-01") & F.col("pickup_location_id").between(1, 50)
-    )
-    return stored.groupBy("pickup_month", "pickup_location_id").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("total_amount")
-    )
+    return spark.read.parquet(path).drop("trip_id", "_loaded_at")
 
 
 @query
@@ -736,22 +768,42 @@ def merge_trips(spark, sf_dir):
     arriving = fct.filter(F.col("pickup_date") >= "1999-07-01").withColumn("tip_amount", F.col("tip_amount") + 1)
     for batch in (fct.filter(F.col("pickup_date") < "2000-01-01"), arriving):
         merge.merge_partitioned(spark, path, batch, ["trip_id"], fact.MONTH_COLUMN)
-    return spark.read.parquet(path).groupBy("pickup_month").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.countDistinct("trip_id").alias("distinct_ids"),
-        F.sum("tip_amount").alias("tips"),
-    )
+    return spark.read.parquet(path).drop("trip_id", "_loaded_at", "pickup_month")
 
 
 @query
 def stream_trips(spark, sf_dir):
+    """The lake whose files changed types over the years, as a stream."""
     path, checkpoint = scratch_path(spark, "fact"), scratch_path(spark, "stream")
-    streaming.stream_trips(spark, landed(spark, sf_dir), path, checkpoint).awaitTermination()
-    return spark.read.parquet(path).groupBy("pickup_month").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count_if("has_data_quality_issue").alias("flagged"),
-        F.sum("total_amount").alias("total_amount"),
-    )
+    streaming.stream_trips(spark, drifted(spark, sf_dir), path, checkpoint).awaitTermination()
+    return spark.read.parquet(path).drop("trip_id", "_loaded_at", "pickup_month")
+
+
+@query
+def load_after_crash(spark, sf_dir):
+    """Years until 1998 are loaded; of the next load only its newest month gets committed, then the driver dies."""
+    root, lake = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    raw = monthly_raw(spark, sf_dir)
+    bronze.bronze_land_months(raw.filter(F.col("year") < 1999), root)
+    load.load_fact(spark, root, lake)
+    bronze.bronze_land_months(raw.filter(F.col("year") >= 1999), root)
+    fct = fact.with_month(facts(spark, sf_dir))
+    newest = fct.agg(F.max("pickup_month")).first()[0]
+    merge.merge_partitioned(spark, load.fact_path(lake), fct.filter(F.col("pickup_month") == F.lit(newest)), ["trip_id"], fact.MONTH_COLUMN)
+    load.load_fact(spark, root, lake)
+    return load.read_fact(spark, lake).drop("trip_id", "_loaded_at", "pickup_month")
+
+
+@query
+def gold_rebuild(spark, sf_dir):
+    """Gold of the whole fact; then a year leaves the fact and everything is built again."""
+    lake = scratch_path(spark, "lake")
+    fct = fact.with_month(facts(spark, sf_dir))
+    tables.write_clustered(fct, load.fact_path(lake))
+    gold_plan.build_gold(spark, lake)
+    tables.write_clustered(fct.filter(F.year("pickup_date") != 1998), load.fact_path(lake), whole=True)
+    gold_plan.build_gold(spark, lake)
+    return rounded(gold_plan.read_gold(spark, lake)["daily_summary"], "avg_tip_percentage")
 
 
 @query
@@ -801,7 +853,8 @@ def fx_extract(spark, sf_dir):
     cube = F.struct(F.col("quote").alias("_currency"), F.col("rate").alias("_rate"))
     days = order_rates(spark, sf_dir).groupBy("feed_date").agg(F.collect_list(cube).alias("Cube"))  # <= 25 each
     day = F.struct(F.col("feed_date").cast("string").alias("_time"), "Cube")
-    feed = days.select(F.struct(day.alias("Cube")).alias("Cube"))
+    years = days.groupBy(F.year("feed_date")).agg(F.collect_list(day).alias("Cube"))  # an envelope of <= 366 days
+    feed = years.select(F.struct("Cube").alias("Cube"))
     feed.write.format("xml").option("rowTag", "Envelope").option("rootTag", "feeds").save(path)
     rates = fx.fx_extract(spark, path, row_tag="Envelope")
     return rates.withColumn("rate", F.col("rate").cast("double"))
@@ -825,6 +878,19 @@ def fx_upsert(spark, sf_dir):
     return merged.withColumn("rate", F.col("rate").cast("double"))
 
 
+@query
+def fx_table(spark, sf_dir):
+    """Each month's highest rates are stored twice, the second time doubled for half of the currencies."""
+    path = scratch_path(spark, "fx-rates")
+    fx.fx_table(spark, path)
+    month = F.trunc("feed_date", "MM").alias("feed_date")
+    rates = order_rates(spark, sf_dir).groupBy("quote", month).agg(F.max("rate").alias("rate")).withColumn("base", F.lit("EUR"))
+    fx.fx_load(spark, path, rates, F.col("feed_date"))
+    half = rates.filter(F.col("quote") < "C12").withColumn("rate", F.col("rate") * 2)
+    fx.fx_load(spark, path, half, F.col("feed_date"))
+    return fx.fx_table(spark, path).withColumn("rate", F.col("rate").cast("double"))
+
+
 # --- forecast models --------------------------------------------------------------------------------------
 
 
@@ -835,9 +901,23 @@ def stored_training(spark, sf_dir):
     return spark.read.parquet(path).select("ds", "y")
 
 
+def weekday_steps(zone=0, slope=0.0):
+    """A series whose continuation is known: a line plus a value for each weekday."""
+    day = F.datediff("ds", F.lit("1995-01-01").cast("date"))
+    return (F.lit(70) + F.lit(zone) * 1.0 + day * F.lit(slope) + (F.weekday("ds") + 1) * 10).cast("double")
+
+
+def known_series(spark, sf_dir, slope):
+    """Every zone's days with a series of that kind in place of its trips."""
+    days = zone_series(spark, sf_dir)
+    y = weekday_steps(0, slope) + F.col("zone")
+    return days.select("zone", "ds", y.alias("y"))
+
+
 @query
 def forecast_additive(spark, sf_dir):
-    return models.forecast_additive(stored_training(spark, sf_dir), 30)
+    ahead = models.forecast_additive(known_series(spark, sf_dir, 0.25), 30, ridge=1e-9, key="zone")
+    return ahead.withColumn("forecast", F.round("forecast", 1))
 
 
 def zone_series(spark, sf_dir):
@@ -847,12 +927,14 @@ def zone_series(spark, sf_dir):
 
 @query
 def forecast_sarma(spark, sf_dir):
-    return models.forecast_sarma(zone_series(spark, sf_dir), 30, key="zone")
+    ahead = models.forecast_sarma(known_series(spark, sf_dir, 0.25), 30, key="zone")
+    return ahead.withColumn("forecast", F.round("forecast", 3)).filter("note IS NULL").drop("note")
 
 
 @query
 def forecast_holtwinters(spark, sf_dir):
-    return models.forecast_holtwinters(zone_series(spark, sf_dir), 30, key="zone")
+    ahead = models.forecast_holtwinters(known_series(spark, sf_dir, 0.0), 30, key="zone")
+    return ahead.withColumn("forecast", F.round("forecast", 3)).filter("note IS NULL").drop("note")
 
 
 @query
@@ -872,9 +954,10 @@ def forecast_job(spark, sf_dir):
     forecasting.run_forecast(spark, stored, root, "additive", "total_trips", 30, 2, AS_OF)
     view = readlayer.daily_view(stored, None, days=90, min_trips=MIN_TRIPS)
     page = forecasting.forecast_page(spark, root, view)
-    return page.groupBy("kind").agg(F.count(F.lit(1)).alias("days"), F.min("date").alias("first"), F.max("date").alias("last"))
+    return page.select("kind", "date", "value", (F.col("predicted") > 0).alias("has_forecast"))
 
 
 @query
 def forecast_gbt(spark, sf_dir):
-    return models.forecast_gbt(stored_training(spark, sf_dir), 30)
+    days = stored_training(spark, sf_dir).select("ds", weekday_steps().alias("y"))
+    return models.forecast_gbt(days, 30).withColumn("forecast", F.round("forecast", -1))

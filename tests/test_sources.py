@@ -129,8 +129,8 @@ def test_lookup_side_beyond_the_bound_is_not_broadcast(spark):
     from farelake.functions.sizing import broadcast_if_small
 
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in plan(broadcast_if_small(spark.range(5), max_rows=5))
-    assert "ResolvedHint" not in plan(broadcast_if_small(spark.range(6), max_rows=5))
+    assert "ResolvedHint" in plan(broadcast_if_small(spark.range(5), max_bytes=40))
+    assert "ResolvedHint" not in plan(broadcast_if_small(spark.range(6), max_bytes=40))
 
 
 def test_csv_and_json(spark, tmp_path):
