@@ -917,7 +917,7 @@ def known_series(spark, sf_dir, slope):
 @query
 def forecast_additive(spark, sf_dir):
     ahead = models.forecast_additive(known_series(spark, sf_dir, 0.25), 30, ridge=1e-9, key="zone")
-    return ahead.withColumn("forecast", F.round("forecast", 1))
+    return ahead.withColumn("forecast", F.round("forecast", 2))
 
 
 def zone_series(spark, sf_dir):
