@@ -58,8 +58,8 @@ def cell(number: Column) -> Column:
     return (F.ceil(number / step) * step).cast("long")
 
 
-def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
-    """The rows with the largest values of `count`, at most `most` of them; rows of one cell stay together."""
+def least_cell(df: DataFrame, count: str, most: int) -> int | None:
+    """The least `cell` of `count` with at most `most` rows in it and above; None if there is none."""
     cells = df.groupBy(cell(F.col(count)).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
     least, held = None, 0
     for row in cells:
@@ -67,6 +67,12 @@ def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
         if held > most:
             break
         least = row["c"]
+    return least
+
+
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the largest values of `count`, at most `most` of them; rows of one cell stay together."""
+    least = least_cell(df, count, most)
     return df.where(F.lit(False) if least is None else cell(F.col(count)) >= least)
 
 

@@ -7,16 +7,17 @@ escape estimate is method C: of n symbols seen in a context, d of them different
 empty context all symbols not seen at all are equally likely. So every document has a probability, and the
 probabilities of the symbols after any context sum to 1.
 
-Counts are taken over all training documents: those whose crc32(doc_id as text) mod 5 is not 1. The trie holds the
-contexts with the largest counts, at most `CONTEXTS` of them, the parameter that bounds the model's memory
-(tables of transitions and scores, CONTEXTS times the symbols seen, 68 MB at most). A context's suffixes and prefixes are at least as frequent, so
-what is held is a trie, whatever the bound.
+Counts are taken over all training documents: those whose crc32(doc_id as text) mod 5 is not 1. Every context that
+occurs in them is held, so the model grows with the corpus. No task holds all of it: a symbol's score depends on the
+`ORDER` symbols before it alone, so each different context with its symbol (a gram) is scored once, in groups of the
+contexts that share their last two symbols. Scores of the frequent grams are sent to all tasks (at most `FREQUENT`),
+the others are joined, one row for each gram of a document. In a context's shorter one all of its symbols are known, so
+what is excluded there is known from two sums a context.
 
-The trie becomes an automaton, in which the state is the longest held context. Documents are cut into chunks that are
-scored side by side; a chunk starts by reading the `ORDER` symbols before it, after which its state is the
-right one, so cutting changes no score.
+`most` holds only the most frequent contexts instead, with their suffixes, which are at least as frequent; `automaton` is
+the same model as a table of transitions, for few contexts.
 
-Beside it there is a word model for comparison: see `scored`. Words and contexts are counted per task before they are
+Beside it there is a word model for comparison: see `scored`. Words and grams are counted per task before they are
 shuffled; counts of frequent words are sent to all tasks (at most `FREQUENT`), the others are joined.
 
 Edge cases: a null text is empty and consists of the end alone. A null doc_id belongs to the training documents.
@@ -35,14 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import LOWER, UPPER, most_frequent, prepare, stored
+from farelake.llm.common import FINE, LOWER, UPPER, least_cell, most_frequent, prepare, stored
 
 ORDER = 5
-CONTEXTS = 1 << 15
 FREQUENT = 1 << 19
 CHUNK = 512
 #: Symbols or words that a task gathers before it counts them.
 GATHERED = 1 << 21
+#: Bytes of text that are scored at a time, but at least one text.
+SCORED = 1 << 20
 REMEMBERED = 1 << 18
 END = 256
 SYMBOLS = 257
@@ -88,44 +90,124 @@ def context_keys(texts: list[bytes], order: int) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """(word, key, n): how often a word (by fingerprint) or a context with its symbol occurs."""
+    """(word, key, n): how often a word (by fingerprint) or a gram occurs in training; grams held out have a 0."""
     words = _Words()
-    held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    held: dict[str, list[np.ndarray]] = {"word": [], "gram": [], "other": []}
 
-    def out(word: bool):
-        keys, n = np.unique(np.concatenate(held[word]), return_counts=True)
-        held[word] = []
-        return pa.record_batch({"word": pa.array(np.full(len(keys), word)), "key": keys, "n": n.astype(np.int64)})
+    def out(kind: str):
+        keys, n = np.unique(np.concatenate(held[kind]), return_counts=True)
+        held[kind] = []
+        return pa.record_batch({
+            "word": pa.array(np.full(len(keys), kind == "word")), "key": keys,
+            "n": np.zeros(len(keys), dtype=np.int64) if kind == "other" else n.astype(np.int64)})
 
     for batch in batches:
         texts = [(t or b"").translate(_FOLD) for t in batch["text"].to_pylist()]
-        if texts:
-            held[False].append(context_keys(texts, order))
-            held[True].append(np.concatenate([_word_keys(t, words) for t in texts]))
-        for word in (True, False):
-            if sum(map(len, held[word])) >= GATHERED:
-                yield out(word)
-    for word in (True, False):
-        if held[word]:
-            yield out(word)
+        apart = batch["held_out"].to_pylist()
+        train, other = [t for t, o in zip(texts, apart) if not o], [t for t, o in zip(texts, apart) if o]
+        if train:
+            held["gram"].append(context_keys(train, order))
+            held["word"].append(np.concatenate([_word_keys(t, words) for t in train]))
+        if other:
+            held["other"].append(np.unique(context_keys(other, order)))
+        for kind in held:
+            if sum(map(len, held[kind])) >= GATHERED:
+                yield out(kind)
+    for kind in held:
+        if held[kind]:
+            yield out(kind)
 
 
-def trie_entries(contexts: DataFrame, order: int, most: int) -> list[np.ndarray]:
-    """Arrays (k, context, symbol, n) of the at most `most` most frequent contexts, of all lengths k.
+def _mask(symbols: int) -> int:
+    return (1 << _BITS * symbols) - 1
 
-    contexts: (key, n).
-    """
-    def shorter(keep: Column) -> DataFrame:
-        return contexts.select("key", "n", F.explode(F.array(*map(F.lit, range(order + 1)))).alias("k")).select(
-            "k", F.expr(f"shiftright(key, {_BITS}) & (shiftleft(1L, {_BITS} * k) - 1)").alias("context"),
-            F.col("key").bitwiseAND((1 << _BITS) - 1).alias("symbol"), "n").where(keep)
 
-    totals = stored(shorter(F.col("k") > 0).groupBy("k", "context").agg(F.sum("n").alias("n")), "totals")
-    kept = stored(most_frequent(totals, "n", most).select("k", "context"), "contexts")
-    rows = shorter(F.lit(True)).join(F.broadcast(kept.unionByName(  # at most `most` rows
-        kept.sparkSession.sql("SELECT 0 AS k, 0L AS context"))), ["k", "context"])
-    table = rows.groupBy("k", "context", "symbol").agg(F.sum("n").alias("n")).orderBy("k", "context", "symbol").toArrow()
-    return [table[c].to_numpy() for c in ("k", "context", "symbol", "n")]
+def _places(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted `known`, whether it is there) of each wanted key."""
+    if not len(known):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+    place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return place, known[place] == wanted
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(inverse, weights=n, minlength=len(distinct))
+
+
+def gram_scores(
+    keys: np.ndarray, n: np.ndarray, order: int, shared: list[tuple[np.ndarray, np.ndarray]], least: int | None = None
+) -> np.ndarray:
+    """log10 probability of each gram's symbol after its context.
+
+    keys, n: all grams whose contexts share their last len(shared) symbols, with their counts. shared: for each
+    shorter length of contexts, keys and counts of all contexts of it with their symbols. least: only contexts with such
+    a `cell` of their count are held, and the empty one.
+    """
+    levels = []  # (entries, counts, contexts, totals, kinds, sum of the shorter context's counts of the same symbols)
+    for k in range(order + 1):
+        if k < len(shared):
+            entry, count = shared[k]
+        else:
+            entry, count = _summed(keys[n > 0] & _mask(k + 1), n[n > 0])
+        context, first = np.unique(entry >> _BITS, return_index=True)
+        bounds = np.r_[first, len(entry)].astype(np.int64)
+        total, kinds = np.diff(np.r_[0.0, np.cumsum(count)][bounds]), np.diff(bounds)
+        same = np.zeros(len(context))
+        if k:
+            place, known = _places(levels[-1][0], entry & _mask(k))
+            up = np.where(known, levels[-1][1][place], 0) if len(levels[-1][1]) else np.zeros(len(entry))
+            same = np.diff(np.r_[0.0, np.cumsum(up)][bounds])
+        levels.append((entry, count, context, total, kinds, same))
+    chance = np.zeros(len(keys))
+    done = np.zeros(len(keys), dtype=bool)
+    gone, gone_kinds = np.zeros(len(keys)), np.zeros(len(keys), dtype=np.int64)  # what is excluded
+    for k in range(order, -1, -1):
+        entry, count, context, total, kinds, same = levels[k]
+        if not len(context):
+            continue
+        place, here = _places(context, (keys >> _BITS) & _mask(k))
+        if least is not None and k:
+            step = 2.0 ** np.floor(np.log2(np.maximum(total, FINE) / FINE))
+            here &= (np.ceil(total / step) * step >= least)[place]
+        here &= ~done
+        more = kinds[place] - gone_kinds
+        below = total[place] - gone + np.where(kinds[place] == SYMBOLS, 0, more)
+        at, seen = _places(entry, keys & _mask(k + 1))
+        hit = here & seen
+        chance[hit] += np.log10(count[at[hit]] / below[hit])
+        missed = here & ~seen & (more > 0)
+        chance[missed] += np.log10(more[missed] / below[missed])
+        gone, gone_kinds = np.where(here, same[place], gone), np.where(here, kinds[place], gone_kinds)
+        done |= hit
+    chance[~done] -= np.log10(SYMBOLS - gone_kinds[~done])
+    return chance
+
+
+def scored_grams(grams: DataFrame, order: int, most: int | None = None) -> DataFrame:
+    """(key, n, chance) of every gram (key, n), its key being the context and the symbol: see `gram_scores`."""
+    def shorter(k: int) -> Column:
+        return F.expr(f"shiftright(key, {_BITS})").bitwiseAND(F.lit(_mask(k)))
+
+    trained = grams.where("n > 0")
+    least = None
+    if most is not None:
+        lengths = [F.struct(F.lit(k).alias("k"), shorter(k).alias("context")) for k in range(1, order + 1)]
+        totals = trained.select(F.explode(F.array(*lengths)).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
+        least = least_cell(totals, "n", most)
+        least = np.inf if least is None else least
+    common = min(order, 2)
+    shared = []
+    for k in range(common):  # at most SYMBOLS ** 2 rows
+        table = trained.groupBy(F.col("key").bitwiseAND(F.lit(_mask(k + 1))).alias("key")).agg(
+            F.sum("n").cast("double").alias("n")).toArrow().sort_by("key")
+        shared.append((table["key"].to_numpy(), table["n"].to_numpy()))
+
+    def of_group(group):  # Spark evaluates annotations
+        keys, n = group["key"].to_numpy(), group["n"].to_numpy()
+        return pa.table({"key": keys, "n": n, "chance": gram_scores(keys, n, order, shared, least)})
+
+    return grams.groupBy(shorter(common).alias("last")).applyInArrow(of_group, "key long, n long, chance double")
 
 
 def automaton(k: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,34 +292,45 @@ def automaton_scores(
     return np.bincount(np.array(owners)[by_length], weights=total, minlength=len(texts))
 
 
+def _looked_up(each: list[np.ndarray], keys: np.ndarray, chances: np.ndarray):
+    """(sum of the known chances, number of the known, the other keys, how often each) of every array of keys."""
+    base, known, rare, times = [], [], [], []
+    for own in each:
+        distinct, n = np.unique(own, return_counts=True)
+        place, found = _places(keys, distinct)
+        base.append(float(chances[place[found]] @ n[found]))
+        known.append(int(n[found].sum()))
+        rare.append(distinct[~found])
+        times.append(n[~found])
+    return base, known, rare, times
+
+
 def _scores(batches: Iterator[pa.RecordBatch], model, order: int) -> Iterator[pa.RecordBatch]:
-    """The model's score, and of the words those with known counts summed up and the others listed."""
+    """Of the grams and the words those with frequent scores summed up and the others listed."""
     words = _Words()
+    lists = pa.list_(pa.int64())
     for batch in batches:
-        columns, follow, score, keys, chances = model.value
+        grams, gram_chances, keys, chances = model.value
         texts = [(t or b"").translate(_FOLD) for t in batch["text"].to_pylist()]
-        if not texts:
-            continue
-        each = [_word_keys(t, words) for t in texts]
-        sizes = np.array([len(w) for w in each])
-        tokens, owner = np.concatenate(each), np.repeat(np.arange(len(each)), sizes)
-        place = np.minimum(np.searchsorted(keys, tokens), max(len(keys) - 1, 0))
-        known = keys[place] == tokens if len(keys) else np.zeros(len(tokens), dtype=bool)
-        base = np.bincount(owner[known], weights=chances[place[known]], minlength=len(texts))
-        rare, times = [], []
-        order_of = np.split(tokens[~known], np.cumsum(np.bincount(owner[~known], minlength=len(texts)))[:-1])
-        for own in order_of:
-            distinct, n = np.unique(own, return_counts=True)
-            rare.append(distinct)
-            times.append(n)
-        yield pa.record_batch({
-            "doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": pa.array(sizes, pa.int64()),
-            "score": automaton_scores(texts, columns, follow, score, order), "base": base,
-            "known": pa.array(np.bincount(owner[known], minlength=len(texts)), pa.int64()),
-            "rare": pa.array(rare, pa.list_(pa.int64())), "times": pa.array(times, pa.list_(pa.int64()))})
-
-
-def scored(docs: DataFrame, order: int = ORDER, most: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+        begin = 0
+        while begin < len(texts):
+            end, size = begin + 1, len(texts[begin])
+            while end < len(texts) and size + len(texts[end]) <= SCORED:
+                size += len(texts[end])
+                end += 1
+            some = batch.slice(begin, end - begin)
+            each = [_word_keys(t, words) for t in texts[begin:end]]
+            base, known, rare, times = _looked_up(each, keys, chances)
+            score, _, rare_grams, gram_times = _looked_up([context_keys([t], order) for t in texts[begin:end]], grams, gram_chances)
+            yield pa.record_batch({
+                "doc_id": some["doc_id"], "held_out": some["held_out"], "n_tokens": pa.array([len(w) for w in each], pa.int64()),
+                "score": pa.array(score, pa.float64()), "base": pa.array(base, pa.float64()), "known": pa.array(known, pa.int64()),
+                "rare": pa.array(rare, lists), "times": pa.array(times, lists),
+                "rare_grams": pa.array(rare_grams, lists), "gram_times": pa.array(gram_times, lists)})
+            begin = end
+
+
+def scored(docs: DataFrame, order: int = ORDER, most: int | None = None, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of `docs` (doc_id, text).
 
     score: log10 probability of the text under the model. base_score: the same under a model of single words,
@@ -247,25 +340,32 @@ def scored(docs: DataFrame, order: int = ORDER, most: int = CONTEXTS, frequent:
     spark = prepare(docs.sparkSession)
     texts = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("text"))
     counts = stored(
-        texts.where("not held_out").select("text").mapInArrow(partial(_counts, order=order), "word boolean, key long, n long")
+        texts.select("held_out", "text").mapInArrow(partial(_counts, order=order), "word boolean, key long, n long")
         .groupBy("word", "key").agg(F.sum("n").alias("n")), "counts")
     of_words = counts.where("word").select("key", "n")
     total, different = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     below = total + 0.5 * (different + 1)
-    common = most_frequent(of_words, "n", frequent).toArrow()
-    by_key = np.argsort(common["key"].to_numpy())
-    keys, chances = common["key"].to_numpy()[by_key], np.log10((common["n"].to_numpy()[by_key] + 0.5) / below)
-    columns, follow, score = automaton(*trie_entries(counts.where("not word").select("key", "n"), order, most))
-    model = spark.sparkContext.broadcast((columns, follow, score, keys, chances))
+    common = most_frequent(of_words, "n", frequent).toArrow().sort_by("key")
+    keys, chances = common["key"].to_numpy(), np.log10((common["n"].to_numpy() + 0.5) / below)
+    of_grams = stored(scored_grams(counts.where("not word").select("key", "n"), order, most), "grams")
+    common = most_frequent(of_grams, "n", frequent).select("key", "chance").toArrow().sort_by("key")
+    model = spark.sparkContext.broadcast((common["key"].to_numpy(), common["chance"].to_numpy(), keys, chances))
     rows = stored(texts.mapInArrow(
         partial(_scores, model=model, order=order),
-        "doc_id long, held_out boolean, n_tokens long, score double, base double, known long, rare array<long>, times array<long>",
+        "doc_id long, held_out boolean, n_tokens long, score double, base double, known long, rare array<long>, times array<long>, "
+        "rare_grams array<long>, gram_times array<long>",
     ).withColumn("row", F.monotonically_increasing_id()), "scores")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
-        "row", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
+
+    def listed(keys: str, times: str) -> DataFrame:
+        return rows.select("row", F.explode(F.arrays_zip(F.col(keys).alias("key"), F.col(times).alias("times"))).alias("r")).select("row", "r.key", "r.times")
+
     chance = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(below))
-    rest = rare.join(of_words, "key", "left").groupBy("row").agg(
+    rest = listed("rare", "times").join(of_words, "key", "left").groupBy("row").agg(
         F.sum(F.col("times") * chance).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("also"))
-    return rows.drop("rare", "times").join(rest, "row", "left").select(
+    # Every gram of a document has a score, whether it occurs in training or not.
+    rest_grams = listed("rare_grams", "gram_times").join(of_grams.select("key", "chance"), "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("chance")).alias("more_score"))
+    return rows.drop("rare", "times", "rare_grams", "gram_times").join(rest, "row", "left").join(rest_grams, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))

@@ -107,5 +107,19 @@ def test_documents(spark):
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-5)
 
 
+def test_every_context_is_used(spark):
+    """Half of the contexts occur once and are more than any fixed number of frequent ones would leave room for."""
+    rng = random.Random(11)
+    rows = [(i, "".join(rng.choice("abcdefghij ") for _ in range(600))) for i in range(100)]
+    train = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = plain_model(train, 5)
+    held = {k for k in counts if k}
+    assert len(held) > 1 << 15
+    got = {r["doc_id"]: r["score"] for r in ppm.scored(spark.createDataFrame(rows, "doc_id long, text string"), frequent=500).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert got[i] == pytest.approx(plain_score(counts, t.encode(), 5, held), rel=1e-9)
+
+
 def test_empty_table(spark):
     assert ppm.scored(spark.createDataFrame([], "doc_id long, text string")).count() == 0
