@@ -4,12 +4,14 @@ Rules name a host and a path. A rule fits a URL if its host is the URL's or a pa
 starts with the rule's; the longest rule that fits decides.
 
 Other URLs go by their host. Hosts with allowed pages are seeds of trust and hosts with blocked pages are seeds of
-distrust, both in proportion to the number of such pages. Personalised PageRank carries trust along the edges between
+distrust, both in proportion to the number of such pages, and both are measured in pages when they are compared. Personalised PageRank carries trust along the edges between
 hosts and distrust against them (who links to a bad host is suspect). Edges are absolute links in the
 pages' href and src attributes, weighted by the number of pages with such a link, and, with the weight of one
-page, the steps between a host and its parent domain, by which a site vouches for its subdomains. A host is blocked if
-its share of distrust exceeds `threshold` of its trust and distrust together; a host that neither reaches
-is allowed.
+page, the steps between a host and its parent domain, by which a site vouches for its subdomains. Steps end at the
+registrable domain (two labels, or three under a suffix such as co.uk), since above it hosts have nothing in common;
+addresses in digits have no parents. A host is blocked if its share of distrust exceeds `threshold` of its trust and
+distrust together; a host that neither reaches is allowed. So is one without evidence: if neither it nor a parent
+has a judged page or a link, all that reaches it comes from other subdomains of its site.
 
 Host edges are aggregated before anything else, so the iteration moves rows per host and edge, not per page.
 Each iteration is written to the shared folder.
@@ -39,6 +41,9 @@ DAMPING = 0.85
 STEPS = 43
 THRESHOLD = 0.5
 PARENT_WEIGHT = 1.0
+#: Endings of two labels under which domains are registered, and addresses, which have no parents.
+SUFFIX = r"(^|\.)(co|com|net|org|gov|edu|ac)\.[a-z]{2}(:\d+)?$"
+ADDRESS = r"^\[|(^|\.)\d+(:\d+)?$"
 
 
 def url_host(url: Column) -> Column:
@@ -60,17 +65,27 @@ def by_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return rule, verdict
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(src, dst, weight) between different hosts. hosts: (host) of all pages."""
-    target = url_host(F.col("link"))
+def with_parents(host: Column) -> Column:
+    """The host and its parents down to the registrable domain: a.b.c.d has b.c.d and c.d."""
+    labels = F.split(host, r"\.")
+    least = F.when(host.rlike(SUFFIX), 3).otherwise(2)
+    last = F.when(host.rlike(ADDRESS), 1).otherwise(F.greatest(F.size(labels) - least + 1, F.lit(1)))
+    return F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def link_edges(pages: DataFrame) -> DataFrame:
+    """(src, dst, weight) between different hosts, the weight being the pages of src with a link to dst."""
     links = pages.select(url_host(F.col("url")).alias("src"), F.explode(F.array_distinct(F.regexp_extract_all(
         F.coalesce("html", F.lit("")), F.lit(r"""(?i)(?:href|src)\s*=\s*["']?\s*([a-z][a-z0-9+.-]*://[^"'\s>]+)"""), F.lit(1)))).alias("link"))
-    links = links.select("src", target.alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(
+    return links.select("src", url_host(F.col("link")).alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(
         F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def host_edges(pages: DataFrame, hosts: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """(src, dst, weight) between different hosts. hosts: (host) of all pages."""
+    links = link_edges(pages) if links is None else links
     known = hosts.select("host").unionByName(links.select(F.col("dst").alias("host"))).where("host <> ''").distinct()
-    # All parents of a host down to the last label: a.b.c has b.c and c.
-    labels = F.split("host", r"\.")
-    chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    chain = with_parents(F.col("host"))
     steps = known.select(F.explode(F.filter(F.transform(
         chain, lambda c, i: F.struct(c.alias("src"), F.get(chain, i + 1).alias("dst"))), lambda s: s["dst"].isNotNull())).alias("s"))
     steps = steps.select("s.src", "s.dst").distinct().withColumn("weight", F.lit(PARENT_WEIGHT))
@@ -118,9 +133,18 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, th
         F.count_if(F.col("says") == "allow").cast("double").alias("trust"),
         F.count_if(F.col("says") == "block").cast("double").alias("distrust")), "hosts")
     seeds = hosts.where("host <> '' and trust + distrust > 0")
-    ranks = propagated(stored(host_edges(pages, hosts), "edges"), seeds)
-    judged = placed.join(ranks, "host", "left")
-    bad = F.coalesce(F.col("distrust") > threshold * (F.col("trust") + F.col("distrust")), F.lit(False))
+    links = stored(link_edges(pages), "links")
+    ranks = propagated(stored(host_edges(pages, hosts, links), "edges"), seeds)
+    totals = seeds.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
+    evident = seeds.select("host").unionByName(links.select(F.explode(F.array("src", "dst")).alias("host"))).distinct()
+    evident = hosts.where("host <> ''").select("host", F.explode(with_parents(F.col("host"))).alias("at")).join(
+        evident.withColumnRenamed("host", "at"), "at", "left_semi").select("host").distinct()
+    distrust = F.col("distrust") * F.lit(float(totals["d"] or 0))  # in pages, as they are counted
+    bad = distrust > threshold * (F.col("trust") * F.lit(float(totals["t"] or 0)) + distrust)
+    suspects = ranks.join(evident.withColumn("evident", F.lit(True)), "host", "left").select(
+        "host", "trust", "distrust", (F.coalesce("evident", F.lit(False)) & bad).alias("bad"))
+    judged = placed.join(suspects, "host", "left")
+    bad = F.coalesce("bad", F.lit(False))
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("says", F.when(bad, "block").otherwise("allow")).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

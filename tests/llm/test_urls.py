@@ -80,3 +80,21 @@ def test_pages(spark):
     assert edges[("deep.farm.net", "farm.net")] == edges[("farm.net", "deep.farm.net")] == 1
     assert ("good.org", "good.org") not in edges
     assert urls.url_verdicts(pages.where("false")).count() == 0
+
+
+def test_hosts_of_one_ending_are_judged_apart(spark):
+    urls_of = ["http://mixed.com/fr/1"] * 14 + ["http://mixed.com/de/1"] * 7 + ["http://bad.com/de/1"] * 5 + ["http://a.org/x"] * 90
+    asked = {
+        "http://mixed.com/x": "allow", "http://bad.com/x": "block", "http://sub.bad.com/x": "block", "http://other.com/x": "allow",
+        "http://quiet.farm.com/x": "allow", "http://loud.farm.com/x": "block"}
+    rows = [(i, u, None) for i, u in enumerate([*urls_of, *["http://loud.farm.com/de/1"] * 5, *asked])]
+    got = urls.url_verdicts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    found = {r["page_id"]: r["verdict"] for r in got.where("rule is null").collect()}
+    assert {u: found[i] for i, u, _ in rows if u in asked} == asked
+
+
+def test_parents(spark):
+    cases = {"a.b.c.d": ["a.b.c.d", "b.c.d", "c.d"], "x.com": ["x.com"], "com": ["com"], "a.b.co.uk": ["a.b.co.uk", "b.co.uk"], "co.uk": ["co.uk"],
+             "10.0.0.1": ["10.0.0.1"], "10.0.0.1:80": ["10.0.0.1:80"], "w.x.net:80": ["w.x.net:80", "x.net:80"]}
+    df = spark.createDataFrame([(h,) for h in cases], "host string")
+    assert {r["host"]: r["p"] for r in df.select("host", urls.with_parents(F.col("host")).alias("p")).collect()} == cases
