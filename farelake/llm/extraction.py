@@ -5,9 +5,9 @@ largest sum, found in one linear scan, is the content region. The scores are log
 counted on labelled pages, of which at most `LABELLED` are used: pages with their known text.
 
 Words inside elements that are boilerplate by their name, role, class or id (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments) score nothing and are left out of the region's text. If most of the
-region lies in an <article> or <main>, the region is the whole of that element: what the author marked is neither
-cut short at a list of links nor mixed with what stands around it.
+notices, adverts, forms, reader comments) score nothing and are left out of the region's text. The region is then
+extended to the whole of every <article> or <main> that directly holds one of its words: what the author marked is not
+cut short at a list of links, and nothing the scan chose is dropped.
 
 Character references are decoded. White space inside a block becomes one space, blocks are joined by a line feed.
 
@@ -135,6 +135,23 @@ def page_tokens(page: str) -> Iterator[tuple[str, str, int]]:
         yield text(page[last:])
 
 
+def spanned_tokens(page: str) -> tuple[list[tuple[str, str, int]], dict[int, tuple[int, int]]]:
+    """The tokens of a page, and for each <article> or <main> the first of its tokens and the one after its last."""
+    tokens, spans, open_ones = [], {}, []
+    for i, token in enumerate(page_tokens(page)):
+        tokens.append(token)
+        kind, value, holder = token
+        while open_ones and open_ones[-1] > holder:  # numbers grow with depth
+            number = open_ones.pop()
+            spans[number] = (spans[number][0], i)
+        if holder and (not open_ones or open_ones[-1] < holder):
+            open_ones.append(holder)
+            spans[holder] = (i, i + 1)
+    for number in open_ones:
+        spans[number] = (spans[number][0], len(tokens))
+    return tokens, spans
+
+
 def _squeezed(text: str) -> str:
     return " ".join(text.split())
 
@@ -169,7 +186,7 @@ def main_text(page: str | None, scores: dict[str, float]) -> str:
     """Text of the best region of a page."""
     if not page:
         return ""
-    tokens = list(page_tokens(page))
+    tokens, spans = spanned_tokens(page)
     best, best_from, best_to = 0.0, 0, 0
     total, begin = 0.0, 0
     words = []
@@ -184,14 +201,9 @@ def main_text(page: str | None, scores: dict[str, float]) -> str:
             total, begin = 0.0, i + 1
         elif total > best:
             best, best_from, best_to = total, begin, i + 1
-    held: Counter = Counter()
-    for i in range(best_from, best_to):
-        held[tokens[i][2]] += words[i]
-    if held:
-        holder, most = held.most_common(1)[0]
-        if holder and 2 * most > sum(held.values()):
-            places = [i for i, t in enumerate(tokens) if t[2] == holder]
-            best_from, best_to = places[0], places[-1] + 1
+    touched = {tokens[i][2] for i in range(best_from, best_to) if words[i]}
+    for begin, end in (spans[h] for h in touched if h):
+        best_from, best_to = min(best_from, begin), max(best_to, end)
     blocks, block = [], []
     for kind, value, _ in tokens[best_from:best_to]:
         if kind == "tag":

@@ -100,3 +100,16 @@ def test_given_pages(spark):
         want = "\n".join(filter(None, (" ".join(x.split()) for x in texts[number].split("\n"))))
         title, _, body = r["text"].partition("\n")
         assert body == want and want.startswith(title[:30])
+
+
+P, Q = words(100), words(120)
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"{HEAD}<main><p>{P}</p><article><p>{Q}</p></article></main>{FOOT}", f"{P}\n{Q}"),
+    (f"{HEAD}<main><article><p>{Q}</p></article><p>{P}</p></main>{FOOT}", f"{Q}\n{P}"),
+    (f"{HEAD}<article><p>{Q}</p></article><article><p>{P}</p></article>{FOOT}", f"{Q}\n{P}"),
+    (f"{HEAD}<article><p>{Q}</p></article><p>{P}</p>{FOOT}", f"{Q}\n{P}"),
+])
+def test_text_outside_one_holder(html, text):
+    assert extraction.main_text(html, SCORES) == text
