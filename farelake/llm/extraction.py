@@ -5,14 +5,16 @@ largest sum, found in one linear scan, is the content region. The scores are log
 counted on labelled pages, of which at most `LABELLED` are used: pages with their known text.
 
 Words inside elements that are boilerplate by their name, role, class or id (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments) score nothing and are left out of the region's text. The region is then
+notices, adverts, forms, reader comments) score nothing and are left out of the region's text. A class or id is weighed
+against the words inside: an element that holds most words of its <article> or <main>, or, outside of them, most of
+theirs (of the page's if there are none), and not mainly links, is content whatever it is called. The region is then
 extended to the whole of every <article> or <main> that directly holds one of its words: what the author marked is not
 cut short at a list of links, and nothing the scan chose is dropped.
 
 Character references are decoded. White space inside a block becomes one space, blocks are joined by a line feed.
 
 Edge cases: null or empty html, and pages without words outside boilerplate, have an empty text. Unclosed elements end
-with their parent; an unclosed comment or script runs to the end; other text that isn't well-formed markup
+with their parent, paragraphs, list items and cells where the next one begins; an unclosed comment or script runs to the end; other text that isn't well-formed markup
 is text. Of regions with equal scores the first is taken. Repeated rows are extracted each. An empty table gives
 no rows. Whole pages are read, in linear time. Other columns of the input are not looked at.
 """
@@ -51,6 +53,12 @@ MARKS = set(
     "breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget related recommended cookie cookies consent "
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social comment "
     "comments commentlist disqus respond reply replies toolbar pagination pager copyright disclaimer search form".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: The open elements that each of these ends.
+ENDED_BY = {
+    "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
+    "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "tbody": {"td", "th", "tr", "thead", "tbody"},
+    "tfoot": {"td", "th", "tr", "thead", "tbody"}}
 #: Never boilerplate by their class: they hold the content.
 HOLDERS = {"html", "body", "main", "article"}
 
@@ -69,21 +77,51 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
+    """By name or role, whatever it holds."""
     if name in HOLDERS:
         return False
     if name in BOILERPLATE and not (name == "header" and in_article):
         return True
-    if not attributes:
-        return False
     for key, *values in _MARKED.findall(attributes):
-        key, value = key.lower(), "".join(values)
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id") and not MARKS.isdisjoint(_PART.findall(_CAMEL.sub(" ", value).lower())):
+        key, value = key.lower(), "".join(values).lower()
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
             return True
     return False
 
 
+def is_marked(name: str, attributes: str, in_article: bool) -> bool:
+    """By class or id, which `page_tokens` weighs against the words inside. A heading heads what follows it."""
+    if not attributes or name in HOLDERS or name in HEADINGS:
+        return False
+    for key, *values in _MARKED.findall(attributes):
+        if key.lower() in ("class", "id"):
+            parts = MARKS.intersection(_PART.findall(_CAMEL.sub(" ", "".join(values)).lower()))
+            if parts - {"header"} or parts and not in_article:
+                return True
+    return False
+
+
+class _Weights:
+    """Words of the marked elements of a page, which are numbered, and of what they are weighed against."""
+
+    def __init__(self):
+        self.all = self.link = self.held = 0
+        self.holders: dict[int, list[int]] = {}  # number: words at its begin, and then inside
+        self.marked: list[list[int]] = []  # holder, and the three sums, which turn from those before into those inside
+
+    def sums(self) -> list[int]:
+        return [self.all, self.link, self.held]
+
+    def content(self) -> set[int]:
+        """The marked elements that hold most of the words around them, not mainly links: they wrap content."""
+        out = set()
+        for number, (holder, words, links, held) in enumerate(self.marked):
+            own, scope = (words, self.holders[holder]) if holder else (held, self.held) if self.held else (words, self.all)
+            if 2 * own > scope and 2 * links <= words:
+                out.add(number)
+        return out
+
+
 def page_tokens(page: str) -> Iterator[tuple[str, str, int]]:
     """(kind, value, holder) in page order.
 
@@ -91,15 +129,46 @@ def page_tokens(page: str) -> Iterator[tuple[str, str, int]]:
     boilerplate; "tag": value is the tag's name, with a slash in front if it ends an element. holder is the number of the
     innermost <article> or <main>, 0 outside.
     """
+    weights = _Weights()
+    tokens = list(_tokens(page, set(), weights))
+    content = weights.content()
+    return iter(_tokens(page, content, _Weights()) if content else tokens)
+
+
+def _tokens(page: str, content: set[int], weights: _Weights) -> Iterator[tuple[str, str, int]]:
+    """See `page_tokens`. content: the marked elements that are no boilerplate."""
     stack: list[str] = []
     opened: Counter = Counter()
-    bad: list[int] = []  # depths of open boilerplate elements
+    blocks: list[int] = []  # depths of open block elements
+    hard: list[int] = []  # depths of open boilerplate elements by name or role
+    soft: list[tuple[int, int]] = []  # (depth, number) of open marked elements
+    bad: list[int] = []  # depths of open marked elements that are boilerplate
     holders: list[tuple[int, int]] = []  # (depth, number)
     number = last = 0
 
     def text(piece: str):
-        kind = "aside" if bad else "link" if opened["a"] else "word"
-        return kind, entities.unescape(piece), holders[-1][1] if holders else 0
+        kind = "aside" if hard or bad else "link" if opened["a"] else "word"
+        value = entities.unescape(piece)
+        if not hard:
+            n = len(value.split())
+            weights.all += n
+            weights.link += n if opened["a"] else 0
+            weights.held += n if holders else 0
+        return kind, value, holders[-1][1] if holders else 0
+
+    def close(depth: int):
+        """End all elements deeper than `depth`."""
+        while len(stack) > depth:
+            opened[stack.pop()] -= 1
+        for depths in (blocks, hard, bad):
+            while depths and depths[-1] > depth:
+                depths.pop()
+        while soft and soft[-1][0] > depth:
+            mark = weights.marked[soft.pop()[1]]
+            mark[1:] = [now - before for now, before in zip(weights.sums(), mark[1:])]
+        while holders and holders[-1][0] > depth:
+            ended = holders.pop()[1]
+            weights.holders[ended] = weights.all - weights.holders[ended]
 
     for m in _TOKEN.finditer(page):
         if m.start() > last:
@@ -113,26 +182,34 @@ def page_tokens(page: str) -> Iterator[tuple[str, str, int]]:
         attributes = m["rest"] or m["rest2"] or ""
         if ends:
             if opened[name]:
-                while True:
-                    top = stack.pop()
-                    opened[top] -= 1
-                    if top == name:
-                        break
-                while bad and bad[-1] > len(stack):
-                    bad.pop()
-                while holders and holders[-1][0] > len(stack):
-                    holders.pop()
+                depth = len(stack)
+                while stack[depth - 1] != name:
+                    depth -= 1
+                close(depth - 1)
         elif name not in VOID and not attributes.endswith("/"):
+            # An element whose end tag may be left out ends where one begins that it cannot hold.
+            while name in BLOCKS and blocks and (stack[blocks[-1] - 1] == "p" or stack[blocks[-1] - 1] in ENDED_BY.get(name, ())):
+                close(blocks[-1] - 1)
             stack.append(name)
             opened[name] += 1
+            if name in BLOCKS:
+                blocks.append(len(stack))
+            holder = holders[-1][1] if holders else 0
             if name in ("article", "main"):
                 number += 1
                 holders.append((len(stack), number))
+                weights.holders[number] = weights.all
             if is_boilerplate(name, attributes, bool(holders)):
-                bad.append(len(stack))
+                hard.append(len(stack))
+            elif is_marked(name, attributes, bool(holders)):
+                if len(weights.marked) not in content:
+                    bad.append(len(stack))
+                soft.append((len(stack), len(weights.marked)))
+                weights.marked.append([holder, *weights.sums()])
         yield "tag", ("/" if ends else "") + name, holders[-1][1] if holders else 0
     if last < len(page):
         yield text(page[last:])
+    close(0)
 
 
 def spanned_tokens(page: str) -> tuple[list[tuple[str, str, int]], dict[int, tuple[int, int]]]:

@@ -113,3 +113,16 @@ P, Q = words(100), words(120)
 ])
 def test_text_outside_one_holder(html, text):
     assert extraction.main_text(html, SCORES) == text
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"{HEAD}<div class='elementor-widget'><p>{P}</p><p>{Q}</p></div>{FOOT}", f"{P}\n{Q}"),
+    (f"{HEAD}<div class='widget'><article><p>{Q}</p></article></div>{FOOT}", Q),
+    (page(f"<div class='elementor-widget'><p>{P}</p></div>"), P),
+    (page(f"<header class='entry-header'><h1 class='entry-header'>{C}</h1></header><p>{A}</p>"), f"{C}\n{A}"),
+    (page(f"<p>{A}</p><p class='notice'>{C}<p>{B}</p>"), f"{A}\n{B}"),
+    (page(f"<p>{A}</p><ul><li class='ad'>{words(5)}<li>{C}</ul><p>{B}</p>"), f"{A}\n{C}\n{B}"),
+    (page(f"<p>{A}</p><table><tr><td class='ad'>x<td>{C}<tr><td>{B}</table>"), f"{A}\n{C}\n{B}"),
+])
+def test_marks_are_weighed_and_ended(html, text):
+    assert extraction.main_text(html, SCORES) == text
