@@ -914,6 +914,27 @@ def known_series(spark, sf_dir, slope):
     return days.select("zone", "ds", y.alias("y"))
 
 
+@query
+def forecast_additive_trips(spark, sf_dir):
+    return models.forecast_additive(stored_training(spark, sf_dir), 30)
+
+
+@query
+def forecast_sarma_trips(spark, sf_dir):
+    """Every zone's trips; a zone too short for the model has NULL and a note."""
+    return models.forecast_sarma(zone_series(spark, sf_dir), 30, key="zone")
+
+
+@query
+def forecast_holtwinters_trips(spark, sf_dir):
+    return models.forecast_holtwinters(zone_series(spark, sf_dir), 30, key="zone")
+
+
+@query
+def forecast_gbt_trips(spark, sf_dir):
+    return models.forecast_gbt(stored_training(spark, sf_dir), 30)
+
+
 @query
 def forecast_additive(spark, sf_dir):
     ahead = models.forecast_additive(known_series(spark, sf_dir, 0.25), 30, ridge=1e-9, key="zone")
