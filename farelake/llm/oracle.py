@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import chat, mixing, quality, warc
+from farelake.llm import chat, mixing, quality, spelling, warc
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -171,3 +171,73 @@ ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 20
 """
+
+
+#: CRC-32 of every byte, as the list t.
+_CRC_TABLE = """crc AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), i) ORDER BY i) AS t FROM range(0, 256) r(i))"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes; the table t is in scope."""
+    return (
+        f"xor(4294967295, list_reduce(list_transform(range(0, strlen({text})), "
+        f"lambda i: CAST('0x' || substring(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)), "
+        f"lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)))")
+
+
+_STATEMENTS["op12_conversation_trie"] = f"""
+WITH {_CRC_TABLE},
+turns AS (
+  SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+    len({words('text')}) AS w FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({{'d': d, 'w': w}} ORDER BY turn NULLS FIRST, d) AS turns FROM turns GROUP BY conv_id),
+shared AS (SELECT conv_id, turns, {_crc32('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM own, crc),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:h], a.turns[h + 1:]) AS turns
+  FROM shared a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+openings AS (
+  SELECT conv_id, len(turns) AS n, turns[1:d] AS path, d FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(path[d].w, 0) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM openings GROUP BY path, d),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children ON children.path = nodes.path),
+beneath AS (
+  SELECT path[1:a] AS path, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM counted) GROUP BY 1)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, b.n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN beneath b ON b.path = c.path LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[1:c.depth - 1]
+"""
+
+_STATEMENTS["op13_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({folded('text')}, '{spelling.RUN}')) AS run FROM documents),
+placed AS (SELECT id || ':' || run AS place, run, count(*) AS n FROM runs GROUP BY id, run),
+checked AS (SELECT run, n, {_crc32('place')} AS c FROM placed, crc),
+written AS (
+  SELECT CASE WHEN c % {spelling.SLIPS} = 0 THEN left(run, c % length(run)) || substring(run, c % length(run) + 2) ELSE run END AS word, n FROM checked),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM written WHERE length(word) >= {spelling.LEAST_CHARS} GROUP BY word
+  HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cuts AS (
+  SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b, b.n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b COLLATE "C") AS form, max(n) AS form_n FROM near GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form,
+    CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best ON best.a = words.word),
+chain(word, reached) AS (
+  SELECT word, word FROM formed UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.reached WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, reached AS root FROM chain JOIN formed f ON f.word = chain.reached WHERE f.form IS NULL)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN ends ON ends.word = formed.word
+"""

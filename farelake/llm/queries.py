@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import chat, extraction, jaccard, mixing, packing, ppm, quality, topk, urls, warc
+from farelake.llm import (
+    chat, extraction, jaccard, language, mixing, packing, ppm, quality, spelling, topk, trie, urls, warc,
+)
 from farelake.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +85,19 @@ def op7_lm_scoring(spark, sf_dir):
 def op9_exact_top_k(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_language_id(spark, sf_dir):
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    turns = trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.with_shared_openings(turns, family=20, most=4))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.counted_words(table(spark, sf_dir, "documents")))

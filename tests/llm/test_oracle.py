@@ -16,5 +16,5 @@ def test_matches(spark, name):
     assert differences(queries.registry()[name](spark, SF_DIR), SF_DIR, STATEMENTS[name]) == []
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registry()) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registry()) == list(range(1, 14))
