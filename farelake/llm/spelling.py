@@ -20,8 +20,12 @@ Words whose bound is 0 find all words whose bound isn't. Those among themselves
 dictionary of their own and shorter grams (`LENGTHS`). With grams of at most three characters no word of `LEAST_CHARS` characters
 has bound 0: of its seven characters with the marks, an edit leaves three on one side. So no pair is lost.
 
+Words of `LONG` characters and more look up four lists only: from each side the last gram that ends in the first half, and the
+last that ends a character earlier. An edit leaves one half as it is, and halves of near words differ by at most
+one character. So a word has at most as many entries as `LONG`, however long it is.
+
 Bounds: a dictionary has at most `MOST_GRAMS` entries per length; with more words, frequent means more than `LONGEST`.
-A word has at most as many entries as grams. All counts are combined before they are shuffled.
+All counts are combined before they are shuffled.
 
 Edge cases: null texts have no words. Rows without doc_id count as those whose doc_id is the empty text. Repeated rows
 count each. An empty table has no words. Other columns of the input are not looked at. Ties go to the word that is
@@ -30,7 +34,7 @@ smaller by code points.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial, reduce
 
@@ -49,6 +53,8 @@ SHORTEST = 2
 #: Longest grams of the rounds.
 LENGTHS = (8, 5, 4, 3)
 LONGEST = 512
+#: Characters from which a word looks up the lists at its middle. Words of just this length look up both kinds.
+LONG = 64
 MOST_GRAMS = 1 << 17
 #: Ends of a word; they can't be edited.
 OPEN, CLOSE = "\x02", "\x03"
@@ -73,6 +79,7 @@ def counted_words(docs: DataFrame, least_chars: int = LEAST_CHARS, least_count:
 def frequent_grams(words: DataFrame, longest: int, most_words: int = LONGEST) -> Frequent:
     """(side, place, gram) of the grams, shorter than `longest`, in more words than a list should hold."""
     spark = words.sparkSession
+    words = words.where(F.length("word") <= LONG)
     chars = words.agg(F.sum(F.length("word") + 2)).first()[0] or 0
     least = max(most_words, 2 * chars // MOST_GRAMS)
     marked = F.concat(F.lit(OPEN), "word", F.lit(CLOSE))
@@ -115,8 +122,9 @@ def bound(forward: list[int], backward: list[int], n: int) -> int:
 
 def lists(word: str, frequent: Frequent, longest: int) -> tuple[list[int], int]:
     """The word's lists to look up, and its bound."""
-    keys, ends = [], []
+    keys, ends, middle = [], [], []
     marked = OPEN + word + CLOSE
+    halves = (len(marked) // 2 - 1, len(marked) // 2)
     for side, s in enumerate((marked, marked[::-1])):
         own = [end for _, end in variable_grams(s, side, frequent, longest)]
         state, done = xxhash.xxh3_64(str(side)), 0
@@ -124,10 +132,14 @@ def lists(word: str, frequent: Frequent, longest: int) -> tuple[list[int], int]:
             state.update(s[done:end])
             done = end
             keys.append((-end, side, state.intdigest() - (1 << 63)))
+        if len(word) >= LONG:
+            middle += [keys[len(keys) - len(own) + bisect_right(own, half) - 1] for half in halves]
         ends.append(own)
-    least = bound(*ends, len(marked))
-    keys.sort()
-    return [key for *_, key in keys[:len(keys) - max(least, 1) + 1]], least
+    least, kept = 1, set(middle)
+    if len(word) <= LONG:
+        least = bound(*ends, len(marked))
+        kept |= set(sorted(keys)[:len(keys) - max(least, 1) + 1])
+    return sorted({key for *_, key in kept}), least
 
 
 def _listed(batches: Iterator[pa.RecordBatch], frequent: Frequent, longest: int) -> Iterator[pa.RecordBatch]:

@@ -52,7 +52,7 @@ def test_brute_force(spark, lengths, most_words):
 @pytest.mark.parametrize("longest,most_words", [(8, 10), (4, 3), (3, 0)])
 def test_bounds_hold(longest, most_words):
     """Near words have at least as many lists in common as either bound, and meet in one that is looked up."""
-    counts = words(longest, 250)
+    counts = words(longest, 400, "abc", most=7)
     frequent = set()
     for size in range(spelling.SHORTEST, longest):
         held = Counter()
@@ -117,6 +117,22 @@ def test_chain_of_forms(spark):
     assert {r[2] for r in got} == {"abcde" + "f" * 11}
 
 
+def test_words_about_the_long_ones(spark, monkeypatch):
+    """Every pair across the length from which the middle is looked up."""
+    monkeypatch.setattr(spelling, "LONG", 20)
+    rng = random.Random(6)
+    counts = {}
+    for _ in range(60):
+        word = "".join(rng.choice("ab") for _ in range(rng.randint(17, 22)))
+        for _ in range(5):
+            counts[word] = rng.choice([3, 6, 50])
+            i, c = rng.randrange(len(word) + 1), rng.choice("abé")
+            word = rng.choice([word[:i] + c + word[i:], word[:i] + word[i + 1:], word[:i] + c + word[i + 1:]])
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = sorted((tuple(r) for r in spelling.variants(frame, most_words=10).collect()), key=str)
+    assert got == plain_variants(counts)
+
+
 def test_long_words_and_ties(spark):
     long = "ab" * 20_000
     counts = {long: 3, long + "a": 6, long[:-1]: 6, "aaaaa": 5, "aaaab": 10, "aaaac": 10}
