@@ -5,8 +5,8 @@ largest sum, found in one linear scan, is the content region. The scores are log
 counted on labelled pages, of which at most `LABELLED` are used: pages with their known text.
 
 Words inside elements that are boilerplate by their name, role, class or id (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments) score nothing and are left out of the region's text. A class or id is weighed
-against the words inside: an element that holds most words of its <article> or <main>, or, outside of them, most of
+notices, adverts, forms, reader comments) or that aren't shown score nothing and are left out of the region's text. A class,
+an id, a form and a part that begins with a heading like "Comments" are weighed against the words inside: an element that holds most words of its <article> or <main>, or, outside of them, most of
 theirs (of the page's if there are none), and not mainly links, is content whatever it is called. The region is then
 extended to the whole of every <article> or <main> that directly holds one of its words: what the author marked is not
 cut short at a list of links, and nothing the scan chose is dropped.
@@ -32,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import few, prepare
+from farelake.llm.common import prepare
 
-#: At most so many labelled pages are used for the scores.
+#: At most so many labelled pages are used for the scores, and none with more bytes.
 LABELLED = 400
+LABELLED_BYTES = 1 << 20
 WORD_MOST, TAG_LEAST, TAG_MOST = 3.0, -2.0, -0.05
 
 BLOCKS = set(
@@ -45,14 +46,18 @@ BLOCKS = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their contents are no text of the page.
 UNSEEN = "script style noscript template textarea title iframe object svg canvas math audio video".split()
-BOILERPLATE = set("nav footer aside form button select dialog menu fieldset head header".split())
-ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+BOILERPLATE = set("nav footer aside button select dialog menu head header".split())
+ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
+#: Boilerplate unless they wrap content.
+WEIGHED = {"form", "fieldset"}
 #: Words of a class or id that mark boilerplate.
 MARKS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget related recommended cookie cookies consent "
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social comment "
     "comments commentlist disqus respond reply replies toolbar pagination pager copyright disclaimer search form".split())
+#: Those by which even an <article> is a reader's comment.
+COMMENT_MARKS = set("comment comments commentlist respond reply replies".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: The open elements that each of these ends.
 ENDED_BY = {
@@ -71,34 +76,54 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^<>]*)>"
     r"|<[!?/][^<>]*>",
     re.S | re.I)
-_MARKED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 _PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: What a part of the page with readers' comments begins with.
+_COMMENTS = re.compile(
+    r"\s*(?:<(?:div|header)\b[^<>]*>\s*)?<h[1-6]\b[^<>]*>\s*(?:\d{1,9}\s+)?(?:reader\s+)?(?:comments?|replies|responses)\b[^<]{0,40}</h", re.I)
 
 
-def is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
-    """By name or role, whatever it holds."""
+def parsed(attributes: str) -> dict[str, str]:
+    """Values by lower-cased name; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        found.setdefault(key.lower(), "".join(values))
+    return found
+
+
+def is_boilerplate(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """By name or role, or because it isn't shown, whatever it holds."""
     if name in HOLDERS:
         return False
     if name in BOILERPLATE and not (name == "header" and in_article):
         return True
-    for key, *values in _MARKED.findall(attributes):
-        key, value = key.lower(), "".join(values).lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
-            return True
-    return False
+    return bool(attributes) and (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or attributes.get("role", "").strip().lower() in ROLES
+        or bool(_UNSHOWN.search(attributes.get("style", ""))))
+
+
+def _marks(attributes: dict[str, str]) -> set[str]:
+    names = " ".join(attributes[key] for key in ("class", "id") if key in attributes)
+    return MARKS.intersection(_PART.findall(_CAMEL.sub(" ", names).lower()))
 
 
-def is_marked(name: str, attributes: str, in_article: bool) -> bool:
-    """By class or id, which `page_tokens` weighs against the words inside. A heading heads what follows it."""
+def is_comment(name: str, attributes: dict[str, str]) -> bool:
+    """An <article> that is a reader's comment: it holds no content of its own."""
+    return name == "article" and bool(COMMENT_MARKS & _marks(attributes))
+
+
+def is_marked(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """By name, class, id or role, which `page_tokens` weighs against the words inside. A heading heads what follows it."""
+    if name in WEIGHED or is_comment(name, attributes):
+        return True
     if not attributes or name in HOLDERS or name in HEADINGS:
         return False
-    for key, *values in _MARKED.findall(attributes):
-        if key.lower() in ("class", "id"):
-            parts = MARKS.intersection(_PART.findall(_CAMEL.sub(" ", "".join(values)).lower()))
-            if parts - {"header"} or parts and not in_article:
-                return True
-    return False
+    parts = _marks(attributes)
+    return bool(parts - {"header"} or parts and not in_article) or attributes.get("role", "").strip().lower() == "form"
 
 
 class _Weights:
@@ -179,14 +204,15 @@ def _tokens(page: str, content: set[int], weights: _Weights) -> Iterator[tuple[s
             continue
         name = name.lower()
         ends = m["end"] or m["end2"]
-        attributes = m["rest"] or m["rest2"] or ""
+        rest = m["rest"] or m["rest2"] or ""
         if ends:
             if opened[name]:
                 depth = len(stack)
                 while stack[depth - 1] != name:
                     depth -= 1
                 close(depth - 1)
-        elif name not in VOID and not attributes.endswith("/"):
+        elif name not in VOID and not rest.endswith("/"):
+            attributes = parsed(rest) if rest else {}
             # An element whose end tag may be left out ends where one begins that it cannot hold.
             while name in BLOCKS and blocks and (stack[blocks[-1] - 1] == "p" or stack[blocks[-1] - 1] in ENDED_BY.get(name, ())):
                 close(blocks[-1] - 1)
@@ -195,13 +221,13 @@ def _tokens(page: str, content: set[int], weights: _Weights) -> Iterator[tuple[s
             if name in BLOCKS:
                 blocks.append(len(stack))
             holder = holders[-1][1] if holders else 0
-            if name in ("article", "main"):
+            if name in ("article", "main") and not is_comment(name, attributes):
                 number += 1
                 holders.append((len(stack), number))
                 weights.holders[number] = weights.all
             if is_boilerplate(name, attributes, bool(holders)):
                 hard.append(len(stack))
-            elif is_marked(name, attributes, bool(holders)):
+            elif is_marked(name, attributes, bool(holders)) or name in ("section", "div") and _COMMENTS.match(page, m.end()):
                 if len(weights.marked) not in content:
                     bad.append(len(stack))
                 soft.append((len(stack), len(weights.marked)))
@@ -307,11 +333,13 @@ def _extracted(batches: Iterator[pa.RecordBatch], scores: dict[str, float]) -> I
 def labelled_pages(pages: DataFrame, documents: DataFrame, most: int = LABELLED) -> list[tuple[str, str]]:
     """Up to `most` pairs (html, text) of pages whose URL ends in the number of a document, which is their text."""
     number = F.regexp_extract(F.coalesce("url", F.lit("")), r"://[^/]*/[a-z]+/(\d{1,18})", 1)
-    some = few(pages.where("html is not null").select("html", number.alias("number")).where("number <> ''"), most, "number")
-    some = sorted(some, key=lambda r: (r["number"], r["html"]))[:most]
-    texts = documents.where(F.col("doc_id").isin([int(r["number"]) for r in some]) & F.col("text").isNotNull()).select("doc_id", "text").collect()
-    known = {r["doc_id"]: r["text"] for r in texts}
-    return [(r["html"], known[int(r["number"])]) for r in some if int(r["number"]) in known]
+    known = pages.where(F.octet_length("html") <= LABELLED_BYTES).select("html", number.alias("number")).where("number <> ''")
+    some = known.orderBy(F.xxhash64("number"), F.xxhash64("html"), "html").limit(most).collect()
+    some = sorted(some, key=lambda r: (r["number"], r["html"]))
+    texts = documents.where(F.col("doc_id").isin([int(r["number"]) for r in some]) & (F.octet_length("text") <= LABELLED_BYTES)).groupBy(
+        "doc_id").agg(F.min("text").alias("text")).collect()
+    known_texts = {r["doc_id"]: r["text"] for r in texts}
+    return [(r["html"], known_texts[int(r["number"])]) for r in some if int(r["number"]) in known_texts]
 
 
 def extracted_pages(pages: DataFrame, scores: dict[str, float]) -> DataFrame:

@@ -126,3 +126,61 @@ def test_text_outside_one_holder(html, text):
 ])
 def test_marks_are_weighed_and_ended(html, text):
     assert extraction.main_text(html, SCORES) == text
+
+
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'data-hidden="false"', 'title="who plays role=search here"', "data-class='comment ad'", 'data-role="search"',
+    'alt="id=sidebar"', "xhidden", 'style="display: block; visibility: visible"'])
+def test_attributes_are_parsed(attributes):
+    """Words inside other attributes' names and values mark nothing."""
+    assert extraction.main_text(f"{HEAD}<div {attributes}><p>{P}</p></div>{FOOT}", SCORES) == P
+    assert extraction.main_text(page(f"<p {attributes}>{C}</p><p>{A}</p>"), SCORES) == f"{C}\n{A}"
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN=''", 'style="color: red; display:none"', "style='visibility : hidden'", 'aria-hidden="true"', "role=search", 'class="x" class="y" hidden'])
+def test_unshown(attributes):
+    assert extraction.main_text(page(f"<p>{A}</p><div {attributes}>{words(70)}</div><p>{B}</p>"), SCORES) == f"{A}\n{B}"
+
+
+def test_forms_are_weighed():
+    inner = f"{MENU}<h1>{C}</h1><p>{P}</p><p>{Q}</p><div><label>{words(2)}</label><input></div>"
+    assert P in extraction.main_text(f"{HEAD}<form action=x>{inner}</form>{FOOT}", SCORES)
+    assert extraction.main_text(f"{HEAD}<form id=aspnetForm>{MENU}<article><p>{P}</p><form>{words(5)}</form><p>{Q}</p></article></form>{FOOT}", SCORES) == f"{P}\n{Q}"
+    assert extraction.main_text(page(f"<p>{P}</p><form class=search><fieldset>{words(9)}</fieldset></form>"), SCORES) == P
+
+
+@pytest.mark.parametrize("comments", [
+    '<article class="comment-body"><p>{0}</p></article><article class="comment-body"><p>{0}</p></article>',
+    '<article id="comment-7"><p>{0}</p></article>',
+    "<section><h2>Comments</h2><p>{0}</p><div><p>{0}</p></div></section>",
+    "<section><header><h3>12 comments</h3></header><article><p>{0}</p></article></section>",
+    "<div><h2>3 Replies to this</h2><article><p>{0}</p></article></div>",
+])
+def test_reader_comments(comments):
+    said = comments.format(words(30))
+    for html in (page(f"<p>{P}</p><p>{Q}</p>", after=said), page(f"<p>{P}</p><p>{Q}</p>{said}")):
+        assert extraction.main_text(html, SCORES) == f"{P}\n{Q}"
+
+
+def test_fitted_scores_decide():
+    """Without article and main, and without telling names, fitted scores find the text where constants don't."""
+    constant = {k: -1.0 if k[0] == "<" else 1.0 for k in SCORES} | {"aside": 0.0}
+    right = wrong = 0
+    for _ in range(40):
+        links = "<ul>" + "".join(f"<li><a href=x>{words(7)}</a></li>" for _ in range(12)) + "</ul>"
+        parts = [words(rng.randint(8, 40)) for _ in range(5)]
+        body = "".join(f"<p>{p}</p>" for p in parts)
+        html = f"{HEAD}<div>{links}</div><div>{body}</div><div>{links}</div>{FOOT}"
+        right += extraction.main_text(html, SCORES) == "\n".join(parts)
+        wrong += extraction.main_text(html, constant) == "\n".join(parts)
+    assert right == 40 and wrong == 0
+
+
+def test_labelled_pages_are_picked_by_content(spark):
+    rows = [(i % 3, "http://x/en/5", page(f"<p>{i} {A}</p>")) for i in range(60)] + [(9, "http://x/en/5", "x" * (extraction.LABELLED_BYTES + 1))]
+    docs = spark.createDataFrame([(5, A), (5, B)], "doc_id long, text string")
+    schema = "page_id long, url string, html string"
+    some = extraction.labelled_pages(spark.createDataFrame(rows, schema), docs, most=20)
+    assert len(some) == 20
+    assert some == extraction.labelled_pages(spark.createDataFrame(rows[::-1], schema).repartition(5), docs, most=20)
