@@ -45,6 +45,8 @@ DICTIONARY_BYTES = 112 << 10
 LEVEL = 3
 SKIPPABLE = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Header fields of our own.
+PAGE_ID, PAGE_URL, REFERS_TO_PAGE = "X-Page-ID", "X-Page-URL", "X-Refers-To-Page-ID"
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -53,23 +55,30 @@ def _header(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
     return ("WARC/1.1\r\n" + "\r\n".join(lines) + f"\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
 
 
-def _page_urn(page_id: int | None) -> str | None:
-    return None if page_id is None else f"<urn:page:{page_id}>"
+def record_id(page_id: int | None, digest: str) -> str:
+    """The same for the same page and payload, so that revisits can name it and a task that runs again repeats it."""
+    return f"<urn:uuid:{uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}:sha1:{digest}')}>"
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
-    """One response record, or a revisit record if refers_to is given."""
+    """One response record, or a revisit record if refers_to is given.
+
+    The URI stands as it is, but for bytes that a header can't hold; a URL that has such bytes is also given whole.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
+    uri = None if url is None else _CONTROL.sub(lambda m: urllib.parse.quote(m[0]), url)
     return _header([
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
+        ("WARC-Record-ID", record_id(page_id, digest)),
         ("WARC-Date", date),
-        ("WARC-Target-URI", None if url is None else _CONTROL.sub(lambda m: urllib.parse.quote(m[0]), url.replace("%", "%25"))),
+        ("WARC-Target-URI", uri),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Profile", PROFILE if revisit else None),
-        ("WARC-Concurrent-To", _page_urn(page_id)),
-        ("WARC-Refers-To", _page_urn(refers_to)),
+        ("WARC-Refers-To", record_id(refers_to, digest) if revisit else None),
+        (PAGE_ID, None if page_id is None else str(page_id)),
+        (PAGE_URL, urllib.parse.quote(url) if uri != url else None),
+        (REFERS_TO_PAGE, str(refers_to) if revisit else None),
         ("Content-Type", "application/http;msgtype=response"),
     ], http if revisit else http + payload)
 
@@ -173,7 +182,7 @@ _READ = "page_id long, url string, record_type string, payload_bytes long, paylo
 
 def _read(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Iterator[pa.RecordBatch]:
     store, root = _opened(folder)
-    urn = lambda value: None if value is None else int(value[len("<urn:page:"):-1])
+    number = lambda value: None if value is None else int(value)
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
     names = [x.split()[0] for x in _READ.split(", ")] + ["payload"]
     if not payloads:
@@ -195,10 +204,10 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Ite
                     response = fields["WARC-Type"] == "response"
                     if response and (len(payload) != length or hashlib.sha1(payload).hexdigest() != digest):
                         raise ValueError(f"{file}: a payload isn't what its header says")
-                    url = fields.get("WARC-Target-URI")
+                    whole = fields.get(PAGE_URL)
                     rows.append((
-                        urn(fields.get("WARC-Concurrent-To")), None if url is None else urllib.parse.unquote(url, errors="strict"),
-                        fields["WARC-Type"], length, digest, urn(fields.get("WARC-Refers-To")), file,
+                        number(fields.get(PAGE_ID)), fields.get("WARC-Target-URI") if whole is None else urllib.parse.unquote(whole, errors="strict"),
+                        fields["WARC-Type"], length, digest, number(fields.get(REFERS_TO_PAGE)), file,
                         payload if response else None)[: len(names)])
                     held += len(payload) if payloads else 200
                     if held >= 8 << 20:

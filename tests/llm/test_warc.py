@@ -68,3 +68,24 @@ def test_damage_is_found():
     cut = packer.compress(warc.record(1, "u", b"abc", "d", None, "now")[:-6])
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(cut)))
+
+
+def test_headers_are_what_other_readers_expect(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://a.org/x%20y?q=%C3%A9", "same " * 300), (2, "http://a.org/z", "same " * 300), (3, "http://a.org/a b\n", "x")],
+        "page_id long, url string, html string")
+    found = []
+    for _ in range(2):
+        folder = scratch_path(spark, "warc-test")
+        fields = []
+        for r in warc.archive_pages(pages, folder).collect():
+            with open(f"{folder}/{r['file']}", "rb") as raw:
+                fields += [f for f, _ in warc.read_records(raw) if f["WARC-Type"] != "warcinfo"]
+        found.append({f["X-Page-ID"]: f for f in fields})
+    one, two, three = (found[0][k] for k in "123")
+    assert one["WARC-Target-URI"] == "http://a.org/x%20y?q=%C3%A9" and "X-Page-URL" not in one
+    assert three["WARC-Target-URI"] == "http://a.org/a%20b%0A"
+    assert one["WARC-Type"] == "revisit" and one["WARC-Refers-To"] == two["WARC-Record-ID"]
+    assert len({f["WARC-Record-ID"] for f in found[0].values()}) == 3
+    assert {k: f["WARC-Record-ID"] for k, f in found[0].items()} == {k: f["WARC-Record-ID"] for k, f in found[1].items()}
+    assert not any("WARC-Concurrent-To" in f for f in found[0].values())
