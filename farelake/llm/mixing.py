@@ -13,8 +13,11 @@ at its target, so the words taken differ from the target by less than one.
 Everything is built-in DataFrame functions. Running sums go by slices of each source, so a source with a
 third of all rows is many tasks; only slice totals meet in one.
 
+A document's place is where its first words come: `first_slot`, the slot of the block it begins in, null if nothing of it is taken.
+`mixed_documents` can return it, and for a further copy the slot of that copy, so that sorting by it gives the mix.
+
 Edge cases: a null text has size 0; documents of size 0 take no part and count as taken 0. Repeated rows are laid
-out each. A null doc_id is shuffled like a number. A table without words has targets of 0 and an empty schedule.
+out each. Documents are shuffled by doc_id and text, so rows without doc_id, or with the same, spread as well. A table without words has targets of 0 and an empty schedule.
 Other columns of the input are not looked at.
 """
 
@@ -39,8 +42,8 @@ CELLS = 4096
 GOLDEN = (math.sqrt(5) - 1) / 2
 
 
-def shuffle_key(doc_id: Column) -> Column:
-    return F.md5(F.concat(F.lit(SEED), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def shuffle_key(doc_id: Column, text: Column) -> Column:
+    return F.md5(F.concat(F.lit(SEED), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
 
 
 def slice_of(key: Column, slices: int) -> Column:
@@ -48,8 +51,10 @@ def slice_of(key: Column, slices: int) -> Column:
     return F.floor(F.conv(F.substring(key, 1, 6), 16, 10).cast("long") * slices / F.lit(1 << 24))
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+def sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, source, size, key) of every document, and `more` columns; key decides its place in its source."""
+    size = F.size(words(F.col("text"))).cast("long")
+    return docs.select("doc_id", "source", size.alias("size"), shuffle_key(F.col("doc_id"), F.col("text")).alias("key"), *more)
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -109,18 +114,17 @@ def laid_out(sized: DataFrame, mix: DataFrame) -> DataFrame:
     `sized` may have further columns. Its rows must be stored, since they are read twice.
     """
     slices = max(1, math.ceil(sized.count() / SLICE_ROWS))
-    key = shuffle_key(F.col("doc_id"))
     named = mix.select(F.col("source").alias("_source"), "source_no", "source_size", "target")
-    rows = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("_key", key).withColumn(
-        "_slice", slice_of(F.col("_key"), slices))
+    rows = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
+        "_slice", slice_of(F.col("key"), slices))
     ahead = Window.partitionBy("source_no").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("source_no", "_slice").agg(F.sum("size").alias("_words")).withColumn(
         "_ahead", F.coalesce(F.sum("_words").over(ahead), F.lit(0))).drop("_words")
-    ties = [c for c in sized.columns if c not in ("doc_id", "source")]
-    inside = Window.partitionBy("source_no", "_slice").orderBy("_key", "doc_id", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    ties = [c for c in sized.columns if c not in ("key", "source")]
+    inside = Window.partitionBy("source_no", "_slice").orderBy("key", *ties).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         offsets, ["source_no", "_slice"]).withColumn("start", F.col("_ahead") + F.col("_before")).drop(
-        "_key", "_slice", "_before", "_ahead")
+        "key", "_slice", "_before", "_ahead")
 
 
 def pieces(rows: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -137,38 +141,47 @@ def pieces(rows: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def mixed_words(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of `docs` (doc_id, source, text)."""
+    """(doc_id, size, source_size, target, taken, first_slot) of every row of `docs` (doc_id, source, text)."""
     prepare(docs.sparkSession)
     sized = stored(sizes(docs), "sizes")
     mix = stored(targets(sized), "targets")
     rows = stored(laid_out(sized, mix), "laid-out")
     taken = pieces(rows, stored(schedule(mix, block), "schedule"), block).groupBy(
         "source_no", "start", "doc_id", "size", "source_size", "target").agg(
-        F.sum(F.col("end_word") - F.col("first_word")).alias("taken"))
-    none = F.lit(0).cast("long").alias("taken")
+        F.sum(F.col("end_word") - F.col("first_word")).alias("taken"), F.min("slot").alias("first_slot"))
     untouched = rows.where((F.col("size") == 0) | (F.col("start") >= F.round("target").cast("long")))
     columns = ["doc_id", "size", "source_size", "target"]
-    return taken.select(*columns, "taken").unionByName(untouched.select(*columns, none))
+    nothing = (F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_slot"))
+    return taken.select(*columns, "taken", "first_slot").unionByName(untouched.select(*columns, *nothing))
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """Fingerprint of a whole row, whatever its columns are called."""
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in docs.columns}
+    own = ("source", "doc_id", "text")
+    rest = [F.col(quoted[c]) for c in docs.columns if c not in own]
+    return F.md5(F.to_json(F.struct(*(F.md5(F.col(c).cast("string")).alias(c) for c in own), F.struct(F.lit(0), *rest).alias("rest")), {"ignoreNullFields": "false"}))
 
 
-def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with their columns.
+def mixed_documents(docs: DataFrame, block: int = BLOCK, slot: str | None = None) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with their columns, and as column `slot`, if named, where.
 
     Documents stay whole: a pass gives a copy if it takes at least half of the document's words, which matters
     for the one document per source that the target cuts.
     """
     prepare(docs.sparkSession)
-    own = F.xxhash64("source", "doc_id", "text")
-    sized = stored(docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), own.alias("_row")), "sizes")
+    name = "_" * (1 + max((len(c) for c in docs.columns), default=0))  # longer than any column's name
+    keyed = docs.withColumn(name, _row_key(docs))
+    sized = stored(sizes(keyed, F.col(name).alias("row")), "sizes")
     mix = stored(targets(sized), "targets")
     rows = stored(laid_out(sized, mix), "laid-out")
     copies = (
         pieces(rows, stored(schedule(mix, block), "schedule"), block)
-        .groupBy("source_no", "start", "pass", "_row", "size")
-        .agg(F.sum(F.col("end_word") - F.col("first_word")).alias("taken"))
-        .where("2 * taken >= size").groupBy("_row").agg(F.count(F.lit(1)).alias("_copies"))
+        .groupBy("source_no", "start", "pass", "row", "size")
+        .agg(F.sum(F.col("end_word") - F.col("first_word")).alias("taken"), F.min("slot").alias("slot"))
+        .where("2 * taken >= size").select(F.col("row").alias(name), F.col("slot").alias(name + "s"))
     )
-    # Equal rows are one row taken more often.
-    once = docs.withColumn("_row", own).dropDuplicates(["_row"])
-    return once.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
-        *docs.columns)
+    # Equal rows are one row taken more often. The few columns of `copies` may be skewed by them; the join splits those.
+    once = keyed.dropDuplicates([name])
+    quoted = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return once.join(copies, name).select(*quoted, *([F.col(name + "s").alias(slot)] if slot else []))

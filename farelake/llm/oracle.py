@@ -95,7 +95,7 @@ FROM based
 """
 
 _STATEMENTS["op3_source_mixing"] = f"""
-WITH sized AS (SELECT doc_id, source, CAST(len({words('text')}) AS BIGINT) AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, text, CAST(len({words('text')}) AS BIGINT) AS size FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     (row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3 + 1 AS weight
@@ -112,15 +112,34 @@ mix AS (
       - coalesce((SELECT sum({mixing.MOST} * source_size) FROM sources s, full_up f WHERE {mixing.MOST} * s.source_size / s.weight <= f.x), 0))
       / (SELECT sum(weight) FROM sources s, full_up f WHERE {mixing.MOST} * s.source_size / s.weight > f.x)) END AS target
   FROM sources, full_up),
+numbered AS (SELECT *, row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) AS source_no FROM mix),
 laid AS (
-  SELECT doc_id, size, source_size, target, round(target) AS filled, coalesce(sum(size) OVER (
-    PARTITION BY s.source ORDER BY md5('{mixing.SEED}' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
+  SELECT doc_id, size, source_size, target, source_no, round(target) AS filled, coalesce(sum(size) OVER (
+    PARTITION BY s.source ORDER BY md5('{mixing.SEED}' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM sized s JOIN mix ON s.source IS NOT DISTINCT FROM mix.source)
+  FROM sized s JOIN numbered ON s.source IS NOT DISTINCT FROM numbered.source),
+whole AS (SELECT CAST(ceil(sum(target) / {mixing.BLOCK}) AS BIGINT) AS slots FROM mix),
+ends AS (SELECT source_no, sum(target) OVER (ORDER BY source_no) / (SELECT sum(target) FROM mix) AS hi FROM numbered WHERE target > 0),
+intervals AS (
+  SELECT source_no, coalesce(lag(hi) OVER (ORDER BY source_no), 0) AS lo,
+    CASE WHEN source_no = max(source_no) OVER () THEN 1 ELSE hi END AS hi FROM ends),
+needed AS (SELECT source_no, CAST(ceil(round(target) / {mixing.BLOCK}) AS BIGINT) AS blocks FROM numbered WHERE target > 0),
+timed AS (
+  SELECT slot, source_no, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS block_no
+  FROM (SELECT unnest(range(0, slots)) AS slot FROM whole) JOIN intervals
+    ON (slot * CAST({mixing.GOLDEN!r} AS DOUBLE)) % 1 >= lo AND (slot * CAST({mixing.GOLDEN!r} AS DOUBLE)) % 1 < hi),
+missing AS (
+  SELECT source_no, block_no FROM (SELECT source_no, unnest(range(0, blocks)) AS block_no FROM needed)
+  WHERE (source_no, block_no) NOT IN (SELECT (source_no, block_no) FROM timed)),
+scheduled AS (
+  SELECT slot, timed.source_no, block_no FROM timed JOIN needed ON needed.source_no = timed.source_no AND block_no < blocks
+  UNION ALL SELECT slots - 1 + row_number() OVER (ORDER BY block_no, source_no), source_no, block_no FROM missing, whole)
 SELECT doc_id, size, source_size, target,
   CAST(list_sum(list_transform(range(0, {mixing.MOST}), lambda k:
-    greatest(0, least(filled, k * source_size + start + size) - least(filled, k * source_size + start)))) AS BIGINT) AS taken
-FROM laid
+    greatest(0, least(filled, k * source_size + start + size) - least(filled, k * source_size + start)))) AS BIGINT) AS taken,
+  slot AS first_slot
+FROM laid LEFT JOIN scheduled ON size > 0 AND start < filled AND scheduled.source_no = laid.source_no
+  AND scheduled.block_no = start // {mixing.BLOCK}
 """
 
 _STATEMENTS["op4_warc"] = f"""

@@ -28,7 +28,7 @@ def plain_mix(rows):
         sizes[s] = sizes.get(s, 0) + len((t or "").split())
     targets, out = plain_targets(sizes), []
     for source in sizes:
-        own = [(hashlib.md5((mixing.SEED + ("" if d is None else str(d))).encode()).hexdigest(), -1 if d is None else d, len((t or "").split()))
+        own = [(hashlib.md5(f"{mixing.SEED}{'' if d is None else d}:{t or ''}".encode()).hexdigest(), -1 if d is None else d, len((t or "").split()))
                for d, s, t in rows if s == source]
         start, filled = 0, round(targets[source])
         for _, d, n in sorted(own):
@@ -57,6 +57,7 @@ def test_like_plain(spark, monkeypatch, block, slice_rows):
     assert [(g[0], g[1], g[2], g[4]) for g in got] == [(w[0], w[1], w[2], w[4]) for w in want]
     assert [g[3] for g in got] == pytest.approx([w[3] for w in want])
     assert all(g[4] <= 3 * g[1] for g in got)
+    assert all((g[5] is None) == (g[4] == 0) for g in got)
 
 
 def test_schedule_is_even(spark):
@@ -98,4 +99,54 @@ def test_empty(spark):
     assert mixing.mixed_words(empty).count() == 0
     assert mixing.mixed_documents(empty).count() == 0
     blank = spark.createDataFrame([(1, "a", None), (2, None, " ")], "doc_id long, source string, text string")
-    assert sorted(map(tuple, mixing.mixed_words(blank).collect())) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+    assert sorted(map(tuple, mixing.mixed_words(blank).collect())) == [(1, 0, 0, 0.0, 0, None), (2, 0, 0, 0.0, 0, None)]
+
+
+def unevenness(got, share, total):
+    """How far the words of a source, in the order of slots, are at most from its share of all words so far."""
+    seen, words, most = dict.fromkeys(share, 0), 0, 0.0
+    for _, source, n in sorted(got):
+        seen[source] += n
+        words += n
+        most = max(most, *(abs(seen[s] - words * share[s] / total) for s in share))
+    return most
+
+
+def test_order_of_the_mix_is_the_schedule(spark, monkeypatch):
+    """Any stretch from the start has the sources near their weights, and only by the schedule."""
+    rng = random.Random(2)
+    rows = [(i, rng.choice("aab"), " ".join("w" for _ in range(rng.randrange(5, 15)))) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    sizes = {}
+    for _, s, t in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    share = plain_targets(sizes)
+    total = sum(share.values())
+
+    def mixed():
+        got = mixing.mixed_documents(docs, block=16, slot="slot")
+        assert got.columns == [*docs.columns, "slot"]
+        return [(r["slot"], r["source"], len(r["text"].split())) for r in got.collect()]
+
+    assert unevenness(mixed(), share, total) < 4 * 16
+
+    def one_after_the_other(mix, block):
+        blocks = mix.where("target > 0").selectExpr("source_no", f"explode(sequence(0L, cast(ceil(round(target) / {block}) as bigint) - 1)) as block_no")
+        return blocks.selectExpr("row_number() over (order by source_no, block_no) - 1 as slot", "source_no", "block_no")
+
+    monkeypatch.setattr(mixing, "schedule", one_after_the_other)
+    assert unevenness(mixed(), share, total) > 1000
+
+
+def test_no_value_is_lost_and_names_may_clash(spark):
+    rows = [(1, "a", "x y z", "p", 1, 2), (1, "a", "x y z", "q", 1, 2), (None, "a", "u v w", None, 3, 4), (None, "a", "u v w", None, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, `a.note` string, _row int, slot int")
+    got = mixing.mixed_documents(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_rows_without_doc_id_spread(spark):
+    docs = spark.range(2000).selectExpr("cast(null as long) as doc_id", "'a' as source", "concat('w', id) as text")
+    slices = mixing.sizes(docs).select(mixing.slice_of(mixing.F.col("key"), 20).alias("s")).distinct().count()
+    assert slices == 20
