@@ -120,3 +120,8 @@ STAGING_COLUMNS = (
     ("congestion_surcharge", "congestion_surcharge", "double"),
     ("Airport_fee", "airport_fee", "double"),
 )
+
+# --- names of our own ----------------------------------------------------------------------------------
+
+#: A raw row's place: fingerprint of its file's path, and its number in the file.
+SOURCE_COLUMNS = ("_source_file", "_source_row")

@@ -58,7 +58,8 @@ def _severity(checks: Sequence[tuple[str, str, str]], test: str) -> Column:
     return chain.otherwise(F.lit("error"))
 
 
-def _table_report(table: str, df: DataFrame, checks: Sequence[tuple[str, str, str]]) -> list[DataFrame]:
+def table_report(table: str, df: DataFrame, checks: Sequence[tuple[str, str, str]]) -> list[DataFrame]:
+    """The results of a table's checks, a frame for each kind of test and unique column."""
     not_null = [column for column, test, _ in checks if test == "not_null"]
     parts = [("not_null", dq_not_null(df, not_null))] if not_null else []
     parts += [("unique", dq_unique(df, column)) for column, test, _ in checks if test == "unique"]
@@ -74,14 +75,36 @@ def _table_report(table: str, df: DataFrame, checks: Sequence[tuple[str, str, st
     ]
 
 
-def dq_report(
-    tables: Mapping[str, DataFrame],
-    checks: Mapping[str, Sequence[tuple[str, str, str]]] = DECLARED_CHECKS,
-) -> DataFrame:
-    """One row per check of the given tables: failures, and whether they warn, fail or pass."""
-    parts = [
-        part for table, df in tables.items() for part in _table_report(table, df, checks.get(table, ()))
-    ]
+def checks_by(df: DataFrame, part: str, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """(part, column_name, test_name, failures) of each part of a table.
+
+    The table's results are the sums, provided that equal values of a unique column lie in one part. A value's part is
+    known from any of its rows, so the count by value shuffles no more than without parts.
+    """
+    not_null = [column for column, test, _ in checks if test == "not_null"]
+    unique = [column for column, test, _ in checks if test == "unique"]
+    nulls = df.groupBy(part).agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in not_null))
+    found = nulls.select(part, F.inline(F.array(
+        *(F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test_name"), F.col(c).alias("failures")) for c in not_null))))
+    for column in unique:
+        copies = df.filter(F.col(column).isNotNull()).groupBy(part, column).agg(F.count(F.lit(1)).alias("n"))
+        found = found.unionByName(copies.filter("n > 1").groupBy(part).agg(F.count(F.lit(1)).alias("failures")).select(
+            part, F.lit(column).alias("column_name"), F.lit("unique").alias("test_name"), "failures"))
+    return found
+
+
+def added_up(table: str, found: DataFrame, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """The results of a table's checks from those of its parts; a check that no part has a row for has no failures."""
+    known = F.array(*(
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test_name"), F.lit(s).alias("severity")) for c, t, s in checks))
+    declared = found.sparkSession.range(1).select(F.lit(table).alias("table_name"), F.inline(known))
+    sums = found.groupBy("column_name", "test_name").agg(F.sum("failures").alias("failures"))
+    return declared.join(F.broadcast(sums), ["column_name", "test_name"], "left").select(  # a row per check
+        "table_name", "column_name", "test_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"), "severity")
+
+
+def judged(parts: Sequence[DataFrame]) -> DataFrame:
+    """The report: whether each check's failures warn, fail or pass."""
     failed = F.col("failures") != 0
     return reduce(DataFrame.unionByName, parts).withColumns(
         {
@@ -92,6 +115,14 @@ def dq_report(
     )
 
 
+def dq_report(
+    tables: Mapping[str, DataFrame],
+    checks: Mapping[str, Sequence[tuple[str, str, str]]] = DECLARED_CHECKS,
+) -> DataFrame:
+    """One row per check of the given tables: failures, and whether they warn, fail or pass."""
+    return judged([part for table, df in tables.items() for part in table_report(table, df, checks.get(table, ()))])
+
+
 def require_passing(report: DataFrame) -> DataFrame:
     """Raise if a check of severity `error` failed; returns the report otherwise."""
     failed = report.filter("should_error").select("table_name", "column_name", "test_name", "failures").collect()

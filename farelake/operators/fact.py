@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.functions import trips
+from farelake.functions import fixed, trips
 from farelake.schemas import FCT_TRIPS
 
 MONTH_COLUMN = "pickup_month"
@@ -19,7 +19,8 @@ def fct_trips(stg: DataFrame) -> DataFrame:
     """Valid trips with identity, calendar parts, measures and quality flag.
 
     Filter, then projections only: the whole operator is one codegen stage on top of the scan, and
-    the filter reaches the Parquet reader.
+    the filter reaches the Parquet reader. Trips whose key isn't known in full have no identity of their own; where
+    the staged rows know their place in a file, it stands in for one.
     """
     timed = valid_trips(stg).withColumns(
         {
@@ -38,7 +39,8 @@ def fct_trips(stg: DataFrame) -> DataFrame:
     flagged = paced.withColumn(
         "has_data_quality_issue", trips.quality_issue(minutes, F.col("avg_speed_mph"))
     )
-    return flagged.select(*FCT_TRIPS.fieldNames())
+    nameless = [F.when(F.col("trip_id").isNull(), F.col(c)).alias(c) for c in fixed.SOURCE_COLUMNS if c in stg.columns]
+    return flagged.select(*FCT_TRIPS.fieldNames(), *nameless)
 
 
 def with_month(fct: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql.window import Window
 from farelake.functions import calendar, fixed, labels
 
 
-#: Medians are approximate beyond this many trips per day: the rank error is at most 1/1000, ten times
-#: finer than percentiles need, while the digests a task ships stay a tenth of the default's size.
-MEDIAN_ACCURACY = 10_000
+#: Size of the sketches that medians come from. Of fewer trips they are exact; else the rank is off by about 1/500, with
+#: at most 50 KB a day and measure.
+MEDIAN_K = 2000
 
 
 def clean_trips(fct: DataFrame) -> DataFrame:
@@ -69,69 +69,122 @@ def _mean(name: str) -> Column:
 # --- per day --------------------------------------------------------------------------------------
 
 
-def daily_summary(fct: DataFrame, median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """One row per pickup date over all trips, flagged ones included. The medians' ranks are off by at most
-    1 / `median_accuracy` of a day's trips.
+def _zone_bits(column: str) -> tuple[Column, Column]:
+    """The bitmap that a zone id belongs to, and the bitmap of all ids there. Null ids are in none."""
+    return F.bitmap_bucket_number(column), F.bitmap_construct_agg(F.bitmap_bit_position(column))
 
-    Distinct zone counts sit in an aggregate of their own. In one aggregate with everything else,
-    each trip would be expanded into three rows carrying all measures before the first combine; here
-    only two integers per trip are doubled. Both halves end up partitioned by date, so joining
-    them adds no shuffle.
+
+def day_rollup(fct: DataFrame, median_k: int = MEDIAN_K) -> DataFrame:
+    """All trips, flagged ones included, by pickup date and zone bitmaps: sums, counts, sketches and sets of zones.
+
+    Everything in it can be merged, so days, months and years are finished from it without the fact: means and
+    sums exactly, numbers of different zones exactly (as bitmaps of 32,768 ids), medians from sketches. As one
+    bitmap holds the ids of all zones there are, a day is one row; ids beyond give it more.
     """
-    measures = fct.groupBy("pickup_date").agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("passenger_count").alias("total_passengers"),
-        F.sum("trip_distance_miles").alias("total_distance_miles"),
-        F.avg("trip_distance_miles").alias("avg_distance_miles"),
-        F.percentile_approx("trip_distance_miles", 0.5, median_accuracy).alias("median_distance_miles"),
-        F.sum("trip_duration_minutes").alias("total_duration_minutes"),
-        F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
-        F.percentile_approx("trip_duration_minutes", 0.5, median_accuracy).alias("median_duration_minutes"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("fare_amount").alias("total_fare_revenue"),
-        F.sum("tip_amount").alias("total_tips"),
-        F.sum("tolls_amount").alias("total_tolls"),
-        F.avg("total_amount").alias("avg_trip_revenue"),
-        F.avg("tip_amount").alias("avg_tip"),
-        F.avg(_tip_share()).alias("avg_tip_percentage"),
-        F.count_if(F.col("payment_type_id") == 1).alias("credit_card_trips"),
+    pickup, pickup_bits = _zone_bits("pickup_location_id")
+    dropoff, dropoff_bits = _zone_bits("dropoff_location_id")
+    plain = {
+        "passengers": "passenger_count", "distance": "trip_distance_miles", "duration": "trip_duration_minutes",
+        "amount": "total_amount", "fare": "fare_amount", "tip": "tip_amount", "tolls": "tolls_amount",
+    }
+    return fct.groupBy("pickup_date", pickup.alias("pickup_map"), dropoff.alias("dropoff_map")).agg(
+        F.count(F.lit(1)).alias("trips"),
+        *(F.sum(column).alias(f"{name}_sum") for name, column in plain.items()),
+        *(F.count(plain[name]).alias(f"{name}_n") for name in ("distance", "duration", "amount", "tip")),
+        F.sum(_tip_share()).alias("tip_pct_sum"),
+        F.count(_tip_share()).alias("tip_pct_n"),
+        F.count_if(F.col("payment_type_id") == 1).alias("card_trips"),
         F.count_if(F.col("payment_type_id") == 2).alias("cash_trips"),
-        F.count_if("has_data_quality_issue").alias("trips_with_issues"),
+        F.count_if("has_data_quality_issue").alias("issues"),
+        F.kll_sketch_agg_double("trip_distance_miles", median_k).alias("distances"),
+        F.kll_sketch_agg_bigint("trip_duration_minutes", median_k).alias("durations"),
+        pickup_bits.alias("pickup_zones"),
+        dropoff_bits.alias("dropoff_zones"),
+    )
+
+
+def _median(sketch: str, kind: str) -> Column:
+    n, quantile = getattr(F, f"kll_sketch_get_n_{kind}"), getattr(F, f"kll_sketch_get_quantile_{kind}")
+    return F.when(n(sketch) > 0, quantile(sketch, F.lit(0.5)))
+
+
+def period_summary_from(rollup: DataFrame, period: Column, name: str) -> DataFrame:
+    """The measures of the daily table per `period` of the pickup date, as column `name`, from a `day_rollup`.
+
+    Zones count once per period: the bitmaps of one range of ids are united, and their sizes added up. That needs the
+    period's few rows together, but neither a join nor a second pass.
+    """
+    rows = rollup.withColumn(name, period)
+
+    def zones(end: str) -> Column:
+        own = Window.partitionBy(name, f"{end}_map")
+        first = F.row_number().over(own.orderBy("pickup_date", "pickup_map", "dropoff_map")) == 1
+        return F.when(first & F.col(f"{end}_map").isNotNull(), F.bitmap_count(F.bitmap_or_agg(f"{end}_zones").over(own)))
+
+    sums = [c for c in rollup.columns if c.endswith(("_sum", "_n"))]
+    counted = rows.repartition(name).withColumn("pickup_ids", zones("pickup")).withColumn("dropoff_ids", zones("dropoff"))
+    whole = counted.groupBy(name).agg(
+        *(F.sum(c).alias(c) for c in (*sums, "trips", "card_trips", "cash_trips", "issues")),
+        *(F.coalesce(F.sum(f"{end}_ids"), F.lit(0)).alias(f"unique_{end}_locations") for end in ("pickup", "dropoff")),
+        F.kll_merge_agg_double("distances").alias("distances"),
+        F.kll_merge_agg_bigint("durations").alias("durations"),
     )
-    zones = fct.groupBy("pickup_date").agg(
-        F.countDistinct("pickup_location_id").alias("unique_pickup_locations"),
-        F.countDistinct("dropoff_location_id").alias("unique_dropoff_locations"),
+
+    def mean(measure: str) -> Column:
+        return F.try_divide(F.col(f"{measure}_sum"), F.col(f"{measure}_n"))
+
+    return whole.select(
+        name,
+        F.col("trips").alias("total_trips"),
+        F.col("passengers_sum").alias("total_passengers"),
+        "unique_pickup_locations",
+        "unique_dropoff_locations",
+        F.col("distance_sum").alias("total_distance_miles"),
+        mean("distance").alias("avg_distance_miles"),
+        _median("distances", "double").alias("median_distance_miles"),
+        F.col("duration_sum").alias("total_duration_minutes"),
+        mean("duration").alias("avg_duration_minutes"),
+        _median("durations", "bigint").alias("median_duration_minutes"),
+        F.col("amount_sum").alias("total_revenue"),
+        F.col("fare_sum").alias("total_fare_revenue"),
+        F.col("tip_sum").alias("total_tips"),
+        F.col("tolls_sum").alias("total_tolls"),
+        mean("amount").alias("avg_trip_revenue"),
+        mean("tip").alias("avg_tip"),
+        mean("tip_pct").alias("avg_tip_percentage"),
+        F.col("card_trips").alias("credit_card_trips"),
+        "cash_trips",
+        F.col("issues").alias("trips_with_issues"),
+        F.round(F.col("issues") / F.col("trips") * 100, 2).alias("pct_trips_with_issues"),
     )
+
+
+def daily_summary_from(rollup: DataFrame) -> DataFrame:
+    """One row per pickup date over all trips, flagged ones included."""
     day = F.col("pickup_date")
-    return measures.join(zones, "pickup_date").select(
+    days = period_summary_from(rollup, day, "pickup_date")
+    return days.select(
         "pickup_date",
         calendar.year(day).alias("year"),
         calendar.month(day).alias("month"),
         calendar.day_of_week(day).alias("day_of_week"),
-        "total_trips",
-        "total_passengers",
-        "unique_pickup_locations",
-        "unique_dropoff_locations",
-        "total_distance_miles",
-        "avg_distance_miles",
-        "median_distance_miles",
-        "total_duration_minutes",
-        "avg_duration_minutes",
-        "median_duration_minutes",
-        "total_revenue",
-        "total_fare_revenue",
-        "total_tips",
-        "total_tolls",
-        "avg_trip_revenue",
-        "avg_tip",
-        "avg_tip_percentage",
-        "credit_card_trips",
-        "cash_trips",
-        "trips_with_issues",
-        F.round(F.col("trips_with_issues") / F.col("total_trips") * 100, 2).alias("pct_trips_with_issues"),
+        *[c for c in days.columns if c != "pickup_date"],
     )
 
 
+def daily_summary(fct: DataFrame, median_k: int = MEDIAN_K) -> DataFrame:
+    return daily_summary_from(day_rollup(fct, median_k))
+
+
+def monthly_summary_from(rollup: DataFrame) -> DataFrame:
+    """The measures of the daily table per month (its first day): medians and numbers of zones of whole months."""
+    return period_summary_from(rollup, calendar.month_start(F.col("pickup_date")), "month_start")
+
+
+def yearly_summary_from(rollup: DataFrame) -> DataFrame:
+    return period_summary_from(rollup, calendar.year(F.col("pickup_date")), "year")
+
+
 # --- per hour and weekday, zone, distance band ------------------------------------------------------
 
 

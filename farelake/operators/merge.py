@@ -45,17 +45,21 @@ def keep_one(source: DataFrame, keys: Sequence[str], newest: Sequence[str] = ())
     return one.unionByName(source.filter(~_known(keys)))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stand_in: Sequence[str] = ()) -> DataFrame:
     """`target` with the rows of `source` put in: an anti join and a union.
 
     Rows with a NULL key match nothing; they go around the join instead of meeting in one of its
-    partitions. Source keys are made distinct first, which combines the copies of a repeated key on the
+    partitions. If `stand_in` columns are named, those rows are matched by them, as far as they are known. Source keys are made distinct first, which combines the copies of a repeated key on the
     map side; AQE can split a hot key on the target's side of the join, but not on this one.
     """
     columns = target.columns
     arriving = source.filter(_known(keys)).select(*keys).distinct()
     stay = target.filter(_known(keys)).join(arriving, list(keys), "left_anti")
     unmatched = target.filter(~_known(keys))
+    if stand_in:
+        again = source.filter(~_known(keys) & _known(stand_in)).select(*stand_in).distinct()
+        placed = unmatched.filter(_known(stand_in)).join(again, list(stand_in), "left_anti").select(*columns)
+        unmatched = placed.unionByName(unmatched.filter(~_known(stand_in)))
     return stay.select(*columns).unionByName(unmatched).unionByName(source.select(*columns))
 
 
@@ -96,11 +100,15 @@ def merge_partitioned(
     cluster_by: Sequence[str] = CLUSTER_COLUMNS,
     on_duplicate: str = "error",
     newest: Sequence[str] = (),
+    stand_in: Sequence[str] = (),
 ) -> list | None:
     """Upsert `source` into the table at `path`, rewriting only the partitions it touches.
 
     Returns the touched partition values, or None if the table was created.
 
+    Rows with a NULL key are inserted, or, if their `stand_in` columns are known, put in place of those they
+    were before: a repeated merge then changes nothing.
+
     Exact whenever equal keys always lie in one partition, as they do here: the trip key contains the
     pickup time and the rate key the date. Untouched partitions are neither read nor written.
     """
@@ -118,5 +126,5 @@ def merge_partitioned(
     stored = spark.read.schema(source.schema).parquet(path)
     target = stored.filter(F.col(partition).isin(touched))
     rows = resolve_duplicates(target, source, keys, on_duplicate, newest)
-    write_clustered(upsert(target, rows, keys), path, partition, cluster_by)
+    write_clustered(upsert(target, rows, keys, stand_in), path, partition, cluster_by)
     return touched

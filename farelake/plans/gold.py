@@ -14,14 +14,14 @@ from farelake import schemas
 from farelake.operators import gold
 from farelake.operators.fact import MONTH_COLUMN
 from farelake.plans.load import read_fact
-from farelake.sources.state import read_state, write_state
+from farelake.sources.state import months_of, read_state, write_state
 from farelake.sources.tables import hadoop_path, replace_table, write_clustered
 
 Maker = Callable[[DataFrame], DataFrame]
 
 #: Rollups of the fact, stored by month: each one pass over a few columns.
 ROLLUPS: dict[str, Maker] = {
-    "by_day": gold.daily_summary,
+    "by_day": gold.day_rollup,
     "by_vendor_payment": lambda fct: gold.clean_rollup(fct, *gold.ROLLUP_KEYS),
     "by_hour": gold.hour_rollup,
     "by_zone": lambda fct: gold.zone_rollup(fct, MONTH_COLUMN),
@@ -30,7 +30,7 @@ ROLLUPS: dict[str, Maker] = {
 
 #: Gold table -> the rollup it is finished from, how, and its contract.
 FINISHED: dict[str, tuple[str, Maker, T.StructType]] = {
-    "daily_summary": ("by_day", lambda days: days.drop(MONTH_COLUMN), schemas.DAILY_SUMMARY),
+    "daily_summary": ("by_day", gold.daily_summary_from, schemas.DAILY_SUMMARY),
     "hourly_patterns": ("by_hour", gold.hourly_patterns_from, schemas.HOURLY_PATTERNS),
     "monthly_trends": ("by_vendor_payment", gold.monthly_trends_from, schemas.MONTHLY_TRENDS),
     "location_stats": ("by_zone", gold.location_stats_from, schemas.LOCATION_STATS),
@@ -45,11 +45,21 @@ FINISHED: dict[str, tuple[str, Maker, T.StructType]] = {
 TABLES = tuple(FINISHED)
 
 
-def _forget(spark: SparkSession, path: str, months: list[dt.date]) -> None:
-    """Drop the stored partitions of months that have no rows any more."""
+def _month_files(spark: SparkSession, path: str, months: list[dt.date]) -> dict[dt.date, set[str]]:
+    """Names of the files stored for each month."""
+    held = {}
     for month in months:
         fs, folder = hadoop_path(spark, f"{path}/{MONTH_COLUMN}={month.isoformat()}")
-        fs.delete(folder, True)
+        held[month] = {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+    return held
+
+
+def _forget_unwritten(spark: SparkSession, path: str, before: dict[dt.date, set[str]]) -> None:
+    """Drop the partitions that a rewrite has left as they were: those months have no rows any more."""
+    for month, names in _month_files(spark, path, list(before)).items():
+        if names and names == before[month]:
+            fs, folder = hadoop_path(spark, f"{path}/{MONTH_COLUMN}={month.isoformat()}")
+            fs.delete(folder, True)
 
 
 def _rollup_path(lake: str, name: str) -> str:
@@ -61,7 +71,7 @@ def build_gold(
 ) -> None:
     """Replace the eight tables under `lake`/gold.
 
-    Passes over pruned columns of the fact fill five monthly rollups (two passes for the daily one); the tables are
+    A pass over pruned columns of the fact fills each of five monthly rollups; the tables are
     finished from those and never touch the fact. Given the `months` a load changed, only their partitions of the fact
     are read: a daily refresh costs a month, not the history. "pending" stands for the months that loads have
     changed since the last build, as the load state knows them. A month that no longer has rows loses its rollup, and a
@@ -74,7 +84,7 @@ def build_gold(
             raise ValueError(f"unknown months {months!r}")
         if not state.pending:
             return
-        months = None if None in state.pending else [dt.date.fromisoformat(m) for m in state.pending]
+        months = months_of(state.pending)
     fct = read_fact(spark, lake)
     if months is not None:
         months = list(months)
@@ -84,11 +94,11 @@ def build_gold(
         rollup = ROLLUPS[name](fct)
         if MONTH_COLUMN not in rollup.columns:
             rollup = rollup.withColumn(MONTH_COLUMN, F.trunc("pickup_date", "MM"))
-        write_clustered(rollup, _rollup_path(lake, name), cluster_by=(), whole=months is None)
-        if months is not None:
-            filled = {row[0] for row in rollup.select(MONTH_COLUMN).distinct().collect()}
-            _forget(spark, _rollup_path(lake, name), [m for m in months if m not in filled])
-        return spark.read.schema(rollup.schema).parquet(_rollup_path(lake, name))
+        path = _rollup_path(lake, name)
+        before = _month_files(spark, path, months or [])
+        write_clustered(rollup, path, cluster_by=(), whole=months is None)
+        _forget_unwritten(spark, path, before)
+        return spark.read.schema(rollup.schema).parquet(path)
 
     def finish(name: str) -> None:
         source, maker, schema = FINISHED[name]
@@ -103,5 +113,10 @@ def build_gold(
         write_state(spark, lake, state)
 
 
+def read_rollup(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """A stored rollup, from which other periods can be finished (`gold.monthly_summary_from`, for example)."""
+    return spark.read.parquet(_rollup_path(lake, name))
+
+
 def read_gold(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{lake}/gold/{name}") for name in TABLES}

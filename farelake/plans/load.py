@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake import schemas
+from farelake.functions.fixed import SOURCE_COLUMNS
 from farelake.operators import dims, dq
 from farelake.operators.fact import MONTH_COLUMN, fct_trips, from_mark, high_watermark, with_month
 from farelake.operators.merge import merge_partitioned, resolve_duplicates
 from farelake.operators.staging import stg_trips
 from farelake.sources.bronze import bronze_scan, month_files
-from farelake.sources.state import new_files, read_state, record_files, write_state
+from farelake.sources.state import months_of, new_files, read_state, record_files, write_state
 from farelake.sources.tables import path_exists, replace_table, write_clustered
 
 
@@ -22,7 +25,11 @@ def fact_path(lake: str) -> str:
     return f"{lake}/fct_trips"
 
 
-FACT_SCHEMA = T.StructType([*schemas.FCT_TRIPS.fields, T.StructField(MONTH_COLUMN, T.DateType())])
+FACT_SCHEMA = T.StructType([
+    *schemas.FCT_TRIPS.fields,
+    *(T.StructField(name, T.LongType()) for name in SOURCE_COLUMNS),  # of trips without an identity
+    T.StructField(MONTH_COLUMN, T.DateType()),
+])
 
 
 def read_fact(spark: SparkSession, lake: str) -> DataFrame:
@@ -55,7 +62,8 @@ def load_fact(
     where they were read, sorted by zone, without a shuffle; later ones merge by trip identity.
 
     The load counts once its state is written. One that dies earlier is repeated by the next call: a first load starts
-    over, a later one merges the same files again from the same watermark.
+    over, a later one merges the same files again from the same watermark. Trips without an identity are then known by their
+    place in a file.
     """
     if mode not in ("watermark", "by_month"):
         raise ValueError(f"unknown mode {mode!r}: expected 'watermark' or 'by_month'")
@@ -70,7 +78,7 @@ def load_fact(
             raise ValueError(f"no Parquet files under {bronze_root}" + (" for the given months" if months else ""))
         return []
     files = spark.createDataFrame(arriving, files.select("uri", "file_size", "modified").schema)
-    bronze = bronze_scan(spark, bronze_root, files=[row.uri for row in arriving])
+    bronze = bronze_scan(spark, bronze_root, files=[row.uri for row in arriving], places=True)
     first = not state.loads and (state.started or not path_exists(spark, path))
     mark = state.mark() if mode == "watermark" else None
     fct = with_month(fct_trips(from_mark(stg_trips(bronze), mark)))
@@ -82,14 +90,14 @@ def load_fact(
         changed = None
     else:
         changed = merge_partitioned(
-            spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"]
+            spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"],
+            stand_in=SOURCE_COLUMNS,
         )
     load = record_files(lake, files)
     newest = high_watermark(read_fact(spark, lake))
     state.watermark = newest.isoformat() if newest else None
     state.loads = [*state.loads, load]
-    fresh = [None] if changed is None else [month.isoformat() for month in changed]
-    state.pending = [None] if None in (*state.pending, *fresh) else sorted({*state.pending, *fresh})
+    state.note_changes(changed)
     write_state(spark, lake, state)
     return changed
 
@@ -119,10 +127,37 @@ def load_dimensions(spark: SparkSession, bronze: DataFrame, lake: str, grow: boo
             job.result()
 
 
-def check_quality(spark: SparkSession, lake: str) -> DataFrame:
-    """Report of all declared checks over the stored tables, computed once and stored under `lake`/dq_report."""
-    tables = {name: read_fact(spark, lake) if name == "fct_trips" else spark.read.parquet(f"{lake}/{name}") for name in dq.DECLARED_CHECKS}
-    return replace_table(dq.dq_report(tables), f"{lake}/dq_report")
+def check_quality(spark: SparkSession, lake: str, months: Iterable[dt.date] | str | None = None) -> DataFrame:
+    """Report of all declared checks over the stored tables, stored under `lake`/dq_report.
+
+    The fact's results are kept by month, and a month's keys lie in no other month: only `months` are looked at, and the
+    report adds up what is stored. None stands for all, "pending" for those that loads changed since they were checked.
+    """
+    state = read_state(spark, lake)
+    if isinstance(months, str):
+        if months != "pending":
+            raise ValueError(f"unknown months {months!r}")
+        months = months_of(state.unchecked)
+    months = None if months is None else list(months)
+    path, checks = f"{lake}/checks/fct_trips", dq.DECLARED_CHECKS["fct_trips"]
+    if months is None or months:
+        fct = read_fact(spark, lake)
+        fct = fct if months is None else fct.filter(F.col(MONTH_COLUMN).isin(months))
+        found = dq.checks_by(fct, MONTH_COLUMN, checks)
+        if months is not None and path_exists(spark, path):
+            stored = spark.read.schema(found.schema).parquet(path)
+            found = found.unionByName(stored.filter(~F.col(MONTH_COLUMN).isin(months)))
+        replace_table(found, path)
+    parts = [dq.added_up("fct_trips", spark.read.parquet(path), checks)]
+    for name in dq.DECLARED_CHECKS:
+        if name != "fct_trips":
+            parts += dq.table_report(name, spark.read.parquet(f"{lake}/{name}"), dq.DECLARED_CHECKS[name])
+    report = replace_table(dq.judged(parts), f"{lake}/dq_report")
+    done = state.unchecked if months is None else [m for m in state.unchecked if m in {x.isoformat() for x in months}]
+    if done:
+        state.unchecked = [m for m in state.unchecked if m not in done]
+        write_state(spark, lake, state)
+    return report
 
 
 def load_trips(spark: SparkSession, bronze_root: str, lake: str, **fact_options) -> DataFrame:
@@ -134,4 +169,4 @@ def load_trips(spark: SparkSession, bronze_root: str, lake: str, **fact_options)
     if names:
         load_dimensions(spark, bronze_scan(spark, bronze_root, files=names), lake, grow=bool(read_state(spark, lake).loads))
     load_fact(spark, bronze_root, lake, **fact_options)
-    return dq.require_passing(check_quality(spark, lake))
+    return dq.require_passing(check_quality(spark, lake, "pending"))

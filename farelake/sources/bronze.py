@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelake.functions import fixed
 from farelake.schemas import LOAD_LOG
+from farelake.sources.copying import UNFINISHED, copy_files
+from farelake.sources.footers import file_groups, footers
 from farelake.sources.tables import append_table, hadoop_path, path_exists, repair_table
 
 #: The raw columns as published, for readers that cannot look at the files first (streams).
@@ -45,24 +47,25 @@ def month_folder(root: str, year: int, month: int) -> str:
 
 
 def bronze_land(spark: SparkSession, inbox: str, root: str, year: int, month: int) -> str:
-    """Put one month's raw files in its folder, column for column as they came.
+    """Put one month's raw files in its folder, byte for byte as they came.
 
-    Files of one schema are written together and those of another beside them, each with its own columns and
-    types. Replaces what the month held, so a repeated load is harmless; other months are not touched.
+    Tasks copy the files and read the copies back. Replaces what the month held, so a repeated load is harmless;
+    other months are not touched.
     """
     folder = month_folder(root, year, month)
-    files = [row.uri for row in bronze_files(spark, inbox).select("uri").collect()]
-    if not files:
+    files = bronze_files(spark, inbox).select("uri")
+    if files.isEmpty():
         raise ValueError(f"no Parquet files under {inbox}")
     repair_table(spark, folder)
     fs, target = hadoop_path(spark, folder)
     incoming, outgoing = f"{folder}__next-{uuid.uuid4().hex[:12]}", f"{folder}__old-{uuid.uuid4().hex[:12]}"
-    for schema, same in _by_schema(spark, files):
-        spark.read.schema(schema).parquet(*same).write.mode("append").parquet(incoming)
-    fs.mkdirs(target.getParent())
+    _, new = hadoop_path(spark, incoming)
+    fs.mkdirs(new)
+    copy_files(files, fs.makeQualified(new).toUri().toString()).select("name").collect()
+    _, unfinished = hadoop_path(spark, f"{incoming}/{UNFINISHED}")
+    fs.delete(unfinished, True)
     had_old = fs.exists(target)
     _, old = hadoop_path(spark, outgoing)
-    _, new = hadoop_path(spark, incoming)
     if had_old and not fs.rename(target, old):
         raise OSError(f"could not move {folder} aside")
     if not fs.rename(new, target):
@@ -118,56 +121,6 @@ def month_files(spark: SparkSession, root: str, months: Iterable[tuple[int, int]
     return listed.filter(name.isin(endings))
 
 
-def _folders(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None) -> list[str]:
-    """Folders holding files, one per calendar month; an error if there is none."""
-    listed = month_files(spark, root, months).select("folder").distinct()
-    folders = sorted(row.folder for row in listed.collect())
-    if not folders:
-        raise ValueError(f"no Parquet files under {root}" + (" for the given months" if months else ""))
-    return folders
-
-
-def folder_schemas(
-    spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None
-) -> dict[str, T.StructType]:
-    """Schema of each month's folder: all columns its files have, by whatever type the first has them."""
-    folders = _folders(spark, root, months)
-
-    def merged(folder: str) -> T.StructType:
-        agreed = _agreeing(spark, folder, [folder])
-        if agreed is not None:
-            return agreed.schema
-        fields: dict[str, T.StructField] = {}
-        files = [row.uri for row in bronze_files(spark, folder).select("uri").collect()]
-        for schema, _ in _by_schema(spark, files):
-            for f in schema:
-                fields.setdefault(f.name.lower(), f)
-        return T.StructType(list(fields.values()))
-
-    with ThreadPoolExecutor(8) as pool:
-        return dict(zip(folders, pool.map(merged, folders)))
-
-
-def _by_schema(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Files in groups of equal schema, a handful however many files there are."""
-    with ThreadPoolExecutor(8) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path, schema in zip(paths, schemas):
-        groups.setdefault(schema.simpleString(), (schema, []))[1].append(path)
-    return list(groups.values())
-
-
-def _agreeing(spark: SparkSession, root: str, folders: list[str]) -> DataFrame | None:
-    """The files as one relation, or None if their column types disagree. Footers are read by one job."""
-    try:
-        return spark.read.option("mergeSchema", True).option("basePath", root).parquet(*folders)
-    except Exception as error:  # surfaces as a bare JVM error, not as a Spark error class
-        if "CANNOT_MERGE" not in str(error):
-            raise
-        return None
-
-
 def _common_type(kinds: set[T.DataType]) -> T.DataType:
     if len(kinds) == 1:
         return next(iter(kinds))
@@ -184,30 +137,41 @@ def bronze_scan(
     root: str,
     months: Iterable[tuple[int, int]] | None = None,
     files: list[str] | None = None,
+    places: bool = False,
 ) -> DataFrame:
     """All raw files (or those of `months`, or `files`) as one table, whatever types each file used.
 
-    Files that agree are one plain scan. Otherwise they are read in groups of equal schema (a
-    handful, however many files there are), each group cast to the common types, and unioned. Names are
-    matched without regard to case. `year` and `month` come from the folder names and prune the scan.
+    One job reads all footers. Files whose types agree are one plain scan, whatever columns they lack. Otherwise
+    each group that agrees (a handful, however many files there are) is cast to the common types, and the groups are
+    unioned. Names are matched without regard to case. `year` and `month` come from the folder names and prune the scan. With `places`, each row
+    has its file and its number there as `fixed.SOURCE_COLUMNS`.
     """
-    paths = _folders(spark, root, months) if files is None else files
-    agreed = _agreeing(spark, root, paths)
-    if agreed is not None:
-        return agreed
-    if files is None:
-        files = [row.uri for row in month_files(spark, root, months).select("uri").collect()]
-    groups = {str(i): group for i, group in enumerate(_by_schema(spark, sorted(files)))}
+    listed = month_files(spark, root, months) if files is None else spark.createDataFrame(
+        [(uri,) for uri in files], "uri string")
+    groups = file_groups(listed)
+    if not groups:
+        raise ValueError(f"no Parquet files under {root}" + (" for the given months" if months else ""))
 
+    def read(schema: T.StructType, names: list[str]) -> DataFrame:
+        if files is None and len(groups) == 1:  # whole folders, so their files needn't be looked up one by one
+            names = sorted({name.rsplit("/", 1)[0] for name in names})
+        part = spark.read.schema(schema).option("basePath", root).parquet(*names)
+        if not places:
+            return part
+        place = (F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))
+        return part.select("*", *(column.alias(name) for column, name in zip(place, fixed.SOURCE_COLUMNS)))
+
+    if len(groups) == 1:
+        return read(*groups[0])
     spelling: dict[str, str] = {}
     kinds: dict[str, set[T.DataType]] = {}
-    for schema, _ in groups.values():
+    for schema, _ in groups:
         for field in schema:
             spelling.setdefault(field.name.lower(), field.name)
             kinds.setdefault(field.name.lower(), set()).add(field.dataType)
 
-    def read(schema: T.StructType, folders: list[str]) -> DataFrame:
-        part = spark.read.schema(schema).option("basePath", root).parquet(*folders)
+    def cast(schema: T.StructType, names: list[str]) -> DataFrame:
+        part = read(schema, names)
         columns = [
             F.col(field.name).cast(_common_type(kinds[field.name.lower()])).alias(spelling[field.name.lower()])
             for field in schema
@@ -215,19 +179,20 @@ def bronze_scan(
         partitions = [c for c in part.columns if c.lower() not in kinds]
         return part.select(*columns, *partitions)
 
-    parts = [read(schema, folders) for schema, folders in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [cast(*group) for group in groups])
 
 
 def bronze_validate(
     spark: SparkSession, root: str, expected: Iterable[tuple[int, int]] = ()
 ) -> DataFrame:
-    """One row per file: month, size, rows and columns. A file without rows is listed with 0.
+    """One row per file: month, size, rows and the columns of its month. A file without rows is listed with 0.
 
-    Row counts come from the footers: no column is read. Raises if an expected (year, month) has no file.
+    All of it comes from the listing and the footers, which one job reads. Raises if an expected (year, month) has no file.
     """
-    schemas = folder_schemas(spark, root)
-    present = {folder.replace("%3D", "=") for folder in schemas}
+    listed = bronze_files(spark, root)
+    present = {row.folder.replace("%3D", "=") for row in listed.select("folder").distinct().collect()}
+    if not present:
+        raise ValueError(f"no Parquet files under {root}")
     missing = [
         (year, month)
         for year, month in expected
@@ -235,31 +200,20 @@ def bronze_validate(
     ]
     if missing:
         raise ValueError(f"no file for {', '.join(f'{y}-{m:02d}' for y, m in missing)} under {root}")
-    counts = (
-        spark.read.schema("_none string")  # rows are counted, no column is read
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(root)
-        .groupBy(F.col("_metadata.file_path").alias("uri"))
-        .agg(F.count(F.lit(1)).alias("num_rows"))
-    )
-    widths = spark.createDataFrame(
-        [(folder, len(schema)) for folder, schema in schemas.items()], "folder string, num_columns bigint"
+    names = F.transform("columns", lambda c: F.lower(c["name"]))
+    per_folder = footers(listed.select("uri", "folder", "file_size")).groupBy("folder").agg(
+        F.collect_list(F.struct("uri", "file_size", "num_rows")).alias("files"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(names)))).alias("num_columns"),
     )
     part = F.regexp_extract
-    return (
-        bronze_files(spark, root)
-        .join(counts, "uri", "left")
-        .join(widths, "folder")
-        .select(
-            part("folder", r"year=(\d+)", 1).cast("bigint").alias("year"),
-            part("folder", r"month=(\d+)", 1).cast("bigint").alias("month"),
-            "uri",
-            "folder",
-            "file_size",
-            F.coalesce("num_rows", F.lit(0)).alias("num_rows"),
-            "num_columns",
-        )
+    return per_folder.select("folder", "num_columns", F.inline("files")).select(
+        part("folder", r"year=(\d+)", 1).cast("bigint").alias("year"),
+        part("folder", r"month=(\d+)", 1).cast("bigint").alias("month"),
+        "uri",
+        "folder",
+        "file_size",
+        "num_rows",
+        F.col("num_columns").cast("bigint").alias("num_columns"),
     )
 
 

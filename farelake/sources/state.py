@@ -1,4 +1,4 @@
-"""What the loads of a lake have committed: watermark, files and months that gold has yet to take in.
+"""What the loads of a lake, in batches or streamed, have committed: watermark, files and months that gold has yet to take in.
 
 The state is a small numbered JSON file, written beside its predecessors and renamed into place after the data it
 speaks of is stored. A load that dies before leaves the old state, so the next one starts from what was
@@ -32,6 +32,14 @@ class LoadState:
     started: bool = False
     #: Changed months (ISO dates) that gold doesn't have yet; None stands for the whole history.
     pending: list[str | None] = field(default_factory=list)
+    #: Changed months whose rows haven't been checked yet, likewise.
+    unchecked: list[str | None] = field(default_factory=list)
+
+    def note_changes(self, months: list[dt.date] | None) -> None:
+        """Gold and the checks have to take in `months`; the whole history, if None."""
+        fresh = [None] if months is None else [month.isoformat() for month in months]
+        self.pending, self.unchecked = (
+            [None] if None in (*known, *fresh) else sorted({*known, *fresh}) for known in (self.pending, self.unchecked))
 
     def mark(self) -> dt.datetime | None:
         return dt.datetime.fromisoformat(self.watermark) if self.watermark else None
@@ -70,6 +78,11 @@ def write_state(spark: SparkSession, lake: str, state: LoadState) -> LoadState:
     return state
 
 
+def months_of(noted: list[str | None]) -> list[dt.date] | None:
+    """Noted months as dates; None for the whole history."""
+    return None if None in noted else [dt.date.fromisoformat(month) for month in noted]
+
+
 def new_files(spark: SparkSession, lake: str, files: DataFrame, state: LoadState) -> DataFrame:
     """Those of `files` (uri, file_size, modified) that no committed load has taken in as they are."""
     if not state.loads:

@@ -81,6 +81,13 @@ daily AS (
   FROM fct GROUP BY pickup_date
 )"""
 
+
+
+def _per(period: str) -> str:
+    """The daily table with a longer period in place of the day."""
+    return _DAILY.replace("FROM fct GROUP BY pickup_date", f"FROM (SELECT * REPLACE ({period} AS pickup_date) FROM fct) GROUP BY pickup_date")
+
+
 _HOURLY = f"""
 hourly AS (
   SELECT pickup_hour, pickup_day_of_week, {_DAY_NAME.format('pickup_day_of_week')} AS day_name,
@@ -348,16 +355,6 @@ def _declared_checks():
         yield "fct_trips", column, "not_null", "error", f"SELECT count(*) FROM fct WHERE {column} IS NULL"
 
 
-def _known_ahead(slope: float, least_days: int = 0) -> str:
-    """The continuation of the series that the model queries are fed with, for zones with enough days."""
-    return (
-        f"SELECT zone, ds, 70 + zone + {slope}::DOUBLE * (ds - DATE '1995-01-01') + isodow(ds) * 10 AS forecast "
-        "FROM (SELECT zone, (last_day + n::INT) AS ds FROM (SELECT pickup_location_id AS zone, "
-        "min(pickup_date) AS first_day FROM fct GROUP BY 1), (SELECT max(pickup_date) AS last_day FROM fct), "
-        f"range(1, 31) AS r(n) WHERE last_day - first_day + 1 >= {least_days})"
-    )
-
-
 def statements() -> dict[str, str]:
     return {
         # staging, derived columns, fact
@@ -399,6 +396,11 @@ def statements() -> dict[str, str]:
             "rate_code_id", "rate_code_name", fixed.RATE_CODE_LABELS, fixed.RATE_CODE_DEFAULT
         ),
         "dim_date": _over(_CALENDAR_OUT),
+        "dim_date_stored": _over(
+            "SELECT c.*, trips FROM (" + _CALENDAR_OUT.replace("min(pickup_date)", f"DATE '{fixed.CALENDAR_START}'").replace(
+                "max(pickup_date)", f"DATE '{fixed.CALENDAR_END}'").replace(" FROM fct)", ")") + ") c LEFT JOIN "
+            "(SELECT strftime(pickup_date, '%m-%d') AS day, count(*) AS trips FROM fct GROUP BY 1) t ON t.day = strftime(c.date_key, '%m-%d')"
+        ),
         "dim_time": _over(_HOUR_OUT),
         "day_labels": _over(
             "SELECT pickup_date, strftime(pickup_date, '%A') AS day_name, "
@@ -414,6 +416,13 @@ def statements() -> dict[str, str]:
         ),
         # gold
         "daily_summary": _over("SELECT * FROM daily", _DAILY),
+        "monthly_summary": _over("SELECT * EXCLUDE (year, month, day_of_week, pickup_date), pickup_date AS month_start FROM daily", _per("date_trunc('month', pickup_date)::DATE")),
+        "yearly_summary": _over(
+            "SELECT * EXCLUDE (year, month, day_of_week, pickup_date, median_distance_miles, median_duration_minutes, "
+            "avg_distance_miles, avg_duration_minutes, avg_trip_revenue, avg_tip), year(pickup_date) AS year, "
+            "round(avg_distance_miles, 6) AS avg_distance_miles, round(avg_duration_minutes, 6) AS avg_duration_minutes, "
+            "round(avg_trip_revenue, 6) AS avg_trip_revenue, round(avg_tip, 6) AS avg_tip FROM daily",
+            _per("date_trunc('year', pickup_date)::DATE")),
         "hourly_patterns": _over("SELECT * FROM hourly", _HOURLY),
         "monthly_trends": _over("SELECT * FROM monthly", _MONTHLY),
         "location_stats": _over("SELECT * FROM locations", _ZONES_GOLD),
@@ -461,6 +470,7 @@ def statements() -> dict[str, str]:
             f"FROM ({_FCT_OUT} fct)"
         ),
         "stream_trips": _over(_FCT_OUT + "fct"),
+        "stream_then_load": _over("SELECT * FROM daily", _DAILY),
         "load_after_crash": _over(_FCT_OUT + "fct"),
         "gold_rebuild": _over("SELECT * FROM daily WHERE year <> 1998", _DAILY),
         "csv_source": _over("SELECT * FROM train", _DAILY, _TRAIN_10),
@@ -671,14 +681,6 @@ def statements() -> dict[str, str]:
             "min(pickup_date) AS first_day, count(*) AS trips, count(DISTINCT pickup_date) AS busy "
             "FROM fct GROUP BY 1), (SELECT max(pickup_date) AS last_day FROM fct)"
         ),
-        "forecast_additive": _over(_known_ahead(0.25)),
-        "forecast_sarma": _over(_known_ahead(0.25, 77)),
-        "forecast_holtwinters": _over(_known_ahead(0.0, 21)),
-        "forecast_gbt": _over(
-            "SELECT ds, 70 + isodow(ds) * 10.0::DOUBLE AS forecast FROM (SELECT (m + n::INT) AS ds "
-            "FROM (SELECT max(ds) AS m FROM train), range(1, 31) AS r(n))",
-            _DAILY, _TRAIN_2,
-        ),
         "forecast_job": _over(
             "(SELECT 'history' AS kind, pickup_date AS date, total_trips::DOUBLE AS value, NULL::BOOLEAN AS has_forecast "
             "FROM daily_read_all ORDER BY pickup_date DESC LIMIT 90) UNION ALL "

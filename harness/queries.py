@@ -147,6 +147,16 @@ def dim_date(spark, sf_dir):
     return dims.dim_date_of(facts(spark, sf_dir))
 
 
+@query
+def dim_date_stored(spark, sf_dir):
+    """The calendar as stored, from its first day to its last, with the trips of each day in other years beside it."""
+    path = scratch_path(spark, "dim-date")
+    stored = tables.replace_table(dims.dim_date(spark), path, schemas.DIM_DATE)
+    same_day = facts(spark, sf_dir).groupBy(F.date_format("pickup_date", "MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("trips"))
+    joined = stored.withColumn("day", F.date_format("date_key", "MM-dd")).join(broadcast_if_small(same_day), "day", "left")
+    return joined.drop("day")
+
+
 @query
 def dim_time(spark, sf_dir):
     per_hour = (
@@ -187,6 +197,23 @@ def daily_summary(spark, sf_dir):
     return daily(spark, sf_dir)
 
 
+@query
+def monthly_summary(spark, sf_dir):
+    """Medians and numbers of zones of whole months, finished from a stored rollup by day."""
+    path = scratch_path(spark, "by-day")
+    gold.day_rollup(facts(spark, sf_dir)).write.parquet(path)
+    return rounded(gold.monthly_summary_from(spark.read.parquet(path)), "avg_tip_percentage")
+
+
+@query
+def yearly_summary(spark, sf_dir):
+    """The same by year; medians of so many trips are approximate, so they are tested elsewhere."""
+    path = scratch_path(spark, "by-day")
+    gold.day_rollup(facts(spark, sf_dir)).write.parquet(path)
+    years = gold.yearly_summary_from(spark.read.parquet(path)).drop("median_distance_miles", "median_duration_minutes")
+    return rounded(years, "avg_tip_percentage", "avg_distance_miles", "avg_duration_minutes", "avg_trip_revenue", "avg_tip")
+
+
 @query
 def hourly_patterns(spark, sf_dir):
     return rounded(gold.hourly_patterns(facts(spark, sf_dir)), "avg_speed")
@@ -676,9 +703,9 @@ def bronze_land(spark, sf_dir):
     """An inbox of files that differ in columns and types, landed as one month and read back."""
     inbox, root = scratch_path(spark, "inbox"), scratch_path(spark, "bronze")
     raw = raw_trips(spark, sf_dir)
-    older = F.year("tpep_pickup_datetime") < 1999
-    raw.filter(older).withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(f"{inbox}/a")
-    raw.filter(older & F.col("Airport_fee").isNull()).drop("Airport_fee").limit(0).write.parquet(f"{inbox}/b")
+    older, feeless = F.year("tpep_pickup_datetime") < 1999, F.col("Airport_fee").isNull()
+    raw.filter(older & ~feeless).withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(f"{inbox}/a")
+    raw.filter(older & feeless).drop("Airport_fee").write.parquet(f"{inbox}/b")
     raw.filter(~older).write.parquet(f"{inbox}/c")
     bronze.bronze_land(spark, inbox, root, 1999, 1)
     read = bronze.bronze_scan(spark, root).drop("year", "month")
@@ -774,9 +801,23 @@ def merge_trips(spark, sf_dir):
 @query
 def stream_trips(spark, sf_dir):
     """The lake whose files changed types over the years, as a stream."""
-    path, checkpoint = scratch_path(spark, "fact"), scratch_path(spark, "stream")
-    streaming.stream_trips(spark, drifted(spark, sf_dir), path, checkpoint).awaitTermination()
-    return spark.read.parquet(path).drop("trip_id", "_loaded_at", "pickup_month")
+    lake, checkpoint = scratch_path(spark, "lake"), scratch_path(spark, "stream")
+    streaming.stream_trips(spark, drifted(spark, sf_dir), lake, checkpoint).awaitTermination()
+    return load.read_fact(spark, lake).drop("trip_id", "_loaded_at", "pickup_month", *fixed.SOURCE_COLUMNS)
+
+
+@query
+def stream_then_load(spark, sf_dir):
+    """The years before 1998 are streamed, the rest is loaded in a batch, and gold takes in what both noted as changed."""
+    root, lake, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "lake"), scratch_path(spark, "stream")
+    raw = monthly_raw(spark, sf_dir)
+    bronze.bronze_land_months(raw.filter("year < 1998"), root)
+    streaming.stream_trips(spark, root, lake, checkpoint).awaitTermination()
+    gold_plan.build_gold(spark, lake, months="pending")
+    bronze.bronze_land_months(raw.filter("year >= 1998"), root)
+    load.load_fact(spark, root, lake)
+    gold_plan.build_gold(spark, lake, months="pending")
+    return rounded(gold_plan.read_gold(spark, lake)["daily_summary"], "avg_tip_percentage")
 
 
 @query
@@ -791,7 +832,7 @@ def load_after_crash(spark, sf_dir):
     newest = fct.agg(F.max("pickup_month")).first()[0]
     merge.merge_partitioned(spark, load.fact_path(lake), fct.filter(F.col("pickup_month") == F.lit(newest)), ["trip_id"], fact.MONTH_COLUMN)
     load.load_fact(spark, root, lake)
-    return load.read_fact(spark, lake).drop("trip_id", "_loaded_at", "pickup_month")
+    return load.read_fact(spark, lake).drop("trip_id", "_loaded_at", "pickup_month", *fixed.SOURCE_COLUMNS)
 
 
 @query
@@ -901,19 +942,6 @@ def stored_training(spark, sf_dir):
     return spark.read.parquet(path).select("ds", "y")
 
 
-def weekday_steps(zone=0, slope=0.0):
-    """A series whose continuation is known: a line plus a value for each weekday."""
-    day = F.datediff("ds", F.lit("1995-01-01").cast("date"))
-    return (F.lit(70) + F.lit(zone) * 1.0 + day * F.lit(slope) + (F.weekday("ds") + 1) * 10).cast("double")
-
-
-def known_series(spark, sf_dir, slope):
-    """Every zone's days with a series of that kind in place of its trips."""
-    days = zone_series(spark, sf_dir)
-    y = weekday_steps(0, slope) + F.col("zone")
-    return days.select("zone", "ds", y.alias("y"))
-
-
 @query
 def forecast_additive_trips(spark, sf_dir):
     return models.forecast_additive(stored_training(spark, sf_dir), 30)
@@ -935,29 +963,11 @@ def forecast_gbt_trips(spark, sf_dir):
     return models.forecast_gbt(stored_training(spark, sf_dir), 30)
 
 
-@query
-def forecast_additive(spark, sf_dir):
-    ahead = models.forecast_additive(known_series(spark, sf_dir, 0.25), 30, ridge=1e-9, key="zone")
-    return ahead.withColumn("forecast", F.round("forecast", 2))
-
-
 def zone_series(spark, sf_dir):
     per_day = facts(spark, sf_dir).groupBy(F.col("pickup_location_id").alias("zone"), F.col("pickup_date").alias("ds"))
     return series.fill_days(per_day.agg(F.count(F.lit(1)).cast("double").alias("y")), "zone")
 
 
-@query
-def forecast_sarma(spark, sf_dir):
-    ahead = models.forecast_sarma(known_series(spark, sf_dir, 0.25), 30, key="zone")
-    return ahead.withColumn("forecast", F.round("forecast", 3)).filter("note IS NULL").drop("note")
-
-
-@query
-def forecast_holtwinters(spark, sf_dir):
-    ahead = models.forecast_holtwinters(known_series(spark, sf_dir, 0.0), 30, key="zone")
-    return ahead.withColumn("forecast", F.round("forecast", 3)).filter("note IS NULL").drop("note")
-
-
 @query
 def fill_days(spark, sf_dir):
     return zone_series(spark, sf_dir).groupBy("zone").agg(
@@ -979,6 +989,5 @@ def forecast_job(spark, sf_dir):
 
 
 @query
-def forecast_gbt(spark, sf_dir):
-    days = stored_training(spark, sf_dir).select("ds", weekday_steps().alias("y"))
-    return models.forecast_gbt(days, 30).withColumn("forecast", F.round("forecast", -1))
+def forecast_additive_zones(spark, sf_dir):
+    return models.forecast_additive(zone_series(spark, sf_dir), 30, key="zone")

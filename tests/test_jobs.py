@@ -104,7 +104,7 @@ def test_stream_in_two_runs_equals_batch(spark, tmp_path, direct):
     bronze.bronze_land_months(months.filter("year = 1996"), root)  # a late year
     for _ in range(2):
         stream_trips(spark, root, target, checkpoint).awaitTermination()
-    stored = spark.read.parquet(target).drop("pickup_month", "_loaded_at")
+    stored = load.read_fact(spark, target).drop("pickup_month", "_loaded_at")
     # File months and pickup months agree in the fixture, so years select the same trips on both sides.
     assert same(direct.filter(F.year("pickup_date").isin(1996, 1997)).drop("_loaded_at"), stored)
 
