@@ -173,8 +173,9 @@ def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     own = ("doc_id", "text", "lang")
     rest = [c for c in docs.columns if c not in own]
-    packed = docs.select(*own, *([F.struct(*rest).alias("_rest")] if rest else []))
+    quoted = ["`" + c.replace("`", "``") + "`" for c in rest]
+    packed = docs.select(*own, *([F.struct(*quoted).alias("_rest")] if rest else []))
     counted = stored(features(packed), "counted")
     found = stored(cutoffs(counted, labels), "cutoffs")
     kept = judged(counted, found).where("kept")
-    return kept.select(*(c if c in own else F.col(f"_rest.{c}").alias(c) for c in docs.columns))
+    return kept.select(*(c if c in own else F.col("_rest").getField(c).alias(c) for c in docs.columns))

@@ -92,3 +92,11 @@ def test_without_labels(spark):
     assert {r["doc_id"]: r["kept"] for r in quality.quality_verdicts(docs, none).collect()} == {1: True, 2: False}
     assert [r["doc_id"] for r in quality.quality_filter(docs, none).collect()] == [1]
     assert quality.quality_verdicts(docs.where("false"), none).count() == 0
+
+
+def test_extra_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f g h i j k", "en", 1, 2, 3), (2, "short", None, 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, `a.b` int, _rest int, n_words int")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = quality.quality_filter(docs, none)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == rows[:1]
