@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions import fixed, labels
 from farelake.schemas import ML_RUNS
+from farelake.sources.tables import append_table
 
 
 def run_name(model_type: str, target_metric: str, trained_until: dt.date) -> str:
@@ -26,7 +27,7 @@ def log_run(
     params: Mapping[str, object],
     metrics: Mapping[str, float],
 ) -> None:
-    """Append one run to the run table."""
+    """Append one run to the run table. Its small files are compacted from time to time."""
     row = (
         run_id,
         name,
@@ -35,7 +36,7 @@ def log_run(
         {key: str(value) for key, value in params.items()},
         {key: float(value) for key, value in metrics.items()},
     )
-    spark.createDataFrame([row], ML_RUNS).coalesce(1).write.mode("append").parquet(path)
+    append_table(spark.createDataFrame([row], ML_RUNS).coalesce(1), path, ML_RUNS)
 
 
 def flatten_runs(runs: DataFrame) -> DataFrame:
