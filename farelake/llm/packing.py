@@ -64,14 +64,16 @@ def packed(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> Dat
     Tokens are words. bucket counts from 0, batch within its bucket, place within its batch.
     """
     prepare(docs.sparkSession)
-    sized = stored(docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_tokens")), "lengths")
+    sized = stored(docs.select(
+        "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_tokens"),
+        shuffle_key(F.col("doc_id"), F.col("text")).alias("_key")), "lengths")
     cells = sized.groupBy(cell(F.col("n_tokens")).alias("cell")).agg(
         F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("length")).orderBy("length").collect()
     bounds = bucket_bounds(np.array([r["length"] for r in cells]), np.array([r["n"] for r in cells]), buckets)
     slices = max(1, math.ceil(sum(r["n"] for r in cells) / SLICE_ROWS))
     bucket = sum((F.when(F.col("n_tokens") > b, 1).otherwise(0) for b in bounds), F.lit(0))
     length = F.get(F.array(*map(F.lit, bounds or [0])).cast("array<bigint>"), F.col("bucket"))
-    rows = sized.withColumns({"bucket": bucket, "_key": shuffle_key(F.col("doc_id"))}).withColumns({
+    rows = sized.withColumns({"bucket": bucket}).withColumns({
         "bucket_length": length, "_slice": slice_of(F.col("_key"), slices)})
     ahead = Window.partitionBy("bucket").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("bucket", "_slice").agg(F.count(F.lit(1)).alias("_n")).withColumn(
