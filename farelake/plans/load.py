@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,15 +86,16 @@ def load_fact(
         state.started = True
         state = write_state(spark, lake, state)
         rows = resolve_duplicates(None, fct, ["trip_id"], on_duplicate, ["_loaded_at"])
-        write_clustered(rows, path, rebalance=on_duplicate == "keep_one", whole=True)
-        changed = None
+        seen = Observation("first load")  # the watermark comes from the write itself, not from reading it back
+        write_clustered(rows.observe(seen, F.max("pickup_datetime").alias("newest")), path, rebalance=on_duplicate == "keep_one", whole=True)
+        newest, changed = seen.get["newest"], None
     else:
         changed = merge_partitioned(
             spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"],
             stand_in=SOURCE_COLUMNS,
         )
+        newest = high_watermark(read_fact(spark, lake))
     load = record_files(lake, files)
-    newest = high_watermark(read_fact(spark, lake))
     state.watermark = newest.isoformat() if newest else None
     state.loads = [*state.loads, load]
     state.note_changes(changed)
