@@ -44,7 +44,6 @@ _RULES = ", ".join(
     f"('{rule}', {step}, CAST({cutoff} AS DOUBLE))"
     for rule, (_, grid) in quality.RULES.items() for step, cutoff in enumerate(grid))
 _VALUES = " ".join(f"WHEN '{rule}' THEN {value}" for rule, (value, _) in quality.RULES.items())
-_RISK = f"(CAST({quality.TOTAL_RISK} AS DOUBLE) / {len(quality.RULES)})"
 
 _STATEMENTS["op5_quality_rules"] = f"""
 WITH split AS (
@@ -71,23 +70,35 @@ based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_
 rules(rule, step, cutoff) AS (VALUES {_RULES}),
 known AS (SELECT doc_id, min(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
 held AS (SELECT based.*, q FROM based JOIN known ON known.doc_id = based.doc_id WHERE NOT base_failed),
+strata AS (
+  SELECT lang, pooled, CASE WHEN NOT pooled THEN lang END AS own FROM (
+    SELECT lang, pow(1 - {quality.TOTAL_RISK}, count(*) FILTER (q = 1)) > {quality.LEVEL} / count(*) OVER () AS pooled
+    FROM held GROUP BY lang)),
 candidates AS (
-  SELECT lang, rule, step, cutoff, count(*) FILTER (q = 1) AS n,
+  SELECT pooled, own, rule, step, cutoff, count(*) FILTER (q = 1) AS n,
     count(*) FILTER (q = 1 AND CASE rule {_VALUES} END > cutoff) AS good,
     count(*) FILTER (q = 0 AND CASE rule {_VALUES} END > cutoff) AS bad
-  FROM held, rules GROUP BY lang, rule, step, cutoff),
+  FROM held JOIN strata ON held.lang IS NOT DISTINCT FROM strata.lang, rules GROUP BY pooled, own, rule, step, cutoff),
+hits AS (
+  SELECT pooled, own, rule, max(bad) AS hits, sum(max(bad)) OVER (PARTITION BY pooled, own) AS all_hits
+  FROM candidates GROUP BY pooled, own, rule),
+weighed AS (
+  SELECT candidates.*, hits / all_hits AS weight, {quality.TOTAL_RISK} * weight AS risk
+  FROM candidates JOIN hits ON candidates.pooled = hits.pooled AND candidates.own IS NOT DISTINCT FROM hits.own AND candidates.rule = hits.rule
+  WHERE hits > 0),
 tested AS (
-  SELECT *, CASE WHEN good >= n * {_RISK} THEN 1.0 ELSE
+  SELECT *, CASE WHEN good >= n * risk THEN 1.0 ELSE
     list_sum(list_transform(range(0, good + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-      + i * ln({_RISK}) + (n - i) * ln(1 - {_RISK})))) END AS p,
-    {quality.LEVEL} / ({len(quality.RULES)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))) AS most
-  FROM candidates),
+      + i * ln(risk) + (n - i) * ln(1 - risk)))) END AS p,
+    {quality.LEVEL} * weight / (SELECT count(*) FROM (SELECT DISTINCT pooled, own FROM strata)) AS most
+  FROM weighed),
 proven AS (
-  SELECT *, bool_and(p <= most) OVER (PARTITION BY lang, rule ORDER BY step) AS usable FROM tested),
+  SELECT *, bool_and(p <= most) OVER (PARTITION BY pooled, own, rule ORDER BY step) AS usable FROM tested),
 best AS (
-  SELECT lang, rule, first(cutoff ORDER BY bad - good DESC, step) AS cutoff FROM proven WHERE usable GROUP BY lang, rule),
+  SELECT pooled, own, rule, first(cutoff ORDER BY bad - good DESC, step) AS cutoff FROM proven WHERE usable GROUP BY pooled, own, rule),
 rejected AS (
-  SELECT DISTINCT r FROM based JOIN best ON based.lang IS NOT DISTINCT FROM best.lang
+  SELECT DISTINCT r FROM based JOIN strata ON based.lang IS NOT DISTINCT FROM strata.lang
+  JOIN best ON best.pooled = strata.pooled AND best.own IS NOT DISTINCT FROM strata.own
   WHERE CASE rule {_VALUES} END > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM rejected) AS kept

@@ -2,15 +2,20 @@
 
 Every document gets counts (`features`). A rule rejects a document if one of its `RULES` values lies above the
 cutoff of its stratum (its language). The cutoffs are found on labelled documents that no rule was made
-from: a cutoff may be used only if the share of good documents it would reject is below `risk` per rule, shown
-by an exact binomial test on the good documents of the stratum.
+from: a cutoff may be used only if the share of good documents it would reject is below the rule's part of `total_risk`,
+shown by an exact binomial test on the good documents of the stratum.
 
 Multiple testing: the candidates of one rule and stratum are tested from loose to tight and the testing ends
-at the first one that isn't proven (fixed-sequence testing), and the level is divided by the number of
-such sequences (Bonferroni). With probability 1 - `level`, all cutoffs in use hold at once, in every stratum. So in
-each stratum all rules together reject less than `total_risk` of good documents. Of the proven cutoffs, the
-one with the most bad less good documents rejected is used, the looser one on ties. A stratum with too few
-labelled documents to prove anything gets no cutoff, and its documents are kept unless the base rule fails.
+at the first one that isn't proven (fixed-sequence testing). The level is divided evenly among the strata (Bonferroni), and
+inside a stratum both its level and `total_risk` are divided among the rules by weight: how many bad documents the tightest
+candidate rejects. The weights come from bad documents and the tests from good ones, so the weights don't disturb them; a rule
+that rejects no bad document costs the others nothing. With probability 1 - `level`, all cutoffs in use hold at once, in
+every stratum. So in each stratum all rules together reject less than `total_risk` of good documents. Of the proven
+cutoffs, the one with the most bad less good documents rejected is used, the looser one on ties.
+
+Languages with too few good documents to prove anything alone are pooled to one stratum (too few is told by their number
+alone), for which the guarantee holds as a whole. If that is too small, too, and for a language without any label, there
+is no cutoff, and documents are kept unless the base rule fails.
 
 Everything is built-in DataFrame functions. Whole texts are used. Windows of words are compared by 64-bit
 fingerprints within a document.
@@ -95,14 +100,14 @@ def _log_factorial(x: Column) -> Column:
             + 1 / (1260 * y * y * y * y * y) - F.log(product))
 
 
-def binomial_tail(k: Column, n: Column, p: float) -> Column:
+def binomial_tail(k: Column, n: Column, p: Column) -> Column:
     """P(X <= k) for X of n trials of probability p, for k below n p; 1 from there on.
 
     The terms are summed downwards from k. They fall like a normal density, so those further than twenty
     standard deviations away are below double precision.
     """
     k, n = k.cast("double"), n.cast("double")
-    first = (_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p))
+    first = (_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * F.log(p) + (n - k) * F.log1p(-p))
     many = F.least(k, F.ceil(20 * F.sqrt(n * p)) + 100).cast("int")
     terms = F.aggregate(
         F.sequence(F.lit(0), many - 1), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
@@ -127,23 +132,29 @@ def cutoffs(featured: DataFrame, labels: DataFrame, total_risk: float = TOTAL_RI
                  F.count_if(bad & (F.expr(value) > cutoff)).alias("bad"))
         for rule, (value, grid) in RULES.items() for step, cutoff in enumerate(grid)
     ]
-    strata = held.groupBy(F.col("lang").alias("stratum")).agg(
-        F.count_if(good).alias("n"), *(c.alias(f"_{i}") for i, c in enumerate(counts)))
-    strata = stored(strata, "strata")
-    tested = strata.count() * len(RULES)
-    risk = total_risk / len(RULES)
-    one = strata.select("stratum", "n", F.explode(F.array(*(f"_{i}" for i in range(len(counts))))).alias("c")).select("stratum", "n", "c.*")
-    proven = binomial_tail(F.col("good"), F.col("n"), risk) <= level / max(tested, 1)
-    per = one.withColumn("proven", proven).groupBy("stratum", "rule").agg(
+    strata = stored(held.groupBy(F.col("lang").alias("stratum")).agg(
+        F.count_if(good).alias("n"), *(c.alias(f"_{i}") for i, c in enumerate(counts))), "strata")
+    # Not even a cutoff that rejects no good document could be proven.
+    small = F.pow(F.lit(1 - total_risk), "n") > level / max(strata.count(), 1)
+    homes = strata.withColumn("home", F.struct(small.alias("pooled"), F.when(~small, F.col("stratum")).alias("own")))
+    rule = ["home", "rule"]
+    one = homes.select("home", "n", F.explode(F.array(*(f"_{i}" for i in range(len(counts))))).alias("c")).groupBy(
+        "home", "c.rule", "c.step", "c.cutoff").agg(F.sum("n").alias("n"), F.sum("c.good").alias("good"), F.sum("c.bad").alias("bad"))
+    hits = one.groupBy(*rule).agg(F.max("bad").alias("hits"))
+    weights = hits.join(hits.groupBy("home").agg(F.sum("hits").alias("all_hits")), "home").where("hits > 0").select(
+        *rule, (F.col("hits") / F.col("all_hits")).alias("weight"))
+    homes_level = level / max(homes.select("home").distinct().count(), 1)
+    proven = binomial_tail(F.col("good"), F.col("n"), total_risk * F.col("weight")) <= homes_level * F.col("weight")
+    per = one.join(weights, rule).withColumn("proven", proven).groupBy(*rule).agg(
         F.array_sort(F.collect_list(F.struct("step", "proven", (F.col("bad") - F.col("good")).alias("net"), "cutoff"))).alias("c"))
     broken = F.array_position(F.transform("c", lambda x: x["proven"]), False)
     usable = F.slice("c", 1, F.when(broken == 0, F.size("c")).otherwise(broken - 1).cast("int"))
     best = F.array_max(F.transform(usable, lambda x: F.struct(x["net"], -x["step"], x["cutoff"])))
-    return (
-        per.select("stratum", "rule", best["cutoff"].alias("cutoff"))
-        .where("cutoff is not null").groupBy("stratum")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    found = (
+        per.select(*rule, best["cutoff"].alias("cutoff")).where("cutoff is not null")
+        .groupBy("home").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
     )
+    return homes.select("stratum", "home").join(found, "home").select("stratum", "cutoffs")
 
 
 def judged(featured: DataFrame, found: DataFrame) -> DataFrame:
