@@ -8,9 +8,10 @@ product exceeds a.b + r |b| + s |a| + r s. A pair of nodes is pruned if that is
 any query of the group.
 
 Each block of queries is first searched in the data block that promises most, which gives every query a kth score to
-start from. Then each pair of a query block and a data block that the same bound, taken over the whole blocks, doesn't rule
-out is one task's row, so tasks are bounded whatever the data, and equal or crowded vectors are split over
-many blocks. Results are merged per query. Nothing is approximate: pruning compares strictly, so ties stay.
+start from. Then every other data block that the same bound, taken over the whole blocks, doesn't rule out is searched, too.
+Query trees travel to the data: a data tree is met by up to `GROUP` query trees at a time, and is sent once for these, so
+groups are bounded whatever the data, and equal or crowded vectors are split over many blocks. Results are merged per
+query. Nothing is approximate: pruning compares strictly, so ties stay.
 
 The number of data blocks is at most `MOST_BLOCKS` (they get larger instead), so what is broadcast, a centre and two
 numbers per block, is bounded.
@@ -42,6 +43,8 @@ LEAF = 128
 BLOCK = 4096
 QUERY_BLOCK = 512
 MOST_BLOCKS = 8192
+#: Query blocks that meet a data block in one group, about.
+GROUP = 32
 #: Pivots are this many on average, at most twice as many.
 MOST_PIVOTS = 256
 #: Vectors compared at a time in a leaf of the queries.
@@ -231,38 +234,43 @@ def _blocks(vectors: DataFrame, cells: DataFrame, size: int, dims: int) -> DataF
 
 
 def _pairs(batches: Iterator[pa.RecordBatch], data, first: bool, k: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of blocks to search: for each query block the most promising one, or all that its bound leaves."""
+    """Pairs of blocks to search: for each query block the most promising one, or all others that its bound leaves."""
     names, centres, radii, sizes = data.value
     norms = np.sqrt((centres ** 2).sum(1))
     for batch in batches:
         left, right = [], []
         for block, centre, radius, worst in zip(*(batch[c].to_pylist() for c in ("block", "centre", "radius", "worst"))):
             a = np.array(centre)
-            upper = centres @ a + radius * norms + radii * (math.sqrt(a @ a) + radius)
-            if first:  # enough vectors to give a kth score, if there is such a block
-                take = [int(np.argmax(np.where(sizes > k, centres @ a, -np.inf)))]
-            else:
-                take = np.flatnonzero(upper >= worst - 1e-6 * (1 + np.abs(upper))).tolist()
+            # enough vectors to give a kth score, if there is such a block
+            best = int(np.argmax(np.where(sizes > k, centres @ a, -np.inf)))
+            take = [best]
+            if not first:
+                upper = centres @ a + radius * norms + radii * (math.sqrt(a @ a) + radius)
+                take = [i for i in np.flatnonzero(upper >= worst - 1e-6 * (1 + np.abs(upper))).tolist() if i != best]
             left += [block] * len(take)
             right += [names[i] for i in take]
         yield pa.record_batch({"q": pa.array(left, pa.string()), "d": pa.array(right, pa.string())})
 
 
-def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for q, q_tree, d_tree, start_rows, starts in zip(*(batch[c].to_pylist() for c in ("q", "q_tree", "d_tree", "rows", "starts"))):
+def _searched(asked: pa.Table, planted: pa.Table, k: int) -> pa.Table:
+    """What the query blocks of a group find in its data block."""
+    out = []
+    for tree in planted["d_tree"].to_pylist():
+        data, d_rows, d_ids = pickle.loads(tree)
+        data = Tree.restored(data)
+        for q, q_tree, start_rows, starts in zip(*(asked[c].to_pylist() for c in ("q", "q_tree", "rows", "starts"))):
             queries, q_rows, q_ids = pickle.loads(q_tree)
-            data, d_rows, d_ids = pickle.loads(d_tree)
-            queries, data = Tree.restored(queries), Tree.restored(data)
+            queries = Tree.restored(queries)
             known = dict(zip(start_rows or [], starts or []))
             start = np.array([known.get(r, -np.inf) for r in q_rows[queries.order].tolist()])
             best = search(queries, q_rows, data, d_ids, d_rows, k, start)
-            x, y = np.nonzero(best.row >= 0)
-            y_ok = best.score[x, y] > -np.inf
-            x, y = x[y_ok], y[y_ok]
-            yield pa.record_batch({
+            x, y = np.nonzero((best.row >= 0) & (best.score > -np.inf))
+            out.append(pa.table({
                 "q": pa.array([q] * len(x), pa.string()), "row": q_rows[queries.order[x]], "query_id": q_ids[queries.order[x]],
-                "vec_id": best.id[x, y], "d_row": best.row[x, y], "score": best.score[x, y].astype(np.int64)})
+                "vec_id": best.id[x, y], "d_row": best.row[x, y], "score": best.score[x, y].astype(np.int64)}))
+    names = ("row", "query_id", "vec_id", "d_row", "score")
+    schema = pa.schema([("q", pa.string()), *((c, pa.int64()) for c in names)])
+    return pa.concat_tables(out) if out else schema.empty_table()
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
@@ -287,25 +295,30 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         known_parts = ([r["block"] for r in known], np.array([r["centre"] for r in known]), np.array([r["radius"] for r in known]), np.array([r["n"] for r in known]))
     bounded = spark.sparkContext.broadcast(known_parts)
 
+    parts = max(1, math.ceil(asked.count() / GROUP))
+
     def found(starts: DataFrame | None) -> DataFrame:
-        worst = F.lit(float("-inf")) if starts is None else F.coalesce("worst", F.lit(float("-inf")))
-        heads = asked.select("block", "centre", "radius")
-        if starts is not None:
-            heads = heads.join(starts.select(F.col("q").alias("block"), "worst"), "block", "left")
-        pairs = heads.withColumn("worst", worst).mapInArrow(
+        heads = asked.select(F.col("block").alias("q"), "block", "centre", "radius", F.col("tree").alias("q_tree"))
+        if starts is None:
+            heads = heads.withColumns({
+                "rows": F.lit(None).cast("array<long>"), "starts": F.lit(None).cast("array<double>"), "worst": F.lit(None).cast("double")})
+        else:
+            heads = heads.join(starts, "q", "left")
+        heads = heads.withColumn("worst", F.coalesce("worst", F.lit(float("-inf"))))
+        pairs = heads.select("block", "centre", "radius", "worst").mapInArrow(
             partial(_pairs, data=bounded, first=starts is None, k=k), "q string, d string")
-        none = F.lit(None)
-        held = asked.select(F.col("block").alias("q"), F.col("tree").alias("q_tree"))
-        held = held.withColumns({"rows": none.cast("array<long>"), "starts": none.cast("array<double>")}) if starts is None else held.join(
-            starts.select("q", "rows", "starts"), "q", "left")
-        trees = data.select(F.col("block").alias("d"), F.col("tree").alias("d_tree"))
-        return pairs.join(held, "q").join(trees, "d").select("q", "q_tree", "d_tree", "rows", "starts").mapInArrow(
-            partial(_searched, k=k), "q string, row long, query_id long, vec_id long, d_row long, score long")
-
-    kth = found(None).groupBy("q", "row").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("score")).where(F.col("n") == k)
+        pairs = pairs.withColumn("part", F.pmod(F.xxhash64("q"), F.lit(parts)))
+        sent = pairs.join(heads.select("q", "q_tree", "rows", "starts"), "q").groupBy("d", "part")
+        met = data.select(F.col("block").alias("d"), F.col("tree").alias("d_tree")).join(
+            pairs.select("d", "part").distinct(), "d").select(F.col("d").alias("of"), F.col("part").alias("of_part"), "d_tree").groupBy("of", "of_part")
+        return sent.cogroup(met).applyInArrow(
+            lambda q, d: _searched(q, d, k), "q string, row long, query_id long, vec_id long, d_row long, score long")
+
+    first = stored(found(None), "first")
+    kth = first.groupBy("q", "row").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("score")).where(F.col("n") == k)
     # Queries without k candidates so far have no entry, and their block no worst score.
     starts = kth.groupBy("q").agg(F.collect_list("row").alias("rows"), F.collect_list("score").alias("starts"), F.min("score").alias("worst"), F.count(F.lit(1)).alias("m"))
     full = asked.select(F.col("block").alias("q"), F.col("n").alias("of"))
     starts = stored(starts.join(full, "q").select("q", "rows", "starts", F.when(F.col("m") == F.col("of"), F.col("worst")).alias("worst")), "starts")
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id", "d_row"))
-    return found(starts).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return first.unionByName(found(starts)).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
