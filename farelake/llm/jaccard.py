@@ -12,10 +12,14 @@ is a candidate only if it passes under every order used here:
    prefix is free of shared tokens exactly if the set has fewer than threshold n tokens that lie in other sets
    too, so this order reduces to a count per document. It discards documents that merely quote common passages.
 2. Rarest first, over the sets that are left. Equal prefix tokens make buckets, which common passages don't join.
-3. and 4. Two unrelated orders by fingerprint. Pairs from buckets must overlap in both of these prefixes as well.
+3. and 4. Two unrelated orders by fingerprint. Pairs from buckets must overlap in both of these prefixes as well, except
+   the pairs with a bucket's leader: their exact distances are needed anyway, as bounds for all other pairs.
 
 Verification counts the common tokens of whole sets.
 
+Frequent tokens: for order 1 it only matters whether a second set holds a token. Sets of one batch that share a token
+with at least CROWD sets know that there, so the token is sent once for the batch, marked, and its sets send numbers.
+
 Large groups: within a bucket each document is first compared with one leader. Documents that link with it are
 one component, whatever the other pairs are. Only pairs of different components with a common leader remain, and
 of those the ones that the triangle inequality of the Jaccard distance, through the leader, doesn't rule out.
@@ -50,6 +54,10 @@ SHINGLE = 5
 THRESHOLD = 75
 #: Tokens of a bucket whose sets are counted in one task: 16 MB of tokens and as much for their owners.
 BUCKET_TOKENS = 1 << 22
+#: A token in at least so many sets of a batch is sent once for all of them.
+CROWD = 4
+#: Places in which the tokens of a batch are counted before they are compared.
+PLACES = 1 << 20
 #: Sets whose counts are added up in one task.
 SLICE_SETS = 1 << 15
 #: Bits of the map that keeps sets without partners out of the shuffle: 16 MB, whatever the input. With more
@@ -114,8 +122,32 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
+def _crowded(tokens: np.ndarray) -> np.ndarray:
+    """Which of the tokens of a batch are in at least CROWD of its sets, a token coming once per set."""
+    place = (tokens & np.uint64(PLACES - 1)).astype(np.int64)
+    some = np.flatnonzero(np.bincount(place, minlength=PLACES)[place] >= CROWD)
+    _, which, counts = np.unique(tokens[some], return_inverse=True, return_counts=True)
+    out = np.zeros(len(tokens), dtype=bool)
+    out[some[counts[which] >= CROWD]] = True
+    return out
+
+
+def _parts(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(bucket, the bucket's part of each column), the buckets being sorted."""
+    firsts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+    for i, j in zip(firsts, np.r_[firsts[1:], len(bucket)].astype(np.int64)):
+        yield int(bucket[i]), *(c[i:j].tobytes() for c in columns)
+
+
+_DEALT = "bucket int, nodes binary, sizes binary, tokens binary, marked binary, met binary, counts binary"
+
+
 def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (bucket of tokens, sets, how many tokens each has in it, these tokens), one per bucket and batch.
+    """Rows of `_DEALT`: a bucket of tokens, with one of
+
+    * sets, how many tokens each has in the bucket, these tokens (one row per bucket and batch);
+    * tokens marked as shared;
+    * sets with the number of marked tokens each has; these go to the bucket of the set.
 
     Copies within a task are dealt once.
     """
@@ -130,32 +162,50 @@ def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
                 keys.append(key)
         if not sets:
             continue
-        tokens = np.concatenate(sets)
+        tokens, keys = np.concatenate(sets), np.array(keys, dtype=np.int64)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        place = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64) * len(sets) + owner
+        crowded = _crowded(tokens)
+        met = np.bincount(owner[crowded], minlength=len(sets)).astype(np.int32)
+        marked = np.unique(tokens[crowded])
+        tokens, owner = tokens[~crowded], owner[~crowded]
+
+        def bucketed(tokens: np.ndarray) -> np.ndarray:
+            return ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+        def low(tokens: np.ndarray) -> np.ndarray:
+            return (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+        place = bucketed(tokens) * len(sets) + owner
         order = np.argsort(place, kind="stable")
         place = place[order]
-        low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        runs = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])  # of one set in one bucket
-        sizes = np.diff(np.r_[runs, len(low)]).astype(np.int32)
-        nodes = np.array(keys, dtype=np.int64)[place[runs] % len(sets)]
-        bucket = place[runs] // len(sets)
-        firsts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        ends = np.r_[firsts[1:], len(runs)]
-        stops = np.r_[runs, len(low)]
-        yield pa.record_batch({
-            "bucket": pa.array(bucket[firsts].astype(np.int32)),
-            "nodes": pa.array([nodes[i:j].tobytes() for i, j in zip(firsts, ends)], pa.binary()),
-            "sizes": pa.array([sizes[i:j].tobytes() for i, j in zip(firsts, ends)], pa.binary()),
-            "tokens": pa.array([low[stops[i]:stops[j]].tobytes() for i, j in zip(firsts, ends)], pa.binary()),
-        })
+        runs = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][: len(place)])  # of one set in one bucket
+        sizes = np.diff(np.r_[runs, len(place)]).astype(np.int32)
+        out = []
+        at = 0
+        raw = low(tokens[order])
+        for bucket, nodes, held in _parts(place[runs] // len(sets), keys[place[runs] % len(sets)], sizes):
+            count = int(np.frombuffer(held, dtype=np.int32).sum())
+            out.append((bucket, nodes, held, raw[at:at + count].tobytes(), None, None, None))
+            at += count
+        marked = marked[np.argsort(bucketed(marked), kind="stable")]
+        out += [(bucket, None, None, None, part, None, None) for bucket, part in _parts(bucketed(marked), low(marked))]
+        some = np.flatnonzero(met)
+        some = some[np.argsort(keys[some] % buckets, kind="stable")]
+        out += [(bucket, None, None, None, None, *part) for bucket, *part in _parts(keys[some] % buckets, keys[some], met[some])]
+        names = ["bucket", "nodes", "sizes", "tokens", "marked", "met", "counts"]
+        yield pa.record_batch([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(zip(*out))], names=names)
 
 
 def _shared(table: pa.Table, slices: int) -> pa.Table:
-    """How many tokens of this bucket each set shares with other sets, packed by slices of the sets."""
-    nodes, sizes, token = (
-        np.frombuffer(b"".join(table[c].to_pylist()), dtype=kind)
-        for c, kind in (("nodes", np.int64), ("sizes", np.int32), ("tokens", np.uint32)))
+    """How many tokens of this bucket each set shares with other sets, packed by slices of the sets.
+
+    A set with copies in several batches may bring a number from each. A token that none of them sent is marked in
+    all, so the least of the numbers is enough.
+    """
+    nodes, sizes, token, marked, met, counted = (
+        np.frombuffer(b"".join(table[c].drop_null().to_pylist()), dtype=kind)
+        for c, kind in (("nodes", np.int64), ("sizes", np.int32), ("tokens", np.uint32),
+                        ("marked", np.uint32), ("met", np.int64), ("counts", np.int32)))
     node = np.repeat(nodes, sizes)
     order = np.lexsort((node, token))
     token, node = token[order], node[order]
@@ -163,7 +213,11 @@ def _shared(table: pa.Table, slices: int) -> pa.Table:
     token, node = token[first], node[first]
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
     many = np.repeat(np.diff(np.r_[starts, len(token)]), np.diff(np.r_[starts, len(token)])) > 1
-    nodes, counts = np.unique(node[many], return_counts=True)
+    nodes, counts = np.unique(node[many | np.isin(token, np.unique(marked))], return_counts=True)
+    order = np.lexsort((counted, met))
+    met, counted = met[order], counted[order]
+    least = np.r_[True, met[1:] != met[:-1]][: len(met)]
+    nodes, counts = np.r_[nodes, met[least]], np.r_[counts, counted[least]]
     place = np.mod(nodes, slices)
     order = np.argsort(place, kind="stable")
     found, begins = np.unique(place[order], return_index=True)
@@ -359,7 +413,7 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, threshold: int) -> Data
     total, held = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
     slices = max(1, math.ceil(held / SLICE_SETS))
     shared = (
-        texts.mapInArrow(partial(_dealt, buckets=max(1, math.ceil(total / BUCKET_TOKENS))), "bucket int, nodes binary, sizes binary, tokens binary")
+        texts.mapInArrow(partial(_dealt, buckets=max(1, math.ceil(total / BUCKET_TOKENS))), _DEALT)
         .groupBy("bucket").applyInArrow(lambda t: _shared(t, slices), "slice long, nodes binary, counts binary")
         .groupBy("slice").applyInArrow(_summed, "node long, shared long")
     )

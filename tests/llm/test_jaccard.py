@@ -1,8 +1,11 @@
 """Components of near-equal documents against all pairs."""
 
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from farelake.llm import jaccard
 
@@ -100,3 +103,30 @@ def test_common_counts(monkeypatch):
     sets = [np.unique(rng.integers(-50, 50, rng.integers(1, 60))) for _ in range(20)]
     got = jaccard.common_counts(sets[:8], sets[8:])
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[8:]] for a in sets[:8]]
+
+
+def test_counts_of_shared_tokens():
+    """Through batches and buckets, each set's number of tokens in other sets: exact without copies, never too small with them."""
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(30))
+    own = [" ".join(f"w{rng.integers(60)}" for _ in range(rng.integers(1, 25))) for _ in range(120)]
+    texts = [(t + " " + passage if i % 3 == 0 else t).encode() for i, t in enumerate(own)] + [b"", None, b"a", b"a b c d e"]
+    sets = {jaccard.set_key(s): s for t in texts if len(s := jaccard.shingle_set(t, jaccard._Words()))}
+    holders = Counter(token for s in sets.values() for token in s.tolist())
+    want = {key: sum(holders[t] > 1 for t in s.tolist()) for key, s in sets.items()}
+    for copies in (1, 3):
+        dealt = []
+        for k in range(4):  # four tasks of several batches; with copies, texts are in all of them
+            rows = texts[k::4] if copies == 1 else [texts[i] for i in rng.permutation(len(texts))]
+            batches = [pa.record_batch({"text": pa.array(rows[i:i + 17], pa.binary())}) for i in range(0, len(rows), 17)]
+            dealt += jaccard._dealt(iter(batches), 5)
+        assert any(b["marked"].null_count < len(b) for b in dealt)
+        whole = pa.Table.from_batches(dealt)
+        parts = pa.concat_tables([jaccard._shared(whole.filter(pc.equal(whole["bucket"], b)), 3) for b in range(5)])
+        got = {}
+        for b in range(3):
+            summed = jaccard._summed(parts.filter(pc.equal(parts["slice"], b)))
+            got |= dict(zip(summed["node"].to_pylist(), summed["shared"].to_pylist()))
+        if copies == 1:
+            assert got == {key: n for key, n in want.items() if n}
+        assert all(got.get(key, 0) >= n for key, n in want.items())
