@@ -19,6 +19,8 @@ from farelake.session import scratch_path
 from farelake.sources.tables import CLUSTER_COLUMNS, path_exists, write_clustered
 
 POLICIES = ("error", "error_any", "keep_one")
+#: So many keys are sent to every task to tell their copies from other rows; 8 MB for keys of one number.
+FEW_KEYS = 500_000
 
 
 def _known(keys: Sequence[str]) -> Column:
@@ -31,18 +33,43 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter(F.col("copies") > 1).select(*keys)
 
 
+def _greatest(known: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    rest = [c for c in known.columns if c not in keys]
+    order = [*newest, *[c for c in rest if c not in newest]]
+    chosen = known.groupBy(*keys).agg(F.max(F.struct(*order)).alias("row"))
+    return chosen.select(*[F.col(k) if k in keys else F.col(f"row.{k}").alias(k) for k in known.columns])
+
+
 def keep_one(source: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
     """One row per known key: the greatest by the `newest` columns, then by all others.
 
     A maximum over whole rows combines before the shuffle, so a key with very many copies sends one
     row per task, and the choice does not depend on row order. Rows with a NULL key are all kept.
     """
-    rest = [c for c in source.columns if c not in keys]
-    order = [*newest, *[c for c in rest if c not in newest]]
-    known = source.filter(_known(keys))
-    chosen = known.groupBy(*keys).agg(F.max(F.struct(*order)).alias("row"))
-    one = chosen.select(*[F.col(k) if k in keys else F.col(f"row.{k}").alias(k) for k in source.columns])
-    return one.unionByName(source.filter(~_known(keys)))
+    return _greatest(source.filter(_known(keys)), keys, newest).unionByName(source.filter(~_known(keys)))
+
+
+def keep_one_of_copies(
+    source: DataFrame, keys: Sequence[str], newest: Sequence[str] = (), keyed: DataFrame | None = None
+) -> DataFrame:
+    """The rows of `keep_one`, moving none but those whose key comes more than once, as long as these keys are few.
+
+    The keys alone are counted first, in `keyed` if given (the same rows with their keys). Without copies, `source` itself
+    is returned, its rows where they were. Up to FEW_KEYS repeated keys are sent to every task.
+    """
+    spark = source.sparkSession
+    path = scratch_path(spark, "repeated-keys")
+    duplicate_keys(source if keyed is None else keyed, keys).write.parquet(path)
+    repeated = spark.read.schema(source.select(*keys).schema).parquet(path)
+    count = repeated.count()
+    if not count:
+        return source
+    if count > FEW_KEYS:
+        return keep_one(source, keys, newest)
+    repeated = F.broadcast(repeated)
+    copies = source.join(repeated, list(keys), "left_semi").select(*source.columns)
+    others = source.join(repeated, list(keys), "left_anti").select(*source.columns)
+    return _greatest(copies, keys, newest).unionByName(others)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stand_in: Sequence[str] = ()) -> DataFrame:
@@ -69,8 +96,9 @@ def resolve_duplicates(
     keys: Sequence[str],
     on_duplicate: str = "error",
     newest: Sequence[str] = (),
+    keyed: DataFrame | None = None,
 ) -> DataFrame:
-    """Apply the duplicate policy to the source.
+    """Apply the duplicate policy to the source; `keyed`, if given, are the same rows with their keys.
 
     `error`: several source rows for one *stored* row are an error; for a new key, all are inserted.
     `error_any`: any key twice in the source is an error.
@@ -79,8 +107,8 @@ def resolve_duplicates(
     if on_duplicate not in POLICIES:
         raise ValueError(f"unknown policy {on_duplicate!r}: expected one of {POLICIES}")
     if on_duplicate == "keep_one":
-        return keep_one(source, keys, newest)
-    repeated = duplicate_keys(source, keys)
+        return keep_one_of_copies(source, keys, newest, keyed)
+    repeated = duplicate_keys(source if keyed is None else keyed, keys)
     if on_duplicate == "error":
         if target is None:
             return source

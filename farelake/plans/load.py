@@ -87,7 +87,7 @@ def load_fact(
         state = write_state(spark, lake, state)
         rows = resolve_duplicates(None, fct, ["trip_id"], on_duplicate, ["_loaded_at"])
         seen = Observation("first load")  # the watermark comes from the write itself, not from reading it back
-        write_clustered(rows.observe(seen, F.max("pickup_datetime").alias("newest")), path, rebalance=on_duplicate == "keep_one", whole=True)
+        write_clustered(rows.observe(seen, F.max("pickup_datetime").alias("newest")), path, rebalance=rows is not fct, whole=True)
         newest, changed = seen.get["newest"], None
     else:
         changed = merge_partitioned(

@@ -137,3 +137,17 @@ def test_hot_zone_counts_like_brute_force(spark):
     totals = {z: picked[z] + dropped[z] for z in picked | dropped}
     want = {z: (picked[z], dropped[z], 1 + sum(t > totals[z] for t in totals.values())) for z in totals}
     assert found == want
+
+
+def test_keep_one_moves_only_copies(spark):
+    """Rows whose key comes once stay where they were read; the choice among copies is that of keep_one."""
+    alone = fact_rows(spark, {}, {"fare_amount": 21.0}, {"pickup_location_id": None})
+    assert merge.resolve_duplicates(None, alone, KEYS, "keep_one", ["_loaded_at"]) is alone
+    copies = fact_rows(spark, {}, {"tip_amount": 7.0}, {"tip_amount": 9.0}, {"fare_amount": 21.0}, *[{"pickup_location_id": None}] * 2)
+    got = merge.resolve_duplicates(None, copies, KEYS, "keep_one", ["_loaded_at"])
+    want = merge.keep_one(copies, KEYS, ["_loaded_at"])
+    assert got.columns == copies.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 4
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "BroadcastHashJoin" in plan
