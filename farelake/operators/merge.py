@@ -72,19 +72,27 @@ def keep_one_of_copies(
     return _greatest(copies, keys, newest).unionByName(others)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stand_in: Sequence[str] = ()) -> DataFrame:
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    stand_in: Sequence[str] = (),
+    keyed: DataFrame | None = None,
+) -> DataFrame:
     """`target` with the rows of `source` put in: an anti join and a union.
 
     Rows with a NULL key match nothing; they go around the join instead of meeting in one of its
     partitions. If `stand_in` columns are named, those rows are matched by them, as far as they are known. Source keys are made distinct first, which combines the copies of a repeated key on the
-    map side; AQE can split a hot key on the target's side of the join, but not on this one.
+    map side; AQE can split a hot key on the target's side of the join, but not on this one. They are taken from `keyed`, if
+    given: rows with the keys and `stand_in` columns of `source`, each at least once.
     """
     columns = target.columns
-    arriving = source.filter(_known(keys)).select(*keys).distinct()
+    keyed = source if keyed is None else keyed
+    arriving = keyed.filter(_known(keys)).select(*keys).distinct()
     stay = target.filter(_known(keys)).join(arriving, list(keys), "left_anti")
     unmatched = target.filter(~_known(keys))
     if stand_in:
-        again = source.filter(~_known(keys) & _known(stand_in)).select(*stand_in).distinct()
+        again = keyed.filter(~_known(keys) & _known(stand_in)).select(*stand_in).distinct()
         placed = unmatched.filter(_known(stand_in)).join(again, list(stand_in), "left_anti").select(*columns)
         unmatched = placed.unionByName(unmatched.filter(~_known(stand_in)))
     return stay.select(*columns).unionByName(unmatched).unionByName(source.select(*columns))
@@ -129,6 +137,7 @@ def merge_partitioned(
     on_duplicate: str = "error",
     newest: Sequence[str] = (),
     stand_in: Sequence[str] = (),
+    settled: bool = False,
 ) -> list | None:
     """Upsert `source` into the table at `path`, rewriting only the partitions it touches.
 
@@ -139,20 +148,36 @@ def merge_partitioned(
 
     Exact whenever equal keys always lie in one partition, as they do here: the trip key contains the
     pickup time and the rate key the date. Untouched partitions are neither read nor written.
+
+    `settled` says that `source` has the same rows whenever it is computed and that they lie by partition, as those of
+    monthly files do. Then only its keys are kept aside, and rows of partitions that hold nothing yet are
+    written where they were read.
     """
     if not path_exists(spark, path):
         first = resolve_duplicates(None, source, keys, on_duplicate, newest)
         write_clustered(first, path, partition, cluster_by)
         return None
-    # The source is computed once: it is asked for its partitions, its duplicates and its rows.
+    # The source, or all that is asked of it but its rows, is computed once: its partitions, keys and duplicates.
     staged = scratch_path(spark, "merge-source")
-    source.write.parquet(staged)
-    source = spark.read.schema(source.schema).parquet(staged)
-    touched = [row[0] for row in source.select(partition).distinct().collect()]  # months or days
+    asked = source.select(*dict.fromkeys([*keys, *stand_in, partition])) if settled else source
+    asked.write.parquet(staged)
+    keyed = spark.read.schema(asked.schema).parquet(staged)
+    source = source if settled else keyed
+    touched = [row[0] for row in keyed.select(partition).distinct().collect()]  # months or days
     if not touched:
         return touched
     stored = spark.read.schema(source.schema).parquet(path)
     target = stored.filter(F.col(partition).isin(touched))
-    rows = resolve_duplicates(target, source, keys, on_duplicate, newest)
-    write_clustered(upsert(target, rows, keys, stand_in), path, partition, cluster_by)
+    rows = resolve_duplicates(target, source, keys, on_duplicate, newest, keyed)
+    held = [row[0] for row in target.select(partition).distinct().collect()] if settled else touched
+    if all(value in held for value in touched):
+        write_clustered(upsert(target, rows, keys, stand_in, keyed), path, partition, cluster_by)
+        return touched
+    fresh, as_read = rows, rows is source
+    if held:
+        meets = F.coalesce(F.col(partition).isin(held), F.lit(False))
+        moved = upsert(target, rows.filter(meets), keys, stand_in, keyed.filter(meets))
+        fresh = rows.filter(~meets)
+        fresh = moved.hint("rebalance", partition).unionByName(fresh if as_read else fresh.hint("rebalance", partition))
+    write_clustered(fresh, path, partition, cluster_by, rebalance=not held and not as_read)
     return touched

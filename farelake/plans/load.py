@@ -92,7 +92,7 @@ def load_fact(
     else:
         changed = merge_partitioned(
             spark, path, fct, ["trip_id"], MONTH_COLUMN, on_duplicate=on_duplicate, newest=["_loaded_at"],
-            stand_in=SOURCE_COLUMNS,
+            stand_in=SOURCE_COLUMNS, settled=True,
         )
         newest = high_watermark(read_fact(spark, lake))
     load = record_files(lake, files)

@@ -151,3 +151,21 @@ def test_keep_one_moves_only_copies(spark):
     assert got.count() == 4
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "BroadcastHashJoin" in plan
+
+
+def test_settled_source_is_not_copied(spark, tmp_path, monkeypatch):
+    """Only the keys of settled rows are kept aside; months that held nothing are written where their rows were read."""
+    path, other = str(tmp_path / "fact"), str(tmp_path / "other")
+    march = {"pickup_datetime": dt.datetime(2024, 3, 3, 8), "dropoff_datetime": dt.datetime(2024, 3, 3, 9)}
+    again = fact_rows(spark, {"tip_amount": 2.0}, {"fare_amount": 30.0}, march, {**march, "pickup_location_id": None})
+    aside = []
+    monkeypatch.setattr(merge, "scratch_path", lambda _, label: aside.append(str(tmp_path / f"{label}-{len(aside)}")) or aside[-1])
+    for to, settled in ((path, True), (other, False)):
+        put(spark, to, fact_rows(spark, {}, {"fare_amount": 21.0}))
+        for policy in ("error", "keep_one"):
+            merge.merge_partitioned(spark, to, again, KEYS, MONTH_COLUMN, on_duplicate=policy, newest=["_loaded_at"], settled=settled)
+    columns = spark.read.parquet(path).columns
+    rows = [sorted(map(str, spark.read.parquet(to).select(columns).collect())) for to in (path, other)]
+    assert rows[0] == rows[1] and len(rows[0]) == 6
+    kept = [set(spark.read.parquet(a).columns) for a in aside if "merge-source" in a]
+    assert kept[0] == kept[1] == {"trip_id", MONTH_COLUMN}
