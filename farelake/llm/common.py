@@ -39,6 +39,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def collected(spark: SparkSession) -> SparkSession:
+    """Has the driver's JVM collect its garbage now, which gives memory back that finished jobs took.
+
+    Spark drops their shuffles and broadcasts only when the collector has found them unused, and a heap that grew under
+    a burst of small jobs stays as large. Called between the steps of a job that plans many of them.
+    """
+    spark._jvm.System.gc()
+    return spark
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")

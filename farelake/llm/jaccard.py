@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.llm.common import LOWER, UPPER, prepare, stored
+from farelake.llm.common import LOWER, UPPER, collected, prepare, stored
 from farelake.llm.components import components
 
 SHINGLE = 5
@@ -206,14 +206,29 @@ def _shared(table: pa.Table, slices: int) -> pa.Table:
         np.frombuffer(b"".join(table[c].drop_null().to_pylist()), dtype=kind)
         for c, kind in (("nodes", np.int64), ("sizes", np.int32), ("tokens", np.uint32),
                         ("marked", np.uint32), ("met", np.int64), ("counts", np.int32)))
-    node = np.repeat(nodes, sizes)
-    order = np.lexsort((node, token))
-    token, node = token[order], node[order]
-    first = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])][: len(token)]
-    token, node = token[first], node[first]
-    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
-    many = np.repeat(np.diff(np.r_[starts, len(token)]), np.diff(np.r_[starts, len(token)])) > 1
-    nodes, counts = np.unique(node[many | np.isin(token, np.unique(marked))], return_counts=True)
+    # One number a token and set, sorted in place: a group of BUCKET_TOKENS is a few times 32 MB.
+    nodes, rank = np.unique(nodes, return_inverse=True)
+    pair = token.astype(np.uint64)
+    pair <<= np.uint64(32)
+    pair |= np.repeat(rank.astype(np.uint32), sizes)
+    pair.sort()
+    pair = pair[np.r_[True, pair[1:] != pair[:-1]][: len(pair)]]
+    token = (pair >> np.uint64(32)).astype(np.uint32)
+    rank = pair.astype(np.uint32)  # the low half
+    del pair
+    shared = np.zeros(len(token), dtype=bool)
+    same = token[1:] == token[:-1]
+    shared[1:] |= same
+    shared[:-1] |= same
+    marked = np.unique(marked)
+    begins, ends = (np.searchsorted(token, marked, side) for side in ("left", "right"))
+    held = begins < ends
+    steps = np.zeros(len(token) + 1, dtype=np.int8)
+    steps[begins[held]] += 1
+    steps[ends[held]] -= 1
+    shared |= np.cumsum(steps, dtype=np.int8)[:-1].astype(bool)
+    counts = np.bincount(rank[shared], minlength=len(nodes))
+    nodes, counts = nodes[counts > 0], counts[counts > 0]
     order = np.lexsort((counted, met))
     met, counted = met[order], counted[order]
     least = np.r_[True, met[1:] != met[:-1]][: len(met)]
@@ -447,6 +462,7 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     classes = sized.where("node is not null").groupBy("node").agg(
         F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"))
     sets = _candidate_sets(docs, classes, threshold)
+    collected(docs.sparkSession)
 
     posted = sets.select(F.explode("rare").alias("token"), "node")
     # Buckets of the same sets are one bucket: copies share most of their tokens.
@@ -463,6 +479,7 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     stars = stored(_verified(stars, sets), "stars")
     linked = _links(stars, threshold).select("a", "b")
     found = stored(components(linked, "a", "b"), "found")
+    collected(docs.sparkSession)
 
     distance = F.lit(1.0) - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
     of_leader = found.select(F.col("node").alias("leader"), F.col("component").alias("leader_component"))
@@ -472,9 +489,11 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         .withColumn("component", F.coalesce("component", "node"))
         .withColumn("leader_component", F.coalesce("leader_component", "leader"))
     )
-    more = stored(_links_apart(stored(placed, "placed"), sets, threshold), "more")
-    if not more.isEmpty():
-        found = components(linked.unionByName(more), "a", "b")
+    placed = stored(placed, "placed")
+    if not placed.where("component <> leader_component").isEmpty():
+        more = stored(_links_apart(placed, sets, threshold), "more")
+        if not more.isEmpty():
+            found = components(linked.unionByName(more), "a", "b")
 
     named = classes.join(found, "node", "left").select(
         "node", "least_id", F.coalesce("component", "node").alias("group"))

@@ -32,6 +32,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from farelake.llm.common import SPACE, prepare, stored, words
 
@@ -137,15 +138,18 @@ def cutoffs(featured: DataFrame, labels: DataFrame, total_risk: float = TOTAL_RI
     # Not even a cutoff that rejects no good document could be proven.
     small = F.pow(F.lit(1 - total_risk), "n") > level / max(strata.count(), 1)
     homes = strata.withColumn("home", F.struct(small.alias("pooled"), F.when(~small, F.col("stratum")).alias("own")))
+    # All that follows goes by home or finer, so one exchange of a row per stratum serves it.
+    totals = homes.groupBy("home").agg(F.sum("n").alias("n"), *(
+        F.struct(*(F.first(f"_{i}.{c}").alias(c) for c in ("rule", "step", "cutoff")),
+                 *(F.sum(f"_{i}.{c}").alias(c) for c in ("good", "bad"))).alias(f"_{i}") for i in range(len(counts))))
     rule = ["home", "rule"]
-    one = homes.select("home", "n", F.explode(F.array(*(f"_{i}" for i in range(len(counts))))).alias("c")).groupBy(
-        "home", "c.rule", "c.step", "c.cutoff").agg(F.sum("n").alias("n"), F.sum("c.good").alias("good"), F.sum("c.bad").alias("bad"))
-    hits = one.groupBy(*rule).agg(F.max("bad").alias("hits"))
-    weights = hits.join(hits.groupBy("home").agg(F.sum("hits").alias("all_hits")), "home").where("hits > 0").select(
-        *rule, (F.col("hits") / F.col("all_hits")).alias("weight"))
+    one = totals.select("home", "n", F.explode(F.array(*(f"_{i}" for i in range(len(counts))))).alias("c")).select(
+        "home", "n", "c.*").withColumn("hits", F.max("bad").over(Window.partitionBy(*rule)))
+    all_hits = F.sum(F.when(F.col("step") == 0, F.col("hits"))).over(Window.partitionBy("home"))
+    one = one.withColumn("weight", F.col("hits") / F.nullif(all_hits, F.lit(0))).where("hits > 0")
     homes_level = level / max(homes.select("home").distinct().count(), 1)
     proven = binomial_tail(F.col("good"), F.col("n"), total_risk * F.col("weight")) <= homes_level * F.col("weight")
-    per = one.join(weights, rule).withColumn("proven", proven).groupBy(*rule).agg(
+    per = one.withColumn("proven", proven).groupBy(*rule).agg(
         F.array_sort(F.collect_list(F.struct("step", "proven", (F.col("bad") - F.col("good")).alias("net"), "cutoff"))).alias("c"))
     broken = F.array_position(F.transform("c", lambda x: x["proven"]), False)
     usable = F.slice("c", 1, F.when(broken == 0, F.size("c")).otherwise(broken - 1).cast("int"))

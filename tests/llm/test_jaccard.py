@@ -1,11 +1,13 @@
 """Components of near-equal documents against all pairs."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pytest
 
 from farelake.llm import jaccard
 
@@ -130,3 +132,36 @@ def test_counts_of_shared_tokens():
         if copies == 1:
             assert got == {key: n for key, n in want.items() if n}
         assert all(got.get(key, 0) >= n for key, n in want.items())
+
+
+def test_counting_shared_tokens_is_lean():
+    """A bucket's tokens are counted right, marked ones and copies of a set included, in under 40 bytes a token."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 20, 500, dtype=np.uint32)) for _ in range(600)]
+    nodes = [*range(0, 5900, 10), *range(0, 100, 10)]  # the last ten are copies of the first
+    sets[590:] = sets[:10]
+    marked = np.arange(0, 1 << 20, 1000, dtype=np.uint32)
+    row = {"nodes": np.array(nodes, np.int64).tobytes(), "sizes": np.array([len(s) for s in sets], np.int32).tobytes(),
+           "tokens": np.concatenate(sets).tobytes(), "marked": marked.tobytes(), "met": None, "counts": None}
+    table = pa.table({c: pa.array([v], pa.binary()) for c, v in row.items()})
+    tracemalloc.start()
+    found = jaccard._shared(table, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(map(len, sets))
+    got = {}
+    for part in found.to_pylist():
+        got |= dict(zip(np.frombuffer(part["nodes"], np.int64).tolist(), np.frombuffer(part["counts"], np.int32).tolist()))
+    held = Counter(t for s in sets[:590] for t in s.tolist())
+    common = set(marked.tolist())
+    want = {n: sum(held[t] > 1 or t in common for t in s.tolist()) for n, s in zip(nodes[:590], sets)}
+    assert got == {n: k for n, k in want.items() if k}
+
+
+def test_no_blocks_without_documents_apart(spark, monkeypatch):
+    """Groups that are one component with their leader need no job for pairs within them."""
+    monkeypatch.setattr(jaccard, "_links_apart", lambda *_: pytest.fail("looked for links apart"))
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "something else altogether here now")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_components(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}

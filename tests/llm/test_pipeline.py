@@ -43,3 +43,15 @@ def test_run(spark):
     again = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, again.collect()))
     assert mixing.BLOCK and jaccard.THRESHOLD == 75
+
+
+def test_stages_give_memory_back(spark, monkeypatch):
+    """Every stage has the driver collect what the one before took; near copies also do between their steps."""
+    asked = []
+    for module in (corpus_pipeline, jaccard):
+        monkeypatch.setattr(module, "collected", lambda s, name=module.__name__: asked.append(name) or s)
+    docs = table(spark, SF, "documents").limit(20)
+    for name, stage in corpus_pipeline.STAGES:
+        asked.clear()
+        stage(spark, docs, SF).count()
+        assert asked[0] == "corpus_pipeline" and asked.count("farelake.llm.jaccard") == 2 * (name == "near_copies")

@@ -119,3 +119,11 @@ def test_extra_columns_of_any_name(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality.quality_filter(docs, none)
     assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == rows[:1]
+
+
+def test_cutoffs_exchange_their_few_rows_seldom(spark):
+    """Every exchange is a job and a thread of the driver; rules, candidates and weights of a stratum stay together."""
+    docs = spark.createDataFrame([(i, f"some words of text number {i} that are long enough to pass", "en") for i in range(20)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    plan = quality.cutoffs(quality.features(docs), labels)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") <= 3
